@@ -33,6 +33,18 @@ def _runs(column: pa.Array) -> Iterator[tuple[object, int, int]]:
         start = end
 
 
+def spaced(times: np.ndarray, last: int | None, gap: int) -> tuple[np.ndarray, int | None]:
+    """(mask of kept sorted times, last kept time), jumping from one kept time to the next."""
+    keep = np.zeros(len(times), dtype=bool)
+    at = 0
+    while True:
+        if last is not None:
+            at += int(np.searchsorted(times[at:], last + gap))
+        if at >= len(times):
+            return keep, last
+        keep[at], last = True, int(times[at])
+
+
 def keep_spaced(batches: Iterator[pa.RecordBatch], gap: int) -> Iterator[pa.RecordBatch]:
     """Filter batches sorted by (_group, _us); `_last` is the kept time before a group, if any."""
     group, last = object(), None
@@ -43,13 +55,7 @@ def keep_spaced(batches: Iterator[pa.RecordBatch], gap: int) -> Iterator[pa.Reco
         for value, start, end in _runs(batch.column("_group")):
             if value != group:
                 group, last = value, before[start].as_py()
-            at = start
-            while True:
-                if last is not None:
-                    at += int(np.searchsorted(times[at:end], last + gap))
-                if at >= end:
-                    break
-                keep[at], last = True, int(times[at])
+            keep[start:end], last = spaced(times[start:end], last, gap)
         yield batch.filter(pa.array(keep))
 
 

@@ -7,9 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators import cooldown, live, profiles, report, response, rolling, rules, store, traffic, urls, windows
-from tidegauge.schema import DetectionConfig
-from tidegauge.sources.events import event_logs
+from tidegauge.operators import (
+    cooldown,
+    ensemble,
+    iforest,
+    live,
+    ml,
+    profiles,
+    report,
+    response,
+    rolling,
+    rules,
+    store,
+    traffic,
+    urls,
+    windows,
+)
+from tidegauge.schema import ML_FEATURES, PARTITION_KEYS, WINDOW_V2_FEATURES, DetectionConfig
+from tidegauge.session import scratch_path, use_rocksdb
+from tidegauge.sources import sinks
+from tidegauge.sources.events import event_log_stream, event_logs, raw_text_logs
+from tidegauge.sources.logs import storage_listing
+from tidegauge.streaming import stateful
+from tidegauge.streaming import store as stream_store
+from tidegauge.streaming import windows as stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,3 +243,185 @@ query("threat_level")(live.threat_level)
 query("attack_rate")(lambda logs: live.attack_rate(logs, windows.attack_windows(logs, 8, 2, 2.5)))
 query("capture_stats")(lambda logs: live.capture_stats(logs, ip="0.1", status_class="4xx"))
 query("log_display")(live.log_display)
+
+# Models ----------------------------------------------------------------------------------
+
+query("scaled_features")(lambda logs: ml.z_scores(windows.window_features_v2(logs)))
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(logs: DataFrame) -> DataFrame:
+    features = labelled_windows(logs)
+    scored = ml.score(ml.fit_kmeans(features), features)
+    return scored.select("window_start", "source_ip", "cluster")
+
+
+@query("bisecting_clusters")
+def bisecting_clusters(logs: DataFrame) -> DataFrame:
+    features = labelled_windows(logs)
+    scored = ml.score(ml.fit_bisecting(features), features)
+    return scored.select("window_start", "source_ip", "cluster")
+
+
+@query("cluster_distribution")
+def cluster_distribution(logs: DataFrame) -> DataFrame:
+    features = labelled_windows(logs)
+    return ml.cluster_distribution(ml.score(ml.fit_kmeans(features), features))
+
+
+def clustered_v2(logs: DataFrame) -> DataFrame:
+    features = windows.window_features_v2(logs)
+    return ml.score(ml.fit_kmeans(features, WINDOW_V2_FEATURES, k=3), features)
+
+
+query("cluster_profile")(lambda logs: ml.cluster_profile(clustered_v2(logs)))
+query("anomaly_clusters")(lambda logs: ml.anomaly_clusters(clustered_v2(logs), max_rpm=1.2))
+
+
+def scored_test_rows(logs: DataFrame, fit) -> DataFrame:
+    """Hold-out rows of the labelled windows with the model's vote."""
+    train, test = ml.split(labelled_windows(logs))
+    return ml.score(fit(train), test)
+
+
+SCORED = ("window_start", "source_ip", "is_attack", "prediction", "attack_probability")
+query("rf_scores")(lambda logs: scored_test_rows(logs, ml.fit_random_forest).select(*SCORED))
+query("gbt_scores")(lambda logs: scored_test_rows(logs, ml.fit_boosting).select(*SCORED))
+query("rf_metrics")(
+    lambda logs: ml.classification_metrics(ml.confusion(scored_test_rows(logs, ml.fit_random_forest)))
+)
+
+
+@query("batch_predictions")
+def batch_predictions(logs: DataFrame) -> DataFrame:
+    """Train, save, load and score: the model takes the round trip through storage."""
+    spark = logs.sparkSession
+    path = scratch_path(spark, "models")
+    model = ml.fit_kmeans(windows.window_features_v2(logs), WINDOW_V2_FEATURES, k=3)
+    ml.save_model(spark, model, path, "kmeans", WINDOW_V2_FEATURES)
+    predictions = f"{path}/predictions"
+    ml.write_predictions(ml.batch_predict(path, "kmeans", logs), predictions)
+    return spark.read.parquet(predictions)
+
+
+def labelled_requests(logs: DataFrame) -> DataFrame:
+    return rolling.pseudo_labels(rolling.rolling_ml(logs), 3, 0.4, 2)
+
+
+@query("kmeans_outliers")
+def kmeans_outliers(logs: DataFrame) -> DataFrame:
+    features = rolling.rolling_ml(logs)
+    return ensemble.kmeans_outliers(ensemble.fit_outlier_kmeans(features), features, threshold=6.0)
+
+
+@query("isolation_scores")
+def isolation_scores(logs: DataFrame) -> DataFrame:
+    features = rolling.rolling_ml(logs)
+    forest = iforest.fit_iforest(features, list(ML_FEATURES), ensemble.KEYS)
+    return forest.score(features).select(
+        "event_id", "source_ip", "score", "decision", (F.col("decision") < 0).alias("is_anomaly")
+    )
+
+
+@query("ensemble_alerts")
+def ensemble_alerts(logs: DataFrame) -> DataFrame:
+    labelled = labelled_requests(logs)
+    scored = ensemble.score_ensemble(ensemble.fit_ensemble(labelled), labelled)
+    return ensemble.ensemble_alerts(scored, threshold=6.0).select(
+        "event_id", "source_ip", joined_types_of_items().alias("alert_types"), "confidence", "models_used"
+    )
+
+
+# Streams ---------------------------------------------------------------------------------
+
+ONCE = {"availableNow": True}
+
+
+def stream_query(name: str):
+    """`build` gets the log stream and a scratch folder and returns the finished result."""
+    def register(build: Callable[[DataFrame, str], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            use_rocksdb(spark)
+            return single(build(event_log_stream(spark, sf_dir), scratch_path(spark, name)))
+
+        QUERIES[name] = run
+        return build
+
+    return register
+
+
+def drained(stream: DataFrame, path: str) -> DataFrame:
+    """Run an append-mode stream to its end into files and read them back."""
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{path}/rows")
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(**ONCE)
+        .start()
+    )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
+stream_query("stream_windowed_stats")(
+    lambda logs, path: drained(stream_windows.closed_window_stats(logs, WINDOW_CFG), path)
+)
+stream_query("stream_minute_stats")(
+    lambda logs, path: drained(stream_windows.closed_minute_stats(logs), path)
+)
+
+
+@stream_query("stream_alert_topic")
+def stream_alert_topic(logs: DataFrame, path: str) -> DataFrame:
+    """Update mode: the last message about every window, read back from the published JSON."""
+    alerts = stream_windows.running_window_alerts(logs, WINDOW_CFG)
+    query = sinks.start_alert_topic(
+        alerts, f"{path}/topic", f"{path}/checkpoint", fmt="json", mode="update", trigger=ONCE
+    )
+    query.awaitTermination()
+    field = lambda p: F.get_json_object("value", f"$.{p}")
+    messages = logs.sparkSession.read.schema("key string, value string, batch_id bigint").json(f"{path}/topic")
+    latest = messages.groupBy("key", field("window_start").alias("start")).agg(
+        F.max_by("value", "batch_id").alias("value")
+    )
+    return latest.select(
+        "key",
+        F.to_timestamp("start").alias("window_start"),
+        field("severity").alias("severity"),
+        field("alert_types[0]").alias("first_type"),
+        field("metrics.request_count").cast("bigint").alias("request_count"),
+        field("metrics.error_rate").cast("double").alias("error_rate"),
+    )
+
+
+@stream_query("stream_alert_store")
+def stream_alert_store(logs: DataFrame, path: str) -> DataFrame:
+    alerts = store.canonical_window_alerts(stream_windows.closed_window_alerts(logs, WINDOW_CFG))
+    stream_store.start_alert_store(alerts, f"{path}/store", f"{path}/checkpoint", trigger=ONCE).awaitTermination()
+    return stream_store.read_statistics(logs.sparkSession, f"{path}/store").drop("latest_alert")
+
+
+@stream_query("stream_archive")
+def stream_archive(logs: DataFrame, path: str) -> DataFrame:
+    sinks.start_archive(raw_text_logs(logs), f"{path}/raw", f"{path}/checkpoint", trigger=ONCE).awaitTermination()
+    stored = logs.sparkSession.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").schema(
+        "source_ip string, year string, month string, day string, hour string"
+    ).parquet(f"{path}/raw")
+    return stored.groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("rows"))
+
+
+stream_query("stream_rolling")(lambda logs, path: drained(stateful.rolling_stateful(logs), path))
+
+
+@stream_query("stream_cooldown")
+def stream_cooldown(logs: DataFrame, path: str) -> DataFrame:
+    """Two chained stateful operators: rolling features, then the cooldown of the alerts."""
+    alerts = flat_alerts(rules.rule_alerts(stateful.rolling_stateful(logs), RULE_CFG))
+    return drained(stateful.cooldown_stateful(alerts, COOLDOWN_SECONDS), path)
+
+
+def _storage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return storage_listing(spark, sf_dir)
+
+
+QUERIES["storage_listing"] = _storage_listing

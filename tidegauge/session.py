@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +48,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` once to reliable storage and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name on the storage that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Stateful processors keep list and map state, which needs this state store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

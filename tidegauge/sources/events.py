@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.schema import LOG_FIELDS
 from tidegauge.sources.logs import normalize_logs
 
 EPOCH = "2024-01-01 00:00:00"
@@ -41,3 +42,17 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised logs over `events.parquet`."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return normalize_logs(logs_from_events(spark.read.parquet(f"{sf_dir}/events.parquet")))
+
+
+def event_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same logs as an unbounded source."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return normalize_logs(logs_from_events(events))
+
+
+def raw_text_logs(logs: DataFrame) -> DataFrame:
+    """Normalised logs back in the raw record shape with a text timestamp."""
+    stamp = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return logs.select(stamp.alias("timestamp"), *[c for c in LOG_FIELDS if c != "timestamp"])

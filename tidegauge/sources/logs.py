@@ -107,14 +107,17 @@ def read_log_stream(
     return reader.options(**options).load(source)
 
 
-def storage_listing(spark: SparkSession, path: str, fmt: str = "json", n: int = 10) -> DataFrame:
-    """Files below `path` that hold rows: path, size in MB, modification time; first n by path."""
-    files = spark.read.format(fmt).schema(LOG_SCHEMA).load(path).select("_metadata")
+def storage_listing(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
+    """Files below `path`: location, size in MB, modification time; the first n by location.
+
+    Without the content column the files are listed, not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return (
-        files.groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(
-            F.round(F.max("_metadata.file_size") / (1024 * 1024), 6).alias("size_mb"),
-            F.max("_metadata.file_modification_time").alias("modified"),
+        files.select(
+            F.col("path").alias("file_path"),
+            (F.col("length") / (1024 * 1024)).alias("size_mb"),
+            F.col("modificationTime").alias("modified"),
         )
         .orderBy("file_path")
         .limit(n)
