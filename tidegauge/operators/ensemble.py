@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.iforest import IsolationForest, fit_iforest
-from tidegauge.operators.ml import attack_probability, scaling_stages
+from tidegauge.operators.ml import attack_probability, persisted, scaling_stages
 from tidegauge.operators.rules import alert_item
 from tidegauge.schema import ML_FEATURES, ModelConfig
 
@@ -41,7 +41,8 @@ def with_distance(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 def fit_outlier_kmeans(features: DataFrame, cfg: ModelConfig = CFG) -> PipelineModel:
     stage = KMeans(featuresCol="features", predictionCol="cluster", k=cfg.outlier_k, maxIter=cfg.max_iter, seed=cfg.seed)
-    return Pipeline(stages=[*scaling_stages(ML_FEATURES), stage]).fit(features)
+    with persisted(features) as kept:
+        return Pipeline(stages=[*scaling_stages(ML_FEATURES), stage]).fit(kept)
 
 
 def kmeans_outliers(model: PipelineModel, features: DataFrame, threshold: float = CFG.outlier_distance) -> DataFrame:
@@ -84,16 +85,13 @@ def fit_ensemble(labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_a
 
     The forest of decision trees is only fitted with more than `min_positives` attacks.
     """
-    labelled = labelled.persist()
-    try:
-        counts = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("positives")).first()
+    with persisted(labelled) as kept:
+        counts = kept.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("positives")).first()
         if counts.n < cfg.min_rows:
             return None
-        clusters = fit_outlier_kmeans(labelled, cfg)
-        scaled = _with_z(clusters.transform(labelled))
-        forest = fit_iforest(
-            scaled, Z, KEYS, trees=cfg.trees, contamination=cfg.contamination, seed=cfg.seed
-        )
+        clusters = fit_outlier_kmeans(kept, cfg)
+        scaled = _with_z(clusters.transform(kept))
+        forest = fit_iforest(scaled, Z, KEYS, trees=cfg.trees, contamination=cfg.contamination, seed=cfg.seed)
         classifier = None
         if counts.positives > cfg.min_positives:
             classifier = RandomForestClassifier(
@@ -101,8 +99,6 @@ def fit_ensemble(labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_a
                 maxDepth=cfg.depth, maxBins=cfg.bins, seed=cfg.seed,
             ).fit(scaled)
         return Ensemble(clusters, forest, classifier)
-    finally:
-        labelled.unpersist()
 
 
 def score_ensemble(model: Ensemble, features: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.quantiles import exact_quantiles
+from tidegauge.operators.ml import persisted
 
+SCORE_BINS = 1 << 20
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
 
@@ -52,21 +53,34 @@ def grow_tree(tree: int, points: np.ndarray, seed: int) -> pd.DataFrame:
     return pd.DataFrame(nodes, columns=["tree", "node", "feature", "threshold", "left", "right", "path"])
 
 
-def mean_paths(points: np.ndarray, trees: list[dict[str, np.ndarray]]) -> np.ndarray:
+def flatten(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The forest as arrays; a leaf leads to itself, so that every walk may take the same steps."""
+    nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
+    at = np.arange(len(nodes))
+    roots = np.flatnonzero(nodes["node"] == 0)
+    root_of = roots[np.searchsorted(roots, at, side="right") - 1]
+    leaf = (nodes["feature"] < 0).to_numpy()
+    children = [np.where(leaf, at, nodes[side].to_numpy() + root_of) for side in ("left", "right")]
+    return {
+        "roots": roots,
+        "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
+        "threshold": nodes["threshold"].to_numpy(),
+        "children": np.stack(children, axis=1).ravel(),
+        "path": nodes["path"].to_numpy(),
+    }
+
+
+def mean_paths(points: np.ndarray, forest: dict[str, np.ndarray], steps: int) -> np.ndarray:
     """Mean path length of every point; all points walk down a tree together."""
     total = np.zeros(len(points))
     rows = np.arange(len(points))
-    for tree in trees:
-        at = np.zeros(len(points), dtype=np.int64)
-        while True:
-            feature = tree["feature"][at]
-            inner = feature >= 0
-            if not inner.any():
-                break
-            below = points[rows, np.maximum(feature, 0)] <= tree["threshold"][at]
-            at = np.where(inner, np.where(below, tree["left"][at], tree["right"][at]), at)
-        total += tree["path"][at]
-    return total / len(trees)
+    for root in forest["roots"]:
+        at = np.full(len(points), root)
+        for _ in range(steps):
+            above = points[rows, forest["feature"][at]] > forest["threshold"][at]
+            at = forest["children"][2 * at + above]
+        total += forest["path"][at]
+    return total / len(forest["roots"])
 
 
 @dataclass
@@ -80,19 +94,16 @@ class IsolationForest:
 
     def score(self, features: DataFrame) -> DataFrame:
         """Add `score` in (0, 1], higher for rows that are isolated sooner, and `decision` once an offset is set."""
-        columns, sample = self.columns, self.sample
-        forest = [
-            {c: part[c].to_numpy() for c in ("feature", "threshold", "left", "right", "path")}
-            for _, part in self.nodes.sort_values(["tree", "node"]).groupby("tree")
-        ]
-        shared = features.sparkSession.sparkContext.broadcast(forest)
+        scale = float(average_path(self.sample))
+        steps = int(np.ceil(np.log2(max(self.sample, 2))))
+        shared = features.sparkSession.sparkContext.broadcast(flatten(self.nodes))
 
         @F.pandas_udf("double")
         def isolation_score(*values: pd.Series) -> pd.Series:
             points = np.column_stack([v.to_numpy(dtype=float) for v in values])
-            return pd.Series(np.power(2.0, -mean_paths(points, shared.value) / float(average_path(sample))))
+            return pd.Series(np.power(2.0, -mean_paths(points, shared.value, steps) / scale))
 
-        scored = features.withColumn("score", isolation_score(*[F.col(c).cast("double") for c in columns]))
+        scored = features.withColumn("score", isolation_score(*[F.col(c).cast("double") for c in self.columns]))
         if self.offset is None:
             return scored
         return scored.withColumn("decision", F.lit(self.offset) - F.col("score"))
@@ -129,6 +140,19 @@ def tree_samples(features: DataFrame, keys: list[str], rows: int, trees: int, sa
     return offered.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample).drop("_n")
 
 
+def score_offset(scored: DataFrame, share: float) -> float:
+    """Score that `share` of the rows do not exceed, up to one of SCORE_BINS equal bins of (0, 1].
+
+    Binning makes one pass of the scoring function do; at most SCORE_BINS + 1 rows are ranked.
+    """
+    bins = scored.groupBy(F.floor(F.col("score") * SCORE_BINS).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("score").alias("top")
+    )
+    upto = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = bins.select("top", upto.alias("upto"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    return ranked.filter(F.col("upto") >= F.col("total") * share).agg(F.min("top")).first()[0]
+
+
 def fit_iforest(
     features: DataFrame,
     columns: list[str],
@@ -140,6 +164,11 @@ def fit_iforest(
 ) -> IsolationForest:
     """Grow the forest and set the offset so that `contamination` of the rows score above it."""
     needed = features.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    with persisted(needed) as needed:
+        return _grow(needed, list(columns), keys, trees, sample, contamination, seed)
+
+
+def _grow(needed: DataFrame, columns, keys, trees, sample, contamination, seed) -> IsolationForest:
     rows = needed.count()
     samples = tree_samples(needed, keys, rows, trees, sample, seed)
 
@@ -148,7 +177,6 @@ def fit_iforest(
         return grow_tree(int(ordered["tree"].iloc[0]), ordered[columns].to_numpy(dtype=float), seed)
 
     nodes = samples.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
-    forest = IsolationForest(nodes, list(columns), min(sample, rows))
-    offset = exact_quantiles(forest.score(needed), "score", [1 - contamination]).first()
-    forest.offset = float(offset.value)
+    forest = IsolationForest(nodes, columns, min(sample, rows))
+    forest.offset = score_offset(forest.score(needed), 1 - contamination)
     return forest

@@ -176,9 +176,13 @@ def log_display(logs: DataFrame, n: int = 100) -> DataFrame:
     """The n newest requests, numbered oldest first, with a one-line summary."""
     number = F.row_number().over(Window.orderBy("event_timestamp", "event_id"))
     text = lambda c: F.col(c).cast("string")
+    seconds = F.when(
+        F.col("response_time") < 0.001,
+        F.rtrim(F.col("response_time").cast("decimal(38,18)").cast("string"), F.lit("0")),
+    ).otherwise(text("response_time"))
     info = F.concat(
         F.col("method"), F.lit(" "), F.col("url"), F.lit(" → "), text("status_code"),
-        F.lit(" ("), text("bytes_sent"), F.lit(" bytes, "), text("response_time"), F.lit("s)"),
+        F.lit(" ("), text("bytes_sent"), F.lit(" bytes, "), seconds, F.lit("s)"),
     )
     return latest(logs, n).select(
         number.alias("no"),

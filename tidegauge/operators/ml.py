@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -41,14 +42,34 @@ def z_scores(features: DataFrame, columns=WINDOW_V2_FEATURES, keys=("source_ip",
     return scaled.select(*keys, *[values[i].alias(f"z_{c}") for i, c in enumerate(columns)])
 
 
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep `df` while it is read several times, unless its owner keeps it already."""
+    level = df.storageLevel
+    if level.useMemory or level.useDisk:
+        yield df
+        return
+    df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+def _fit(features: DataFrame, columns, stage) -> PipelineModel:
+    """Scaler and estimator both pass over the features: compute them once."""
+    with persisted(features) as kept:
+        return Pipeline(stages=[*scaling_stages(columns), stage]).fit(kept)
+
+
 def fit_kmeans(features: DataFrame, columns=WINDOW_V1_FEATURES, k: int = CFG.kmeans_k, cfg: ModelConfig = CFG) -> PipelineModel:
     stage = KMeans(featuresCol="features", predictionCol="cluster", k=k, maxIter=cfg.max_iter, seed=cfg.seed)
-    return Pipeline(stages=[*scaling_stages(columns), stage]).fit(features)
+    return _fit(features, columns, stage)
 
 
 def fit_bisecting(features: DataFrame, columns=WINDOW_V1_FEATURES, k: int = 3, cfg: ModelConfig = CFG) -> PipelineModel:
     stage = BisectingKMeans(featuresCol="features", predictionCol="cluster", k=k, maxIter=cfg.max_iter, seed=cfg.seed)
-    return Pipeline(stages=[*scaling_stages(columns), stage]).fit(features)
+    return _fit(features, columns, stage)
 
 
 def split(features: DataFrame, keys=("window_start", "source_ip"), share: int = 80, seed: int = CFG.seed):
@@ -66,24 +87,28 @@ def require_two_classes(features: DataFrame, label: str, cfg: ModelConfig) -> No
         raise ValueError(f"too few examples of one class: {counts.positives} attacks, {counts.negatives} normal")
 
 
+def _fit_labelled(features: DataFrame, columns, stage, label: str, cfg: ModelConfig) -> PipelineModel:
+    with persisted(features) as kept:
+        require_two_classes(kept, label, cfg)
+        return _fit(kept, columns, stage)
+
+
 def fit_random_forest(
     features: DataFrame, columns=WINDOW_V1_FEATURES, label: str = "is_attack", cfg: ModelConfig = CFG
 ) -> PipelineModel:
-    require_two_classes(features, label, cfg)
     stage = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=cfg.trees, maxDepth=cfg.depth, maxBins=cfg.bins, seed=cfg.seed
     )
-    return Pipeline(stages=[*scaling_stages(columns), stage]).fit(features)
+    return _fit_labelled(features, columns, stage, label, cfg)
 
 
 def fit_boosting(
     features: DataFrame, columns=WINDOW_V1_FEATURES, label: str = "is_attack", cfg: ModelConfig = CFG
 ) -> PipelineModel:
-    require_two_classes(features, label, cfg)
     stage = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=cfg.boost_iter, maxDepth=cfg.boost_depth, seed=cfg.seed
     )
-    return Pipeline(stages=[*scaling_stages(columns), stage]).fit(features)
+    return _fit_labelled(features, columns, stage, label, cfg)
 
 
 def attack_probability(column: str = "probability") -> Column:
@@ -139,26 +164,27 @@ def confusion(scored: DataFrame, label: str = "is_attack") -> DataFrame:
 def classification_metrics(table: DataFrame) -> DataFrame:
     """Accuracy, weighted precision and recall and their F1, from a confusion table.
 
-    The table has classes² rows, so each class sums over it directly.
+    Each row counts once for its true class and once for its predicted class.
     """
-    n = F.col("count")
-    hit = F.col("label") == F.col("prediction")
-    classes = table.select(F.col("label").alias("class")).union(table.select("prediction")).distinct()
+    n, none = F.col("count"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+
+    def side(name: str, actual: Column, predicted: Column, tp: Column) -> Column:
+        return F.struct(
+            F.col(name).alias("class"), actual.alias("actual"), predicted.alias("predicted"), tp.alias("tp")
+        )
+
     per_class = (
-        F.broadcast(classes)
-        .join(table, (F.col("class") == F.col("label")) | (F.col("class") == F.col("prediction")))
+        table.select(F.explode(F.array(side("label", n, none, hit), side("prediction", none, n, none))).alias("s"))
+        .select("s.*")
         .groupBy("class")
-        .agg(
-            F.sum(F.when(hit, n).otherwise(0)).alias("tp"),
-            F.sum(F.when(F.col("label") == F.col("class"), n).otherwise(0)).alias("actual"),
-            F.sum(F.when(F.col("prediction") == F.col("class"), n).otherwise(0)).alias("predicted"),
-        )
+        .agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
     )
-    share = F.coalesce(ratio("tp", "predicted"), F.lit(0.0)) * F.col("actual")
+    weighted = F.coalesce(ratio("tp", "predicted"), F.lit(0.0)) * F.col("actual")
     p, r = F.col("weighted_precision"), F.col("weighted_recall")
     return per_class.agg(
         ratio(F.sum("tp"), F.sum("actual")).alias("accuracy"),
-        ratio(F.sum(share), F.sum("actual")).alias("weighted_precision"),
+        ratio(F.sum(weighted), F.sum("actual")).alias("weighted_precision"),
         ratio(F.sum("tp"), F.sum("actual")).alias("weighted_recall"),
     ).withColumn("f1", F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)))
 
@@ -173,16 +199,13 @@ TRAINERS: dict[str, Callable[[DataFrame], PipelineModel]] = {
 
 def train_all(features: DataFrame, trainers=TRAINERS) -> tuple[dict[str, PipelineModel], dict[str, Exception]]:
     """Fit every model over one persisted input; a failing one is reported, not fatal."""
-    features = features.persist()
     models, failures = {}, {}
-    try:
+    with persisted(features) as kept:
         for name, fit in trainers.items():
             try:
-                models[name] = fit(features)
+                models[name] = fit(kept)
             except Exception as error:  # noqa: BLE001
                 failures[name] = error
-    finally:
-        features.unpersist()
     return models, failures
 
 

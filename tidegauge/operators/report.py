@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import ratio
@@ -17,53 +17,57 @@ def critical_sources(stats: DataFrame, min_alerts: int = 5) -> DataFrame:
 def threat_report(store: DataFrame, stats: DataFrame, min_alerts: int = 5) -> DataFrame:
     """The whole report as (section, key, value) rows.
 
-    Everything derives from one small table of counts per (severity, method) and one pass over
-    the per-source statistics.
+    One pass over the store counts per (severity, method); grouping sets over those few rows
+    give the totals, the severities and the methods. The statistics are read once.
     """
     counts = store.groupBy("severity", "detection_method").count()
-    total = F.sum("count")
 
     def of(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("count"))), F.lit(0))
 
-    facts = counts.agg(
-        F.coalesce(total, F.lit(0)).alias("total"),
-        of(F.col("severity").isin("HIGH", "CRITICAL")).alias("strong"),
-        of(F.col("detection_method") == METHOD_WINDOWS).alias("windows"),
-        of(F.col("detection_method") == METHOD_RULES).alias("rules"),
-    ).select(F.struct("*").alias("f"))
-    sources = stats.agg(
-        F.count("source_ip").alias("sources"),
-        F.count_if(F.col("alert_count") >= min_alerts).alias("critical"),
-    )
-    joined = sources.withColumn("f", facts.scalar())
-
-    def stacked(df: DataFrame, rows: list[tuple[str, Column, Column]]) -> DataFrame:
-        items = [
-            F.struct(F.lit(s).alias("section"), k.alias("key"), v.cast("double").alias("value"))
-            for s, k, v in rows
-        ]
-        return df.select(F.explode(F.array(*items)).alias("r")).select("r.*")
-
-    overall = stacked(
-        joined,
-        [
-            ("overall", F.lit("total_alerts"), F.col("f.total")),
-            ("overall", F.lit("unique_sources"), F.col("sources")),
-            ("overall", F.lit("avg_alerts_per_source"), F.col("f.total") / F.greatest("sources", F.lit(1))),
-            ("critical", F.lit("critical_sources"), F.col("critical")),
-            ("recommendation", F.lit("block_critical_sources"), (F.col("critical") > 0).cast("int")),
-            ("recommendation", F.lit("high_severity_rate"), (F.col("f.strong") > F.col("f.total") * 0.3).cast("int")),
-            ("recommendation", F.lit("use_more_detectors"), (F.col("f.windows") < F.col("f.rules") * 0.5).cast("int")),
-        ],
+    severity, method = F.col("severity"), F.col("detection_method")
+    sets = counts.groupingSets([[severity], [method], []], "severity", "detection_method").agg(
+        F.grouping("severity").alias("no_severity"),
+        F.grouping("detection_method").alias("no_method"),
+        F.coalesce(F.sum("count"), F.lit(0)).alias("n"),
+        of(severity.isin("HIGH", "CRITICAL")).alias("strong"),
+        of(method == METHOD_WINDOWS).alias("windows"),
+        of(method == METHOD_RULES).alias("rules"),
     )
+    sources = stats.agg(
+        F.struct(
+            F.count("source_ip").alias("n"),
+            F.count_if(F.col("alert_count") >= min_alerts).alias("critical"),
+        ).alias("s")
+    ).scalar()
+    is_total = (F.col("no_severity") == 1) & (F.col("no_method") == 1)
+    # The window sees the handful of rows of the grouping sets.
+    total = F.max(F.when(is_total, F.col("n"))).over(Window.partitionBy())
+    facts = sets.withColumn("total", total).withColumn("s", sources)
 
-    def shares(section: str, column: str) -> DataFrame:
-        per_key = counts.groupBy(column).agg(F.sum("count").alias("n"))
-        share = ratio("n", F.col("f.total")) * 100
-        return stacked(
-            per_key.withColumn("f", facts.scalar()),
-            [(f"{section}_count", F.col(column), F.col("n")), (f"{section}_pct", F.col(column), share)],
+    def rows(*items: tuple[str, str | Column, Column]) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(section).alias("section"),
+                    (F.lit(key) if isinstance(key, str) else key).alias("key"),
+                    value.cast("double").alias("value"),
+                )
+                for section, key, value in items
+            ]
         )
 
-    return overall.unionByName(shares("severity", "severity")).unionByName(shares("method", "detection_method"))
+    n, share = F.col("n"), ratio("n", "total") * 100
+    overall = rows(
+        ("overall", "total_alerts", n),
+        ("overall", "unique_sources", F.col("s.n")),
+        ("overall", "avg_alerts_per_source", n / F.greatest("s.n", F.lit(1))),
+        ("critical", "critical_sources", F.col("s.critical")),
+        ("recommendation", "block_critical_sources", (F.col("s.critical") > 0).cast("int")),
+        ("recommendation", "high_severity_rate", (F.col("strong") > n * 0.3).cast("int")),
+        ("recommendation", "use_more_detectors", (F.col("windows") < F.col("rules") * 0.5).cast("int")),
+    )
+    report = F.when(is_total, overall).when(
+        F.col("no_severity") == 0, rows(("severity_count", severity, n), ("severity_pct", severity, share))
+    ).otherwise(rows(("method_count", method, n), ("method_pct", method, share)))
+    return facts.select(F.explode(report).alias("r")).select("r.*")

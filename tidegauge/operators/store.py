@@ -193,7 +193,8 @@ def alert_trends(store: DataFrame, by: str = "severity", hours: int = 24) -> Dat
         "hour": F.date_format(F.date_trunc("hour", "alert_ts"), "yyyy-MM-dd HH:mm"),
     }
     counts = store.groupBy(keys[by].alias("key")).count()
-    total = counts.agg(F.sum("count")).scalar()
+    # The window sees one row per severity, method or hour.
+    total = F.sum("count").over(Window.partitionBy())
     trends = counts.withColumn("pct", ratio("count", total) * 100)
     if by == "hour":
         return trends.orderBy(F.desc("key")).limit(hours)

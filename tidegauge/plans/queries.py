@@ -24,7 +24,7 @@ from tidegauge.operators import (
     windows,
 )
 from tidegauge.schema import ML_FEATURES, PARTITION_KEYS, WINDOW_V2_FEATURES, DetectionConfig
-from tidegauge.session import scratch_path, use_rocksdb
+from tidegauge.session import cut_lineage, scratch_path, use_rocksdb
 from tidegauge.sources import sinks
 from tidegauge.sources.events import event_log_stream, event_logs, raw_text_logs
 from tidegauge.sources.logs import storage_listing
@@ -205,10 +205,15 @@ query("trends_hour")(lambda logs: store.alert_trends(alert_store(logs), "hour"))
 query("top_offenders")(lambda logs: store.top_offenders(store.ip_statistics(alert_store(logs))))
 
 
+def stored_once(logs: DataFrame) -> DataFrame:
+    """The alert store as a written table, for reports that read it more than once."""
+    return cut_lineage(alert_store(logs))
+
+
 @query("merged_statistics")
 def merged_statistics(logs: DataFrame) -> DataFrame:
     """Statistics of the first hour brought up to date with the alerts after it."""
-    stored = alert_store(logs)
+    stored = stored_once(logs)
     first = F.col("alert_ts") < F.lit("2024-01-01 01:00:00").cast("timestamp")
     return store.merge_statistics(
         store.ip_statistics(stored.filter(first)), store.ip_statistics(stored.filter(~first))
@@ -217,13 +222,13 @@ def merged_statistics(logs: DataFrame) -> DataFrame:
 
 @query("ip_history")
 def ip_history(logs: DataFrame) -> DataFrame:
-    stored = alert_store(logs)
+    stored = stored_once(logs)
     return store.ip_history(stored, store.ip_statistics(stored), WATCHED_IP)
 
 
 @query("threat_report")
 def threat_report(logs: DataFrame) -> DataFrame:
-    stored = alert_store(logs)
+    stored = stored_once(logs)
     return report.threat_report(stored, store.ip_statistics(stored))
 
 

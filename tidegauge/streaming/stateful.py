@@ -24,9 +24,12 @@ FEATURES = (
 
 
 def trailing_mean(values: np.ndarray, rows: int) -> np.ndarray:
-    """Mean of the last `rows` values up to each position."""
-    padded = np.concatenate([np.full(rows - 1, np.nan), values])
-    return np.nanmean(np.lib.stride_tricks.sliding_window_view(padded, rows), axis=1)
+    """Mean of the last `rows` values up to each position, summed oldest first as Spark's avg does."""
+    padded = np.concatenate([np.zeros(rows - 1), values])
+    total = np.zeros(len(values))
+    for start in range(rows):
+        total = total + padded[start : start + len(values)]
+    return total / np.minimum(np.arange(1, len(values) + 1), rows)
 
 
 class RollingFeatures(StatefulProcessor):
@@ -49,11 +52,12 @@ class RollingFeatures(StatefulProcessor):
         )
         rate = np.arange(1, len(us) + 1) - np.searchsorted(us, us - 60_000_000, side="right")
 
+        before = self.count.get()[0] if self.count.exists() else 0
         first = ~batch["url"].duplicated().to_numpy()
-        first[first] = [not self.urls.containsKey((url,)) for url in batch["url"][first]]
+        if before:
+            first[first] = [not self.urls.containsKey((url,)) for url in batch["url"][first]]
         for url in batch["url"][first]:
             self.urls.updateValue((url,), (True,))
-        before = self.count.get()[0] if self.count.exists() else 0
         self.count.update((int(before + first.sum()),))
         keep = slice(-self.max_rows, None)
         self.recent.put(list(zip(us[keep].tolist(), error[keep].astype(int).tolist(), rt[keep].tolist())))
