@@ -111,7 +111,7 @@ def test_average_path_length():
 
 @pytest.fixture(scope="module")
 def labelled(planted):
-    return windows.window_features_v1(planted, min_rate=1.5, min_error_rate=0.05).cache()
+    return windows.window_features_v1(planted, "1 minute", min_rate=1.5, min_error_rate=0.05).cache()
 
 
 def test_classifiers_and_metrics(labelled):
@@ -156,7 +156,7 @@ def test_clusters_find_the_attack(planted):
     scored = ml.score(ml.fit_kmeans(features, ml.WINDOW_V2_FEATURES, k=3), features).cache()
     attack = {r.cluster for r in scored.filter(ATTACKER).filter("requests_per_minute > 30").collect()}
     assert attack <= {r.cluster for r in ml.anomaly_clusters(scored).collect()}
-    assert -1 <= ml.silhouette(ml.fit_bisecting(features, ml.WINDOW_V2_FEATURES), features) <= 1
+    assert 0 < ml.silhouette(ml.fit_kmeans(features, ml.WINDOW_V2_FEATURES, k=3), features) <= 1
     assert ml.cluster_distribution(scored).agg(F.sum("count")).first()[0] == scored.count()
 
 
@@ -178,3 +178,10 @@ def test_outlier_distance_is_to_the_own_centre(requests):
     centre = model.stages[-1].clusterCenters()[row.cluster]
     assert row.distance == pytest.approx(float(np.linalg.norm(row.features.toArray() - centre)))
     assert len(ML_FEATURES) == 19
+
+
+def test_bisecting_clusters(logs):
+    features = windows.window_features_v1(logs)
+    model = ml.fit_bisecting(features)
+    assert ml.cluster_distribution(ml.score(model, features)).count() == 3
+    assert -1 <= ml.silhouette(model, features) <= 1

@@ -41,12 +41,15 @@ def logs_of(spark, path):
     return normalize_logs(read_log_stream(spark, path, "json", max_per_trigger=1))
 
 
-def run(df, base, mode="append", fmt="parquet"):
+def run(df, base, trigger=ONCE):
     query = (
-        df.writeStream.format(fmt).option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp")
-        .outputMode(mode).trigger(**ONCE).start()
+        df.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp")
+        .trigger(**trigger).start()
     )
-    query.awaitTermination()
+    try:
+        assert query.awaitTermination(90)
+    finally:
+        query.stop()
     return df.sparkSession.read.schema(df.schema).parquet(f"{base}/out")
 
 
@@ -105,7 +108,8 @@ def test_stateful_operators_over_two_runs(spark, feed, tmp_path):
 
 def test_url_ttl_is_accepted(spark, feed, tmp_path):
     path = feed("1", (0, "a", "/1", 200), (1, "a", "/2", 200))
-    found = run(stateful.rolling_stateful(logs_of(spark, path), url_ttl_ms=3_600_000), tmp_path)
+    # Expiry needs processing time, with which an availableNow run would never find itself done.
+    found = run(stateful.rolling_stateful(logs_of(spark, path), url_ttl_ms=3_600_000), tmp_path, {"once": True})
     assert found.agg(F.max("url_diversity")).first()[0] == 2
 
 

@@ -82,7 +82,11 @@ class RollingFeatures(StatefulProcessor):
 
 
 def rolling_stateful(logs: DataFrame, max_rows: int = 100, url_ttl_ms: int | None = None) -> DataFrame:
-    """Streaming twin of `rolling_basic`; `url_ttl_ms` lets URLs fall out of the count."""
+    """Streaming twin of `rolling_basic`.
+
+    `url_ttl_ms` bounds the state: a URL recorded longer ago counts anew. Expiry runs on
+    processing time, so such a query is for continuous triggers, not for availableNow.
+    """
     rows = logs.filter(F.col("event_timestamp").isNotNull()).select(
         "event_id",
         "source_ip",
