@@ -21,11 +21,11 @@ from tidegauge.schema import WINDOW_V1_FEATURES, WINDOW_V2_FEATURES, ModelConfig
 CFG = ModelConfig()
 
 
-def scaling_stages(columns) -> list:
+def scaling_stages(columns, center: bool = True) -> list:
     """Assemble `columns` (rows with a missing value are skipped) and standardise them."""
     return [
         VectorAssembler(inputCols=list(columns), outputCol="raw_features", handleInvalid="skip"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        StandardScaler(inputCol="raw_features", outputCol="features", withMean=center, withStd=True),
     ]
 
 
@@ -56,10 +56,10 @@ def persisted(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def _fit(features: DataFrame, columns, stage) -> PipelineModel:
+def _fit(features: DataFrame, columns, stage, center: bool = True) -> PipelineModel:
     """Scaler and estimator both pass over the features: compute them once."""
     with persisted(features) as kept:
-        return Pipeline(stages=[*scaling_stages(columns), stage]).fit(kept)
+        return Pipeline(stages=[*scaling_stages(columns, center), stage]).fit(kept)
 
 
 def fit_kmeans(features: DataFrame, columns=WINDOW_V1_FEATURES, k: int = CFG.kmeans_k, cfg: ModelConfig = CFG) -> PipelineModel:
@@ -68,8 +68,13 @@ def fit_kmeans(features: DataFrame, columns=WINDOW_V1_FEATURES, k: int = CFG.kme
 
 
 def fit_bisecting(features: DataFrame, columns=WINDOW_V1_FEATURES, k: int = 3, cfg: ModelConfig = CFG) -> PipelineModel:
+    """Hierarchical clustering of scaled but not centred features.
+
+    MLlib splits a cluster by nudging its centre in proportion to the centre's length; centred
+    features have their first centre at the origin, where nothing would ever split.
+    """
     stage = BisectingKMeans(featuresCol="features", predictionCol="cluster", k=k, maxIter=cfg.max_iter, seed=cfg.seed)
-    return _fit(features, columns, stage)
+    return _fit(features, columns, stage, center=False)
 
 
 def split(features: DataFrame, keys=("window_start", "source_ip"), share: int = 80, seed: int = CFG.seed):
