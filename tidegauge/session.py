@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def use_rocksdb(spark: SparkSession) -> None:
     """Stateful processors keep list and map state, which needs this state store."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application.
+
+    Functions that run in workers are pickled by reference, so executors have to be able to import the
+    package even if it is installed on the driver alone.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidegauge-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
