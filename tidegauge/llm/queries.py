@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import exact_dedup, packing, token_files, url_filter
+from tidegauge.llm import exact_dedup, language, packing, token_files, url_filter
 from tidegauge.llm.frames import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query("op4_language_id")
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(table(spark, sf_dir, "documents"))
+
+
 @query("op5_best_fit_packing")
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
