@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import exact_dedup, language, packing, token_files, url_filter
+from tidegauge.llm import exact_dedup, language, ngram_join, packing, token_files, url_filter
 from tidegauge.llm.frames import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,6 +69,11 @@ def _exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op9_ngram_join")
+def _ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 # The tables' markup holds no canonical or refresh links (tests/llm checks), so there are no aliases
 # here; propagation is tested against brute force.
 @query(
