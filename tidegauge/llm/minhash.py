@@ -1,28 +1,19 @@
-"""Word shingles, MinHash signatures and exact verification of colliding texts, for whole batches at once.
-
-Shared by the near-duplicate operators. What collides (a class of equal texts with the buckets it falls in)
-is laid out in units of bounded size, pairs of blocks of one bucket; each unit is verified in one task, and
-a pair is verified in the first bucket that its members share, so it counts once.
-"""
+"""Word shingles, MinHash signatures and exact verification of colliding texts, for whole batches at once."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import written
+from tidegauge.llm.units import LINKS, Unit, linked_rows, per_unit
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Members of one block; a unit holds at most two blocks.
-BLOCK = 256
 #: Shingles that are hashed or compared at a time.
 CHUNK = 1 << 15
 
@@ -104,31 +95,6 @@ def bucket_keys(signature: np.ndarray, depth: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def collisions(classes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(unit, bucket table, cid, side) of classes (cid, keys array<long>) that share a bucket with others.
-
-    Of buckets with exactly the same members only the first is kept. A bucket of more than `block` members is
-    cut into blocks by a hash, and each pair of blocks is a unit; `side` tells the blocks apart.
-    """
-    member = written(classes.select("cid", F.posexplode("keys").alias("table", "bucket")), "buckets")
-    h = F.xxhash64("cid")
-    sums = member.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("table").alias("table"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")
-    )
-    sums = sums.where("n > 1")
-    first = sums.groupBy("n", "x", "y").agg(F.min(F.struct("table", "bucket")).alias("b")).select("n", "b.bucket")
-    held = member.join(first, "bucket").withColumn("blocks", F.ceil(F.col("n") / block))
-    mine = F.pmod(F.xxhash64("cid", F.lit(1)), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    pairs = held.select("bucket", "table", "cid", mine.alias("mine"), other.alias("other"))
-    return pairs.select(
-        F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"),
-        "table",
-        "cid",
-        F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
-    )
-
-
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets, each an array of distinct numbers."""
     size = np.array([len(s) for s in sets])
@@ -150,21 +116,6 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node that it reaches over the edges a-b."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        before = root.copy()
-        np.minimum.at(root, root[a], low)
-        np.minimum.at(root, root[b], low)
-        root = root[root]
-        if (root == before).all():
-            break
-    return root
-
-
-LINKS = "cid long, links long, root long, seen array<long>"
 #: Bins of the similarities of the links found, from 0 to 1.
 BINS = 200
 
@@ -173,43 +124,34 @@ def verified(units: DataFrame, payload: DataFrame, threshold: float) -> DataFram
     """Verified links, counted: (cid, links, root, seen), several rows a class.
 
     `units` as from collisions(); `payload` has for each cid the copies of its text, its set of shingles
-    (bytes of 64-bit numbers), `keys` (its bucket in each table) and `prior` (buckets in which its pairs were
-    verified before, may be empty). `links` counts linked texts with their copies, `root` is the smallest cid
-    linked with it in the unit. `seen` has the links of the unit by similarity, on one of its rows.
+    (bytes of 64-bit numbers), `keys` (bytes: its bucket in each table) and `prior` (bytes: buckets in which
+    its pairs were verified before, may be empty). A pair counts in the first table in which it shares a
+    bucket. `links` counts linked texts with their copies, `root` is the smallest cid linked with it in the
+    unit. `seen` has the links of the unit by similarity, on one of its rows.
     """
 
-    def check(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("cid")
-        cid, side, copies = (rows[c].to_numpy() for c in ("cid", "side", "copies"))
-        sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
-        keys = np.stack([np.frombuffer(k, np.int64) for k in rows["keys"]])
-        prior = np.stack([np.frombuffer(k, np.int64) for k in rows["prior"]])
-        n, table = len(cid), int(rows["table"].iloc[0])
-        todo = np.triu(np.ones((n, n), bool), 1)
-        todo &= (side[:, None] == 2) | (side[:, None] != side[None, :])
-        for t in range(table):
+    def check(unit: Unit) -> dict[str, list]:
+        sets = [np.frombuffer(s, np.uint64) for s in unit["shingles"]]
+        keys = np.stack([np.frombuffer(k, np.int64) for k in unit["keys"]])
+        prior = np.stack([np.frombuffer(k, np.int64) for k in unit["prior"]])
+        todo = unit.pairs()
+        for t in range(int(unit["table"][0])):
             todo &= keys[:, None, t] != keys[None, :, t]
         for t in range(prior.shape[1]):
             todo &= prior[:, None, t] != prior[None, :, t]
+        if not todo.any():
+            return {}
         size = np.array([len(s) for s in sets], np.float64)
         both = overlaps(sets).astype(np.float64)
         alike = both / np.maximum(size[:, None] + size[None, :] - both, 1)
-        linked = todo & (alike >= threshold)  # an empty set is like nothing
-        a, b = np.nonzero(linked)
-        links = np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)
-        root = cid[roots(n, a, b)]
-        hit = np.flatnonzero(links > 0)
-        seen = np.bincount((alike[a, b] * BINS).astype(int), minlength=BINS + 1)
-        return pd.DataFrame(
-            {
-                "cid": cid[hit],
-                "links": links[hit].astype(np.int64),
-                "root": root[hit],
-                "seen": pd.Series([seen if i == 0 else None for i in range(len(hit))], dtype=object),
-            }
-        )
-
-    return units.join(payload, "cid").groupBy("unit").applyInPandas(check, LINKS)
+        a, b = np.nonzero(todo & (alike >= threshold))
+        out = linked_rows(unit, a, b)
+        if out:
+            seen = np.bincount((alike[a, b] * BINS).astype(int), minlength=BINS + 1)
+            out["seen"] = [seen.tolist()] + [None] * (len(out["cid"]) - 1)
+        return out
+
+    return per_unit(units.join(payload, "cid"), check, f"{LINKS}, seen array<long>")
 
 
 def slices_of(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected_components
 from tidegauge.llm.frames import column, written
-from tidegauge.llm.minhash import BINS, THRESHOLD, bucket_keys, collisions, shingles, signatures, slices_of, verified
+from tidegauge.llm.minhash import BINS, THRESHOLD, bucket_keys, shingles, signatures, slices_of, verified
+from tidegauge.llm.units import collisions
 
 TREES = 16
 DEPTH = 8
