@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import embedding_dedup, exact_dedup, language, ngram_join, packing, token_files, url_filter
+from tidegauge.llm import embedding_dedup, exact_dedup, language, ngram_join, packing, substring_dedup, token_files, url_filter
 from tidegauge.llm.frames import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +43,11 @@ def _embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op2_substring_dedup")
+def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op4_language_id")
 def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_languages(table(spark, sf_dir, "documents"))
