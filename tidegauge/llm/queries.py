@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import embedding_dedup, exact_dedup, language, ngram_join, packing, substring_dedup, token_files, url_filter
+from tidegauge.llm import embedding_dedup, exact_dedup, language, mixing, ngram_join, packing, substring_dedup, token_files, url_filter
 from tidegauge.llm.frames import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: Weights of the domains of `labels` in the mix. The marks are noisy: every text has some part in `toxic`.
+TARGETS = {"good": 0.85, "poor": 0.035, "toxic": 0.115}
+
+
 def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
@@ -64,6 +68,12 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query("op7_source_mixing")
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domains = mixing.label_domains(table(spark, sf_dir, "labels"))
+    return mixing.document_rates(table(spark, sf_dir, "documents"), domains, TARGETS)
+
+
 @query(
     "op8_exact_dedup",
     """
