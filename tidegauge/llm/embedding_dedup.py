@@ -168,7 +168,7 @@ def near_duplicate_vectors(
     if pivots is None:
         pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(4 * math.sqrt(classes.count()))))
     index = written(_indexed(classes, choose_pivots(classes, pivots), nearest, shared), "index")
-    units = collisions(index, tables=False)
+    units = collisions(index.select("cid", F.lit(0).alias("table"), F.explode("keys").alias("bucket")))
     payload = classes.select("cid", "copies", "unit_vector").join(index.select("cid", "near"), "cid")
 
     def check(unit: Unit) -> dict[str, list]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +14,8 @@ from tidegauge.llm.units import LINKS, Unit, linked_rows, per_unit
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Shingles that are hashed or compared at a time.
-CHUNK = 1 << 15
+#: Shingles that are hashed at a time: what fits a processor's cache.
+CHUNK = 1 << 10
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
@@ -120,20 +120,19 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 BINS = 200
 
 
-def verified(units: DataFrame, payload: DataFrame, threshold: float) -> DataFrame:
+def verified(units: DataFrame, payload: DataFrame, threshold: float, buckets_of: Callable) -> DataFrame:
     """Verified links, counted: (cid, links, root, seen), several rows a class.
 
     `units` as from collisions(); `payload` has for each cid the copies of its text, its set of shingles
-    (bytes of 64-bit numbers), `keys` (bytes: its bucket in each table) and `prior` (bytes: buckets in which
-    its pairs were verified before, may be empty). A pair counts in the first table in which it shares a
-    bucket. `links` counts linked texts with their copies, `root` is the smallest cid linked with it in the
-    unit. `seen` has the links of the unit by similarity, on one of its rows.
+    (bytes of 64-bit numbers) and what `buckets_of(unit)` needs for two arrays: the members' buckets by
+    table, and those in which their pairs were verified before, if any. A pair counts in the first table in
+    which it shares a bucket. `links` counts linked texts with their copies, `root` is the smallest cid linked
+    with it in the unit. `seen` has the links of the unit by similarity, on one of its rows.
     """
 
     def check(unit: Unit) -> dict[str, list]:
         sets = [np.frombuffer(s, np.uint64) for s in unit["shingles"]]
-        keys = np.stack([np.frombuffer(k, np.int64) for k in unit["keys"]])
-        prior = np.stack([np.frombuffer(k, np.int64) for k in unit["prior"]])
+        keys, prior = buckets_of(unit)
         todo = unit.pairs()
         for t in range(int(unit["table"][0])):
             todo &= keys[:, None, t] != keys[None, :, t]
@@ -154,6 +153,16 @@ def verified(units: DataFrame, payload: DataFrame, threshold: float) -> DataFram
     return per_unit(units.join(payload, "cid"), check, f"{LINKS}, seen array<long>")
 
 
+def bucket_rows(cid: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """(cid, table, bucket), a row for each table of each text."""
+    tables = keys.shape[1]
+    columns = [pa.array(np.repeat(cid, tables)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(cid))), pa.array(keys.reshape(-1))]
+    return pa.record_batch(columns, names=["cid", "table", "bucket"])
+
+
+BUCKETS = "cid long, table int, bucket long"
+
+
 def slices_of(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Parts of the batches with a bounded amount of text."""
     from tidegauge.llm.tokens import slices

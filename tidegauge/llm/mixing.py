@@ -44,10 +44,15 @@ def _feature(word: Column) -> Column:
     return F.pmod(F.xxhash64(named), F.lit(BUCKETS)).cast("int")
 
 
-def document_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text_key, tokens (words of the whole text) and features (buckets of its distinct words), written."""
+def document_features(docs: DataFrame, id_col: str, text_col: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """id, text_key, tokens (words of the whole text), features (buckets of its distinct words) and `more`; written."""
     text = column(docs, text_col)
-    cut = docs.select(column(docs, id_col).alias("id"), F.xxhash64(text).alias("text_key"), _words(text).alias("words"))
+    cut = docs.select(
+        column(docs, id_col).alias("id"),
+        F.xxhash64(text).alias("text_key"),
+        _words(text).alias("words"),
+        *[c.alias(name) for name, c in (more or {}).items()],
+    )
     blank = (F.size("words") == 1) & (F.col("words")[0] == "")
     slim = cut.select(
         "id",
@@ -56,6 +61,7 @@ def document_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.when(blank, F.array().cast("array<int>"))
         .otherwise(F.transform(F.array_distinct("words"), _feature))
         .alias("features"),
+        *(more or {}),
     )
     return written(slim, "features")
 

@@ -18,11 +18,21 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected_components
 from tidegauge.llm.frames import column, written
-from tidegauge.llm.minhash import BINS, THRESHOLD, bucket_keys, shingles, signatures, slices_of, verified
-from tidegauge.llm.units import collisions
+from tidegauge.llm.minhash import (
+    BINS,
+    BUCKETS,
+    THRESHOLD,
+    bucket_keys,
+    bucket_rows,
+    shingles,
+    signatures,
+    slices_of,
+    verified,
+)
+from tidegauge.llm.units import Unit, collisions
 
 TREES = 16
-DEPTH = 8
+DEPTH = 7
 #: At this depth a pair at the threshold itself is met with probability 0.9985.
 LEAST_DEPTH = 5
 RECALL = 0.995
@@ -39,7 +49,8 @@ def _signed(rows: DataFrame, trees: int, depth: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices_of(batches, "text"):
             hashes, offsets = shingles(texts)
-            signed = signatures(hashes, offsets, trees * depth)
+            # 16 bits of each value do to tell prefixes apart; who collides by them is verified.
+            signed = signatures(hashes, offsets, trees * depth).astype(np.uint16)
             words = np.diff(offsets) > 0
             data = [s.tobytes() if w else None for s, w in zip(signed, words, strict=True)]
             yield pa.record_batch([part.column(0), part.column(1), pa.array(data, pa.binary())], names=["id", "digest", "signature"])
@@ -49,58 +60,54 @@ def _signed(rows: DataFrame, trees: int, depth: int) -> DataFrame:
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """cid and set of shingles of each (cid, text)."""
+    """cid, copies, signature and set of shingles of each (cid, copies, signature, text)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices_of(batches, "text"):
             hashes, offsets = shingles(texts)
             data = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.record_batch([part.column(0), pa.array(data, pa.binary())], names=["cid", "shingles"])
+            yield pa.record_batch([*part.columns[:3], pa.array(data, pa.binary())], names=["cid", "copies", "signature", "shingles"])
 
-    return rows.select("cid", "text").mapInArrow(gather, "cid long, shingles binary")
+    return rows.select("cid", "copies", "signature", "text").mapInArrow(gather, "cid long, copies long, signature binary, shingles binary")
 
 
-def _keyed(classes: DataFrame, trees: int, depth: int, now: int, before: int | None) -> DataFrame:
-    """cid and its buckets at depth `now` (array and bytes) and at depth `before` (bytes, empty for None)."""
+def _prefixes(signed: list[bytes], trees: int, depth: int, now: int) -> np.ndarray:
+    signature = np.stack([np.frombuffer(s, np.uint16) for s in signed]).reshape(-1, trees, depth)
+    return bucket_keys(signature, now)
 
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _buckets(classes: DataFrame, trees: int, depth: int, now: int) -> DataFrame:
+    """The tries' nodes at depth `now` that each class (cid, signature) stands under."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            signature = np.stack([np.frombuffer(s, np.uint32) for s in batch.column(1).to_pylist()]).reshape(-1, trees, depth)
-            keys = bucket_keys(signature, now)
-            prior = bucket_keys(signature, before) if before else keys[:, :0]
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array(list(keys), pa.list_(pa.int64())),
-                    pa.array([k.tobytes() for k in keys], pa.binary()),
-                    pa.array([k.tobytes() for k in prior], pa.binary()),
-                ],
-                names=["cid", "keys", "key_bytes", "prior"],
-            )
-
-    return classes.select("cid", "signature").mapInArrow(key, "cid long, keys array<long>, key_bytes binary, prior binary")
+            if len(batch):
+                yield bucket_rows(batch.column(0).to_numpy(), _prefixes(batch.column(1).to_pylist(), trees, depth, now))
+
+    return classes.select("cid", "signature").mapInArrow(spread, BUCKETS)
 
 
 def _links(docs: DataFrame, classes: DataFrame, threshold: float, recall: float, trees: int, depth: int, least: int) -> list[DataFrame]:
     """Tables of verified links, one for each depth that was needed."""
     worded = classes.where("signature is not null")
+    # Whoever meets at any depth meets at the least one: their sets of shingles are made once.
+    last = written(collisions(_buckets(worded, trees, depth, least)), "units")
+    needed = last.select("cid").distinct().join(classes, "cid")
+    texts = docs.join(
+        needed.select("cid", "copies", "signature", F.col("id").alias("wanted"), F.col("digest").alias("sought")),
+        F.col("id").eqNullSafe(F.col("wanted")) & (F.col("digest") == F.col("sought")),
+    )
+    payload = written(_sets(texts).dropDuplicates(["cid"]), "sets")
     found, seen = [], np.zeros(BINS + 1, np.int64)
     similarity = np.maximum(np.arange(BINS + 1) / BINS, threshold)
     for now in range(depth, least - 1, -1):
-        keyed = written(_keyed(worded, trees, depth, now, now + 1 if now < depth else None), "keys")
-        units = written(collisions(keyed), "units")
-        needed = units.select("cid").distinct().join(classes, "cid")
-        texts = docs.join(
-            needed.select("cid", F.col("id").alias("wanted"), F.col("digest").alias("sought")),
-            F.col("id").eqNullSafe(F.col("wanted")) & (F.col("digest") == F.col("sought")),
-        )
-        sets = _sets(texts.select("cid", "text")).dropDuplicates(["cid"])
-        payload = sets.join(needed.select("cid", "copies"), "cid").join(
-            keyed.select("cid", F.col("key_bytes").alias("keys"), "prior"), "cid"
-        )
-        part = written(verified(units, payload, threshold), "links")
+
+        def buckets_of(unit: Unit, now: int = now) -> tuple[np.ndarray, np.ndarray]:
+            keys = _prefixes(unit["signature"], trees, depth, now)
+            return keys, _prefixes(unit["signature"], trees, depth, now + 1) if now < depth else keys[:, :0]
+
+        units = last if now == least else written(collisions(_buckets(payload, trees, depth, now)), "units")
+        part = written(verified(units, payload, threshold, buckets_of), "links")
         found.append(part)
         bins = part.select(F.posexplode("seen").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n"))
         for row in bins.collect():  # a row per bin

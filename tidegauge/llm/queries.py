@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import embedding_dedup, exact_dedup, language, mixing, ngram_join, packing, substring_dedup, token_files, url_filter
+from tidegauge.llm import embedding_dedup, exact_dedup, language, mixing, ngram_join, packing, quality, substring_dedup, token_files, url_filter
 from tidegauge.llm.frames import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,6 +52,12 @@ def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@query("op3_quality_classifier")
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = quality.good_labels(table(spark, sf_dir, "labels"))
+    return quality.score_quality(table(spark, sf_dir, "documents"), labels)
+
+
 @query("op4_language_id")
 def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_languages(table(spark, sf_dir, "documents"))

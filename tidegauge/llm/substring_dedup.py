@@ -19,8 +19,18 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected_components
 from tidegauge.llm.frames import column, fresh, written
-from tidegauge.llm.minhash import SHINGLE, THRESHOLD, bucket_keys, shingles, signatures, slices_of, verified
-from tidegauge.llm.units import collisions
+from tidegauge.llm.minhash import (
+    BUCKETS,
+    SHINGLE,
+    THRESHOLD,
+    bucket_keys,
+    bucket_rows,
+    shingles,
+    signatures,
+    slices_of,
+    verified,
+)
+from tidegauge.llm.units import Unit, collisions
 
 LEAST_WORDS = 25
 RECALL = 0.99
@@ -108,15 +118,18 @@ def _sets(rows: DataFrame, least_words: int) -> DataFrame:
     return rows.select("text", "wanted").mapInArrow(gather, "digest binary, shingles binary")
 
 
-def _unpacked(classes: DataFrame) -> DataFrame:
-    """cid and keys as an array of numbers."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buckets(classes: DataFrame) -> DataFrame:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.frombuffer(k, np.int64) for k in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["cid", "keys"])
+            if len(batch):
+                yield bucket_rows(batch.column(0).to_numpy(), np.stack([np.frombuffer(k, np.int64) for k in batch.column(1).to_pylist()]))
+
+    return classes.select("cid", "keys").mapInArrow(spread, BUCKETS)
+
 
-    return classes.select("cid", "keys").mapInArrow(unpack, "cid long, keys array<long>")
+def _keys_of(unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.stack([np.frombuffer(k, np.int64) for k in unit["keys"]])
+    return keys, keys[:, :0]
 
 
 def repeated_passages(
@@ -144,7 +157,7 @@ def repeated_passages(
         F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first(F.struct("id", "text_key")).alias("at")
     )
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    units = written(collisions(_unpacked(classes)), "units")
+    units = written(collisions(_buckets(classes)), "units")
     needed = units.select("cid").distinct().join(classes.select("cid", "digest", "copies", "keys", "at"), "cid")
     wanted = needed.groupBy("at.id", "at.text_key").agg(F.collect_set("digest").alias("wanted"))
     texts = rows.join(
@@ -152,8 +165,8 @@ def repeated_passages(
         F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")),
     )
     sets = _sets(texts, least_words).dropDuplicates(["digest"])
-    payload = needed.join(sets, "digest").select("cid", "copies", "keys", "shingles", F.lit(b"").alias("prior"))
-    links = written(verified(units, payload, threshold), "links")
+    payload = needed.join(sets, "digest").select("cid", "copies", "keys", "shingles")
+    links = written(verified(units, payload, threshold, _keys_of), "links")
     group = connected_components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     named = (
         classes.join(group.select(F.col("node").alias("cid"), "component"), "cid", "left")

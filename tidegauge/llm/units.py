@@ -22,16 +22,14 @@ BLOCK = 256
 LINKS = "cid long, links long, root long"
 
 
-def collisions(classes: DataFrame, tables: bool = True, block: int = BLOCK) -> DataFrame:
-    """(unit, table, bucket, cid, side) of classes (cid, keys array<long>) that share a bucket with others.
+def collisions(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(unit, table, bucket, cid, side) of the members (cid, table, bucket) that share a bucket with others.
 
-    With `tables` the position in `keys` is the table, else all keys are of table 0. Of buckets with exactly
-    the same members only the first is kept, by table and then by name. A bucket of more than `block` members is
-    cut into blocks by a hash, and each pair of blocks is a unit; `side` tells the blocks apart.
+    Of buckets with exactly the same members only the first is kept, by table and then by name. A bucket of
+    more than `block` members is cut into blocks by a hash, and each pair of blocks is a unit; `side` tells the
+    blocks apart.
     """
-    keys = F.posexplode("keys").alias("table", "bucket")
-    member = classes.select("cid", keys).select("cid", F.col("table") if tables else F.lit(0).alias("table"), "bucket")
-    member = written(member, "buckets")
+    member = written(members, "buckets")
     h = F.xxhash64("cid")
     sums = member.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("table").alias("table"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")
