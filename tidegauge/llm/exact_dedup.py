@@ -12,7 +12,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column, kept_rows, written
 
 #: Counters of the Misra-Gries summary, and the digests that it may report: the bound of the broadcast.
 COUNTERS = 8192
@@ -97,18 +97,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Same rules as `exact_groups`. Rows that agree in id and text but differ elsewhere: the one whose
     columns, as JSON text, come first stays.
     """
-    found = exact_groups(docs, id_col, text_col, **params)
-    gone = found.where("not kept").select("doc_id", "text_sha256", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("twin"))
-    gone = gone.groupBy("doc_id", "text_sha256").agg(F.max("twin").alias("twin"))
-    rows = docs.select(
-        F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("row"),
-        column(docs, id_col).alias("_id"),
-        F.sha2(fold_ascii(column(docs, text_col)), 256).alias("_digest"),
-    )
-    marked = rows.join(
-        gone, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_digest") == F.col("text_sha256")), "left"
-    )
-    first = Window.partitionBy("_id", "_digest").orderBy(F.to_json("row"))
-    stay = marked.where("text_sha256 is null").select("row")
-    twins = marked.where("twin").withColumn("_n", F.row_number().over(first)).where("_n = 1").select("row")
-    return stay.union(twins).select("row.*")
+    found = exact_groups(docs, id_col, text_col, **params).select("doc_id", "text_sha256", "kept")
+    keys = {"doc_id": column(docs, id_col), "text_sha256": F.sha2(fold_ascii(column(docs, text_col)), 256)}
+    return kept_rows(docs, keys, found)

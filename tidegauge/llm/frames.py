@@ -39,3 +39,23 @@ def fingerprint(df: DataFrame) -> tuple[int, int]:
     """Row count and an order-free hash of all rows."""
     row = df.agg(F.count("*"), F.bit_xor(F.xxhash64(*[column(df, c) for c in df.columns]))).first()
     return row[0], row[1] or 0
+
+
+def kept_rows(docs: DataFrame, keys: dict[str, Column], decided: DataFrame) -> DataFrame:
+    """The rows of `docs`, with their own columns, that `decided` keeps.
+
+    `keys` are expressions over `docs` that tell documents apart; `decided` has a row with the same keys and a
+    boolean `kept` for each row of `docs`. Of rows with equal keys that are kept once, the one stays whose columns come
+    first as JSON text. Only keys with rows to drop are joined.
+    """
+    names = list(keys)
+    marks = decided.groupBy(*names).agg(F.max("kept").alias("some"), F.count("*").alias("n")).where("not some or n > 1")
+    marks = marks.select(*[F.col(k).alias(f"_{k}") for k in names], "some")
+    row = F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("row")
+    rows = docs.select(row, *[c.alias(k) for k, c in keys.items()])
+    same = F.lit(True)
+    for k in names:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    joined = rows.join(marks, same, "left")
+    twins = joined.where("some").groupBy(*names).agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return joined.where("some is null").select("row").union(twins.select("row")).select("row.*")

@@ -13,11 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected_components
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column, kept_rows, written
 from tidegauge.llm.minhash import (
     BINS,
     BUCKETS,
@@ -138,8 +138,26 @@ def near_duplicates(
     words are one shingle. Null ids take part; a group of null ids only has a null class_id. Repeated rows are
     copies. Texts are read whole. Further columns are ignored. An empty table gives no rows.
     """
-    text = F.coalesce(column(docs, text_col), F.lit(""))
-    rows = docs.select(column(docs, id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.alias("text"))
+    found = _joined(docs, id_col, text_col, threshold, recall, trees, depth, least_depth)
+    return found.select(F.col("id").alias("doc_id"), "text_class", "class_rows", "n_links", "class_id", "kept")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """The rows of `docs`, with their own columns, of which one stays for each class of `near_duplicates`."""
+    defaults = {"threshold": THRESHOLD, "recall": RECALL, "trees": TREES, "depth": DEPTH, "least_depth": LEAST_DEPTH}
+    found = _joined(docs, id_col, text_col, **defaults | params)
+    keys = {"id": column(docs, id_col), "digest": _digest(column(docs, text_col))}
+    return kept_rows(docs, keys, found.select("id", "digest", "kept"))
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, threshold: float, recall: float, trees: int, depth: int, least_depth: int) -> DataFrame:
+    """What near_duplicates returns, with id and digest of each row."""
+    text = column(docs, text_col)
+    rows = docs.select(column(docs, id_col).alias("id"), _digest(text).alias("digest"), F.coalesce(text, F.lit("")).alias("text"))
     signed = written(_signed(rows, trees, depth).withColumn("rid", F.monotonically_increasing_id()), "signed")
     classes = signed.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -168,6 +186,7 @@ def near_duplicates(
     out = joined.select(
         "rid",
         "id",
+        "digest",
         F.col("cid").alias("text_class"),
         F.col("copies").alias("class_rows"),
         F.when(F.col("worded"), F.col("links") + F.col("copies") - 1).otherwise(0).alias("n_links"),
@@ -182,11 +201,5 @@ def near_duplicates(
         .agg(F.min("rid").alias("first"))
         .select(F.col("first").alias("rid"), F.lit(True).alias("is_first"))
     )
-    return out.join(first, "rid", "left").select(
-        F.col("id").alias("doc_id"),
-        "text_class",
-        "class_rows",
-        "n_links",
-        "class_id",
-        (~F.col("worded") | F.coalesce("is_first", F.lit(False))).alias("kept"),
-    )
+    kept = ~F.col("worded") | F.coalesce("is_first", F.lit(False))
+    return out.join(first, "rid", "left").withColumn("kept", kept)
