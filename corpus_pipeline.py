@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm import exact_dedup, language, mixing, ngram_join, packing
 from tidegauge.llm.frames import table, written
-from tidegauge.llm.queries import TARGETS, tokenizer_path
+from tidegauge.llm.queries import BUDGET, TARGETS, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,7 +30,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the rates say that bring good, poor and toxic tokens to their target weights."""
-    return mixing.mixed_documents(docs, mixing.label_domains(table(spark, sf_dir, "labels")), TARGETS)
+    domains = mixing.label_domains(table(spark, sf_dir, "labels"))
+    return mixing.mixed_documents(docs, domains, TARGETS, budget=BUDGET)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,11 @@ def kept_rows(docs: DataFrame, keys: dict[str, Column], decided: DataFrame) -> D
     joined = rows.join(marks, same, "left")
     twins = joined.where("some").groupBy(*names).agg(F.min_by("row", F.to_json("row")).alias("row"))
     return joined.where("some is null").select("row").union(twins.select("row")).select("row.*")
+
+
+def share_of(rows: DataFrame, wanted: int, *keys: str) -> DataFrame:
+    """About `wanted` of the rows, by a hash of their keys; all if they are no more."""
+    have = rows.count()
+    if have <= wanted:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(*keys, F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * (wanted / have)))

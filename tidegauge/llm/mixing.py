@@ -16,10 +16,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column, share_of, written
 
 #: Hashed features, at most so many rows of the classifier are broadcast.
 BUCKETS = 1 << 17
+#: Labelled documents that are fitted on, about; their ids are broadcast.
+FIT_ROWS = 50_000
 #: A feature counts if so many labelled documents have it and its domains differ by so much (chi-square).
 LEAST_DOCS, LEAST_CHI2 = 10, 16.0
 TEMPERATURES = (1.0, 0.7, 0.5, 0.35, 0.25, 0.18, 0.12, 0.08, 0.05, 0.03)
@@ -93,15 +95,20 @@ class Classifier:
         return [p / total for p in parts]
 
 
-def fit_classifier(features: DataFrame, labelled: DataFrame, id_col: str = "doc_id", domain_col: str = "domain") -> Classifier:
-    """Fit on all rows of `labelled` (id, domain) that have features; a quarter by hash calibrates.
+def fit_classifier(
+    features: DataFrame, labelled: DataFrame, id_col: str = "doc_id", domain_col: str = "domain", fit_rows: int = FIT_ROWS
+) -> Classifier:
+    """Fit on the rows of `labelled` (id, domain) that have features, or a hash sample of about `fit_rows`.
+
+    A quarter of them, by a hash of the id, calibrates.
 
     Null ids and domains are left out; of several domains of one id the first in order counts. Without any
     labelled rows there is one domain, `unknown`.
     """
     known = labelled.select(column(labelled, id_col).alias("id"), column(labelled, domain_col).cast("string").alias("domain"))
     known = known.where("id is not null and domain is not null").groupBy("id").agg(F.min("domain").alias("domain"))
-    rows = written(features.join(known, "id").select("id", "domain", "features"), "labelled")
+    known = share_of(written(known, "known"), fit_rows, "id")
+    rows = written(features.join(F.broadcast(known), "id").select("id", "domain", "features"), "labelled")
     held = F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2
     sizes = rows.where(~held).groupBy("domain").count().orderBy("domain").limit(MOST_DOMAINS + 1).collect()
     if len(sizes) > MOST_DOMAINS:
@@ -190,10 +197,12 @@ def document_rates(
     text_col: str = "text",
     label_id_col: str = "doc_id",
     domain_col: str = "domain",
+    budget: float = 1.0,
 ) -> DataFrame:
     """One row per row: doc_id, text_key, tokens, p_<domain> of each domain, rate, copies.
 
-    `targets` are weights of domains, missing ones 0; all tokens of the mix together are to be as many as now.
+    `targets` are weights of domains, missing ones 0; all tokens of the mix together are to be `budget` times
+    those now. A budget above 1 keeps documents of a domain whose weight is to grow in the mix at least once.
     Expected tokens of a domain are the sum of tokens x posterior x rate. `copies` is the rate rounded up or
     down by a hash of the document, so that it is right on average and the same in every run. Null, empty and
     blank texts have no tokens and get the posteriors that the priors give. Null ids and repeated rows are
@@ -214,7 +223,7 @@ def document_rates(
     q = [f"q{i}" for i in range(len(names))]
     cells = gridded.groupBy(*q).agg(F.sum("tokens").alias("tokens"))
     total = float(gridded.agg(F.sum("tokens")).first()[0] or 0)
-    rates = fit_rates(cells, names, targets, total).select(*q, "rate")
+    rates = fit_rates(cells, names, targets, total * budget).select(*q, "rate")
     small = rates.count() <= BROADCAST_CELLS
     out = gridded.join(F.broadcast(rates) if small else rates, q)
     spot = F.pmod(F.xxhash64("id", "text_key"), F.lit(1 << 30)) / (1 << 30)

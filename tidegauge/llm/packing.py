@@ -2,9 +2,9 @@
 
 Pieces are dealt to groups of bounded size by a hash, and each group is packed by best-fit decreasing.
 Dual-feasible functions give a lower bound on the bins of each group and of all pieces: a group that meets
-its own is certified. While the whole is above its bound, the bins with gaps (all bins of groups that are not
-certified that are not full, and the open bins of the others) give back their pieces, which are dealt to new,
-fewer groups and packed again; the new bins replace the old ones if they are fewer.
+its own is certified. While the whole is above its bound, bins with gaps (in certified groups only those with
+large ones) give back their pieces, which are dealt to new, fewer groups and packed again; the new bins
+replace the old ones if they are fewer. Rounds begin with the largest gaps and go on to smaller ones.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from tidegauge.llm.tokens import documents_ids
 CAPACITY = 4096
 #: Pieces of one group at most on average; what one task holds in memory, some 10 MB.
 GROUP_PIECES = 100_000
-ROUNDS = 5
+#: Gaps, as parts of a sequence, over which bins are packed again in each round.
+GAPS = (1 / 4, 1 / 16, 1 / 64, 0.0)
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int) -> DataFrame:
@@ -119,7 +120,7 @@ def _bins(packed: DataFrame) -> int:
     return packed.where("offset = 0").count()
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, gaps: tuple[float, ...] = GAPS) -> DataFrame:
     """(rid, sequence_id, offset) of pieces (rid long, length from 1 to capacity)."""
     full = pieces.where(F.col("length") == capacity).select(
         "rid", (F.lit(0x7F << 56) + F.col("rid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
@@ -130,16 +131,17 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     least = lower_bound(sizes["length"].to_numpy(), sizes["count"].to_numpy(), capacity)
     now = written(_packed(rest, max(1, -(-total // group_pieces)), 0, capacity), "packed")
     bins = _bins(now)
-    for turn in range(1, rounds + 1):
+    for turn, part in enumerate(gaps, 1):
         if bins <= least:
             break
-        gaps = now.where("gap > 0")
-        many, before = gaps.count(), _bins(gaps)
-        again = written(_packed(gaps, max(1, -(-many // group_pieces)), turn, capacity), "repacked")
+        # A certified group cannot use fewer bins for its pieces; its small gaps are of no use to others.
+        wide = F.col("gap") > F.when(F.col("certified"), max(part, gaps[0]) * capacity).otherwise(part * capacity)
+        back = now.where(wide)
+        many, before = back.count(), _bins(back)
+        again = written(_packed(back, max(1, -(-many // group_pieces)), turn, capacity), "repacked")
         after = _bins(again)
-        if after >= before:
-            break
-        now, bins = written(now.where("gap = 0").union(again), "packed"), bins - before + after
+        if after < before:
+            now, bins = written(now.where(~wide).union(again), "packed"), bins - before + after
     return full.union(now.select("rid", "sequence_id", "offset"))
 
 
@@ -150,7 +152,7 @@ def pack_documents(
     text_col: str = "text",
     capacity: int = CAPACITY,
     group_pieces: int = GROUP_PIECES,
-    rounds: int = ROUNDS,
+    gaps: tuple[float, ...] = GAPS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -160,5 +162,5 @@ def pack_documents(
     """
     pieces = tokenized_pieces(docs, tokenizer, id_col, text_col, capacity)
     pieces = written(pieces.withColumn("rid", F.monotonically_increasing_id()), "pieces")
-    placed = pack_pieces(pieces.select("rid", "length"), capacity, group_pieces, rounds)
+    placed = pack_pieces(pieces.select("rid", "length"), capacity, group_pieces, gaps)
     return pieces.join(placed, "rid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -36,6 +36,8 @@ def query(name: str, sql: str | None = None):
 
 #: Weights of the domains of `labels` in the mix. The marks are noisy: every text has some part in `toxic`.
 TARGETS = {"good": 0.85, "poor": 0.035, "toxic": 0.115}
+#: Tokens of the mix in shares of those now: enough for documents without fault to stay in it.
+BUDGET = 1.25
 
 
 def tokenizer_path() -> str:
@@ -77,7 +79,7 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_source_mixing")
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     domains = mixing.label_domains(table(spark, sf_dir, "labels"))
-    return mixing.document_rates(table(spark, sf_dir, "documents"), domains, TARGETS)
+    return mixing.document_rates(table(spark, sf_dir, "documents"), domains, TARGETS, budget=BUDGET)
 
 
 @query(

@@ -39,18 +39,21 @@ PERMS = 64
 
 
 def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, perms: int = PERMS, noise: float = 0.4) -> tuple[int, int]:
-    """(bands, values of a band): of the tunings that meet a pair at the threshold with probability `recall`
-    or more, the one with the fewest buckets that meets pairs of similarity `noise` in half the cases at most."""
-    best = None
+    """(bands, values of a band) that meet a pair at the threshold with probability `recall` or more.
+
+    Of those, the tuning with the fewest buckets that meets pairs of similarity `noise` in half the cases at
+    most; if there is none, the one that meets such pairs least.
+    """
+    found = []
     for width in range(1, perms + 1):
         for bands in range(1, perms // width + 1):
-            met = [1 - (1 - s**width) ** bands for s in (threshold, noise)]
-            if met[0] >= recall and met[1] <= 0.5:
-                best = min(best or (bands, width), (bands, width))
+            met, stray = (1 - (1 - s**width) ** bands for s in (threshold, noise))
+            if met >= recall:
+                found.append((max(stray, 0.5), bands, width))
                 break
-    if best is None:
+    if not found:
         raise ValueError("no banding reaches that recall")
-    return best
+    return min(found)[1:]
 
 
 def _lines(texts: pa.Array, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
