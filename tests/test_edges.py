@@ -65,10 +65,43 @@ def test_rolling_time_edges(make_logs):
     assert found == {0: (1, 1), 1: (2, 2)}
 
 
-def test_rate_is_capped_by_the_remembered_rows(make_logs):
-    logs = make_logs([(i * 0.01, "a", "/", 200, 1.0) for i in range(150)])
-    assert rolling.rolling_basic(logs).agg(F.max("request_rate")).first()[0] == 100
-    assert rolling.rolling_basic(logs, max_rows=120).agg(F.max("request_rate")).first()[0] == 120
+def test_rates_have_no_cap(make_logs):
+    logs = make_logs([(i * 0.1, "a", "/", 200, 1.0) for i in range(400)])
+    for sizes in ({}, {"hot_rows": 100, "block_rows": 50}):
+        assert rolling.rolling_basic(logs, **sizes).agg(F.max("request_rate")).first()[0] == 400
+        assert rolling.rolling_ml(logs, **sizes).agg(F.max("burst_rate")).first()[0] == 100
+
+
+def test_colliding_alerts_are_all_kept(spark):
+    """Alerts of one source and microsecond differ by detector and by request; repeats are one, the stronger."""
+    from datetime import datetime
+
+    at = datetime(2024, 1, 2, 3, 4, 5)
+    rows = [
+        (at, "a", "CRITICAL", "rule_based", "1"),
+        (at, "a", "MEDIUM", "spark_streaming", "w"),
+        (at, "a", "LOW", "rule_based", "2"),
+        (at, "a", "LOW", "rule_based", "3"),
+        (at, "a", "HIGH", "rule_based", "3"),
+        (at, "a", "LOW", "rule_based", None),
+        (at, "a", "MEDIUM", "rule_based", None),
+    ]
+    alerts = spark.createDataFrame(rows, "alert_ts timestamp, source_ip string, severity string, detection_method string, alert_id string")
+    from tidegauge.schema import CANONICAL_ALERT
+
+    full = alerts.select(
+        *[F.col(f.name) if f.name in alerts.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in CANONICAL_ALERT]
+    )
+    found = sorted(r.severity for r in store.to_alert_store(full).collect())
+    assert found == ["CRITICAL", "HIGH", "LOW", "LOW", "MEDIUM", "MEDIUM"]
+
+
+def test_rate_series_survives_stray_times(make_logs):
+    day = 86_400
+    logs = make_logs([(0, "a", "/", 200, 1.0), (12, "a", "/", 200, 1.0), (2 * day, "a", "/", 200, 1.0), (200_000 * day, "a", "/", 200, 1.0)])
+    rows = [tuple(r) for r in traffic.rate_series(logs).orderBy("bin_start").collect()]
+    assert len(rows) == 2 * 17_280 + 2 and [n for _, n in rows[:4]] == [1, 0, 1, 0]
+    assert [n for _, n in rows[-2:]] == [1, 1]
 
 
 def test_rule_alert_contents(make_logs):
@@ -174,9 +207,10 @@ def test_store_keys_and_last_write(spark):
     rule = canonical(spark, alert_ts=at, source_ip="1.2.3.4", alerts=[item("LOW")], detection_method="rule_based",
                      features={"request_rate": 7.0, "error_rate": 0.5})
     window = canonical(spark, alert_ts=at, source_ip="1.2.3.4", severity="HIGH", detection_method="spark_streaming")
-    stored = store.to_alert_store(rule, window, rule)
+    assert store.to_alert_store(rule, window, rule).count() == 2  # both detectors', the repeat once
+    stored = store.to_alert_store(window, window)
     row = one(stored)
-    assert row.rowkey == "20240102030405000678_1_2_3_4" and row.severity == "HIGH"
+    assert row.rowkey.startswith("20240102030405000678_1_2_3_4_spark_streaming_") and row.severity == "HIGH"
     assert row.alert_types == []
     stats = store.ip_statistics(stored)
     assert one(stats).alert_count == 1

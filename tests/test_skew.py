@@ -41,13 +41,13 @@ def skewed(spark):
     return spark.createDataFrame(rows, schema).repartition(5).cache()
 
 
-def brute_rolling(rows, max_rows=100):
+def brute_rolling(rows):
     state, out = {}, {}
     for r in sorted(rows, key=lambda r: (r.event_timestamp, r.event_id)):
         s = state.setdefault(r.source_ip, {"rows": [], "urls": set()})
         s["rows"].append(r)
         s["urls"].add(r.url)
-        kept = s["rows"][-max_rows:]
+        kept = s["rows"]
         age = lambda q: (r.event_timestamp - q.event_timestamp).total_seconds()  # noqa: B023, E731
         ten, twenty = s["rows"][-10:], s["rows"][-20:]
         times = [q.response_time or 0.0 for q in twenty]
@@ -68,9 +68,8 @@ def brute_rolling(rows, max_rows=100):
 
 @pytest.mark.parametrize("hot_rows,block_rows", [(10_000, 10_000), (100, 100), (50, 30)])
 def test_rolling_matches_brute_force(skewed, hot_rows, block_rows):
-    max_rows = 30 if block_rows == 30 else 100
-    expected = brute_rolling(skewed.collect(), max_rows)
-    sizes = {"max_rows": max_rows, "hot_rows": hot_rows, "block_rows": block_rows}
+    expected = brute_rolling(skewed.collect())
+    sizes = {"hot_rows": hot_rows, "block_rows": block_rows}
     basic = {r.event_id: r for r in rolling_basic(skewed, **sizes).collect()}
     ml = {r.event_id: r for r in rolling_ml(skewed, **sizes).collect()}
     assert set(basic) == set(ml) == set(expected)
@@ -95,7 +94,7 @@ def test_kept_log_travels_with_its_row(skewed):
 
 def test_block_must_cover_the_frames(skewed):
     with pytest.raises(ValueError):
-        rolling_basic(skewed, block_rows=50)
+        rolling_basic(skewed, block_rows=5)
 
 
 def test_split_hot_keeps_every_row(skewed):
@@ -157,17 +156,20 @@ def quantile_disc(values, p):
     return values[max(math.ceil(p * len(values)), 1) - 1]
 
 
-@pytest.mark.parametrize("levels", [0, 1, 2])
-def test_exact_quantiles(spark, levels):
+def test_exact_quantiles(spark):
+    """Several scales, neighbouring doubles, signs, repeats and infinities."""
     rng = np.random.default_rng(1)
-    values = [*rng.exponential(2, 500).tolist(), *[3.25] * 300, 1e12, -5.0]
+    close = [1.0]
+    for _ in range(40):
+        close.append(float(np.nextafter(close[-1], 2)))
+    values = [*rng.exponential(2, 500).tolist(), *[3.25] * 300, 1e12, -5.0, *(10.0 ** rng.uniform(-300, 300, 400)).tolist()]
+    values += [*(-(10.0 ** rng.uniform(-20, 20, 100))).tolist(), *close, 0.0, -0.0, 5e-324, float("inf"), float("-inf")]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)] + [(None, 0)], "v double, g int")
-    found = {r.p: r.value for r in exact_quantiles(df, "v", [0.25, 0.5, 0.95, 1.0], levels=levels).collect()}
-    assert found == {p: quantile_disc(values, p) for p in (0.25, 0.5, 0.95, 1.0)}
-    grouped = {(r.g, r.p): r.value for r in exact_quantiles(df, "v", [0.5, 0.9], keys=("g",), levels=levels).collect()}
-    assert grouped == {
-        (g, p): quantile_disc(values[g::3], p) for g in range(3) for p in (0.5, 0.9)
-    }
+    points = [0.0, 0.01, 0.25, 0.37, 0.4, 0.5, 0.95, 1.0]
+    found = {r.p: r.value for r in exact_quantiles(df, "v", points).collect()}
+    assert found == {p: quantile_disc(values, p) for p in points}
+    grouped = {(r.g, r.p): r.value for r in exact_quantiles(df, "v", [0.5, 0.9], keys=("g",)).collect()}
+    assert grouped == {(g, p): quantile_disc(values[g::3], p) for g in range(3) for p in (0.5, 0.9)}
 
 
 def test_quantiles_of_one_value(spark):

@@ -88,14 +88,14 @@ def test_stateful_operators_over_two_runs(spark, feed, tmp_path):
     early = [(i * 0.1, f"ip{i % 3}", f"/{i % 5}", 200 if i % 4 else 500) for i in range(90)]
     late = [(9 + i * 0.1, f"ip{i % 4}", f"/{i % 7}", 200 if i % 3 else 500) for i in range(90)]
     path = feed("1", *early)
-    run(stateful.rolling_stateful(logs_of(spark, path), max_rows=30), tmp_path / "r")
+    run(stateful.rolling_stateful(logs_of(spark, path)), tmp_path / "r")
     feed("2", *late)
-    found = run(stateful.rolling_stateful(logs_of(spark, path), max_rows=30), tmp_path / "r")
+    found = run(stateful.rolling_stateful(logs_of(spark, path)), tmp_path / "r")
     every = normalize_logs(spark.read.schema(
         "timestamp string, source_ip string, method string, url string, status_code int, bytes_sent int, "
         "response_time double, user_agent string").json(path))
     columns = ["event_id", "source_ip", "request_rate", "error_rate", "avg_response_time", "url_diversity"]
-    expected = rolling.rolling_basic(every, max_rows=30).select(columns).collect()
+    expected = rolling.rolling_basic(every).select(columns).collect()
     assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, expected))
 
     alerts = logs_of(spark, path).select("event_id", "source_ip", "event_timestamp")

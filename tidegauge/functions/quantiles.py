@@ -1,66 +1,69 @@
-"""Exact discrete quantiles whose intermediate results stay bounded."""
+"""Exact discrete quantiles by histograms that combine on the map side."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 65_536
+#: Linear levels after the first. A bin of the first level spans a fifteenth of a factor of two, which holds
+#: fewer than 2^49 doubles; three times 16 bits then leave one or two neighbouring values.
+LINEAR_LEVELS = 3
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: list[float], keys: tuple[str, ...] = (), levels: int = 2
-) -> DataFrame:
+def _magnitude_bin(value: Column) -> Column:
+    """An order-keeping bin by sign and size: 15 for each factor of two, some 65,000 in all; NaN is the largest."""
+    size = (F.log2(F.abs(value)) + 1100) * 15
+    size = F.when(F.abs(value) == float("inf"), 40_000.0).otherwise(size)
+    return F.when(F.isnan(value), 50_000).when(value == 0, 0).otherwise(F.floor(F.signum(value) * size)).cast("int")
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys..., p, value): the smallest value whose cumulative share reaches p.
 
-    Values are counted once (map-side combine). Each level then looks at an equal-width
-    histogram of at most BINS bins per group and probability and keeps the one bin that holds
-    the rank; only its distinct values are ranked one by one.
+    Each level counts the rows of the bin that holds the rank in at most BINS bins per group and probability,
+    with their smallest and largest value, and goes on with one of them. Only bin counts are shuffled, never
+    values, whatever the distribution; a level reads the one column again.
     """
     keys = list(keys)
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    targets = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    targets = targets.select(
-        *keys,
-        "_lo",
-        "_hi",
-        "_total",
-        F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"),
-    ).withColumn("_rank", F.greatest(F.ceil(F.col("p") * F.col("_total")), F.lit(1)))
+    values = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
+    totals = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+    targets = totals.select(*keys, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"))
+    targets = targets.select(*keys, "p", F.greatest(F.ceil(F.col("p") * F.col("_total")), F.lit(1)).alias("_rank"))
+    upto = Window.partitionBy(*keys, "p").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
 
-    def inside(targets: DataFrame) -> DataFrame:
-        condition = F.col("c._v").between(F.col("t._lo"), F.col("t._hi"))
-        for key in keys:
-            condition = condition & F.col(f"c.{key}").eqNullSafe(F.col(f"t.{key}"))
+    def narrowed(rows: DataFrame) -> DataFrame:
+        """The bin of each group and probability that holds its rank."""
+        bins = rows.agg(F.sum("_n").alias("_n"), F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+        held = bins.withColumn("_upto", F.sum("_n").over(upto))
+        held = held.filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
+        rank = F.col("_rank") - (F.col("_upto") - F.col("_n"))
+        return held.select(*keys, "p", rank.alias("_rank"), "_from", "_to")
+
+    def beside(left: DataFrame, side: DataFrame, within: bool) -> DataFrame:
         # One row per key and probability; without keys that is len(probabilities) rows.
-        side = targets if keys else F.broadcast(targets)
-        return counts.alias("c").join(side.alias("t"), condition).select(
-            "c._v", "c._n", *[f"t.{k}" for k in keys], "t.p", "t._rank", "t._lo", "t._hi"
-        )
+        side = side if keys else F.broadcast(side)
+        condition = F.col("v._v").between(F.col("t._from"), F.col("t._to")) if within else F.lit(True)
+        for key in keys:
+            condition = condition & F.col(f"v.{key}").eqNullSafe(F.col(f"t.{key}"))
+        return left.alias("v").join(side.alias("t"), condition)
 
-    upto = Window.partitionBy(*keys, "p").rowsBetween(Window.unboundedPreceding, 0)
-    for _ in range(levels):
-        width = F.col("_hi") - F.col("_lo")
-        share = F.try_divide(F.col("_v") - F.col("_lo"), width)
-        bins = (
-            inside(targets)
-            .withColumn("_bin", F.coalesce(F.least(F.floor(share * BINS), F.lit(BINS - 1)), F.lit(0)))
-            .groupBy(*keys, "p", "_rank", "_bin")
-            .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-            .withColumn("_upto", F.sum("_n").over(upto.orderBy("_bin")))
-        )
-        targets = bins.filter(
-            (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank"))
-        ).select(
-            *keys, "p", (F.col("_rank") - (F.col("_upto") - F.col("_n"))).alias("_rank"), "_lo", "_hi"
+    first = values.groupBy(*keys, _magnitude_bin(F.col("_v")).alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
+    )
+    columns = [*[f"v.{k}" for k in keys], "t.p", "t._rank", "v._bin", "v._n", "v._from", "v._to"]
+    now = narrowed(beside(first, targets, False).select(*columns).groupBy(*keys, "p", "_rank", "_bin"))
+    for _ in range(LINEAR_LEVELS):
+        share = F.try_divide(F.col("_v") - F.col("_from"), F.col("_to") - F.col("_from"))
+        place = F.coalesce(F.least(F.floor(share * BINS), F.lit(BINS - 1)), F.lit(0)).alias("_bin")
+        rows = beside(values, now, True).select("_v", *[f"t.{k}" for k in keys], "t.p", "t._rank", "t._from", "t._to")
+        counted = rows.groupBy(*keys, "p", "_rank", place).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
         )
-    ranked = inside(targets).withColumn("_upto", F.sum("_n").over(upto.orderBy("_v")))
-    return ranked.filter(F.col("_upto") >= F.col("_rank")).groupBy(*keys, "p").agg(
-        F.min("_v").alias("value")
+        now = narrowed(counted.groupBy(*keys, "p", "_rank", "_bin"))
+    # Of two neighbouring doubles left in one bin the rank tells which.
+    below = beside(values, now, True).groupBy(*[F.col(f"t.{k}").alias(k) for k in keys], "t.p", "t._rank", "t._from", "t._to").agg(
+        F.count_if(F.col("_v") == F.col("_from")).alias("_low")
     )
+    value = F.when(F.col("_low") >= F.col("_rank"), F.col("_from")).otherwise(F.col("_to"))
+    return below.select(*keys, "p", value.alias("value"))

@@ -39,8 +39,10 @@ def top_sources(logs: DataFrame, n: int = 10) -> DataFrame:
     return _rates(logs).orderBy(F.desc("requests"), "source_ip").limit(n)
 
 
-def threat_scores(logs: DataFrame) -> DataFrame:
-    """Score 0..100 per source from errors, volume and slowness."""
+def threat_scores(
+    logs: DataFrame, max_error_pct: float = 50, max_requests: float = 100, max_rt: float = 5
+) -> DataFrame:
+    """Score 0..100 per source from errors, volume and slowness; suspicious above any of the limits."""
     errors, n, rt = F.col("error_pct"), F.col("requests"), F.col("avg_response_time")
     score = F.least(
         F.lit(100.0),
@@ -53,18 +55,14 @@ def threat_scores(logs: DataFrame) -> DataFrame:
         "avg_response_time",
         score.alias("threat_score"),
         "last_seen",
-        ((errors > 50) | (n > 100) | (rt > 5)).alias("is_suspicious"),
+        ((errors > max_error_pct) | (n > max_requests) | (rt > max_rt)).alias("is_suspicious"),
     )
 
 
-def suspicious_scores(scores: DataFrame, n: int = 10) -> DataFrame:
-    """Worst suspicious sources with the score cut to a whole number."""
-    return (
-        scores.filter("is_suspicious")
-        .withColumn("threat_score", F.col("threat_score").cast("int"))
-        .orderBy(F.desc("threat_score"), "source_ip")
-        .limit(n)
-    )
+def suspicious_scores(scores: DataFrame, n: int | None = None) -> DataFrame:
+    """Suspicious sources with the score cut to a whole number, worst first; the `n` worst if given."""
+    found = scores.filter("is_suspicious").withColumn("threat_score", F.col("threat_score").cast("int"))
+    return found if n is None else found.orderBy(F.desc("threat_score"), "source_ip").limit(n)
 
 
 def normal_ips(logs: DataFrame, top: int | None = None) -> DataFrame:

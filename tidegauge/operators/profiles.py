@@ -93,7 +93,7 @@ def risk_profiles(logs: DataFrame) -> DataFrame:
     )
 
 
-def high_risk_ips(logs: DataFrame, min_score: float = 100, top: int | None = 20) -> DataFrame:
+def high_risk_ips(logs: DataFrame, min_score: float = 100, top: int | None = None) -> DataFrame:
     """Sources above `min_score`, riskiest first."""
     found = (
         risk_profiles(logs)

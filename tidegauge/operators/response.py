@@ -56,7 +56,7 @@ def slow_requests(logs: DataFrame, q: float = 0.95) -> DataFrame:
     )
 
 
-def slow_request_ips(logs: DataFrame, q: float = 0.95, top: int | None = 10) -> DataFrame:
+def slow_request_ips(logs: DataFrame, q: float = 0.95, top: int | None = None) -> DataFrame:
     """Sources with the most slow requests."""
     found = slow_requests(logs, q).groupBy("source_ip").agg(
         F.count(F.lit(1)).alias("slow_request_count"), F.max("threshold").alias("threshold")
@@ -64,6 +64,15 @@ def slow_request_ips(logs: DataFrame, q: float = 0.95, top: int | None = 10) ->
     return found if top is None else found.orderBy(F.desc("slow_request_count"), "source_ip").limit(top)
 
 
+def slow_request_total(logs: DataFrame, q: float = 0.95) -> DataFrame:
+    """One row: the threshold, the requests above it, and all requests."""
+    return logs.withColumn("threshold", slow_threshold(logs, q)).agg(
+        F.max("threshold").alias("threshold"),
+        F.count_if(F.col("response_time") > F.col("threshold")).alias("slow_request_count"),
+        F.count(F.lit(1)).alias("request_count"),
+    )
+
+
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram over the column's range; the last bin includes the maximum."""
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())

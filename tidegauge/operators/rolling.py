@@ -18,24 +18,50 @@ BLOCK_ROWS = 1_000_000
 class Frames:
     """Window specifications over one partitioning, all served by one sort on (_us, event_id)."""
 
-    def __init__(self, part: list[str], max_rows: int):
+    def __init__(self, part: list[str], rates: bool = True):
         self.ordered = Window.partitionBy(*part).orderBy("_us", "event_id")
         self.by_time = Window.partitionBy(*part).orderBy("_us")
-        self.max_rows = max_rows
+        self.rates = rates
 
     def last(self, expr: Column, rows: int) -> Column:
         return expr.over(self.ordered.rowsBetween(1 - rows, 0))
 
     def recent(self, seconds: int) -> Column:
-        """Requests so far that are younger than `seconds`, at most max_rows.
+        """Requests so far that are younger than `seconds`.
 
         Rank minus the number of expired rows: both frames only grow, so the work per row is
         constant however many requests fall into the interval.
         """
+        if not self.rates:
+            return F.col(f"_recent_{seconds}")
         expired = F.count(F.lit(1)).over(
             self.by_time.rangeBetween(Window.unboundedPreceding, -seconds * SECOND)
         )
-        return F.least(F.row_number().over(self.ordered) - expired, F.lit(self.max_rows))
+        return F.row_number().over(self.ordered) - expired
+
+
+def with_recent(rows: DataFrame, seconds: int) -> DataFrame:
+    """Add `_recent_<seconds>`, the requests so far that are younger, for sources of any size.
+
+    Time is cut into slots as long as the interval. Within a slot lie the slot's requests and, as expiry
+    marks, those of the slot before: what is left of them plus the rank in the slot is the count. So one
+    source's requests spread over as many tasks as there are slots.
+    """
+    slot = F.floor(F.col("_us") / (seconds * SECOND))
+    events = rows.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("_gone"))
+    events = events.withColumns(
+        {
+            "_slot": slot + F.col("_gone").cast("int"),
+            "_at": F.col("_us") + F.when(F.col("_gone"), seconds * SECOND).otherwise(0),
+        }
+    )
+    part = Window.partitionBy("source_ip", "_slot")
+    so_far = part.orderBy("_at", F.desc("_gone"), "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    counted = events.withColumn(
+        f"_recent_{seconds}",
+        F.count_if("_gone").over(part) - F.count_if("_gone").over(so_far) + F.count_if(~F.col("_gone")).over(so_far),
+    )
+    return counted.filter(~F.col("_gone")).drop("_gone", "_slot", "_at")
 
 
 def _share(condition: Column) -> Column:
@@ -73,9 +99,9 @@ def _ml(rows: int) -> Callable[[Frames], dict[str, Column]]:
     return features
 
 
-def _one_task_per_source(logs: DataFrame, features, max_rows: int) -> DataFrame:
+def _one_task_per_source(logs: DataFrame, features) -> DataFrame:
     """One shuffle on source_ip serves the (source, URL) window and the frames."""
-    frames = Frames(["source_ip"], max_rows)
+    frames = Frames(["source_ip"])
     per_url = Window.partitionBy("source_ip", "url").orderBy("_us", "event_id")
     return (
         logs.repartition("source_ip")
@@ -92,14 +118,15 @@ def _one_task_per_source(logs: DataFrame, features, max_rows: int) -> DataFrame:
     )
 
 
-def _blocks_per_source(logs: DataFrame, features, max_rows: int, halo: int, block_rows: int) -> DataFrame:
+def _blocks_per_source(logs: DataFrame, features, halo: int, block_rows: int) -> DataFrame:
     """Exact features for sources too large for one task.
 
     Each source is cut into blocks of consecutive requests; the last `halo` rows of a block are
-    also copied into the next one, which is all that any frame looks back. The lifetime URL count
+    also copied into the next one, which is all that frames of rows look back; rates are counted
+    before, by time. The lifetime URL count
     is the count carried into the block plus the URLs first seen in it, both added as mark rows.
     """
-    ranked = ordered_positions(logs, "source_ip", ["_us", "event_id"])
+    ranked = ordered_positions(with_recent(with_recent(logs, 60), 10), "source_ip", ["_us", "event_id"])
     block = F.floor((F.col("position") - 1) / block_rows)
     own = block.alias("_own")
     reaches_next = (F.col("position") - 1) % block_rows >= block_rows - halo
@@ -141,17 +168,17 @@ def _blocks_per_source(logs: DataFrame, features, max_rows: int, halo: int, bloc
         .withColumn("url_diversity", F.sum("_mark").over(seen.rowsBetween(Window.unboundedPreceding, 0)))
     )
     return (
-        both.withColumns(features(Frames(["source_ip", "_block", "_is_mark"], max_rows)))
+        both.withColumns(features(Frames(["source_ip", "_block", "_is_mark"], rates=False)))
         .filter(~F.col("_is_mark") & (F.col("_block") == F.col("_own")))
-        .drop("position", "_own", "_block", "_mark", "_is_mark")
+        .drop("position", "_own", "_block", "_mark", "_is_mark", "_recent_60", "_recent_10")
     )
 
 
 def _rolling(
-    logs: DataFrame, inputs: list, features, lookback: int, max_rows: int, hot_rows: int, block_rows: int
+    logs: DataFrame, inputs: list, features, lookback: int, hot_rows: int, block_rows: int
 ) -> DataFrame:
     """Key columns, `inputs` and the features; requests without a time have no place in the order."""
-    if block_rows < max(lookback, max_rows):
+    if block_rows < lookback:
         raise ValueError("a block must hold at least as many rows as a frame looks back")
     needed = logs.filter(F.col("event_timestamp").isNotNull()).select(
         "event_id",
@@ -164,16 +191,14 @@ def _rolling(
         *inputs,
     )
     ordinary, hot = split_hot(needed, "source_ip", hot_rows)
-    result = _one_task_per_source(ordinary, features, max_rows)
+    result = _one_task_per_source(ordinary, features)
     if hot is not None:
-        halo = max(lookback, max_rows) - 1
-        result = result.unionByName(_blocks_per_source(hot, features, max_rows, halo, block_rows))
+        result = result.unionByName(_blocks_per_source(hot, features, lookback - 1, block_rows))
     return result
 
 
 def rolling_basic(
     logs: DataFrame,
-    max_rows: int = 100,
     keep_log: bool = False,
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
@@ -183,7 +208,7 @@ def rolling_basic(
         F.col("event_timestamp").alias("timestamp"),
         *["source_ip", "method", "url", "status_code", "bytes_sent", "response_time", "user_agent"],
     ).alias("sample_log")
-    frames = _rolling(logs, [log] if keep_log else [], _basic, 10, max_rows, hot_rows, block_rows)
+    frames = _rolling(logs, [log] if keep_log else [], _basic, 10, hot_rows, block_rows)
     return frames.select(
         "event_id",
         "source_ip",
@@ -201,7 +226,6 @@ def rolling_basic(
 def rolling_ml(
     logs: DataFrame,
     rows: int = 20,
-    max_rows: int = 100,
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -211,7 +235,7 @@ def rolling_ml(
         F.coalesce("method", F.lit("GET")).alias("_method"),
         F.coalesce("user_agent", F.lit("")).alias("_agent"),
     ]
-    frames = _rolling(logs, inputs, _ml(rows), rows, max_rows, hot_rows, block_rows)
+    frames = _rolling(logs, inputs, _ml(rows), rows, hot_rows, block_rows)
     hour = F.hour("event_timestamp")
     return frames.withColumns(
         {

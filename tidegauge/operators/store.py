@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import ratio, strongest
+from tidegauge.functions.columns import ratio, severity_rank, strongest
 from tidegauge.schema import CANONICAL_ALERT, METHOD_ML, METHOD_RULES, ML_FEATURES
 
 BASIC_FEATURES = (
@@ -50,6 +50,7 @@ def canonical_rule_alerts(alerts: DataFrame) -> DataFrame:
         source_ip=F.col("source_ip"),
         severity=F.col("severity"),
         detection_method=F.lit(METHOD_RULES),
+        alert_id=F.col("event_id"),
         alerts=F.col("alerts"),
         features=_map(BASIC_FEATURES),
     )
@@ -76,6 +77,7 @@ def canonical_window_alerts(alerts: DataFrame, stamp: Column | None = None) -> D
         metrics=_map(WINDOW_METRICS),
         window_start=F.col("window_start"),
         window_end=F.col("window_end"),
+        alert_id=F.date_format("window_start", "yyyyMMddHHmmssSSSSSS"),
     )
 
 
@@ -87,6 +89,7 @@ def canonical_ml_alerts(alerts: DataFrame) -> DataFrame:
         source_ip=F.col("source_ip"),
         severity=strongest(F.col("alerts")),
         detection_method=F.lit(METHOD_ML),
+        alert_id=F.col("event_id"),
         alerts=F.col("alerts"),
         features=_map(ML_FEATURES),
         confidence=F.col("confidence"),
@@ -99,23 +102,25 @@ def alert_severity(df: DataFrame) -> Column:
 
 
 def rowkey(time: str = "alert_ts", ip: str = "source_ip") -> Column:
-    """Time-ordered key: microsecond time, then the source with dots as underscores."""
+    """Time-ordered key: microsecond time, the source with dots as underscores, the detector, and what
+    the alert is about (a hash of its contents where it does not say), so that different alerts keep apart."""
+    content = F.hex(F.xxhash64("severity", F.to_json(F.struct("alerts", "features", "metrics"))))
     return F.concat_ws(
         "_",
         F.date_format(time, "yyyyMMddHHmmssSSSSSS"),
         F.regexp_replace(F.coalesce(F.col(ip), F.lit("unknown")), r"\.", "_"),
+        F.coalesce("detection_method", F.lit("unknown")),
+        F.coalesce("alert_id", content),
     )
 
 
 def latest_per_key(rows: DataFrame) -> DataFrame:
-    """Last write per rowkey by an aggregate: copies of one key combine on the map side.
+    """One row per rowkey by an aggregate: repeats of one alert combine on the map side.
 
-    Writes of one key carry the same time; detector name, severity and content decide.
+    Repeats carry the same time; the stronger severity stays, then the content decides.
     """
     columns = rows.columns
-    rank = F.struct(
-        "detection_method", "severity", F.to_json(F.struct("alerts", "features", "metrics"))
-    )
+    rank = F.struct(severity_rank(F.col("severity")), F.to_json(F.struct("alerts", "features", "metrics")))
     return rows.groupBy("rowkey").agg(F.max_by(F.struct(*columns), rank).alias("row")).select("row.*")
 
 
@@ -185,8 +190,8 @@ def recent_alerts(store: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def alert_trends(store: DataFrame, by: str = "severity", hours: int = 24) -> DataFrame:
-    """Alerts and their share per severity, per method, or per hour (the latest `hours` buckets)."""
+def alert_trends(store: DataFrame, by: str = "severity", hours: int | None = None) -> DataFrame:
+    """Alerts and their share per severity, per method, or per hour (all, or the latest `hours` buckets)."""
     keys = {
         "severity": F.col("severity"),
         "method": F.col("detection_method"),
@@ -197,7 +202,8 @@ def alert_trends(store: DataFrame, by: str = "severity", hours: int = 24) -> Dat
     total = F.sum("count").over(Window.partitionBy())
     trends = counts.withColumn("pct", ratio("count", total) * 100)
     if by == "hour":
-        return trends.orderBy(F.desc("key")).limit(hours)
+        trends = trends.orderBy(F.desc("key"))
+        return trends if hours is None else trends.limit(hours)
     return trends.orderBy(F.desc("count"), "key") if by == "method" else trends.orderBy("key")
 
 

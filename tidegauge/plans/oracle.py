@@ -55,8 +55,8 @@ ROLLING = """,
 seen AS (SELECT *, CAST(row_number() OVER (PARTITION BY source_ip, url ORDER BY event_timestamp, event_id) = 1 AS INTEGER) AS new_url FROM logs),
 rolled AS (
   SELECT event_id, source_ip, event_timestamp,
-         least(row_number() OVER o - count(*) OVER (PARTITION BY source_ip ORDER BY event_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 60 SECONDS PRECEDING), 100) AS request_rate,
-         least(row_number() OVER o - count(*) OVER (PARTITION BY source_ip ORDER BY event_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 10 SECONDS PRECEDING), 100) AS burst_rate,
+         row_number() OVER o - count(*) OVER (PARTITION BY source_ip ORDER BY event_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 60 SECONDS PRECEDING) AS request_rate,
+         row_number() OVER o - count(*) OVER (PARTITION BY source_ip ORDER BY event_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 10 SECONDS PRECEDING) AS burst_rate,
          avg(CASE WHEN status_code >= 400 THEN 1.0 ELSE 0.0 END) OVER (o ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS error_rate_10,
          avg(response_time) OVER (o ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS avg_rt_10,
          CAST(sum(new_url) OVER (o ROWS UNBOUNDED PRECEDING) AS BIGINT) AS url_diversity,
@@ -88,13 +88,14 @@ ralerts AS (
 STORE = WINDOWED + RULES + """,
 canonical AS (
   SELECT event_timestamp AS alert_ts, source_ip, severity, 'rule_based' AS detection_method,
-         regexp_replace(items, ':[A-Z]+', '', 'g') AS alert_types, CAST(request_rate AS DOUBLE) AS rate, error_rate_10 AS err
+         regexp_replace(items, ':[A-Z]+', '', 'g') AS alert_types, CAST(request_rate AS DOUBLE) AS rate, error_rate_10 AS err,
+         CAST(event_id AS VARCHAR) AS alert_id
   FROM ralerts
   UNION ALL
-  SELECT window_end, source_ip, severity, detection_method, alert_types, requests_per_minute, error_rate FROM walerts),
-keyed AS (SELECT strftime(alert_ts, '%Y%m%d%H%M%S%f') || '_' || replace(source_ip, '.', '_') AS rowkey, * FROM canonical),
-store AS (
-  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY rowkey ORDER BY detection_method DESC, severity DESC) AS rn FROM keyed) WHERE rn = 1),
+  SELECT window_end, source_ip, severity, detection_method, alert_types, requests_per_minute, error_rate,
+         strftime(window_start, '%Y%m%d%H%M%S%f') FROM walerts),
+keyed AS (SELECT strftime(alert_ts, '%Y%m%d%H%M%S%f') || '_' || replace(source_ip, '.', '_') || '_' || detection_method || '_' || alert_id AS rowkey, * FROM canonical),
+store AS (SELECT DISTINCT ON (rowkey) * FROM keyed),
 stats AS (
   SELECT source_ip, count(*) AS alert_count, max(alert_ts) AS last_alert_time, arg_max(severity, rowkey) AS last_severity
   FROM store GROUP BY source_ip)"""
@@ -208,7 +209,7 @@ WHERE requests_per_minute > 1.1 OR (error_rate > 0.25 AND total_requests > 60) O
   CAST(CAST(avg_response_time AS REAL) AS DOUBLE) AS avg_response_time, CAST(CAST(max_response_time AS REAL) AS DOUBLE) AS max_response_time,
   CAST(CAST(risk_score AS REAL) AS DOUBLE) AS risk_score FROM scored"""),
     "high_risk_ips": _with(RISK, """SELECT source_ip, total_requests, server_errors, unique_urls, CAST(CAST(risk_score AS REAL) AS DOUBLE) AS risk_score
-FROM scored WHERE risk_score > 100 ORDER BY scored.risk_score DESC, source_ip LIMIT 20"""),
+FROM scored WHERE risk_score > 100"""),
     "bot_agents": _with(LOGS, """SELECT DISTINCT source_ip, user_agent FROM logs
 WHERE regexp_matches(lower(user_agent), 'bot|crawler|spider|curl|wget')"""),
     "url_stats": _with(URLS, "SELECT * FROM urls"),
@@ -220,8 +221,10 @@ WHERE regexp_matches(lower(user_agent), 'bot|crawler|spider|curl|wget')"""),
   CAST(CAST(quantile_disc(response_time, 0.95) AS REAL) AS DOUBLE) AS p95_response_time, count(*) AS request_count FROM logs GROUP BY hour"""),
     "slow_request_ips": _with(LOGS + """,
 t AS (SELECT quantile_disc(response_time, 0.95) AS threshold FROM logs)""", """SELECT source_ip, count(*) AS slow_request_count,
-  CAST(CAST(max(threshold) AS REAL) AS DOUBLE) AS threshold FROM logs, t WHERE response_time > threshold GROUP BY source_ip
-ORDER BY slow_request_count DESC, source_ip LIMIT 10"""),
+  CAST(CAST(max(threshold) AS REAL) AS DOUBLE) AS threshold FROM logs, t WHERE response_time > threshold GROUP BY source_ip"""),
+    "slow_request_total": _with(LOGS + """,
+t AS (SELECT quantile_disc(response_time, 0.95) AS threshold FROM logs)""", """SELECT CAST(CAST(max(threshold) AS REAL) AS DOUBLE) AS threshold,
+  count(*) FILTER (response_time > threshold) AS slow_request_count, count(*) AS request_count FROM logs, t"""),
     "response_histogram": _with(LOGS + """,
 s AS (SELECT min(response_time) AS lo, max(response_time) AS hi FROM logs),
 b AS (SELECT CAST(least(floor((response_time - lo) / (hi - lo) * 20), 19) AS INTEGER) AS bucket, lo, hi FROM logs, s)""",
@@ -287,7 +290,7 @@ WHERE source_ip = '10.0.0.7' ORDER BY rowkey DESC LIMIT 10"""),
     "trends_severity": _with(STORE, """SELECT severity AS key, count(*) AS "count", CAST(CAST(count(*) / sum(count(*)) OVER () * 100 AS REAL) AS DOUBLE) AS pct FROM store GROUP BY 1"""),
     "trends_method": _with(STORE, """SELECT detection_method AS key, count(*) AS "count", CAST(CAST(count(*) / sum(count(*)) OVER () * 100 AS REAL) AS DOUBLE) AS pct FROM store GROUP BY 1"""),
     "trends_hour": _with(STORE, """SELECT strftime(alert_ts, '%Y-%m-%d %H:00') AS key, count(*) AS "count", CAST(CAST(count(*) / sum(count(*)) OVER () * 100 AS REAL) AS DOUBLE) AS pct
-FROM store GROUP BY 1 ORDER BY 1 DESC LIMIT 24"""),
+FROM store GROUP BY 1"""),
     "top_offenders": _with(STORE, """SELECT CAST(row_number() OVER (ORDER BY alert_count DESC, source_ip) AS INTEGER) AS rank, * FROM stats
 ORDER BY alert_count DESC, source_ip LIMIT 20"""),
     "ip_history": _with(STORE, """SELECT alert_ts, severity, detection_method, CAST(CAST(rate AS REAL) AS DOUBLE) AS request_rate, CAST(CAST(err AS REAL) AS DOUBLE) AS error_rate,
@@ -318,8 +321,8 @@ both_ AS (
     "threat_scores": _with(COUNTERS, """SELECT * REPLACE (CAST(CAST(error_pct AS REAL) AS DOUBLE) AS error_pct, CAST(CAST(avg_response_time AS REAL) AS DOUBLE) AS avg_response_time,
   CAST(CAST(threat_score AS REAL) AS DOUBLE) AS threat_score) FROM scores"""),
     "suspicious_scores": _with(COUNTERS, """SELECT * REPLACE (CAST(CAST(error_pct AS REAL) AS DOUBLE) AS error_pct, CAST(CAST(avg_response_time AS REAL) AS DOUBLE) AS avg_response_time,
-  CAST(floor(threat_score) AS INTEGER) AS threat_score) FROM scores WHERE is_suspicious
-ORDER BY floor(scores.threat_score) DESC, source_ip LIMIT 10"""),
+  CAST(floor(threat_score) AS INTEGER) AS threat_score, TRUE AS is_suspicious)
+FROM scores WHERE error_pct > 25 OR requests > 75 OR scores.avg_response_time > 2.6"""),
     "top_sources": _with(COUNTERS, """SELECT * REPLACE (CAST(CAST(error_pct AS REAL) AS DOUBLE) AS error_pct, CAST(CAST(avg_response_time AS REAL) AS DOUBLE) AS avg_response_time)
 FROM rates ORDER BY requests DESC, source_ip LIMIT 10"""),
     "normal_ips": _with(COUNTERS, """SELECT * REPLACE (CAST(CAST(error_pct AS REAL) AS DOUBLE) AS error_pct, CAST(CAST(avg_response_time AS REAL) AS DOUBLE) AS avg_response_time)
@@ -358,6 +361,16 @@ v2 AS (SELECT *, request_rate AS requests_per_minute, status_4xx_count + status_
         ) + " FROM v2"),
 }
 
+# The ordered top-n forms of full results.
+ORACLE["top_high_risk_ips"] = ORACLE["high_risk_ips"] + " ORDER BY scored.risk_score DESC, source_ip LIMIT 20"
+ORACLE["top_suspicious_ips"] = f"SELECT * FROM ({ORACLE['suspicious_ips']}) ORDER BY requests_per_minute DESC, source_ip LIMIT 20"
+ORACLE["top_urls"] = f"SELECT * FROM ({ORACLE['url_stats']}) ORDER BY access_count DESC, url LIMIT 20"
+ORACLE["top_slow_request_ips"] = f"SELECT * FROM ({ORACLE['slow_request_ips']}) ORDER BY slow_request_count DESC, source_ip LIMIT 10"
+ORACLE["top_attack_windows"] = (
+    f"SELECT * FROM ({ORACLE['attack_windows']}) ORDER BY request_count DESC, window_start, source_ip LIMIT 20"
+)
+ORACLE["top_suspicious_scores"] = f"SELECT * FROM ({ORACLE['suspicious_scores']}) ORDER BY threat_score DESC, source_ip LIMIT 10"
+
 # Append-mode streams emit a window once the watermark, ten minutes behind, has passed its end.
 CLOSED = "(SELECT max(event_timestamp) FROM logs) - INTERVAL 10 MINUTE"
 

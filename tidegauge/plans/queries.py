@@ -27,7 +27,6 @@ from tidegauge.schema import ML_FEATURES, PARTITION_KEYS, WINDOW_V2_FEATURES, De
 from tidegauge.session import cut_lineage, scratch_path, use_rocksdb
 from tidegauge.sources import sinks
 from tidegauge.sources.events import event_log_stream, event_logs, raw_text_logs
-from tidegauge.sources.logs import storage_listing
 from tidegauge.streaming import stateful
 from tidegauge.streaming import store as stream_store
 from tidegauge.streaming import windows as stream_windows
@@ -117,12 +116,19 @@ query("suspicious_ips")(
 )
 query("risk_profiles")(profiles.risk_profiles)
 query("high_risk_ips")(profiles.high_risk_ips)
+query("top_high_risk_ips")(lambda logs: profiles.high_risk_ips(logs, top=20))
+query("top_suspicious_ips")(
+    lambda logs: profiles.suspicious_ips(logs, 1.1, top=20, max_error_rate=0.25, error_min_requests=60)
+)
 query("bot_agents")(profiles.bot_agents)
 query("url_stats")(urls.url_stats)
+query("top_urls")(lambda logs: urls.url_stats(logs, top=20))
 query("scanned_urls")(lambda logs: urls.scanned_urls(logs, min_ratio=0.25))
 query("response_summary")(response.response_summary)
 query("response_by_hour")(response.response_by_hour)
 query("slow_request_ips")(response.slow_request_ips)
+query("top_slow_request_ips")(lambda logs: response.slow_request_ips(logs, top=10))
+query("slow_request_total")(response.slow_request_total)
 query("response_histogram")(lambda logs: response.histogram(logs, "response_time"))
 
 # Windows ---------------------------------------------------------------------------------
@@ -154,6 +160,7 @@ def alert_payload(logs: DataFrame) -> DataFrame:
 
 
 query("attack_windows")(lambda logs: windows.attack_windows(logs, 8, 2, 2.5))
+query("top_attack_windows")(lambda logs: windows.attack_windows(logs, 8, 2, 2.5, top=20))
 
 
 def labelled_windows(logs: DataFrame) -> DataFrame:
@@ -238,7 +245,8 @@ query("timeline")(
     lambda logs: traffic.timeline(logs, windows.windowed_alerts(logs, WINDOW_CFG), alert_time="window_end")
 )
 query("threat_scores")(live.threat_scores)
-query("suspicious_scores")(lambda logs: live.suspicious_scores(live.threat_scores(logs)))
+query("suspicious_scores")(lambda logs: live.suspicious_scores(live.threat_scores(logs, 25, 75, 2.6)))
+query("top_suspicious_scores")(lambda logs: live.suspicious_scores(live.threat_scores(logs, 25, 75, 2.6), 10))
 query("top_sources")(live.top_sources)
 query("normal_ips")(live.normal_ips)
 query("score_histogram")(lambda logs: live.score_histogram(live.threat_scores(logs)))
@@ -424,9 +432,3 @@ def stream_cooldown(logs: DataFrame, path: str) -> DataFrame:
     alerts = flat_alerts(rules.rule_alerts(stateful.rolling_stateful(logs), RULE_CFG))
     return drained(stateful.cooldown_stateful(alerts, COOLDOWN_SECONDS), path)
 
-
-def _storage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return storage_listing(spark, sf_dir)
-
-
-QUERIES["storage_listing"] = _storage_listing

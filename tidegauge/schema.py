@@ -43,6 +43,8 @@ CANONICAL_ALERT = T.StructType(
         T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()),
         T.StructField("confidence", T.DoubleType()),
+        # What the alert is about: the request or the window. Alerts of one time and source keep apart by it.
+        T.StructField("alert_id", T.StringType()),
     ]
 )
 
@@ -118,7 +120,6 @@ class DetectionConfig:
     slide: str = "1 minute"
     watermark: str = "10 minutes"
     cooldown_seconds: float = 30
-    max_rows: int = 100
 
 
 @dataclass(frozen=True)

@@ -33,10 +33,10 @@ def trailing_mean(values: np.ndarray, rows: int) -> np.ndarray:
 
 
 class RollingFeatures(StatefulProcessor):
-    """State: the last max_rows requests, the URLs seen so far and how many they are."""
+    """State: the requests of the last minute and the last ten, the URLs seen so far and how many they are."""
 
-    def __init__(self, max_rows: int, url_ttl_ms: int | None):
-        self.max_rows, self.url_ttl_ms = max_rows, url_ttl_ms
+    def __init__(self, url_ttl_ms: int | None):
+        self.url_ttl_ms = url_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getListState("recent", "us bigint, error int, rt double")
@@ -59,7 +59,8 @@ class RollingFeatures(StatefulProcessor):
         for url in batch["url"][first]:
             self.urls.updateValue((url,), (True,))
         self.count.update((int(before + first.sum()),))
-        keep = slice(-self.max_rows, None)
+        # What later requests look back on: the last ten, and all that are younger than a minute.
+        keep = slice(min(max(len(us) - 10, 0), int(np.searchsorted(us, us[-1] - 60_000_000, side="right"))), None)
         self.recent.put(list(zip(us[keep].tolist(), error[keep].astype(int).tolist(), rt[keep].tolist())))
 
         new = slice(len(kept), None)
@@ -68,7 +69,7 @@ class RollingFeatures(StatefulProcessor):
                 "event_id": batch["event_id"],
                 "source_ip": key[0],
                 "event_timestamp": batch["event_timestamp"],
-                "request_rate": np.minimum(rate, self.max_rows)[new],
+                "request_rate": rate[new],
                 "error_rate": trailing_mean(error, 10)[new],
                 "avg_response_time": trailing_mean(rt, 10)[new],
                 "url_diversity": before + np.cumsum(first),
@@ -81,7 +82,7 @@ class RollingFeatures(StatefulProcessor):
         pass
 
 
-def rolling_stateful(logs: DataFrame, max_rows: int = 100, url_ttl_ms: int | None = None) -> DataFrame:
+def rolling_stateful(logs: DataFrame, url_ttl_ms: int | None = None) -> DataFrame:
     """Streaming twin of `rolling_basic`.
 
     `url_ttl_ms` bounds the state: a URL recorded longer ago counts anew. Expiry runs on
@@ -91,7 +92,8 @@ def rolling_stateful(logs: DataFrame, max_rows: int = 100, url_ttl_ms: int | Non
         "event_id",
         "source_ip",
         "event_timestamp",
-        F.coalesce("url", F.lit("")).alias("url"),
+        # No URL is one of its own, apart from the empty one.
+        F.coalesce(F.concat(F.lit("/"), "url"), F.lit("")).alias("url"),
         F.unix_micros("event_timestamp").alias("us"),
         F.when(F.col("status_code") >= 400, 1).otherwise(0).alias("error"),
         F.coalesce("response_time", F.lit(0.0)).alias("rt"),
@@ -99,7 +101,7 @@ def rolling_stateful(logs: DataFrame, max_rows: int = 100, url_ttl_ms: int | Non
         F.weekday("event_timestamp").alias("day_of_week"),
     )
     return rows.groupBy("source_ip").transformWithStateInPandas(
-        RollingFeatures(max_rows, url_ttl_ms),
+        RollingFeatures(url_ttl_ms),
         FEATURES,
         "Append",
         "None" if url_ttl_ms is None else "ProcessingTime",

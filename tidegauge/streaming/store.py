@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +12,10 @@ from tidegauge.schema import CANONICAL_ALERT
 STATISTICS = (
     "source_ip string, alert_count bigint, last_alert_time timestamp, last_severity string, latest_alert string"
 )
+#: Parts of the statistics; a micro-batch rewrites those with sources that it brings alerts of.
+BUCKETS = 64
+#: Versions of a part that are kept.
+KEPT_VERSIONS = 3
 
 
 def parse_alerts(messages: DataFrame) -> DataFrame:
@@ -21,11 +25,37 @@ def parse_alerts(messages: DataFrame) -> DataFrame:
     ).select("alert.*")
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("source_ip"), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATISTICS + ", bucket int, version bigint").parquet(f"{path}/statistics")
+
+
+def _newest(versions: DataFrame) -> DataFrame:
+    """The newest version of each bucket: the buckets are few, and only partition values are read to find it."""
+    newest = versions.groupBy("bucket").agg(F.max("version").alias("version"))
+    return versions.join(F.broadcast(newest), ["bucket", "version"])
+
+
 def store_batch(alerts: DataFrame, batch_id: int, path: str) -> None:
     """Write one micro-batch of canonical alerts; doing it again leaves the same result.
 
-    Store rows go to alert_date=/batch_id= partitions that a replay overwrites. Statistics are
-    written as a new version made from the previous one, which a replay finds unchanged.
+    Store rows go to alert_date=/batch_id= partitions that a replay overwrites. An alert that an earlier
+    batch of the same day has stored is not counted again. Statistics are kept in buckets of sources; those of
+    this batch's sources are written as a new version made from the newest earlier one, which a replay
+    finds unchanged, and old versions are deleted.
     """
     spark = alerts.sparkSession
     rows = to_alert_store(alerts).persist()
@@ -37,16 +67,45 @@ def store_batch(alerts: DataFrame, batch_id: int, path: str) -> None:
             .option("partitionOverwriteMode", "dynamic")
             .parquet(f"{path}/alerts")
         )
-        if batch_id == 0:
-            before = spark.createDataFrame([], STATISTICS)
+        touched = [r.bucket for r in rows.select(_bucket()).distinct().collect()]  # BUCKETS at most
+        if not touched:
+            return
+        days = [r.alert_date for r in rows.select("alert_date").distinct().limit(366).collect()]
+        stored = spark.read.parquet(f"{path}/alerts").filter(F.col("batch_id") < batch_id)
+        if len(days) < 366 and None not in days:
+            stored = stored.filter(F.col("alert_date").isin(days))
+        known = stored.select("rowkey").distinct().withColumn("known", F.lit(True))
+        fresh = rows.join(known, "rowkey", "left").filter("known is null").groupBy("source_ip").agg(F.count("*").alias("fresh"))
+        delta = ip_statistics(rows).alias("d").join(fresh.alias("f"), F.col("d.source_ip").eqNullSafe(F.col("f.source_ip")), "left")
+        delta = delta.select("d.*", F.coalesce("fresh", F.lit(0)).alias("fresh")).withColumn("alert_count", F.col("fresh")).drop("fresh")
+        if _exists(spark, f"{path}/statistics"):
+            earlier = _versions(spark, path).filter(F.col("bucket").isin(touched) & (F.col("version") < batch_id))
+            before = _newest(earlier).drop("bucket", "version")
         else:
-            before = spark.read.schema(STATISTICS).parquet(f"{path}/statistics/version={batch_id - 1}")
-        merged = merge_statistics(before, ip_statistics(rows))
-        merged.write.mode("overwrite").parquet(f"{path}/statistics/version={batch_id}")
+            before = spark.createDataFrame([], STATISTICS)
+        merged = merge_statistics(before, delta).select("*", _bucket(), F.lit(batch_id).cast("bigint").alias("version"))
+        (
+            merged.write.partitionBy("bucket", "version")
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(f"{path}/statistics")
+        )
+        _expire(spark, path, touched)
     finally:
         rows.unpersist()
 
 
+def _expire(spark: SparkSession, path: str, buckets: list[int]) -> None:
+    """Delete all but the newest versions of these buckets."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    for bucket in buckets:
+        folder = fs_path(f"{path}/statistics/bucket={bucket}")
+        found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+        versions = sorted(int(s.getPath().getName().partition("=")[2]) for s in found)
+        for version in versions[:-KEPT_VERSIONS]:
+            _drop(spark, f"{path}/statistics/bucket={bucket}/version={version}")
+
+
 def start_alert_store(
     alerts: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None
 ) -> StreamingQuery:
@@ -65,7 +124,5 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_statistics(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of the per-source statistics."""
-    versions = spark.read.schema(STATISTICS + ", version bigint").parquet(f"{path}/statistics")
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.filter(F.col("version") == newest).drop("version")
+    """The newest per-source statistics."""
+    return _newest(_versions(spark, path)).drop("bucket", "version")
