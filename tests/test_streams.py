@@ -89,17 +89,21 @@ def test_stateful_operators_over_two_runs(spark, feed, tmp_path):
     late = [(9 + i * 0.1, f"ip{i % 4}", f"/{i % 7}", 200 if i % 3 else 500) for i in range(90)]
     path = feed("1", *early)
     run(stateful.rolling_stateful(logs_of(spark, path)), tmp_path / "r")
-    feed("2", *late)
+    feed("2", *late, (8.5, "ip0", None, 500), (8.6, "ip0", "", 200), (20, "ip1", "/9", 200))
+    run(stateful.rolling_stateful(logs_of(spark, path)), tmp_path / "r")
+    feed("3", (12, "ip0", "/late", 500), (11.5, "ip1", "/later", 200))  # late, but within the delay
+    run(stateful.rolling_stateful(logs_of(spark, path)), tmp_path / "r")
+    feed("9", (10_000, None, None, None))  # an end mark
     found = run(stateful.rolling_stateful(logs_of(spark, path)), tmp_path / "r")
     every = normalize_logs(spark.read.schema(
         "timestamp string, source_ip string, method string, url string, status_code int, bytes_sent int, "
         "response_time double, user_agent string").json(path))
     columns = ["event_id", "source_ip", "request_rate", "error_rate", "avg_response_time", "url_diversity"]
-    expected = rolling.rolling_basic(every).select(columns).collect()
+    expected = rolling.rolling_basic(every).filter("source_ip IS NOT NULL").select(columns).collect()
     assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, expected))
 
     alerts = logs_of(spark, path).select("event_id", "source_ip", "event_timestamp")
-    kept = run(stateful.cooldown_stateful(alerts, 60), tmp_path / "c")
+    kept = run(stateful.cooldown_stateful(alerts, 60, delay="10 minutes"), tmp_path / "c")
     gaps = kept.selectExpr(
         "event_timestamp - lag(event_timestamp) OVER (PARTITION BY source_ip ORDER BY event_timestamp) AS gap"
     ).filter("gap IS NOT NULL")
@@ -108,9 +112,11 @@ def test_stateful_operators_over_two_runs(spark, feed, tmp_path):
 
 def test_url_ttl_is_accepted(spark, feed, tmp_path):
     path = feed("1", (0, "a", "/1", 200), (1, "a", "/2", 200))
-    # Expiry needs processing time, with which an availableNow run would never find itself done.
-    found = run(stateful.rolling_stateful(logs_of(spark, path), url_ttl_ms=3_600_000), tmp_path, {"once": True})
-    assert found.agg(F.max("url_diversity")).first()[0] == 2
+    feed("2", (200, "a", "/3", 200))
+    run(stateful.rolling_stateful(logs_of(spark, path), url_ttl_ms=3_600_000), tmp_path)
+    feed("3", (10_000, None, None, None))  # an end mark, in a run of its own
+    found = run(stateful.rolling_stateful(logs_of(spark, path), url_ttl_ms=3_600_000), tmp_path)
+    assert [r.url_diversity for r in found.orderBy("event_timestamp").collect()] == [1, 2, 1]  # two were forgotten
 
 
 def canonical(spark, *rows):

@@ -371,19 +371,13 @@ ORACLE["top_attack_windows"] = (
 )
 ORACLE["top_suspicious_scores"] = f"SELECT * FROM ({ORACLE['suspicious_scores']}) ORDER BY threat_score DESC, source_ip LIMIT 10"
 
-# Append-mode streams emit a window once the watermark, ten minutes behind, has passed its end.
-CLOSED = "(SELECT max(event_timestamp) FROM logs) - INTERVAL 10 MINUTE"
-
-ORACLE["stream_windowed_stats"] = f"{ORACLE['windowed_stats']} WHERE window_end <= {CLOSED}"
-ORACLE["stream_minute_stats"] = _with(LOGS, f"""SELECT * FROM (
-SELECT date_trunc('minute', event_timestamp) AS window_start, count(*) AS total_logs,
-  count(DISTINCT source_ip) AS unique_ips, CAST(CAST(avg(response_time) AS REAL) AS DOUBLE) AS avg_response_time,
-  count(*) FILTER (status_code >= 400) AS total_errors FROM logs GROUP BY 1)
-WHERE window_start + INTERVAL 1 MINUTE <= {CLOSED}""")
+# A drained stream ends with its last windows.
+ORACLE["stream_windowed_stats"] = ORACLE["windowed_stats"]
+ORACLE["stream_minute_stats"] = ORACLE["minute_stats"]
 ORACLE["stream_alert_topic"] = _with(WINDOWED, """SELECT source_ip AS key, window_start, severity,
   split_part(alert_types, ',', 1) AS first_type, request_count, CAST(CAST(error_rate AS REAL) AS DOUBLE) AS error_rate FROM walerts""")
-ORACLE["stream_alert_store"] = _with(WINDOWED, f"""SELECT source_ip, count(*) AS alert_count, max(window_end) AS last_alert_time,
-  arg_max(severity, window_end) AS last_severity FROM walerts WHERE window_end <= {CLOSED} GROUP BY source_ip""")
+ORACLE["stream_alert_store"] = _with(WINDOWED, """SELECT source_ip, count(*) AS alert_count, max(window_end) AS last_alert_time,
+  arg_max(severity, window_end) AS last_severity FROM walerts GROUP BY source_ip""")
 ORACLE["stream_archive"] = ORACLE["archive_partitions"]
 ORACLE["stream_rolling"] = ORACLE["rolling_basic"]
 ORACLE["stream_cooldown"] = ORACLE["cooldown_alerts"]

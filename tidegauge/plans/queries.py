@@ -30,6 +30,7 @@ from tidegauge.sources.events import event_log_stream, event_logs, raw_text_logs
 from tidegauge.streaming import stateful
 from tidegauge.streaming import store as stream_store
 from tidegauge.streaming import windows as stream_windows
+from tidegauge.streaming.drain import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -363,25 +364,28 @@ def stream_query(name: str):
     return register
 
 
-def drained(stream: DataFrame, path: str) -> DataFrame:
-    """Run an append-mode stream to its end into files and read them back."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", f"{path}/rows")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(**ONCE)
-        .start()
-    )
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
+def drained(build: Callable[[DataFrame], DataFrame], logs: DataFrame, path: str) -> DataFrame:
+    """Run an append-mode stream to its very end into files and read them back."""
+
+    def start(stream: DataFrame):
+        return (
+            build(stream)
+            .writeStream.format("parquet")
+            .option("path", f"{path}/rows")
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(**ONCE)
+            .start()
+        )
+
+    drain(logs, f"{path}/end", start)
+    schema = build(logs).schema
+    return logs.sparkSession.read.schema(schema).parquet(f"{path}/rows")
 
 
 stream_query("stream_windowed_stats")(
-    lambda logs, path: drained(stream_windows.closed_window_stats(logs, WINDOW_CFG), path)
-)
-stream_query("stream_minute_stats")(
-    lambda logs, path: drained(stream_windows.closed_minute_stats(logs), path)
+    lambda logs, path: drained(lambda s: stream_windows.closed_window_stats(s, WINDOW_CFG), logs, path)
 )
+stream_query("stream_minute_stats")(lambda logs, path: drained(stream_windows.closed_minute_stats, logs, path))
 
 
 @stream_query("stream_alert_topic")
@@ -409,8 +413,11 @@ def stream_alert_topic(logs: DataFrame, path: str) -> DataFrame:
 
 @stream_query("stream_alert_store")
 def stream_alert_store(logs: DataFrame, path: str) -> DataFrame:
-    alerts = store.canonical_window_alerts(stream_windows.closed_window_alerts(logs, WINDOW_CFG))
-    stream_store.start_alert_store(alerts, f"{path}/store", f"{path}/checkpoint", trigger=ONCE).awaitTermination()
+    def start(stream: DataFrame):
+        alerts = store.canonical_window_alerts(stream_windows.closed_window_alerts(stream, WINDOW_CFG))
+        return stream_store.start_alert_store(alerts, f"{path}/store", f"{path}/checkpoint", trigger=ONCE)
+
+    drain(logs, f"{path}/end", start)
     return stream_store.read_statistics(logs.sparkSession, f"{path}/store").drop("latest_alert")
 
 
@@ -423,12 +430,15 @@ def stream_archive(logs: DataFrame, path: str) -> DataFrame:
     return stored.groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("rows"))
 
 
-stream_query("stream_rolling")(lambda logs, path: drained(stateful.rolling_stateful(logs), path))
+stream_query("stream_rolling")(lambda logs, path: drained(stateful.rolling_stateful, logs, path))
 
 
 @stream_query("stream_cooldown")
 def stream_cooldown(logs: DataFrame, path: str) -> DataFrame:
     """Two chained stateful operators: rolling features, then the cooldown of the alerts."""
-    alerts = flat_alerts(rules.rule_alerts(stateful.rolling_stateful(logs), RULE_CFG))
-    return drained(stateful.cooldown_stateful(alerts, COOLDOWN_SECONDS), path)
 
+    def build(stream: DataFrame) -> DataFrame:
+        alerts = flat_alerts(rules.rule_alerts(stateful.rolling_stateful(stream), RULE_CFG))
+        return stateful.cooldown_stateful(alerts, COOLDOWN_SECONDS)
+
+    return drained(build, logs, path)

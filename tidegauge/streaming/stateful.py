@@ -1,7 +1,8 @@
 """Rolling features and alert cooldown over unbounded streams, one keyed state per source.
 
-Rows of a source are ordered within a micro-batch; a source's rows in one micro-batch are
-bounded by the source's rate limit. Needs the RocksDB state store (see `build_session`).
+Rows are held until the watermark has passed them and then worked on in the order of their times, so rows
+that come late within the delay get the same results as in a batch. A source's held rows are those of the
+delay. Needs the RocksDB state store (see `build_session`).
 """
 
 from __future__ import annotations
@@ -32,19 +33,80 @@ def trailing_mean(values: np.ndarray, rows: int) -> np.ndarray:
     return total / np.minimum(np.arange(1, len(values) + 1), rows)
 
 
-class RollingFeatures(StatefulProcessor):
-    """State: the requests of the last minute and the last ten, the URLs seen so far and how many they are."""
+class InOrder(StatefulProcessor):
+    """Holds the rows of a key until the watermark passes them; `emit` gets them in order, once each.
 
-    def __init__(self, url_ttl_ms: int | None):
-        self.url_ttl_ms = url_ttl_ms
+    State: the held rows and the earliest time that a timer waits for.
+    """
+
+    columns: list[str]
+    held_schema: str
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", "us bigint, error int, rt double")
-        self.urls = handle.getMapState("urls", "url string", "seen boolean", self.url_ttl_ms)
-        self.count = handle.getValueState("count", "n bigint", self.url_ttl_ms)
+        self.handle = handle
+        self.held = handle.getListState("held", self.held_schema)
+        self.next = handle.getValueState("next", "ms bigint")
+
+    def _wait(self, us: int) -> None:
+        ms = -(-us // 1000)
+        waiting = self.next.get()[0] if self.next.exists() else None
+        if waiting is None or ms < waiting:
+            self.handle.registerTimer(ms)
+            self.next.update((ms,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["us", "event_id"], ignore_index=True)
+        first = None
+        for chunk in rows:
+            self.held.appendList(list(chunk[self.columns].astype(object).where(chunk[self.columns].notna(), None).itertuples(index=False, name=None)))
+            least = int(chunk["us"].min())
+            first = least if first is None else min(first, least)
+        if first is not None:
+            self._wait(first)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = pd.DataFrame(list(self.held.get()), columns=self.columns)
+        due = rows["us"] <= passed
+        rest = rows[~due]
+        self.next.clear()
+        if len(rest):
+            self.held.put(list(rest.astype(object).where(rest.notna(), None).itertuples(index=False, name=None)))
+            self._wait(int(rest["us"].min()))
+        else:
+            self.held.clear()
+        if due.any():
+            yield self.emit(key, rows[due].sort_values(["us", "event_id"], ignore_index=True))
+
+    def close(self) -> None:
+        pass
+
+
+class RollingFeatures(InOrder):
+    """State besides: the requests of the last minute and the last ten, the URLs seen and how many they are."""
+
+    columns = ["event_id", "us", "url", "error", "rt", "hour_of_day", "day_of_week"]
+    held_schema = "event_id bigint, us bigint, url string, error int, rt double, hour_of_day int, day_of_week int"
+
+    def __init__(self, url_ttl_ms: int | None):
+        self.url_ttl_us = None if url_ttl_ms is None else url_ttl_ms * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.recent = handle.getListState("recent", "us bigint, error int, rt double")
+        self.urls = handle.getMapState("urls", "url string", "us bigint")
+        self.count = handle.getValueState("count", "n bigint, swept bigint")
+
+    def _forget(self, now: int, count: int, swept: int) -> tuple[int, int]:
+        """Drop the URLs that were last seen longer ago than they are to be remembered, once in half that time."""
+        if self.url_ttl_us is None or now - swept < self.url_ttl_us // 2:
+            return count, swept
+        old = [k for k, v in self.urls.iterator() if v[0] < now - self.url_ttl_us]
+        for k in old:
+            self.urls.removeKey(k)
+        return count - len(old), now
+
+    def emit(self, key, batch: pd.DataFrame) -> pd.DataFrame:
         kept = np.array(list(self.recent.get()), dtype=object).reshape(-1, 3)
         us, error, rt = (
             np.concatenate([kept[:, i].astype(t), batch[c].to_numpy(dtype=t)])
@@ -52,23 +114,25 @@ class RollingFeatures(StatefulProcessor):
         )
         rate = np.arange(1, len(us) + 1) - np.searchsorted(us, us - 60_000_000, side="right")
 
-        before = self.count.get()[0] if self.count.exists() else 0
+        before, swept = self.count.get() if self.count.exists() else (0, int(us[0]))
+        before, swept = self._forget(int(us[len(kept)]), before, swept)
         first = ~batch["url"].duplicated().to_numpy()
         if before:
             first[first] = [not self.urls.containsKey((url,)) for url in batch["url"][first]]
-        for url in batch["url"][first]:
-            self.urls.updateValue((url,), (True,))
-        self.count.update((int(before + first.sum()),))
+        last = batch.groupby("url", sort=False)["us"].max()
+        for url, seen in last.items() if self.url_ttl_us else zip(batch["url"][first], batch["us"][first], strict=True):
+            self.urls.updateValue((url,), (int(seen),))
+        self.count.update((int(before + first.sum()), int(swept)))
         # What later requests look back on: the last ten, and all that are younger than a minute.
         keep = slice(min(max(len(us) - 10, 0), int(np.searchsorted(us, us[-1] - 60_000_000, side="right"))), None)
         self.recent.put(list(zip(us[keep].tolist(), error[keep].astype(int).tolist(), rt[keep].tolist())))
 
         new = slice(len(kept), None)
-        yield pd.DataFrame(
+        return pd.DataFrame(
             {
                 "event_id": batch["event_id"],
                 "source_ip": key[0],
-                "event_timestamp": batch["event_timestamp"],
+                "event_timestamp": pd.to_datetime(batch["us"], unit="us"),
                 "request_rate": rate[new],
                 "error_rate": trailing_mean(error, 10)[new],
                 "avg_response_time": trailing_mean(rt, 10)[new],
@@ -78,69 +142,72 @@ class RollingFeatures(StatefulProcessor):
             }
         )
 
-    def close(self) -> None:
-        pass
-
 
-def rolling_stateful(logs: DataFrame, url_ttl_ms: int | None = None) -> DataFrame:
-    """Streaming twin of `rolling_basic`.
+def rolling_stateful(
+    logs: DataFrame, url_ttl_ms: int | None = None, delay: str = DetectionConfig.watermark
+) -> DataFrame:
+    """Streaming twin of `rolling_basic`; requests come out once the watermark, `delay` behind, has passed them.
 
-    `url_ttl_ms` bounds the state: a URL recorded longer ago counts anew. Expiry runs on
-    processing time, so such a query is for continuous triggers, not for availableNow.
+    `url_ttl_ms` bounds the state in event time: a URL last seen longer ago counts anew.
     """
-    rows = logs.filter(F.col("event_timestamp").isNotNull()).select(
-        "event_id",
-        "source_ip",
-        "event_timestamp",
-        # No URL is one of its own, apart from the empty one.
-        F.coalesce(F.concat(F.lit("/"), "url"), F.lit("")).alias("url"),
-        F.unix_micros("event_timestamp").alias("us"),
-        F.when(F.col("status_code") >= 400, 1).otherwise(0).alias("error"),
-        F.coalesce("response_time", F.lit(0.0)).alias("rt"),
-        F.hour("event_timestamp").alias("hour_of_day"),
-        F.weekday("event_timestamp").alias("day_of_week"),
+    rows = (
+        logs.filter(F.col("event_timestamp").isNotNull())
+        .withWatermark("event_timestamp", delay)
+        .select(
+            "event_id",
+            "source_ip",
+            "event_timestamp",
+            # No URL is one of its own, apart from the empty one.
+            F.coalesce(F.concat(F.lit("/"), "url"), F.lit("")).alias("url"),
+            F.unix_micros("event_timestamp").alias("us"),
+            F.when(F.col("status_code") >= 400, 1).otherwise(0).alias("error"),
+            F.coalesce("response_time", F.lit(0.0)).alias("rt"),
+            F.hour("event_timestamp").alias("hour_of_day"),
+            F.weekday("event_timestamp").alias("day_of_week"),
+        )
     )
     return rows.groupBy("source_ip").transformWithStateInPandas(
-        RollingFeatures(url_ttl_ms),
-        FEATURES,
-        "Append",
-        "None" if url_ttl_ms is None else "ProcessingTime",
+        RollingFeatures(url_ttl_ms), FEATURES, "Append", "EventTime", eventTimeColumnName="event_timestamp"
     )
 
 
-class Cooldown(StatefulProcessor):
-    """State: the time of the last kept alert."""
+class Cooldown(InOrder):
+    """State besides: the time of the last kept alert."""
 
-    def __init__(self, gap: int, ttl_ms: int | None):
-        self.gap, self.ttl_ms = gap, ttl_ms
+    def __init__(self, gap: int, schema: str, columns: list[str]):
+        self.gap, self.held_schema, self.columns = gap, schema, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "us bigint", self.ttl_ms)
+        super().init(handle)
+        self.last = handle.getValueState("last", "us bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["alert_us", "event_id"], ignore_index=True)
+    def emit(self, key, batch: pd.DataFrame) -> pd.DataFrame:
         last = self.last.get()[0] if self.last.exists() else None
-        keep, last = spaced(batch["alert_us"].to_numpy(), last, self.gap)
+        keep, last = spaced(batch["us"].to_numpy(), last, self.gap)
         if last is not None:
             self.last.update((int(last),))
-        yield batch[keep].drop(columns="alert_us")
-
-    def close(self) -> None:
-        pass
+        kept = batch[keep].drop(columns="us")
+        return kept.assign(event_timestamp=pd.to_datetime(batch["us"][keep], unit="us"))
 
 
 def cooldown_stateful(
-    alerts: DataFrame, seconds: float = DetectionConfig.cooldown_seconds, ttl_ms: int | None = None
+    alerts: DataFrame, seconds: float = DetectionConfig.cooldown_seconds, delay: str | None = None
 ) -> DataFrame:
     """Streaming twin of `apply_cooldown`; alerts need event_id, source_ip and event_timestamp.
 
-    Column names must not start with an underscore: rows reach the processor as named tuples.
+    Give `delay` unless the alerts have a watermark already, as those of `rolling_stateful` do. Column names must
+    not start with an underscore: rows reach the processor as named tuples.
     """
-    timed = alerts.withColumn("alert_us", F.unix_micros("event_timestamp"))
+    if delay is not None:
+        alerts = alerts.withWatermark("event_timestamp", delay)
+    fields = [f for f in alerts.schema if f.name != "event_timestamp"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in alerts.schema)
+    held = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "us bigint"])
+    timed = alerts.withColumn("us", F.unix_micros("event_timestamp"))
     return timed.groupBy("source_ip").transformWithStateInPandas(
-        Cooldown(int(seconds * 1_000_000), ttl_ms),
+        Cooldown(int(seconds * 1_000_000), held, [*(f.name for f in fields), "us"]),
         schema,
         "Append",
-        "None" if ttl_ms is None else "ProcessingTime",
+        "EventTime",
+        eventTimeColumnName="event_timestamp",
     )
