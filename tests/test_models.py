@@ -76,10 +76,11 @@ def test_ensemble_round_trip(spark, requests, fitted, tmp_path):
 
 
 def test_ensemble_guards(requests):
-    assert ensemble.fit_ensemble(requests.limit(99), SMALL) is None
-    calm = ensemble.fit_ensemble(requests.filter(OTHERS), SMALL)
-    assert calm.classifier is None
-    assert ensemble.score_ensemble(calm, requests).agg(F.max("vote")).first()[0] == 0
+    calm = ensemble.fit_ensemble(requests.filter(OTHERS).filter("is_attack = 0").limit(60), SMALL)
+    assert calm.classifier is None and calm.forest.offset is not None
+    scored = ensemble.score_ensemble(calm, requests)
+    assert scored.filter("vote IS NOT NULL OR attack_probability IS NOT NULL").count() == 0
+    assert ensemble.ensemble_alerts(scored).filter("exists(alerts, a -> a.type = 'random_forest_classification')").count() == 0
 
 
 def test_forest_ranks_planted_outliers_first(spark):

@@ -20,11 +20,8 @@ def test_agrees_with_sql(spark, duck, name):
     assert difference(QUERIES[name](spark, SF), duck, ORACLE[name]) is None
 
 
-# anomaly_clusters may be empty on few rows; the ensemble is covered by test_models.
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - {"anomaly_clusters", "ensemble_alerts"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_returns_rows(spark, name):
-    if name in ("rf_scores", "gbt_scores", "rf_metrics"):
-        pytest.skip("too few attacks at this scale; see test_models")
     assert QUERIES[name](spark, SF).limit(1).count() == 1
 
 

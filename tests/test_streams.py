@@ -204,3 +204,43 @@ def test_retraining(spark, tmp_path, logs):
     assert [p.name for p in (tmp_path / "m" / "models").iterdir()] == ["version=1"]
     model = Ensemble.load(spark, f"{tmp_path}/m/models/version=1", with_classifier=False)
     assert model.forest.offset is not None
+    jobs.fit_collected(spark, f"{tmp_path}/m", cfg)
+    assert (tmp_path / "m" / "models" / "last").exists()
+
+
+def test_live_model_alerts_are_published_and_stored(spark, tmp_path, logs):
+    """Streamed scores equal those of a batch with the same saved model; alerts go over a topic into the store."""
+    from tidegauge.operators import cooldown, ensemble
+    from tidegauge.streaming import detect
+    from tidegauge.streaming.drain import drain
+
+    labelled = rolling.pseudo_labels(rolling.rolling_ml(logs), 3, 0.4, 2)
+    models = ModelConfig(trees=5, depth=3, outlier_distance=6.0)
+    ensemble.fit_ensemble(labelled, models).save(spark, f"{tmp_path}/model")
+    model = ensemble.Ensemble.load(spark, f"{tmp_path}/model")
+    raw = f"{tmp_path}/raw"
+    logs.write.parquet(raw)
+    stream = spark.readStream.schema(logs.schema).parquet(raw)
+    cfg = DetectionConfig(request_rate=3, error_rate=0.4, response_time=4.0, scan_rate=1)
+
+    def publish(name, build):
+        def start(source):
+            alerts = build(source)
+            return detect.start_publishing(alerts, f"{tmp_path}/topics/{name}", f"{tmp_path}/cp/{name}", "json", ONCE)
+
+        drain(stream, f"{tmp_path}/end/{name}", start)
+
+    publish("ml", lambda s: detect.live_ml_alerts(s, model, cfg, models))
+    publish("rules", lambda s: detect.live_rule_alerts(s, cfg))
+    topics = [f"{tmp_path}/topics/{name}" for name in ("ml", "rules")]
+    detect.start_store_of_topics(spark, topics, f"{tmp_path}/store", f"{tmp_path}/cp/store", "json", ONCE).awaitTermination()
+    found = stream_store.read_store(spark, f"{tmp_path}/store")
+
+    scored = ensemble.ensemble_alerts(ensemble.score_ensemble(model, rolling.rolling_ml(logs)), models.outlier_distance)
+    batch = cooldown.apply_cooldown(scored, cfg.cooldown_seconds)
+    ml = found.filter("detection_method = 'mahout_ml'")
+    assert ml.count() == batch.count() > 0
+    assert {(r.source_ip, r.alert_ts) for r in ml.collect()} == {(r.source_ip, r.event_timestamp) for r in batch.collect()}
+    assert found.filter("detection_method = 'rule_based'").count() > 0
+    stats = stream_store.read_statistics(spark, f"{tmp_path}/store")
+    assert stats.agg(F.sum("alert_count")).first()[0] == found.count()

@@ -57,7 +57,7 @@ def kmeans_outliers(model: PipelineModel, features: DataFrame, threshold: float
 
 @dataclass
 class Ensemble:
-    """The fitted detectors; `classifier` is None when there were too few attacks to learn from."""
+    """The fitted detectors; `classifier` is None when one of the classes had no row to learn from."""
 
     clusters: PipelineModel
     forest: IsolationForest
@@ -80,32 +80,36 @@ class Ensemble:
         )
 
 
-def fit_ensemble(labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_attack") -> Ensemble | None:
-    """Fit on rolling features with a pseudo-label column; None below `min_rows` rows.
+def fit_ensemble(
+    labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_attack", classifier_rows: DataFrame | None = None
+) -> Ensemble:
+    """Fit on rolling features with a pseudo-label column.
 
-    The forest of decision trees is only fitted with more than `min_positives` attacks.
+    The clusters and the isolation forest need no labels and are fitted on all rows; the classifier on
+    `classifier_rows`, by default all, and only if both classes are among them.
     """
     with persisted(labelled) as kept:
-        counts = kept.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("positives")).first()
-        if counts.n < cfg.min_rows:
-            return None
         clusters = fit_outlier_kmeans(kept, cfg)
         scaled = _with_z(clusters.transform(kept))
         forest = fit_iforest(scaled, Z, KEYS, trees=cfg.trees, contamination=cfg.contamination, seed=cfg.seed)
+        examples = scaled if classifier_rows is None else _with_z(clusters.transform(classifier_rows))
         classifier = None
-        if counts.positives > cfg.min_positives:
+        if examples.select(label).distinct().count() > 1:
             classifier = RandomForestClassifier(
                 featuresCol="features", labelCol=label, predictionCol="vote", numTrees=cfg.trees,
                 maxDepth=cfg.depth, maxBins=cfg.bins, seed=cfg.seed,
-            ).fit(scaled)
+            ).fit(examples)
         return Ensemble(clusters, forest, classifier)
 
 
 def score_ensemble(model: Ensemble, features: DataFrame) -> DataFrame:
-    """Rolling features with `cluster`, `distance`, `decision`, `vote` and `attack_probability`."""
+    """Rolling features with `cluster`, `distance`, `decision`, `vote` and `attack_probability`.
+
+    Without a classifier nobody was asked: vote and probability are null.
+    """
     scored = model.forest.score(_with_z(with_distance(model.clusters, features)))
     if model.classifier is None:
-        scored = scored.withColumns({"vote": F.lit(0.0), "attack_probability": F.lit(0.0)})
+        scored = scored.withColumns({c: F.lit(None).cast("double") for c in ("vote", "attack_probability")})
     else:
         scored = model.classifier.transform(scored).withColumn("attack_probability", attack_probability())
     return scored.drop("raw_features", "features", "rawPrediction", "probability", *Z)

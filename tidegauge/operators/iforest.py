@@ -120,22 +120,17 @@ class IsolationForest:
 
 
 def tree_samples(features: DataFrame, keys: list[str], rows: int, trees: int, sample: int, seed: int) -> DataFrame:
-    """`sample` of the `rows` rows per tree, chosen by hash so that a retried task chooses the same.
+    """About `sample` of the `rows` rows for each tree, chosen by hash so that a retried task chooses the same.
 
-    A table with plenty of rows deals each drawn row to one tree; a small one offers every row
-    to every tree. Either way two to three times the wanted rows are drawn and the surplus is
-    cut, so a tree's group stays small.
+    Every row draws for every tree, at any number of rows: the expected number of copies is `trees` x three
+    times `sample`, and the surplus is cut, so a tree's group stays small.
     """
     grain = 1 << 40
     draw = lambda *parts: F.pmod(F.xxhash64(F.lit(seed), *parts, *keys), F.lit(grain))
-    below = lambda share: int(min(1.0, share) * grain)
-    if rows > 4 * trees * sample:
-        drawn = features.filter(draw(F.lit("row")) < below(2 * trees * sample / rows))
-        offered = drawn.withColumn("tree", F.pmod(draw(F.lit("tree")), F.lit(trees)).cast("int"))
-    else:
-        offered = features.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).filter(
-            draw(F.col("tree")) < below(3 * sample / max(rows, 1))
-        )
+    limit = int(min(1.0, 3 * sample / max(rows, 1)) * grain)
+    # A row meets few trees or none: the list of its trees is made before it is copied.
+    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < limit)
+    offered = features.withColumn("tree", F.explode(mine))
     order = Window.partitionBy("tree").orderBy(draw(F.col("tree")), *keys)
     return offered.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample).drop("_n")
 

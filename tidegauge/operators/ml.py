@@ -84,12 +84,12 @@ def split(features: DataFrame, keys=("window_start", "source_ip"), share: int =
 
 
 def require_two_classes(features: DataFrame, label: str, cfg: ModelConfig) -> None:
-    """Tree classifiers need more than `min_positives` attacks and some normal rows."""
+    """Tree classifiers need rows of both classes."""
     counts = features.agg(
         F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives")
     ).first()
-    if counts.positives <= cfg.min_positives or counts.negatives == 0:
-        raise ValueError(f"too few examples of one class: {counts.positives} attacks, {counts.negatives} normal")
+    if counts.positives == 0 or counts.negatives == 0:
+        raise ValueError(f"no examples of one class: {counts.positives} attacks, {counts.negatives} normal")
 
 
 def _fit_labelled(features: DataFrame, columns, stage, label: str, cfg: ModelConfig) -> PipelineModel:

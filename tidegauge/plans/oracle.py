@@ -381,3 +381,4 @@ ORACLE["stream_alert_store"] = _with(WINDOWED, """SELECT source_ip, count(*) AS
 ORACLE["stream_archive"] = ORACLE["archive_partitions"]
 ORACLE["stream_rolling"] = ORACLE["rolling_basic"]
 ORACLE["stream_cooldown"] = ORACLE["cooldown_alerts"]
+ORACLE["stream_rolling_ml"] = ORACLE["rolling_ml"]

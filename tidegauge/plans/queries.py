@@ -346,6 +346,19 @@ def ensemble_alerts(logs: DataFrame) -> DataFrame:
     )
 
 
+@query("ml_alert_store")
+def ml_alert_store(logs: DataFrame) -> DataFrame:
+    """Alerts of all three detectors in one store."""
+    labelled = labelled_requests(logs)
+    scored = ensemble.score_ensemble(ensemble.fit_ensemble(labelled), labelled)
+    stored = store.to_alert_store(
+        store.canonical_rule_alerts(rule_alert_rows(logs)),
+        store.canonical_window_alerts(windows.windowed_alerts(logs, WINDOW_CFG)),
+        store.canonical_ml_alerts(ensemble.ensemble_alerts(scored, threshold=6.0)),
+    )
+    return stored.select("rowkey", "alert_ts", "source_ip", "severity", "detection_method", joined_types().alias("alert_types"))
+
+
 # Streams ---------------------------------------------------------------------------------
 
 ONCE = {"availableNow": True}
@@ -433,6 +446,9 @@ def stream_archive(logs: DataFrame, path: str) -> DataFrame:
 stream_query("stream_rolling")(lambda logs, path: drained(stateful.rolling_stateful, logs, path))
 
 
+stream_query("stream_rolling_ml")(lambda logs, path: drained(stateful.rolling_ml_stateful, logs, path))
+
+
 @stream_query("stream_cooldown")
 def stream_cooldown(logs: DataFrame, path: str) -> DataFrame:
     """Two chained stateful operators: rolling features, then the cooldown of the alerts."""

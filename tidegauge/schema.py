@@ -137,7 +137,6 @@ class ModelConfig:
     seed: int = 42
     outlier_distance: float = 2.5
     contamination: float = 0.1
-    min_rows: int = 100
-    min_positives: int = 10
     retrain_every: int = 500
+    # Newest labelled rows that the classifier is fitted on; the unlabelled detectors take all rows.
     retrain_over: int = 1000

@@ -74,7 +74,8 @@ def start_retraining(
 ) -> StreamingQuery:
     """Collect labelled rolling features and refit the ensemble every `retrain_every` rows.
 
-    Each fit uses the newest `retrain_over` rows and is saved as `path`/models/version=<batch>.
+    Each fit takes all rows collected so far (the classifier the newest `retrain_over`) and is saved as
+    `path`/models/version=<batch>. Call `fit_collected` after stopping for a last fit.
     The number of rows at the last fit is derived from the table, so a restart goes on as before.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -89,10 +90,18 @@ def start_retraining(
         ).first()
         if sizes.now // cfg.retrain_every == sizes.before // cfg.retrain_every:
             return
-        newest = table.orderBy(F.desc("event_timestamp"), F.desc("event_id")).limit(cfg.retrain_over)
-        model = fit_ensemble(newest.drop("batch_id"), cfg)
-        if model is not None:
-            model.save(spark, f"{path}/models/version={batch_id}")
+        _fit(spark, path, cfg, f"version={batch_id}")
 
     writer = features.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(step)
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def _fit(spark: SparkSession, path: str, cfg: ModelConfig, name: str) -> None:
+    table = spark.read.parquet(f"{path}/features").drop("batch_id")
+    newest = table.orderBy(F.desc("event_timestamp"), F.desc("event_id")).limit(cfg.retrain_over)
+    fit_ensemble(table, cfg, classifier_rows=newest).save(spark, f"{path}/models/{name}")
+
+
+def fit_collected(spark: SparkSession, path: str, cfg: ModelConfig = ModelConfig()) -> None:
+    """A last fit over all rows that a stopped retraining has collected, saved as `path`/models/last."""
+    _fit(spark, path, cfg, "last")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidegauge.operators.cooldown import spaced
-from tidegauge.schema import DetectionConfig
+from tidegauge.schema import ML_FEATURES, DetectionConfig
 
 FEATURES = (
     "event_id bigint, source_ip string, event_timestamp timestamp, request_rate bigint, error_rate double, "
@@ -82,18 +82,19 @@ class InOrder(StatefulProcessor):
         pass
 
 
-class RollingFeatures(InOrder):
-    """State besides: the requests of the last minute and the last ten, the URLs seen and how many they are."""
+class _Rolling(InOrder):
+    """State besides: the requests that later ones look back on, the URLs seen and how many they are."""
 
-    columns = ["event_id", "us", "url", "error", "rt", "hour_of_day", "day_of_week"]
-    held_schema = "event_id bigint, us bigint, url string, error int, rt double, hour_of_day int, day_of_week int"
+    lookback: int
+    recent_schema: str
+    recent_columns: list[str]
 
     def __init__(self, url_ttl_ms: int | None):
         self.url_ttl_us = None if url_ttl_ms is None else url_ttl_ms * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.recent = handle.getListState("recent", "us bigint, error int, rt double")
+        self.recent = handle.getListState("recent", self.recent_schema)
         self.urls = handle.getMapState("urls", "url string", "us bigint")
         self.count = handle.getValueState("count", "n bigint, swept bigint")
 
@@ -106,16 +107,9 @@ class RollingFeatures(InOrder):
             self.urls.removeKey(k)
         return count - len(old), now
 
-    def emit(self, key, batch: pd.DataFrame) -> pd.DataFrame:
-        kept = np.array(list(self.recent.get()), dtype=object).reshape(-1, 3)
-        us, error, rt = (
-            np.concatenate([kept[:, i].astype(t), batch[c].to_numpy(dtype=t)])
-            for i, (c, t) in enumerate((("us", np.int64), ("error", float), ("rt", float)))
-        )
-        rate = np.arange(1, len(us) + 1) - np.searchsorted(us, us - 60_000_000, side="right")
-
-        before, swept = self.count.get() if self.count.exists() else (0, int(us[0]))
-        before, swept = self._forget(int(us[len(kept)]), before, swept)
+    def _urls_so_far(self, batch: pd.DataFrame) -> np.ndarray:
+        before, swept = self.count.get() if self.count.exists() else (0, int(batch["us"].iloc[0]))
+        before, swept = self._forget(int(batch["us"].iloc[0]), before, swept)
         first = ~batch["url"].duplicated().to_numpy()
         if before:
             first[first] = [not self.urls.containsKey((url,)) for url in batch["url"][first]]
@@ -123,26 +117,107 @@ class RollingFeatures(InOrder):
         for url, seen in last.items() if self.url_ttl_us else zip(batch["url"][first], batch["us"][first], strict=True):
             self.urls.updateValue((url,), (int(seen),))
         self.count.update((int(before + first.sum()), int(swept)))
-        # What later requests look back on: the last ten, and all that are younger than a minute.
-        keep = slice(min(max(len(us) - 10, 0), int(np.searchsorted(us, us[-1] - 60_000_000, side="right"))), None)
-        self.recent.put(list(zip(us[keep].tolist(), error[keep].astype(int).tolist(), rt[keep].tolist())))
+        return before + np.cumsum(first)
+
+    def _with_recent(self, batch: pd.DataFrame) -> tuple[pd.DataFrame, slice]:
+        """The remembered requests followed by the new ones, and the place of these; remembers anew."""
+        kept = pd.DataFrame(list(self.recent.get()), columns=self.recent_columns)
+        rows = pd.concat([kept, batch[self.recent_columns]], ignore_index=True) if len(kept) else batch[self.recent_columns]
+        us = rows["us"].to_numpy(np.int64)
+        # The last few, and all that are younger than a minute.
+        start = min(max(len(us) - self.lookback, 0), int(np.searchsorted(us, us[-1] - 60_000_000, side="right")))
+        self.recent.put(list(rows.iloc[start:].astype(object).itertuples(index=False, name=None)))
+        return rows, slice(len(kept), None)
 
-        new = slice(len(kept), None)
+
+def _younger(us: np.ndarray, seconds: int) -> np.ndarray:
+    return np.arange(1, len(us) + 1) - np.searchsorted(us, us - seconds * 1_000_000, side="right")
+
+
+class RollingFeatures(_Rolling):
+    """The six features of the rules."""
+
+    columns = ["event_id", "us", "url", "error", "rt", "hour_of_day", "day_of_week"]
+    held_schema = "event_id bigint, us bigint, url string, error int, rt double, hour_of_day int, day_of_week int"
+    lookback = 10
+    recent_columns = ["us", "error", "rt"]
+    recent_schema = "us bigint, error int, rt double"
+
+    def emit(self, key, batch: pd.DataFrame) -> pd.DataFrame:
+        rows, new = self._with_recent(batch)
+        us = rows["us"].to_numpy(np.int64)
         return pd.DataFrame(
             {
                 "event_id": batch["event_id"],
                 "source_ip": key[0],
                 "event_timestamp": pd.to_datetime(batch["us"], unit="us"),
-                "request_rate": rate[new],
-                "error_rate": trailing_mean(error, 10)[new],
-                "avg_response_time": trailing_mean(rt, 10)[new],
-                "url_diversity": before + np.cumsum(first),
+                "request_rate": _younger(us, 60)[new],
+                "error_rate": trailing_mean(rows["error"].to_numpy(float), 10)[new],
+                "avg_response_time": trailing_mean(rows["rt"].to_numpy(float), 10)[new],
+                "url_diversity": self._urls_so_far(batch),
                 "hour_of_day": batch["hour_of_day"],
                 "day_of_week": batch["day_of_week"],
             }
         )
 
 
+def _windows(values: np.ndarray, rows: int) -> np.ndarray:
+    """The last `rows` values up to each position, NaN where there are fewer."""
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(rows - 1, np.nan), values.astype(float)]), rows)
+
+
+def _distinct(values: pd.Series, rows: int) -> np.ndarray:
+    codes = np.sort(_windows(pd.factorize(values)[0], rows), axis=1)
+    return 1 + (np.diff(codes, axis=1) > 0).sum(axis=1)  # NaN sorts last and compares false
+
+
+class RollingModelFeatures(_Rolling):
+    """The 19 features of the models."""
+
+    columns = ["event_id", "us", "url", "status", "rt", "size", "method", "agent", "hour_of_day", "day_of_week"]
+    held_schema = (
+        "event_id bigint, us bigint, url string, status int, rt double, size bigint, method string, agent string, "
+        "hour_of_day int, day_of_week int"
+    )
+    recent_columns = ["us", "status", "rt", "size", "method", "agent"]
+    recent_schema = "us bigint, status int, rt double, size bigint, method string, agent string"
+
+    def __init__(self, rows: int, url_ttl_ms: int | None):
+        super().__init__(url_ttl_ms)
+        self.lookback = rows
+
+    def emit(self, key, batch: pd.DataFrame) -> pd.DataFrame:
+        rows, new = self._with_recent(batch)
+        n, us = self.lookback, rows["us"].to_numpy(np.int64)
+        status = rows["status"].to_numpy(float)
+        share = lambda flags: np.nanmean(_windows(np.asarray(flags), n), axis=1)[new]
+        rt, size = _windows(rows["rt"].to_numpy(float), n), _windows(rows["size"].to_numpy(float), n)
+        urls, hour = self._urls_so_far(batch), batch["hour_of_day"]
+        found = {
+            "request_rate": _younger(us, 60)[new],
+            "burst_rate": _younger(us, 10)[new],
+            "error_rate": share(status >= 400),
+            "error_4xx_rate": share((status >= 400) & (status < 500)),
+            "error_5xx_rate": share(status >= 500),
+            "avg_response_time": np.nanmean(rt, axis=1)[new],
+            "max_response_time": np.nanmax(rt, axis=1)[new],
+            "std_response_time": np.nanstd(rt, axis=1)[new],
+            "avg_bytes": np.nanmean(size, axis=1)[new],
+            "total_bytes": np.nansum(size, axis=1)[new].astype(np.int64),
+            "url_diversity": urls,
+            "url_entropy": np.log2(urls),
+            "method_diversity": _distinct(rows["method"], n)[new],
+            "get_ratio": share(rows["method"] == "GET"),
+            "agent_diversity": _distinct(rows["agent"], n)[new],
+            "is_bot": np.nanmax(_windows(rows["agent"].str.lower().str.contains("bot", regex=False).to_numpy(), n), axis=1)[new].astype(int),
+            "hour_of_day": hour,
+            "is_business_hours": hour.between(9, 17).astype(int),
+            "is_weekend": (batch["day_of_week"] >= 5).astype(int),
+        }
+        head = {"event_id": batch["event_id"], "source_ip": key[0], "event_timestamp": pd.to_datetime(batch["us"], unit="us")}
+        return pd.DataFrame(head | {name: found[name] for name in ML_FEATURES})
+
+
 def rolling_stateful(
     logs: DataFrame, url_ttl_ms: int | None = None, delay: str = DetectionConfig.watermark
 ) -> DataFrame:
@@ -171,6 +246,40 @@ def rolling_stateful(
     )
 
 
+WHOLE = ("method_diversity", "agent_diversity", "is_bot", "hour_of_day", "is_business_hours", "is_weekend")
+COUNTED = ("request_rate", "burst_rate", "total_bytes", "url_diversity")
+MODEL_FEATURES = "event_id bigint, source_ip string, event_timestamp timestamp, " + ", ".join(
+    f"{name} {'int' if name in WHOLE else 'bigint' if name in COUNTED else 'double'}" for name in ML_FEATURES
+)
+
+
+def rolling_ml_stateful(
+    logs: DataFrame, rows: int = 20, url_ttl_ms: int | None = None, delay: str = DetectionConfig.watermark
+) -> DataFrame:
+    """Streaming twin of `rolling_ml`: the 19 model features of each request, in order of event time."""
+    needed = (
+        logs.filter(F.col("event_timestamp").isNotNull())
+        .withWatermark("event_timestamp", delay)
+        .select(
+            "event_id",
+            "source_ip",
+            "event_timestamp",
+            F.coalesce(F.concat(F.lit("/"), "url"), F.lit("")).alias("url"),
+            F.unix_micros("event_timestamp").alias("us"),
+            F.coalesce("status_code", F.lit(0)).alias("status"),
+            F.coalesce("response_time", F.lit(0.0)).alias("rt"),
+            F.coalesce("bytes_sent", F.lit(0)).cast("bigint").alias("size"),
+            F.coalesce("method", F.lit("GET")).alias("method"),
+            F.coalesce("user_agent", F.lit("")).alias("agent"),
+            F.hour("event_timestamp").alias("hour_of_day"),
+            F.weekday("event_timestamp").alias("day_of_week"),
+        )
+    )
+    return needed.groupBy("source_ip").transformWithStateInPandas(
+        RollingModelFeatures(rows, url_ttl_ms), MODEL_FEATURES, "Append", "EventTime", eventTimeColumnName="event_timestamp"
+    )
+
+
 class Cooldown(InOrder):
     """State besides: the time of the last kept alert."""
 
