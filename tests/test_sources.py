@@ -135,3 +135,12 @@ def test_dashboard(logs):
     results = live_dashboard(logs, attack_windows(logs, 8, 2, 2.5))
     assert all(df.count() >= 0 for df in results.values())
     assert results["response_histogram"].agg(F.sum("count")).first()[0] == 200
+
+
+def test_scratch_is_cleared(spark):
+    from tidegauge.session import clear_scratch, scratch_path
+
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert clear_scratch(spark) >= 1
+    assert clear_scratch(spark) == 0

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: list[str] = []
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -55,7 +56,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name on the storage that all executors share."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process has named, once no result reads them any more."""
+    deleted = 0
+    while _scratch:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        deleted += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return deleted
 
 
 def use_rocksdb(spark: SparkSession) -> None:
