@@ -382,3 +382,27 @@ ORACLE["stream_archive"] = ORACLE["archive_partitions"]
 ORACLE["stream_rolling"] = ORACLE["rolling_basic"]
 ORACLE["stream_cooldown"] = ORACLE["cooldown_alerts"]
 ORACLE["stream_rolling_ml"] = ORACLE["rolling_ml"]
+ORACLE["metrics_of_rule"] = _with(TUMBLED + """,
+c AS (SELECT is_attack AS label, CAST(error_rate > 0.4 AS DOUBLE) AS prediction FROM labelled),
+k AS (SELECT DISTINCT label AS class FROM c UNION SELECT DISTINCT prediction FROM c),
+n AS (SELECT class, (SELECT count(*) FROM c WHERE label = class) AS actual, (SELECT count(*) FROM c WHERE prediction = class) AS predicted,
+             (SELECT count(*) FROM c WHERE label = class AND prediction = class) AS tp FROM k),
+m AS (SELECT sum(tp) / sum(actual) AS r, sum(CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END * actual) / sum(actual) AS p FROM n)""",
+    """SELECT CAST(CAST(r AS REAL) AS DOUBLE) AS accuracy, CAST(CAST(p AS REAL) AS DOUBLE) AS weighted_precision,
+  CAST(CAST(r AS REAL) AS DOUBLE) AS weighted_recall, CAST(CAST(2 * p * r / (p + r) AS REAL) AS DOUBLE) AS f1 FROM m""")
+ORACLE["profile_of_rule"] = _with(TUMBLED, """SELECT CAST(request_count > 5 AS INTEGER) + 2 * CAST(error_rate > 0.3 AS INTEGER) AS cluster,
+  count(*) AS "count", CAST(CAST(avg(request_count) AS REAL) AS DOUBLE) AS avg_requests, CAST(CAST(avg(request_rate) AS REAL) AS DOUBLE) AS avg_requests_per_minute,
+  CAST(CAST(avg(error_rate) AS REAL) AS DOUBLE) AS avg_error_rate, CAST(CAST(avg(avg_response_time) AS REAL) AS DOUBLE) AS avg_response_time,
+  CAST(CAST(avg(url_diversity) AS REAL) AS DOUBLE) AS avg_url_diversity, avg(request_rate) > 1.2 OR avg(error_rate) > 0.5 AS is_anomaly
+FROM v1 GROUP BY 1""")
+ORACLE["votes_of_scores"] = _with(LOGS + ROLLING + """,
+v AS (
+  SELECT event_id, avg_response_time AS d, 0.2 - error_rate AS s, burst_rate > 1 AS b, get_ratio * 100 AS pct FROM rolled),
+a AS (
+  SELECT event_id,
+         concat_ws(',', CASE WHEN d > 3.5 THEN 'kmeans_anomaly:HIGH' END, CASE WHEN s < 0 THEN 'isolation_forest_anomaly:MEDIUM' END,
+                   CASE WHEN b THEN 'random_forest_classification:' || CASE WHEN pct > 80 THEN 'HIGH' ELSE 'MEDIUM' END END) AS items,
+         CAST(d > 3.5 AS INTEGER) + CAST(s < 0 AS INTEGER) + CAST(b AS INTEGER) AS n,
+         CASE WHEN d > 3.5 THEN least(100, d * 20) ELSE 0 END + CASE WHEN s < 0 THEN least(100, abs(s) * 50) ELSE 0 END + CASE WHEN b THEN pct ELSE 0 END AS total
+  FROM v)""", """SELECT event_id, items AS alert_types, CAST(CAST(total / n AS REAL) AS DOUBLE) AS confidence, n AS models_used FROM a WHERE n > 0""")
+ORACLE["model_round_trip"] = _with(TUMBLED, "SELECT count(*) AS windows, CAST(0 AS BIGINT) AS moved FROM v1")

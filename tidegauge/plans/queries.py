@@ -318,6 +318,50 @@ def batch_predictions(logs: DataFrame) -> DataFrame:
     return spark.read.parquet(predictions)
 
 
+# What models hand on, checked with predictions and scores that a rule gives.
+
+
+@query("metrics_of_rule")
+def metrics_of_rule(logs: DataFrame) -> DataFrame:
+    predicted = labelled_windows(logs).withColumn("prediction", (F.col("error_rate") > 0.4).cast("double"))
+    return ml.classification_metrics(ml.confusion(predicted))
+
+
+@query("profile_of_rule")
+def profile_of_rule(logs: DataFrame) -> DataFrame:
+    cluster = (F.col("request_count") > 5).cast("int") + 2 * (F.col("error_rate") > 0.3).cast("int")
+    return ml.cluster_profile(windows.window_features_v2(logs).withColumn("cluster", cluster), 1.2)
+
+
+@query("votes_of_scores")
+def votes_of_scores(logs: DataFrame) -> DataFrame:
+    scored = rolling.rolling_ml(logs).withColumns(
+        {
+            "cluster": F.lit(0),
+            "distance": F.col("avg_response_time"),
+            "decision": 0.2 - F.col("error_rate"),
+            "vote": (F.col("burst_rate") > 1).cast("double"),
+            "attack_probability": F.col("get_ratio"),
+        }
+    )
+    return ensemble.ensemble_alerts(scored, threshold=3.5).select(
+        "event_id", joined_types_of_items().alias("alert_types"), "confidence", "models_used"
+    )
+
+
+@query("model_round_trip")
+def model_round_trip(logs: DataFrame) -> DataFrame:
+    """Windows that a saved and loaded model puts into another cluster than the model itself."""
+    features = cut_lineage(windows.window_features_v2(logs))
+    path = scratch_path(logs.sparkSession, "models")
+    model = ml.fit_kmeans(features, WINDOW_V2_FEATURES, k=3)
+    ml.save_model(logs.sparkSession, model, path, "kmeans", WINDOW_V2_FEATURES)
+    keys = ["source_ip", "window_start"]
+    before, after = (ml.score(m, features).select(*keys, "cluster") for m in (model, ml.load_model(path, "kmeans")))
+    both = before.join(after.withColumnRenamed("cluster", "loaded"), keys)
+    return both.agg(F.count("*").alias("windows"), F.count_if(F.col("cluster") != F.col("loaded")).alias("moved"))
+
+
 def labelled_requests(logs: DataFrame) -> DataFrame:
     return rolling.pseudo_labels(rolling.rolling_ml(logs), 3, 0.4, 2)
 
