@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column
 
 #: N-grams of a profile, and of a document, at most.
 PROFILE = 400
