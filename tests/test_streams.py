@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import rolling, store, windows
 from tidegauge.plans.analyses import start_detection
-from tidegauge.schema import LOG_FIELDS, CANONICAL_ALERT, DetectionConfig, ModelConfig
+from tidegauge.schema import CANONICAL_ALERT, LOG_FIELDS, METHOD_ML, METHOD_RULES, DetectionConfig, ModelConfig
 from tidegauge.sources import sinks
 from tidegauge.sources.logs import normalize_logs, read_log_stream
 from tidegauge.streaming import jobs, stateful
@@ -238,9 +238,9 @@ def test_live_model_alerts_are_published_and_stored(spark, tmp_path, logs):
 
     scored = ensemble.ensemble_alerts(ensemble.score_ensemble(model, rolling.rolling_ml(logs)), models.outlier_distance)
     batch = cooldown.apply_cooldown(scored, cfg.cooldown_seconds)
-    ml = found.filter("detection_method = 'mahout_ml'")
+    ml = found.filter(F.col("detection_method") == METHOD_ML)
     assert ml.count() == batch.count() > 0
     assert {(r.source_ip, r.alert_ts) for r in ml.collect()} == {(r.source_ip, r.event_timestamp) for r in batch.collect()}
-    assert found.filter("detection_method = 'rule_based'").count() > 0
+    assert found.filter(F.col("detection_method") == METHOD_RULES).count() > 0
     stats = stream_store.read_statistics(spark, f"{tmp_path}/store")
     assert stats.agg(F.sum("alert_count")).first()[0] == found.count()
