@@ -389,6 +389,32 @@ def test_repeated_passages(spark, odd, none):
     assert {r.doc_id for r in substring_dedup.repeated_passages(odd).collect()} == {1, 2, 3, 4, 10, 11}
 
 
+def test_runs_inside_and_across_lines(spark):
+    """A passage of over 50 words is found wherever it begins and ends, and however its lines are broken."""
+    rng = random.Random(21)
+    rows, spliced = [], []
+    for i in range(40):
+        passage = words(rng.randint(51, 120), f"run{i}")
+        spliced.append(passage)
+        for copy in range(2):
+            text = words(rng.randint(5, 40), f"a{i}{copy}") + passage + words(rng.randint(5, 40), f"b{i}{copy}")
+            breaks = rng.choice([12, 20, 1000])
+            rows.append((2 * i + copy, "\n".join(" ".join(text[k : k + breaks]) for k in range(0, len(text), breaks))))
+    docs = make(spark, rows)
+    found = [r for r in substring_dedup.repeated_passages(docs, runs=True).collect() if r.para is None]
+    texts = dict(rows)
+    removed = {r.doc_id: texts[r.doc_id][r.start : r.start + r.length].split() for r in found if not r.kept}
+    assert removed == {2 * i + 1: p for i, p in enumerate(spliced)}
+    assert {r.doc_id: texts[r.doc_id][r.start : r.start + r.length].split() for r in found if r.kept} == {2 * i: p for i, p in enumerate(spliced)}
+    assert all(r.passage_rows == 2 and r.keep_doc_id == r.doc_id // 2 * 2 for r in found)
+    clean = dict(collected(substring_dedup.without_repeats(docs, runs=True).select("doc_id", "text")))
+    for i, p in enumerate(spliced):
+        assert clean[2 * i] == texts[2 * i]
+        rest = texts[2 * i + 1].split()
+        at = next(k for k in range(len(rest)) if rest[k : k + len(p)] == p)
+        assert clean[2 * i + 1].split() == rest[:at] + rest[at + len(p) :]
+
+
 def test_bands_are_tuned_for_recall():
     for threshold in (0.6, 0.8, 0.9):
         bands, width = substring_dedup.tuned_bands(threshold)

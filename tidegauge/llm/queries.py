@@ -51,7 +51,7 @@ def _embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_substring_dedup")
 def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"), runs=True)
 
 
 @query("op3_quality_classifier")

@@ -4,6 +4,10 @@ Paragraphs are lines of at least `least_words` words. Bands are tuned so that pa
 threshold collide with the wanted probability. Colliding paragraphs are verified by the exact Jaccard
 similarity of their word shingles, and components of verified links are repeats of one passage: all but the first of
 them are removed. Equal paragraphs are one class throughout.
+
+Passages that begin or end inside a line, or run over several lines, are found as runs of equal words: windows
+start where a text's word shingles have the least hash of their surroundings, so that equal runs are cut alike and each
+run of RUN_WORDS holds a window whole. Equal windows are merged along the texts and extended word by word.
 """
 
 from __future__ import annotations
@@ -14,8 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidegauge.llm.components import connected_components
 from tidegauge.llm.frames import column, fresh, written
@@ -25,6 +30,7 @@ from tidegauge.llm.minhash import (
     THRESHOLD,
     bucket_keys,
     bucket_rows,
+    mixed,
     shingles,
     signatures,
     slices_of,
@@ -36,6 +42,11 @@ LEAST_WORDS = 25
 RECALL = 0.99
 #: MinHash values at most.
 PERMS = 64
+#: Runs of so many words that two texts share are found wherever they begin and end.
+RUN_WORDS = 50
+#: Words of a window, and successive starts of which the one with the least hash is taken: a run of RUN_WORDS holds a window.
+WINDOW = 26
+CHOICES = RUN_WORDS - WINDOW + 1
 
 
 def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, perms: int = PERMS, noise: float = 0.4) -> tuple[int, int]:
@@ -135,6 +146,186 @@ def _keys_of(unit: Unit) -> tuple[np.ndarray, np.ndarray]:
     return keys, keys[:, :0]
 
 
+def _cuts(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, first word, two hashes) of the windows of texts with these shingles."""
+    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.zeros(0, np.int64)
+    if len(hashes) >= CHOICES:
+        least = np.lib.stride_tricks.sliding_window_view(hashes, CHOICES).argmin(axis=1) + np.arange(len(hashes) - CHOICES + 1)
+        at = np.unique(least[of[: len(least)] == of[CHOICES - 1 :]])
+    at = at[at + WINDOW - SHINGLE < offsets[1:][of[at]]]
+    names = []
+    with np.errstate(over="ignore"):
+        for factor in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):
+            name = np.zeros(len(at), np.uint64)
+            for k in [*range(0, WINDOW - SHINGLE, SHINGLE), WINDOW - SHINGLE]:  # together all words of the window
+                name = mixed(name * factor + hashes[at + k])
+            names.append(name.view(np.int64))
+    return of[at], at - offsets[of[at]], *names
+
+
+def _windows(rows: DataFrame) -> DataFrame:
+    """id, text_key, at (first word), the two hashes and prior (first word of the last equal window before it in the text, or
+    null) of each window of (id, text_key, text)."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices_of(batches, "text"):
+            of, at, a, b = _cuts(*shingles(texts))
+            order = np.lexsort((at, b, a, of))
+            of, at, a, b = of[order], at[order], a[order], b[order]
+            again = np.concatenate([[False], (of[1:] == of[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1])])[: len(of)]
+            of, prior = pa.array(of), pa.array(np.roll(at, 1), pa.int64(), mask=~again)
+            yield pa.record_batch(
+                [part.column(0).take(of), part.column(1).take(of), pa.array(at, pa.int64()), pa.array(a), pa.array(b), prior],
+                names=["id", "text_key", "at", "a", "b", "prior"],
+            )
+
+    return rows.mapInArrow(gather, f"id {rows.schema['id'].dataType.simpleString()}, text_key long, at long, a long, b long, prior long")
+
+
+def _surroundings(rows: DataFrame) -> DataFrame:
+    """For each of the `wanted` spans (first word, word after the last) of (id, text_key, text, wanted): the words before and
+    after it, nearest first, in lower case; and the places in characters where it starts, or would with more of them, and ends."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices_of(batches, "text"):
+            found = []
+            for i, (text, wanted) in enumerate(zip(texts.to_pylist(), part.column(3).to_pylist(), strict=True)):
+                words = [w for w in pc.utf8_split_whitespace(pa.array([text], pa.large_string()))[0].as_py() if w]
+                lower = pc.utf8_lower(pa.array(words, pa.string())).to_pylist()
+                place, at = [], 0
+                for w in words:
+                    place.append(text.index(w, at))
+                    at = place[-1] + len(w)
+                for span in wanted:
+                    s, e = span["s"], span["e"]
+                    low, high = max(0, s - CHOICES), min(len(words), e + CHOICES)
+                    starts, ends = place[low : s + 1][::-1], [place[k] + len(words[k]) for k in range(e - 1, high)]
+                    found.append((i, s, e, lower[low:s][::-1], lower[e:high], starts, ends))
+            of, s, e, before, after, starts, ends = zip(*found, strict=True) if found else [()] * 7
+            of = pa.array(of, pa.int64())
+            columns = [part.column(0).take(of), part.column(1).take(of), pa.array(s, pa.int64()), pa.array(e, pa.int64())]
+            columns += [pa.array(x, pa.list_(pa.string())) for x in (before, after)]
+            columns += [pa.array(x, pa.list_(pa.int32())) for x in (starts, ends)]
+            yield pa.record_batch(columns, names=["id", "text_key", "s", "e", "before", "after", "starts", "ends"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "text_key", "text", "wanted").mapInArrow(
+        gather, f"id {kind}, text_key long, s long, e long, before array<string>, after array<string>, starts array<int>, ends array<int>"
+    )
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """With how many equal elements two arrays begin."""
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    first = F.array_position(same, F.lit(False))
+    return F.when(first == 0, F.size(same)).otherwise(first - 1).cast("long")
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """Runs of words of (id, text_key, text) that an earlier place has too: id, text_key, start, length, words, copies (rows of
+    that id and text) and the same of the earlier place, keep_*.
+
+    The earlier place is, for the windows of the run, the last one before in the same text or else the first of all (smallest
+    id, then text_key, then word). Where runs
+    with different earlier places overlap, they count together for RUN_WORDS.
+    """
+    windows = written(_windows(rows), "windows")
+    first = F.min(F.struct("id", "text_key", "at")).alias("first")
+    once = windows.where("prior is null").drop("prior")
+    repeats = once.groupBy("a", "b").agg(F.count("*").alias("n"), first).where("n > 1").drop("n")
+    hits = once.join(repeats, ["a", "b"]).where(~F.struct("id", "text_key", "at").eqNullSafe(F.col("first")))
+    where = ["id", "text_key", "keep_id", "keep_key", "shift"]
+    hits = hits.select("id", "text_key", F.col("first.id").alias("keep_id"), F.col("first.text_key").alias("keep_key"), (F.col("at") - F.col("first.at")).alias("shift"), "at")
+    inside = windows.where("prior is not null")
+    inside = inside.select("id", "text_key", F.col("id").alias("keep_id"), F.col("text_key").alias("keep_key"), (F.col("at") - F.col("prior")).alias("shift"), "at")
+    hits = hits.union(inside)
+    along = Window.partitionBy(*where).orderBy("at")
+    parted = F.coalesce(F.col("at") > F.lag("at").over(along) + WINDOW, F.lit(True)).cast("int")
+    spans = hits.withColumn("parted", parted).withColumn("part", F.sum("parted").over(along)).groupBy(*where, "part")
+    spans = written(spans.agg(F.min("at").alias("s"), (F.max("at") + WINDOW).alias("e")).drop("part"), "spans")
+    theirs = spans.select(F.col("keep_id").alias("id"), F.col("keep_key").alias("text_key"), (F.col("s") - F.col("shift")).alias("s"), (F.col("e") - F.col("shift")).alias("e"))
+    wanted = spans.select("id", "text_key", "s", "e").union(theirs).groupBy("id", "text_key").agg(F.collect_set(F.struct("s", "e")).alias("wanted"))
+    wanted = wanted.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "wanted")
+    around = _surroundings(rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))))
+    names = ("before", "after", "starts", "ends")
+    around = around.groupBy("id", "text_key", "s", "e").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in names])
+    around = written(around, "surroundings")
+    mine, other = (around.select(*[F.col(c).alias(f"{side}_{c}") for c in around.columns]) for side in ("m", "k"))
+    at_mine = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_text_key")) & (F.col("s") == F.col("m_s")) & (F.col("e") == F.col("m_e"))
+    at_kept = F.col("keep_id").eqNullSafe(F.col("k_id")) & (F.col("keep_key") == F.col("k_text_key"))
+    at_kept = at_kept & (F.col("s") - F.col("shift") == F.col("k_s")) & (F.col("e") - F.col("shift") == F.col("k_e"))
+    both = spans.join(mine, at_mine).join(other, at_kept)
+    both = both.withColumn("left", _alike(F.col("m_before"), F.col("k_before"))).withColumn("right", _alike(F.col("m_after"), F.col("k_after")))
+
+    def place(side: str) -> list[Column]:
+        start = F.get(f"{side}_starts", F.col("left").cast("int"))
+        return [start.cast("long"), (F.get(f"{side}_ends", F.col("right").cast("int")) - start).cast("long")]
+
+    grown = both.select(
+        "id",
+        "text_key",
+        *[x.alias(n) for x, n in zip(place("m"), ("start", "length"), strict=True)],
+        (F.col("s") - F.col("left")).alias("s"),
+        (F.col("e") + F.col("right")).alias("e"),
+        F.col("m_copies").alias("copies"),
+        "keep_id",
+        "keep_key",
+        *[x.alias(n) for x, n in zip(place("k"), ("keep_start", "keep_length"), strict=True)],
+        F.col("k_copies").alias("keep_copies"),
+    ).distinct()
+    text = Window.partitionBy("id", "text_key").orderBy("s", "e")
+    till = F.max("e").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    grown = grown.withColumn("parted", F.coalesce(F.col("s") > till - SHINGLE, F.lit(True)).cast("int"))
+    grown = grown.withColumn("part", F.sum("parted").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = Window.partitionBy("id", "text_key", "part")
+    long = grown.withColumn("all", F.max("e").over(whole) - F.min("s").over(whole)).where(F.col("all") >= RUN_WORDS)
+    return long.withColumn("words", (F.col("e") - F.col("s")).cast("int")).drop("s", "e", "parted", "part", "all")
+
+
+def _run_rows(rows: DataFrame, lines: DataFrame, least_words: int) -> DataFrame:
+    """The rows that repeated_passages returns for runs; `lines` are those it returns for lines.
+
+    A run gives no row if what the removed lines leave of it is too short for `least_words`.
+    """
+    runs = written(_runs(rows), "runs")
+    gone = lines.where("not kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    gone = gone.agg(F.collect_set(F.struct("start", "length")).alias("gone"))
+    joined = runs.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
+    end = F.col("start") + F.col("length")
+    covered = F.aggregate(
+        F.coalesce("gone", F.array().cast("array<struct<start:bigint,length:bigint>>")),
+        F.lit(0).cast("long"),
+        lambda sum, x: sum + F.greatest(F.lit(0).cast("long"), F.least(end, x["start"] + x["length"]) - F.greatest(F.col("start"), x["start"])),
+    )
+    left = joined.where(F.col("length") - covered >= 2 * least_words - 1)
+    passage = -1 - F.shiftrightunsigned(F.xxhash64("keep_id", "keep_key", "keep_start", "keep_length"), 1)
+    left = left.withColumn("passage_id", passage).select("passage_id", *runs.columns)
+    left = written(left, "run_rows")
+    theirs = ["keep_id", "keep_key", "keep_start", "keep_length", "words", "keep_copies"]
+    sizes = left.groupBy("passage_id").agg((F.sum("copies") + F.first("keep_copies")).alias("passage_rows"), *[F.first(c).alias(c) for c in theirs])
+
+    def shaped(df: DataFrame, place: list[str], kept: bool) -> DataFrame:
+        doc, key, start, length, copies = place
+        return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(
+            F.col(doc).alias("doc_id"),
+            F.col(key).alias("text_key"),
+            F.lit(None).cast("int").alias("para"),
+            F.col(start).alias("start"),
+            F.col(length).alias("length"),
+            "words",
+            "passage_id",
+            "passage_rows",
+            F.col("keep_id").alias("keep_doc_id"),
+            F.lit(None).cast("int").alias("keep_para"),
+            F.lit(kept).alias("kept"),
+        )
+
+    removed = left.join(sizes.select("passage_id", "passage_rows"), "passage_id")
+    first = shaped(sizes, ["keep_id", "keep_key", "keep_start", "keep_length", "keep_copies"], True)
+    return shaped(removed, ["id", "text_key", "start", "length", "copies"], False).unionByName(first)
+
+
 def repeated_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -142,8 +333,9 @@ def repeated_passages(
     threshold: float = THRESHOLD,
     recall: float = RECALL,
     least_words: int = LEAST_WORDS,
+    runs: bool = False,
 ) -> DataFrame:
-    """One row per paragraph that repeats: doc_id, text_key, para, start, length, words, passage_id, passage_rows,
+    """One row per paragraph or run of words that repeats: doc_id, text_key, para, start, length, words, passage_id, passage_rows,
     keep_doc_id, keep_para, kept.
 
     `para` counts the lines of a text from 0, `start` and `length` are its place in characters; `passage_id` names
@@ -151,6 +343,10 @@ def repeated_passages(
     text_key, then para) is kept. `text_key` is a hash of the whole text, which tells apart rows of one id; of rows
     equal in id and text each has its own rows here, all kept or none. Paragraphs that occur once give no rows, nor do null and empty texts and
     short lines. Null ids come first. Texts and lines are read whole. Further columns are ignored.
+
+    With `runs`, runs of RUN_WORDS words or more that an earlier place has too, wherever they begin and end, have rows too,
+    with null `para` and `keep_para`; their passages are the places kept, with a row for each, and have negative ids. A place that one
+    passage keeps may be removed for a still earlier one.
     """
     bands, width = tuned_bands(threshold, recall)
     text = column(docs, text_col)
@@ -180,7 +376,7 @@ def repeated_passages(
     first = F.min(F.struct("id", "text_key", "para"))
     best = found.groupBy("passage_id").agg(F.count("*").alias("passage_rows"), first.alias("first"))
     mine = F.struct("id", "text_key", "para")
-    return found.join(best, "passage_id").select(
+    lines = found.join(best, "passage_id").select(
         F.col("id").alias("doc_id"),
         "text_key",
         "para",
@@ -193,13 +389,39 @@ def repeated_passages(
         F.col("first.para").alias("keep_para"),
         mine.eqNullSafe(F.col("first")).alias("kept"),
     )
+    if not runs:
+        return lines
+    lines = written(lines, "lines")
+    return lines.unionByName(_run_rows(rows.where("text is not null"), lines, least_words))
+
+
+@F.udf(StringType(), useArrow=True)
+def _cut(text, gone):
+    """`text` without the lines and runs (para, start, length) that are gone, and without lines of which they leave only white space."""
+    if gone is None:
+        return None
+    lines = {x["para"] for x in gone if x["para"] is not None}
+    runs = sorted((x["start"], x["start"] + x["length"]) for x in gone if x["para"] is None)
+    left, place = [], 0
+    for i, line in enumerate(text.split("\n")):
+        if i not in lines:
+            kept, at = [], place
+            for a, b in runs:
+                if a < place + len(line) and b > at:
+                    kept.append(text[at : max(a, at)])
+                    at = min(b, place + len(line))
+            kept = "".join([*kept, text[at : place + len(line)]])
+            if kept == line or kept.strip():
+                left.append(kept)
+        place += len(line) + 1
+    return "\n".join(left)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """`docs` with the paragraphs taken out of their texts that repeat an earlier one; same columns and rows."""
+    """`docs` with the paragraphs (and runs, if asked for) taken out of their texts that repeat an earlier one; same columns and rows."""
     text = column(docs, text_col)
     gone = repeated_passages(docs, id_col, text_col, **params).where("not kept")
-    gone = gone.groupBy("doc_id", "text_key").agg(F.collect_set("para").alias("gone"))
+    gone = gone.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("para", "start", "length")).alias("gone"))
     row, gone_ = fresh("row", docs.columns), fresh("gone", docs.columns)
     rows = docs.select(
         F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias(row), column(docs, id_col).alias("_id"), F.xxhash64(text).alias("_key")
@@ -207,7 +429,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = rows.join(
         gone.withColumnRenamed("gone", gone_), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key")), "left"
     )
-    lines = F.split(F.col(row).getField(text_col), "\n")
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col(gone_), i)), "\n")
-    new = F.when(F.col(gone_).isNull(), F.col(row).getField(text_col)).otherwise(left)
+    whole = F.col(row).getField(text_col)
+    left = _cut(F.when(F.col(gone_).isNotNull(), whole), F.col(gone_))
+    new = F.when(F.col(gone_).isNull(), whole).otherwise(left)
     return marked.select(*[new.alias(c) if c == text_col else F.col(row).getField(c).alias(c) for c in docs.columns])
