@@ -389,6 +389,17 @@ def test_repeated_passages(spark, odd, none):
     assert {r.doc_id for r in substring_dedup.repeated_passages(odd).collect()} == {1, 2, 3, 4, 10, 11}
 
 
+def test_large_group_leaves_the_recall_of_other_links(spark):
+    """Links at the threshold are found beside a large group of very similar texts."""
+    base = words(200, 31)
+    rows = [(i, " ".join([*base[: i % 190], f"w{i}", *base[i % 190 :]])) for i in range(400)]
+    for i in range(500):
+        same = words(84, f"s{i}")
+        rows += [(1000 + 2 * i + k, " ".join(same + words(10, f"t{i}{k}"))) for k in range(2)]
+    found = ngram_join.near_duplicates(make(spark, rows)).where("doc_id >= 1000 and n_links = 1").count()
+    assert found >= 0.99 * 1000
+
+
 def test_runs_inside_and_across_lines(spark):
     """A passage of over 50 words is found wherever it begins and ends, and however its lines are broken."""
     rng = random.Random(21)

@@ -1,9 +1,9 @@
 """Jaccard self-join on word shingles by a MinHash LSH forest.
 
 Each tree of the forest is a prefix trie over its own part of the signatures; texts that share a prefix of the
-current depth are candidates. The join starts with long prefixes, verifies the candidates exactly, estimates
-from the similarities found which part of all links it has (each found pair stands for 1 / chance of being met),
-and shortens the prefixes by one value until that estimate reaches the target recall. Equal texts are one
+depth are candidates, which are verified exactly. The depth is the longest at which a pair at the threshold itself is met with
+the target recall, whatever else the table holds: a recall estimated over the pairs found is set by the largest
+group of alike texts and says nothing of links near the threshold. Equal texts are one
 class throughout, so copies cost nothing.
 """
 
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from tidegauge.llm.components import connected_components
 from tidegauge.llm.frames import column, kept_rows, written
 from tidegauge.llm.minhash import (
-    BINS,
     BUCKETS,
     THRESHOLD,
     bucket_keys,
@@ -43,6 +42,11 @@ def met(similarity, depth: int, trees: int = TREES):
     return 1 - (1 - similarity**depth) ** trees
 
 
+def needed_depth(threshold: float, recall: float, trees: int, depth: int, least: int) -> int:
+    """The longest prefix from `depth` down to `least` that meets a pair at the threshold with probability `recall`, or else `least`."""
+    return next((d for d in range(depth, least, -1) if met(threshold, d, trees) >= recall), least)
+
+
 def _signed(rows: DataFrame, trees: int, depth: int) -> DataFrame:
     """id, digest and signature (bytes; null without words) of each (id, text)."""
 
@@ -87,36 +91,22 @@ def _buckets(classes: DataFrame, trees: int, depth: int, now: int) -> DataFrame:
     return classes.select("cid", "signature").mapInArrow(spread, BUCKETS)
 
 
-def _links(docs: DataFrame, classes: DataFrame, threshold: float, recall: float, trees: int, depth: int, least: int) -> list[DataFrame]:
-    """Tables of verified links, one for each depth that was needed."""
+def _links(docs: DataFrame, classes: DataFrame, threshold: float, trees: int, depth: int) -> DataFrame:
+    """Verified links of the texts that share a prefix of `depth`."""
     worded = classes.where("signature is not null")
-    # Whoever meets at any depth meets at the least one: their sets of shingles are made once.
-    last = written(collisions(_buckets(worded, trees, depth, least)), "units")
-    needed = last.select("cid").distinct().join(classes, "cid")
+    units = written(collisions(_buckets(worded, trees, depth, depth)), "units")
+    needed = units.select("cid").distinct().join(classes, "cid")
     texts = docs.join(
         needed.select("cid", "copies", "signature", F.col("id").alias("wanted"), F.col("digest").alias("sought")),
         F.col("id").eqNullSafe(F.col("wanted")) & (F.col("digest") == F.col("sought")),
     )
     payload = written(_sets(texts).dropDuplicates(["cid"]), "sets")
-    found, seen = [], np.zeros(BINS + 1, np.int64)
-    similarity = np.maximum(np.arange(BINS + 1) / BINS, threshold)
-    for now in range(depth, least - 1, -1):
-
-        def buckets_of(unit: Unit, now: int = now) -> tuple[np.ndarray, np.ndarray]:
-            keys = _prefixes(unit["signature"], trees, depth, now)
-            return keys, _prefixes(unit["signature"], trees, depth, now + 1) if now < depth else keys[:, :0]
-
-        units = last if now == least else written(collisions(_buckets(payload, trees, depth, now)), "units")
-        part = written(verified(units, payload, threshold, buckets_of), "links")
-        found.append(part)
-        bins = part.select(F.posexplode("seen").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n"))
-        for row in bins.collect():  # a row per bin
-            seen[row.bin] += row.n
-        # Links found at a longer prefix would be met at this one too.
-        total = (seen / met(similarity, now, trees)).sum()
-        if (seen.sum() / total if total else met(threshold, now, trees)) >= recall:
-            break
-    return found
+
+    def buckets_of(unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+        keys = _prefixes(unit["signature"], trees, depth, depth)
+        return keys, keys[:, :0]
+
+    return written(verified(units, payload, threshold, buckets_of), "links")
 
 
 def near_duplicates(
@@ -158,13 +148,11 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, threshold: float, recal
     """What near_duplicates returns, with id and digest of each row."""
     text = column(docs, text_col)
     rows = docs.select(column(docs, id_col).alias("id"), _digest(text).alias("digest"), F.coalesce(text, F.lit("")).alias("text"))
+    depth = needed_depth(threshold, recall, trees, depth, least_depth)
     signed = written(_signed(rows, trees, depth).withColumn("rid", F.monotonically_increasing_id()), "signed")
     classes = signed.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    parts = _links(rows, classes, threshold, recall, trees, depth, least_depth)
-    links = parts[0]
-    for part in parts[1:]:
-        links = links.union(part)
+    links = _links(rows, classes, threshold, trees, depth)
     counted = links.groupBy("cid").agg(F.sum("links").alias("links"))
     group = connected_components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     ids = group.join(classes.select(F.col("cid").alias("node"), "id"), "node")
