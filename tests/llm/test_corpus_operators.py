@@ -494,6 +494,26 @@ def test_mixing(spark, odd, none):
     assert mixing.document_rates(none, labels, {"a": 1.0}).count() == 0
 
 
+def test_small_posteriors_count_toward_targets(spark):
+    """Targets that rates can meet are met by the posteriors returned, also where they lie below a step of the grid."""
+    rng = random.Random(14)
+    rows, labels = [], []
+    for i in range(2000):
+        kind = rng.random() < 0.7
+        rows.append((i, " ".join(rng.choices(["alpha", "apple", "axis"] if kind else ["beta", "bread", "bone"], k=20))))
+        labels.append((i, rng.choices("abc", [0.985, 0, 0.015] if kind else [0, 0.8, 0.2])[0]))
+    docs, labels = make(spark, rows), spark.createDataFrame(labels, "doc_id long, domain string")
+
+    def shares(found, rate):
+        got = {k: sum(r.tokens * r[f"p_{k}"] * rate(r) for r in found) for k in "abc"}
+        return {k: x / sum(got.values()) for k, x in got.items()}
+
+    found = mixing.document_rates(docs, labels, {"a": 1.0}).collect()
+    want = shares(found, lambda r: 0.5 if r.p_a > r.p_b else 2.0)
+    got = shares(mixing.document_rates(docs, labels, want).collect(), lambda r: r.rate)
+    assert all(abs(got[k] - want[k]) < 0.001 for k in "abc")
+
+
 def test_rates_are_the_least_squares_solution(spark):
     """Where a target is out of reach the mix is the best that nonnegative rates can do."""
     cells = spark.createDataFrame([(64, 0, 100), (32, 32, 100), (0, 64, 0)], "q0 int, q1 int, tokens long")

@@ -5,7 +5,8 @@ gradient steps then fit nonnegative rates of the documents by least squares, so
 each domain meet their targets. The gradient of a document's rate is the misses of the targets weighted by its
 posteriors; a step scales it by the curvature over the documents with a positive rate and projects onto rates
 of 0 and more. A rate so depends on the posteriors alone, and the steps run over the cells of a grid of
-posteriors with their tokens, a table that stops growing with the corpus.
+posteriors with their tokens and mean posteriors, a table that stops growing with the corpus. The grid only groups: sums over
+cells of tokens x mean x rate are those over documents of tokens x posterior x rate.
 """
 
 from __future__ import annotations
@@ -147,20 +148,20 @@ def fit_classifier(
     return found
 
 
-def _rate(push: np.ndarray) -> Column:
-    """The rate of a cell after steps that add up to `push`: 1 minus its share of them, projected."""
-    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(f"q{i}") / GRID * float(x) for i, x in enumerate(push)), F.lit(0.0)))
+def _rate(p: list[Column], push: np.ndarray) -> Column:
+    """The rate of a cell of posteriors `p` after steps that add up to `push`: 1 minus its share of them, projected."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((x * float(y) for x, y in zip(p, push, strict=True)), F.lit(0.0)))
 
 
 def fit_rates(cells: DataFrame, names: list[str], targets: dict[str, float], total: float) -> DataFrame:
-    """`cells` (q0, q1, ... of GRID, tokens) with a rate each.
+    """`cells` (q0, q1, ... of GRID, tokens) with a rate each; m0, m1, ... are their mean posteriors, or else those of the grid.
 
     Minimises the sum over domains of (expected tokens - target)^2 / tokens now, plus RIDGE times the sum of
     tokens x (rate - 1)^2, over rates >= 0. Targets out of reach get the nearest mix. Each step is two passes over
     the cells, whose sums the driver gets: a few numbers for each pair of domains.
     """
     n = len(names)
-    p = [F.col(f"q{i}") / GRID for i in range(n)]
+    p = [F.col(f"m{i}") if f"m{i}" in cells.columns else F.col(f"q{i}") / GRID for i in range(n)]
     cells = written(cells, "cells")
     have = np.array([x or 0.0 for x in cells.agg(*[F.sum(F.col("tokens") * x) for x in p]).first()])
     want = np.array([targets.get(x, 0.0) for x in names])
@@ -170,11 +171,11 @@ def fit_rates(cells: DataFrame, names: list[str], targets: dict[str, float], tot
 
     def losses(tries: list[np.ndarray]) -> list[float]:
         # The dual of the problem, which the steps lower: see the docstring for the problem itself.
-        sums = cells.agg(*[F.sum(F.col("tokens") * _rate(t) * _rate(t) / 2) for t in tries]).first()
+        sums = cells.agg(*[F.sum(F.col("tokens") * _rate(p, t) * _rate(p, t) / 2) for t in tries]).first()
         return [(x or 0.0) + float(want @ t) + float(ridge @ (t * t)) / 2 for x, t in zip(sums, tries, strict=True)]
 
     for _ in range(STEPS):
-        rate = _rate(push)
+        rate = _rate(p, push)
         live = F.col("tokens") * (rate > 0).cast("double")
         sums = [F.sum(F.col("tokens") * x * rate) for x in p] + [F.sum(live * x * y) for x in p for y in p]
         row = np.array([x or 0.0 for x in cells.agg(*sums).first()])
@@ -186,7 +187,7 @@ def fit_rates(cells: DataFrame, names: list[str], targets: dict[str, float], tot
         if least == 0 or found[0] - found[least] <= TOLERANCE * max(total, 1.0):
             break
         push = tries[least - 1]
-    return cells.withColumn("rate", _rate(push))
+    return cells.withColumn("rate", _rate(p, push))
 
 
 def document_rates(
@@ -221,7 +222,9 @@ def document_rates(
     gridded = exact.select("*", *[(down[i] + F.when(top == i + 1, rest).otherwise(0)).alias(f"q{i}") for i in range(len(names))])
     gridded = written(gridded, "posteriors")
     q = [f"q{i}" for i in range(len(names))]
-    cells = gridded.groupBy(*q).agg(F.sum("tokens").alias("tokens"))
+    # Weighted by tokens; cells without tokens have no part in the sums and go by the grid.
+    means = [F.coalesce(F.try_divide(F.sum(F.col("tokens") * F.col(f"p{i}")), F.sum("tokens")), F.first(f"q{i}") / GRID).alias(f"m{i}") for i in range(len(names))]
+    cells = gridded.groupBy(*q).agg(F.sum("tokens").alias("tokens"), *means)
     total = float(gridded.agg(F.sum("tokens")).first()[0] or 0)
     rates = fit_rates(cells, names, targets, total * budget).select(*q, "rate")
     small = rates.count() <= BROADCAST_CELLS
