@@ -9,6 +9,7 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidegauge.llm import (
@@ -25,6 +26,7 @@ from tidegauge.llm import (
     url_filter,
 )
 from tidegauge.llm.components import connected_components
+from tidegauge.llm.queries import QUERIES
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # A docs table with columns that clash with what the operators name their own.
@@ -514,6 +516,18 @@ def test_small_posteriors_count_toward_targets(spark):
     assert all(abs(got[k] - want[k]) < 0.001 for k in "abc")
 
 
+def test_poor_and_toxic_documents_get_lower_rates(spark):
+    """The registered query mixes in less of documents labelled poor and of toxic ones that their words give away."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    insult = docs.where(F.lower("text").rlike(r"(^|\s)(trash|pathetic|idiot|disgusting|worthless|stupid|clown|loser|scum|moron)(\s|$)"))
+    kind = F.when(F.col("insult"), "insult").when(F.col("quality") == 1, "good").otherwise("poor")
+    marks = labels.join(insult.select("doc_id", F.lit(True).alias("insult")), "doc_id", "left")
+    rates = QUERIES["op7_source_mixing"](spark, folder).join(marks, "doc_id")
+    mean = {r.kind: r.rate for r in rates.groupBy(kind.alias("kind")).agg(F.avg("rate").alias("rate")).collect()}
+    assert mean["poor"] < 0.5 * mean["good"] and mean["insult"] < 0.5 * mean["good"] and mean["good"] > 1.2
+
+
 def test_rates_are_the_least_squares_solution(spark):
     """Where a target is out of reach the mix is the best that nonnegative rates can do."""
     cells = spark.createDataFrame([(64, 0, 100), (32, 32, 100), (0, 64, 0)], "q0 int, q1 int, tokens long")

@@ -34,9 +34,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-#: Weights of the domains of `labels` in the mix. The marks are noisy: every text has some part in `toxic`.
-TARGETS = {"good": 0.85, "poor": 0.035, "toxic": 0.115}
-#: Tokens of the mix in shares of those now: enough for documents without fault to stay in it.
+#: Weights of the domains of `labels` in the mix, poor and toxic below the shares found. The marks are noisy: every text has some
+#: part in `toxic`, which held-out good documents of sf0.1 have to 0.104 (and 0.001 in `poor`); much below, clean documents go as well.
+TARGETS = {"good": 0.8975, "poor": 0.0025, "toxic": 0.1}
+#: Tokens of the mix in shares of those now: enough for most documents without fault to stay in it.
 BUDGET = 1.25
 
 
