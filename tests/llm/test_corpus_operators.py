@@ -549,3 +549,16 @@ def test_quality(spark, odd, none):
     assert sum(right) / len(right) > 0.95
     assert {r.score for r in quality.score_quality(odd, labels.limit(0)).collect()} == {0.5}
     assert quality.score_quality(none, labels, rounds=1).count() == 0
+
+
+def test_quality_drops_most_recognisable_insults(spark):
+    """Of labelled toxic documents with an insult word at least 70 % go, of the good ones at most 5 %."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    insult = F.lower("text").rlike(r"(^|\s)(trash|pathetic|idiot|disgusting|worthless|stupid|clown|loser|scum|moron)(\s|$)")
+    marks = labels.join(docs.select("doc_id", insult.alias("insult")), "doc_id")
+    kind = F.when((F.col("toxic") == 1) & F.col("insult"), "insult").when((F.col("toxic") != 1) & (F.col("quality") == 1), "good")
+    found = QUERIES["op3_quality_classifier"](spark, folder).join(marks, "doc_id")
+    kept = {r.kind: r.kept for r in found.groupBy(kind.alias("kind")).agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()}
+    print("kept", kept)
+    assert kept["insult"] <= 0.3 and kept["good"] >= 0.95
