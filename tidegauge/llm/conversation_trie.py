@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.skew import ordered_positions
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column, mapped, written
 from tidegauge.llm.tree_contraction import subtree_totals
 
 #: Turns of one conversation that are hashed in one task at most.
@@ -156,9 +156,9 @@ def _member_digests(ends: DataFrame) -> DataFrame:
 
     order = ["pa", "pb", "depth", "conv_id"]
     chunks = ends.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    chunks = chunks.mapInArrow(joined, "pa long, pb long, depth long, first long, ids string")
+    chunks = mapped(chunks, joined, "pa long, pb long, depth long, first long, ids string")
     order[-1] = "first"
-    return chunks.repartition("pa", "pb", "depth").sortWithinPartitions(*order).mapInArrow(hashed, "pa long, pb long, depth long, ends_sha256 string")
+    return mapped(chunks.repartition("pa", "pb", "depth").sortWithinPartitions(*order), hashed, "pa long, pb long, depth long, ends_sha256 string")
 
 
 def _digest_rows(rows: list[tuple]) -> pa.RecordBatch:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected_components
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column, mapped, written
 from tidegauge.llm.units import LINKS, Unit, collisions, linked_rows, per_unit
 
 THRESHOLD = 0.95
@@ -55,7 +55,7 @@ def _unit_vectors(rows: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column(0), pa.array(digests, pa.binary()), pa.array(units, pa.binary())], names=["id", "digest", "unit_vector"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(scale, f"id {kind}, digest binary, unit_vector binary")
+    return mapped(rows, scale, f"id {kind}, digest binary, unit_vector binary")
 
 
 def _spread(vectors: np.ndarray, pivots: int) -> np.ndarray:
@@ -121,7 +121,7 @@ def _indexed(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int, sh
                         names=["cid", "near", "keys"],
                     )
 
-    return classes.select("cid", "unit_vector").mapInArrow(index, "cid long, near binary, keys array<long>")
+    return mapped(classes.select("cid", "unit_vector"), index, "cid long, near binary, keys array<long>")
 
 
 def _first_meeting(near: np.ndarray, of: np.ndarray) -> np.ndarray:

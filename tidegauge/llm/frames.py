@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.session import scratch_path
 
 
+#: Bytes of a batch of rows on its way to a Python worker, unless the session sets its own.
+BATCH_BYTES = 8 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def mapped(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`rows.mapInArrow(run, schema)` with batches bounded in bytes, whatever the length of the texts in them."""
+    spark = rows.sparkSession
+    if not spark.sparkContext.getConf().contains(_BATCHES):
+        spark.conf.set(_BATCHES, str(BATCH_BYTES))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        # The worker may idle beside others for long: what Arrow keeps for later goes back.
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(task, schema)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df`, written once as Parquet to the shared scratch folder and read back.
 

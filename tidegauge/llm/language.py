@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import column
+from tidegauge.llm.frames import column, mapped
 
 #: N-grams of a profile, and of a document, at most.
 PROFILE = 400
@@ -32,23 +32,44 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(1 << _BITS)), bool, 1 << _BITS)
 
 
-def grams(text: str) -> np.ndarray:
-    """Codes of all n-grams of a whole text, in lower case; a blank stands at the ends of each run of letters."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+#: Letters whose n-grams are sorted at a time.
+CHUNK = 1 << 18
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of several such pairs together, codes ascending."""
+    if len(parts) == 1:
+        return parts[0]
+    codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return codes, np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
+
+
+def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of all n-grams of a whole text, in lower case; a blank stands at the ends of each run of letters.
+
+    Some 16 bytes a character are needed at once, and more only for CHUNK letters.
+    """
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.int32).copy()
     codes[codes >= 1 << _BITS] = 0
     codes[~_letters()[codes]] = 0
-    codes = np.concatenate([[0], codes, [0]])
+    codes = np.concatenate([[0], codes, [0]]).astype(np.int32)
     codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
-    one = codes[codes != 0]
-    two = (codes[:-1] << _BITS | codes[1:]) + (1 << 60)
-    inner = codes[1:-1] != 0
-    three = ((codes[:-2] << _BITS | codes[1:-1]) << _BITS | codes[2:])[inner] + (2 << 60)
-    return np.concatenate([one, two, three]) if len(one) else one
+    if not codes.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    parts = []
+    for start in range(0, len(codes) - 1, CHUNK):  # the n-grams that begin in this part
+        part = codes[start : start + CHUNK + 2].astype(np.int64)
+        one = part[:CHUNK][part[:CHUNK] != 0]
+        two = ((part[:-1] << _BITS | part[1:]) + (1 << 60))[:CHUNK]
+        inner = part[1:-1] != 0
+        three = ((part[:-2] << _BITS | part[1:-1]) << _BITS | part[2:])[inner] + (2 << 60)
+        parts.append(np.unique(np.concatenate([one, two, three]), return_counts=True))
+    return _merged(parts)
 
 
 def ranked(text: str, top: int) -> np.ndarray:
     """The text's `top` most frequent n-grams in order; of equally frequent ones the smaller code first."""
-    codes, counts = np.unique(grams(text), return_counts=True)
+    codes, counts = grams(text)
     if len(codes) > top:  # leave out what cannot be among them
         least = np.partition(counts, -top)[-top]
         codes, counts = codes[counts >= least], counts[counts >= least]
@@ -57,7 +78,7 @@ def ranked(text: str, top: int) -> np.ndarray:
 
 @dataclass
 class Profiles:
-    """Ranks of n-grams: `ranks[i, j]` of n-gram `codes[i]` in language `names[j]`, `top` where it lacks it."""
+    """Ranks of n-grams: `ranks[i, j]` of n-gram `codes[i]` in language `names[j]`, -1 where it lacks it."""
 
     names: list[str]
     codes: np.ndarray
@@ -68,7 +89,7 @@ class Profiles:
     def of(cls, rows: list[tuple[str, int, int]], top: int) -> Profiles:
         names = sorted({r[0] for r in rows})
         codes = np.unique(np.array([r[1] for r in rows], np.int64))
-        ranks = np.full((len(codes), len(names)), top, np.int32)
+        ranks = np.full((len(codes), len(names)), -1, np.int32)
         for name, code, rank in rows:
             ranks[np.searchsorted(codes, code), names.index(name)] = rank
         return cls(names, codes, ranks, top)
@@ -79,8 +100,8 @@ class Profiles:
         if not len(mine) or not self.names:
             return UNKNOWN, 0.0
         at = np.minimum(np.searchsorted(self.codes, mine), len(self.codes) - 1)
-        apart = np.abs(self.ranks[at] - np.arange(len(mine))[:, None])
-        apart[self.codes[at] != mine] = self.top
+        ranks = np.where((self.codes[at] == mine)[:, None], self.ranks[at], -1)
+        apart = np.where(ranks < 0, self.top, np.abs(ranks - np.arange(len(mine))[:, None]))
         total = apart.sum(axis=0)
         best = int(total.argmin())
         return self.names[best], 1.0 - int(total[best]) / (self.top * len(mine))
@@ -90,13 +111,9 @@ def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) summed over as many documents as keep within GATHERED distinct n-grams."""
     held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
-    def merged(parts):
-        codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return codes, np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
-
     def flush():
         for lang, parts in held.items():
-            codes, counts = merged(parts)
+            codes, counts = _merged(parts)
             yield pa.record_batch([pa.array([lang] * len(codes)), pa.array(codes), pa.array(counts)], names=["lang", "gram", "n"])
         held.clear()
 
@@ -105,12 +122,12 @@ def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, lang in zip(batch.column(0), batch.column(1), strict=True):
             text, lang = text.as_py(), lang.as_py()
             if text:
-                part = np.unique(grams(text), return_counts=True)
+                part = grams(text)
                 held.setdefault(lang, []).append(part)
                 size += len(part[0])
             if size > GATHERED:
                 for key in held:
-                    held[key] = [merged(held[key])]
+                    held[key] = [_merged(held[key])]
                 size = sum(len(p[0][0]) for p in held.values())
                 if size > GATHERED // 2:
                     yield from flush()
@@ -125,7 +142,7 @@ def learn_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str =
     """
     rows = labelled.select(column(labelled, text_col).alias("text"), column(labelled, lang_col).alias("lang"))
     rows = rows.where("text is not null and lang is not null")
-    counts = rows.mapInArrow(_gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = mapped(rows, _gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < top)
     return Profiles.of([(r.lang, r.gram, r["rank"]) for r in best.collect()], top)
@@ -150,7 +167,7 @@ def predict_language(docs: DataFrame, profiles: Profiles, text_col: str = "text"
             )
 
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(predict, schema).select("row.*", "lang_pred", "score")
+    return mapped(rows, predict, schema).select("row.*", "lang_pred", "score")
 
 
 def held_out(doc_id: Column) -> Column:

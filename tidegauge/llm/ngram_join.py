@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import connected_components
-from tidegauge.llm.frames import column, kept_rows, written
+from tidegauge.llm.frames import column, kept_rows, mapped, written
 from tidegauge.llm.minhash import (
     BUCKETS,
     THRESHOLD,
@@ -60,7 +60,7 @@ def _signed(rows: DataFrame, trees: int, depth: int) -> DataFrame:
             yield pa.record_batch([part.column(0), part.column(1), pa.array(data, pa.binary())], names=["id", "digest", "signature"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "digest", "text").mapInArrow(sign, f"id {kind}, digest binary, signature binary")
+    return mapped(rows.select("id", "digest", "text"), sign, f"id {kind}, digest binary, signature binary")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def _sets(rows: DataFrame) -> DataFrame:
             data = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.record_batch([*part.columns[:3], pa.array(data, pa.binary())], names=["cid", "copies", "signature", "shingles"])
 
-    return rows.select("cid", "copies", "signature", "text").mapInArrow(gather, "cid long, copies long, signature binary, shingles binary")
+    return mapped(rows.select("cid", "copies", "signature", "text"), gather, "cid long, copies long, signature binary, shingles binary")
 
 
 def _prefixes(signed: list[bytes], trees: int, depth: int, now: int) -> np.ndarray:
@@ -88,7 +88,7 @@ def _buckets(classes: DataFrame, trees: int, depth: int, now: int) -> DataFrame:
             if len(batch):
                 yield bucket_rows(batch.column(0).to_numpy(), _prefixes(batch.column(1).to_pylist(), trees, depth, now))
 
-    return classes.select("cid", "signature").mapInArrow(spread, BUCKETS)
+    return mapped(classes.select("cid", "signature"), spread, BUCKETS)
 
 
 def _links(docs: DataFrame, classes: DataFrame, threshold: float, trees: int, depth: int) -> DataFrame:

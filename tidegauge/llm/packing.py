@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column, mapped, written
 from tidegauge.llm.token_files import crc32_ids
 from tidegauge.llm.tokens import documents_ids
 
@@ -47,7 +47,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str
             yield pa.record_batch(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return mapped(slim, cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def lower_bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import column, written
+from tidegauge.llm.frames import column, mapped, written
 from tidegauge.llm.tokens import documents_ids
 from tidegauge.session import scratch_path
 
@@ -133,7 +133,7 @@ def write_token_files(
             kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["shard", "file", "n_docs", "n_tokens", "n_sequences"])
 
-    done = written(ranged.mapInArrow(write, _MANIFEST), "manifest")
+    done = written(mapped(ranged, write, _MANIFEST), "manifest")
     return done.select("*", F.lit(folder).alias("folder"))
 
 

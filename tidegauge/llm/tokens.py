@@ -16,19 +16,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Pieces remembered by one Python worker; when full, the memory starts anew. About 100 MB.
-REMEMBERED = 500_000
-#: Bytes of text that are worked on at a time.
-SLICE_BYTES = 10_000_000
+#: Bytes that the remembered pieces of one Python worker take at most, estimated; when full, the memory starts anew.
+REMEMBERED_BYTES = 32_000_000
+#: Of a remembered piece besides its characters: a text object, its entry in the table, and its place in the arrays.
+PIECE_BYTES = 180
+#: Bytes of text that are worked on at a time; the arrays made of them take some thirty times as much.
+SLICE_BYTES = 2_000_000
 #: Id after each document.
 END_ID = 1
 
 #: What sends a text the slower way: other characters, or `<`, which may begin a special token.
 _ODD = "[^\\x00-\\x7fÀ-ÖØ-öø-ÿ]|<"
 #: Fixed value: the piece pattern of the tokenizer file, for texts in lower case without odd characters.
-_CUT = r"('(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-z0-9À-ÖØ-öø-ÿ\s]+)"
+#: The white space of this engine lacks U+000B, which is none of the signs either.
+_CUT = r"('(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-z0-9À-ÖØ-öø-ÿ\s\x0b]+)"
 _LETTERS = regex.compile("[a-zÀ-ÖØ-öø-ÿ]+")
-_SAMPLE = ["Plain", "words,", "it's", "(x)", "NAÏVE", "Straße", "A1b2", "<|x|>", "d'être", "...end.", "¿qué?", "x,'s"]
+_SAMPLE = ["Plain", "words,", "it's", "(x)", "NAÏVE", "Straße", "A1b2", "<|x|>", "d'être", "...end.", "¿qué?", "x,'s", "a\x0b's"]
 
 
 def _byte_letters() -> dict[int, int]:
@@ -48,7 +51,7 @@ class PieceEncoder:
     not taken.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -68,6 +71,7 @@ class PieceEncoder:
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
+        self.held = 0
         self.start, self.length = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids = np.zeros(0, self.width)
 
@@ -91,7 +95,7 @@ class PieceEncoder:
         """(ids of the pieces one after the other, number of ids of each piece)."""
         codes = pieces.indices.to_numpy()
         distinct = pieces.dictionary.to_numpy(zero_copy_only=False)
-        if len(self.known) + len(distinct) > self.remembered:
+        if self.held > self.remembered:
             self._reset()
         get, base = self.known.get, len(self.start)
         at = np.fromiter((get(p, -1) for p in distinct), np.int64, len(distinct))
@@ -109,6 +113,7 @@ class PieceEncoder:
             self.known.update(zip(distinct[new[often]].tolist(), range(base, base + len(often)), strict=True))
             self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(more[often], dtype=np.int32) - more[often]])
             self.length, self.ids = np.concatenate([self.length, more[often]]), np.concatenate([self.ids, flat[keep]])
+            self.held += len(often) * PIECE_BYTES + sum(map(len, distinct[new[often]])) + int(keep.sum()) * self.ids.itemsize
         index = at[codes]
         counts = length[index]
         begin = start[index] - (np.cumsum(counts, dtype=np.int32) - counts)

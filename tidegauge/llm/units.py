@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidegauge.llm.frames import written
+from tidegauge.llm.frames import mapped, written
 
 #: Members of one block; a unit holds at most two blocks.
 BLOCK = 256
@@ -124,4 +124,4 @@ def per_unit(rows: DataFrame, work: Callable[[Unit], dict[str, list]], schema: s
                         out[name] += values
         return pa.record_batch([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    return rows.repartition("unit").sortWithinPartitions("unit", "cid").mapInArrow(run, schema)
+    return mapped(rows.repartition("unit").sortWithinPartitions("unit", "cid"), run, schema)
