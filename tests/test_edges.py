@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import severity_rank
+from tidegauge.sources.logs import timed_between
 from tidegauge.operators import live, profiles, rolling, rules, store, traffic, urls, windows
 from tidegauge.schema import CANONICAL_ALERT, DetectionConfig
 
@@ -99,9 +100,18 @@ def test_colliding_alerts_are_all_kept(spark):
 def test_rate_series_survives_stray_times(make_logs):
     day = 86_400
     logs = make_logs([(0, "a", "/", 200, 1.0), (12, "a", "/", 200, 1.0), (2 * day, "a", "/", 200, 1.0), (200_000 * day, "a", "/", 200, 1.0)])
-    rows = [tuple(r) for r in traffic.rate_series(logs).orderBy("bin_start").collect()]
-    assert len(rows) == 2 * 17_280 + 2 and [n for _, n in rows[:4]] == [1, 0, 1, 0]
-    assert [n for _, n in rows[-2:]] == [1, 1]
+    timed = timed_between(logs, datetime(2024, 1, 1), datetime(2100, 1, 1))
+    rows = [tuple(r) for r in traffic.rate_series(timed).orderBy("bin_start").collect()]
+    assert len(rows) == 2 * 17_280 + 1 and [n for _, n in rows[:4]] == [1, 0, 1, 0] and rows[-1][1] == 1
+
+
+def test_rate_series_fills_a_silence_of_400_days(make_logs):
+    day = 86_400
+    logs = make_logs([(7, "a", "/", 200, 1.0), (8, "a", "/", 200, 1.0), (400 * day + 3, "a", "/", 200, 1.0)])
+    found = traffic.rate_series(logs)
+    assert found.count() == found.select("bin_start").distinct().count() == 400 * 17_280
+    assert found.agg(F.sum("requests")).first()[0] == 3 and found.filter("requests > 0").count() == 2
+    assert traffic.rate_series(logs.limit(0)).count() == 0
 
 
 def test_rule_alert_contents(make_logs):

@@ -186,3 +186,45 @@ def test_bisecting_clusters(logs):
     model = ml.fit_bisecting(features)
     assert ml.cluster_distribution(ml.score(model, features)).count() == 3
     assert -1 <= ml.silhouette(model, features) <= 1
+
+
+def test_relations_agree_with_the_fitted_clusters(spark, planted):
+    """Assignment, distance and silhouette by expressions over stored centres, against MLlib."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import vector_to_array
+
+    from tidegauge.operators import clusters
+
+    features = windows.window_features_v2(planted)
+    model = ml.fit_kmeans(features, ml.WINDOW_V2_FEATURES, k=3)
+    scored = model.transform(features).withColumn("x", vector_to_array("features")).withColumnRenamed("cluster", "own").cache()
+    names = [f"x{i}" for i in range(9)]
+    points = scored.select("*", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
+    centres = clusters.centres_of(spark, model)
+    centres.write.parquet(path := f"{spark.sparkContext.getCheckpointDir() or '/tmp'}/centres-{random.random()}")
+    found = clusters.assign(points, spark.read.parquet(path), names)
+    assert found.filter("cluster <> own").count() == 0
+    row = found.first()
+    assert row.distance == pytest.approx(float(np.linalg.norm(np.array(row.x) - model.stages[-1].clusterCenters()[row.own])))
+    mean = clusters.silhouettes(found, names).agg(F.avg("silhouette")).first()[0]
+    theirs = ClusteringEvaluator(featuresCol="features", predictionCol="own").evaluate(scored)
+    assert mean == pytest.approx(theirs, abs=1e-9)
+
+
+def test_forest_walk_in_expressions(requests, fitted):
+    """The same scores as the vectorised walk, and no Python worker in the plan."""
+    z = ensemble._with_z(fitted.clusters.transform(requests)).select("event_id", *ensemble.Z).cache()
+    both = iforest.score_by_nodes(fitted.forest.score(z).withColumnRenamed("score", "theirs"), ensemble.Z, fitted.forest.nodes, fitted.forest.sample)
+    assert both.filter("abs(score - theirs) > 1e-12").count() == 0
+    plan = iforest.score_by_nodes(z, ensemble.Z, fitted.forest.nodes, fitted.forest.sample)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_training_guards(requests):
+    calm = requests.filter(OTHERS)
+    few = calm.limit(99)
+    assert ensemble.train_ensemble(few, SMALL) is None
+    check = ensemble.training_check(calm.limit(200).unionByName(requests.filter("is_attack = 1").limit(10)), SMALL).first()
+    assert check.rows == 210 and check.attacks == 10 and check.enough_rows and not check.enough_attacks
+    more = ensemble.training_check(requests, SMALL).first()
+    assert more.enough_attacks and more.attacks + more.others == more.rows

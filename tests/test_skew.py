@@ -175,3 +175,52 @@ def test_exact_quantiles(spark):
 def test_quantiles_of_one_value(spark):
     df = spark.createDataFrame([(2.5,)] * 4, "v double")
     assert [r.value for r in exact_quantiles(df, "v", [0.5]).collect()] == [2.5]
+
+
+@pytest.mark.parametrize("ranked", [0, 500_000])
+def test_exact_quantiles_of_hard_distributions(spark, monkeypatch, ranked):
+    import numpy as np
+
+    from tidegauge.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "RANKED", ranked)  # 0: always narrowed by histograms
+    rng = np.random.default_rng(3)
+    shapes = {
+        "flat": rng.uniform(0, 1, 5000),
+        "steep": 10.0 ** rng.uniform(-300, 300, 5000) * rng.choice([-1, 1], 5000),
+        "close": np.nextafter(1.0, 2) + np.arange(5000) * np.spacing(1.0),
+        "ties": np.repeat([1.0, 2.0, 3.0], [4997, 2, 1]),
+        "odd": np.concatenate([[np.inf] * 40, [-np.inf] * 40, [np.nan] * 300, rng.normal(size=4620)]),
+        "one": np.array([7.0]),
+    }
+    rows = [(g, float(v)) for g, values in shapes.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    points = [0.0, 0.0001, 0.5, 0.95, 0.9999, 1.0]
+
+    def at(values, p):
+        ordered = sorted(values, key=lambda v: (math.isnan(v), v))
+        return ordered[max(math.ceil(p * len(ordered)), 1) - 1]
+
+    same = lambda a, b: a == b or (math.isnan(a) and math.isnan(b))
+    found = {(r.g, r.p): r.value for r in exact_quantiles(df, "v", points, keys=("g",)).collect()}
+    assert len(found) == len(shapes) * len(points)
+    for g, values in shapes.items():
+        assert all(same(found[g, p], at(values, p)) for p in points), g
+    for r in exact_quantiles(df.filter("g = 'steep'"), "v", points).collect():
+        assert r.value == at(shapes["steep"], r.p)
+
+
+def test_exact_quantiles_scan_the_source_twice(spark, tmp_path):
+    from tidegauge.functions import quantiles
+
+    spark.range(20_000).selectExpr("cast(id * 37 % 9973 as double) as v").write.parquet(f"{tmp_path}/t")
+    counter = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            counter.add(b.num_rows)
+            yield b
+
+    df = spark.read.parquet(f"{tmp_path}/t").mapInArrow(count, "v double")
+    assert quantiles.exact_quantiles(df, "v", [0.5, 0.99]).count() == 2
+    assert counter.value == 2 * 20_000

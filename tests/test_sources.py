@@ -83,7 +83,7 @@ def test_sample_limit_listing(spark, tmp_path, logs):
     half = source.read_logs(spark, base, sample_fraction=0.5).count()
     assert 0.4 * 1000 < half < 0.6 * 1000
     assert source.read_logs(spark, base, limit=7).count() == 7
-    listing = source.storage_listing(spark, base, n=2).collect()
+    listing = source.storage_listing(spark, base, "json", n=2).collect()
     assert len(listing) == 2 and all("hour=" in r.file_path and r.size_mb > 0 for r in listing)
 
 
@@ -144,3 +144,67 @@ def test_scratch_is_cleared(spark):
     spark.range(3).write.parquet(path)
     assert clear_scratch(spark) >= 1
     assert clear_scratch(spark) == 0
+
+
+def test_quarantine_by_bounds(spark):
+    rows = [("2024-01-01T00:00:00",), ("1999-01-01T00:00:00",), ("2200-01-01T00:00:00",), ("soon",), (None,)]
+    raw = spark.createDataFrame(rows, "timestamp string")
+    found = source.quarantine(raw, datetime(2020, 1, 1), datetime(2100, 1, 1)).collect()
+    assert sorted((r.timestamp or "", r.reason) for r in found) == [
+        ("", "unreadable"), ("1999-01-01T00:00:00", "stray"), ("2200-01-01T00:00:00", "stray"), ("soon", "unreadable")
+    ]
+    assert source.quarantine(raw).count() == 2
+
+
+def test_listing_counts_rows(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(f"{tmp_path}/a")
+    listed = source.storage_listing(spark, str(tmp_path)).collect()
+    assert len(listed) == 3 and sum(r.rows for r in listed) == 1000 and all(r.size_mb > 0 and r.modified for r in listed)
+
+
+def scanned_rows(df):
+    """Rows that the scans of a finished query have given out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        metric = leaves.apply(i).metrics().get("numOutputRows")
+        total += metric.get().value() if metric.isDefined() else 0
+    return total
+
+
+def test_lookup_reads_what_can_hold_the_source(spark, tmp_path):
+    from tidegauge.operators import lookup
+
+    path = f"{tmp_path}/lookup"
+    rows = spark.range(400_000).selectExpr(
+        "concat('2024010', id % 4 + 1, '-', lpad(id, 8, '0')) as rowkey", "cast(concat('2024-01-0', id % 4 + 1) as timestamp) as alert_ts",
+        "concat('10.0.', (id div 4) % 500, '.1') as source_ip", "'LOW' as severity", "'rule_based' as detection_method",
+        "repeat(md5(cast(id as string)), 4) as note", "cast(concat('2024-01-0', id % 4 + 1) as date) as alert_date")
+    lookup.write_lookup(rows, path, group_bytes=256 << 10)
+    found = lookup.newest_of_source(spark, path, "10.0.7.1", 5)
+    want = rows.filter("source_ip = '10.0.7.1'").orderBy(F.desc("rowkey")).limit(5).select(*lookup.SHOWN)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in want.collect()]
+    one_day = spark.read.parquet(path).filter("alert_date = '2024-01-04' and source_ip = '10.0.7.1'")
+    unfiltered = spark.read.parquet(path).filter("alert_date = '2024-01-04'")
+    assert scanned_rows(unfiltered) == 100_000
+    assert 200 <= scanned_rows(one_day) < 20_000  # a few row groups of many
+    assert lookup.newest_of_source(spark, path, "10.9.9.9").count() == 0
+    assert [r.rowkey[:8] for r in lookup.newest_alerts(spark, path, 3).collect()] == ["20240104"] * 3
+    many = lookup.newest_of_source(spark, path, "10.0.7.1", 450).collect()
+    assert len(many) == 450 and {r.rowkey[:8] for r in many} == {"20240104", "20240103", "20240102"}
+
+
+def test_days_of_a_streamed_store_are_compacted(spark, tmp_path):
+    from test_streams import canonical
+
+    from tidegauge.operators import lookup
+    from tidegauge.streaming import store as stream_store
+
+    for batch in range(2):
+        alerts = canonical(spark, *[(m, f"ip{m % 3}", "LOW") for m in range(30 * batch, 30 * batch + 40)], (None, "ip1", "HIGH"))
+        stream_store.store_batch(alerts, batch, f"{tmp_path}/store")
+    days = [r[0] for r in stream_store.read_store(spark, f"{tmp_path}/store").select("alert_date").distinct().filter("alert_date is not null").collect()]
+    lookup.compact_days(spark, f"{tmp_path}/store", f"{tmp_path}/lookup", days)
+    found = lookup.newest_of_source(spark, f"{tmp_path}/lookup", "ip1", 100)
+    assert found.count() == sum(m % 3 == 1 for m in range(70))

@@ -121,7 +121,7 @@ def test_url_ttl_is_accepted(spark, feed, tmp_path):
 
 def canonical(spark, *rows):
     full = [
-        tuple({"alert_ts": START + timedelta(minutes=m), "source_ip": ip, "severity": s,
+        tuple({"alert_ts": None if m is None else START + timedelta(minutes=m), "source_ip": ip, "severity": s,
                "detection_method": "rule_based"}.get(f.name) for f in CANONICAL_ALERT)
         for m, ip, s in rows
     ]
@@ -143,6 +143,38 @@ def test_store_batches_can_be_replayed(spark, tmp_path):
     assert again.exceptAll(stats.drop("latest_alert")).count() == 0
 
 
+def test_store_counts_an_alert_once_however_often_it_is_sent(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    monkeypatch.setattr(stream_store, "FILTER_WORDS", 1)  # a filter that soon holds everything: exact all the same
+    sent = [canonical(spark, *[(m, f"ip{m % 5}", "LOW") for m in range(20 * b, 20 * b + 30)]) for b in range(4)]
+    for batch_id, alerts in enumerate(sent):
+        stream_store.store_batch(alerts, batch_id, path)
+    for batch_id in (2, 3):  # the last ones once more, as after a failure
+        stream_store.store_batch(sent[batch_id], batch_id, path)
+    stats = stream_store.read_statistics(spark, path)
+    assert stats.agg(F.sum("alert_count")).first()[0] == 90 == stream_store.read_store(spark, path).count()
+
+
+def test_store_batches_read_no_more_as_the_day_fills(spark, tmp_path):
+    """Bytes that a batch reads do not depend on what the day holds already."""
+    path = str(tmp_path)
+    sc = spark.sparkContext
+
+    def stages():
+        found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._gateway.jvm.double, 0), None)
+        return {found.apply(i).stageId(): found.apply(i).inputBytes() for i in range(found.size())}
+
+    cost = []
+    for batch_id in range(12):
+        alerts = canonical(spark, *[(20 * batch_id + m / 100, f"ip{m % 40}", "LOW") for m in range(400)]).coalesce(1)
+        alerts.write.parquet(f"{path}/in{batch_id}")
+        last = max(stages())
+        stream_store.store_batch(spark.read.parquet(f"{path}/in{batch_id}"), batch_id, f"{path}/store")
+        cost.append(sum(n for stage, n in stages().items() if stage > last))
+    # Statistics have their size from the second batch on; their sources are the same ones throughout.
+    assert max(cost[3:]) < 1.2 * min(cost[3:])
+
+
 def test_alert_topics_meet_in_one_store(spark, tmp_path):
     rule, window = canonical(spark, (0, "a", "LOW")), canonical(spark, (1, "b", "HIGH"))
     from tidegauge.operators.rules import canonical_payload
@@ -208,6 +240,31 @@ def test_retraining(spark, tmp_path, logs):
     assert (tmp_path / "m" / "models" / "last").exists()
 
 
+def test_retraining_keeps_the_newest_rows_over_restarts(spark, tmp_path, logs):
+    labelled = rolling.pseudo_labels(rolling.rolling_ml(logs), 3, 0.4, 2).orderBy("event_timestamp", "event_id")
+    rows = labelled.collect()
+    cfg = ModelConfig(trees=3, depth=2, retrain_every=250, retrain_over=150)
+    (tmp_path / "in").mkdir()
+
+    def feed_and_run(k):
+        part = spark.createDataFrame(rows[100 * k : 100 * (k + 1)], labelled.schema).coalesce(1)
+        part.write.parquet(f"{tmp_path}/part{k}")
+        for file in (tmp_path / f"part{k}").glob("*.parquet"):
+            file.rename(tmp_path / "in" / f"{k}.parquet")
+        features = spark.readStream.schema(labelled.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        jobs.start_retraining(features, f"{tmp_path}/m", f"{tmp_path}/cp", cfg, ONCE).awaitTermination()
+
+    for k in range(6):  # each run is a restart
+        feed_and_run(k)
+    assert len(list((tmp_path / "m" / "features").glob("batch_id=*"))) <= 3
+    newest = jobs.newest_collected(spark, f"{tmp_path}/m", 150)
+    assert {r.event_id for r in newest.collect()} == {r.event_id for r in rows[450:600]}
+    assert sorted(p.name for p in (tmp_path / "m" / "models").iterdir()) == ["version=2", "version=4"]
+    small = ModelConfig(trees=3, depth=2, retrain_over=50)
+    jobs.fit_collected(spark, f"{tmp_path}/m", small)
+    assert not (tmp_path / "m" / "models" / "last").exists()  # fewer rows than a fit needs
+
+
 def test_live_model_alerts_are_published_and_stored(spark, tmp_path, logs):
     """Streamed scores equal those of a batch with the same saved model; alerts go over a topic into the store."""
     from tidegauge.operators import cooldown, ensemble
@@ -215,7 +272,7 @@ def test_live_model_alerts_are_published_and_stored(spark, tmp_path, logs):
     from tidegauge.streaming.drain import drain
 
     labelled = rolling.pseudo_labels(rolling.rolling_ml(logs), 3, 0.4, 2)
-    models = ModelConfig(trees=5, depth=3, outlier_distance=6.0)
+    models = ModelConfig(trees=5, depth=3, outlier_distance=6.0, min_positives=0)
     ensemble.fit_ensemble(labelled, models).save(spark, f"{tmp_path}/model")
     model = ensemble.Ensemble.load(spark, f"{tmp_path}/model")
     raw = f"{tmp_path}/raw"
@@ -244,3 +301,115 @@ def test_live_model_alerts_are_published_and_stored(spark, tmp_path, logs):
     assert found.filter(F.col("detection_method") == METHOD_RULES).count() > 0
     stats = stream_store.read_statistics(spark, f"{tmp_path}/store")
     assert stats.agg(F.sum("alert_count")).first()[0] == found.count()
+
+
+def test_late_rows_are_those_that_stateful_operators_drop(spark, tmp_path):
+    """The side output with in_force=2 against numRowsDroppedByWatermark of a stateful stream over the same files."""
+    from tidegauge.streaming import late
+
+    (tmp_path / "in").mkdir()
+    batches = [[0, 5, 30], [1, 29, 31, 60], [2, 19, 21, 45, 90], [3, 49, 51, 95], [70, 79, 81, 120], [1, 100]]
+    for k, minutes in enumerate(batches):
+        lines = [json.dumps({"timestamp": (START + timedelta(minutes=m)).isoformat(), "source_ip": f"ip{k}", "url": f"/{k}/{i}"}) for i, m in enumerate(minutes)]
+        lines += [json.dumps({"timestamp": "never", "source_ip": "x"}), json.dumps({"timestamp": "2150-01-01T00:00:00", "source_ip": "y"})]
+        (tmp_path / "in" / f"{k}.json").write_text("\n".join(lines))
+    raw = read_log_stream(spark, f"{tmp_path}/in", "json", max_per_trigger=1)
+    limits = {"earliest": datetime(2020, 1, 1), "latest": datetime(2100, 1, 1)}
+    late.start_split(raw, f"{tmp_path}/out", f"{tmp_path}/cp", timedelta(minutes=10), in_force=2, **limits, trigger=ONCE).awaitTermination()
+    found = late.read_part(spark, f"{tmp_path}/out", "late")
+
+    logs = normalize_logs(raw).filter(F.col("event_timestamp").between(limits["earliest"], limits["latest"]))
+    distinct = logs.withWatermark("event_timestamp", "10 minutes").dropDuplicatesWithinWatermark(["event_id"])
+    query = distinct.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/cp2").trigger(**ONCE).start()
+    query.awaitTermination()
+    dropped = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress if p["numInputRows"]]
+    per_batch = {r.batch_id: r["count"] for r in found.groupBy("batch_id").count().collect()}
+    assert [per_batch.get(b, 0) for b in range(len(batches))] == dropped and sum(dropped) > 3
+    bad = late.read_part(spark, f"{tmp_path}/out", "quarantine").groupBy("reason").count().collect()
+    assert {(r.reason, r["count"]) for r in bad} == {("unreadable", 6), ("stray", 6)}
+    total = late.read_part(spark, f"{tmp_path}/out", "ontime").count() + found.count()
+    assert total == sum(map(len, batches))
+
+
+class Memory:
+    """A state handle in memory, which tells how many rows are held at most in one piece."""
+
+    class Map(dict):
+        def getValue(self, k):
+            return self.get(tuple(k))
+
+        def updateValue(self, k, v):
+            self[tuple(k)] = tuple(v)
+
+        def removeKey(self, k):
+            self.pop(tuple(k), None)
+
+        def containsKey(self, k):
+            return tuple(k) in self
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+    class Value:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            self.value = tuple(v)
+
+        def clear(self):
+            self.value = None
+
+    def getMapState(self, name, *schemas):
+        return self.__dict__.setdefault(name, Memory.Map())
+
+    def getValueState(self, name, *schemas):
+        return self.__dict__.setdefault(name, Memory.Value())
+
+    def registerTimer(self, ms):
+        self.timer = ms
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+@pytest.mark.parametrize("full", [2_000, 10**9])  # slots kept by second, or whole
+def test_a_hot_source_leaves_in_bounded_frames(spark, monkeypatch, full):
+    import numpy as np
+    import pandas as pd
+
+    monkeypatch.setattr(stateful, "FULL_ROWS", full)
+    monkeypatch.setattr(stateful, "FRAME_ROWS", 1_000)
+    rng = np.random.default_rng(4)
+    n = 60_000
+    start = int(START.timestamp() * 1e6)
+    rows = pd.DataFrame({"event_id": np.arange(n), "us": start + rng.integers(0, 3_000_000_000, n), "url": [f"/{i % 50}" for i in range(n)],
+                         "error": rng.integers(0, 2, n), "rt": rng.random(n), "hour_of_day": 1, "day_of_week": 2})
+    operator, state = stateful.RollingFeatures(None), Memory()
+    operator.init(state)
+    frames = []
+    for k in range(12):
+        chunk = rows.iloc[5_000 * k : 5_000 * (k + 1)]
+        list(operator.handleInputRows(("a",), iter([chunk]), None))
+    held = max(len(stateful._unpacked(v[0], operator.arrow)) for v in state.held.values())
+    for passed in (500, 1_700, 1_701, 10_000):
+        frames += list(operator.handleExpiredTimer(("a",), Clock((start // 1000) + passed * 1000), None))
+    found = pd.concat(frames)
+    assert len(found) == n and not state.slots and not state.held and not state.parts
+    assert held <= 5_000 and max(map(len, frames)) <= 1_000
+    ordered = rows.sort_values(["us", "event_id"])
+    assert found["event_id"].tolist() == ordered["event_id"].tolist()
+    us = ordered["us"].to_numpy()
+    assert found["request_rate"].tolist() == (np.arange(1, n + 1) - np.searchsorted(us, us - 60_000_000, side="right")).tolist()
+    assert found["url_diversity"].tolist() == np.cumsum(~ordered["url"].duplicated()).tolist()
+    assert np.allclose(found["error_rate"], ordered["error"].rolling(10, min_periods=1).mean())

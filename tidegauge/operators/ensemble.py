@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,7 +57,7 @@ def kmeans_outliers(model: PipelineModel, features: DataFrame, threshold: float
 
 @dataclass
 class Ensemble:
-    """The fitted detectors; `classifier` is None when one of the classes had no row to learn from."""
+    """The fitted detectors; `classifier` is None when there were too few rows of a class to learn from."""
 
     clusters: PipelineModel
     forest: IsolationForest
@@ -70,9 +70,11 @@ class Ensemble:
             self.classifier.write().overwrite().save(f"{path}/classifier")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, with_classifier: bool = True) -> Ensemble:
-        from pyspark.ml.classification import RandomForestClassificationModel
-
+    def load(cls, spark: SparkSession, path: str, with_classifier: bool | None = None) -> Ensemble:
+        """A saved ensemble; its classifier as asked, by default if there is one."""
+        if with_classifier is None:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/classifier")
+            with_classifier = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
         return cls(
             PipelineModel.load(f"{path}/clusters"),
             IsolationForest.load(spark, f"{path}/forest"),
@@ -80,28 +82,46 @@ class Ensemble:
         )
 
 
-def fit_ensemble(
-    labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_attack", classifier_rows: DataFrame | None = None
-) -> Ensemble:
+def training_check(labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_attack") -> DataFrame:
+    """One row: rows, attacks, others, and whether they do for a fit at all (`enough_rows`) and for the classifier.
+
+    A fit needs `min_rows` rows; the classifier more than `min_positives` attacks and some rows that are none.
+    """
+    counts = labelled.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("attacks"), F.count_if(F.col(label) == 0).alias("others")
+    )
+    return counts.withColumns(
+        {
+            "enough_rows": F.col("rows") >= cfg.min_rows,
+            "enough_attacks": (F.col("attacks") > cfg.min_positives) & (F.col("others") > 0),
+        }
+    )
+
+
+def fit_ensemble(labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_attack") -> Ensemble:
     """Fit on rolling features with a pseudo-label column.
 
-    The clusters and the isolation forest need no labels and are fitted on all rows; the classifier on
-    `classifier_rows`, by default all, and only if both classes are among them.
+    The clusters and the isolation forest need no labels; the classifier is fitted if training_check allows it.
     """
     with persisted(labelled) as kept:
         clusters = fit_outlier_kmeans(kept, cfg)
         scaled = _with_z(clusters.transform(kept))
         forest = fit_iforest(scaled, Z, KEYS, trees=cfg.trees, contamination=cfg.contamination, seed=cfg.seed)
-        examples = scaled if classifier_rows is None else _with_z(clusters.transform(classifier_rows))
         classifier = None
-        if examples.select(label).distinct().count() > 1:
+        if training_check(kept, cfg, label).first().enough_attacks:
             classifier = RandomForestClassifier(
                 featuresCol="features", labelCol=label, predictionCol="vote", numTrees=cfg.trees,
                 maxDepth=cfg.depth, maxBins=cfg.bins, seed=cfg.seed,
-            ).fit(examples)
+            ).fit(scaled)
         return Ensemble(clusters, forest, classifier)
 
 
+def train_ensemble(labelled: DataFrame, cfg: ModelConfig = CFG, label: str = "is_attack") -> Ensemble | None:
+    """`fit_ensemble` if there are at least `min_rows` rows, else None."""
+    with persisted(labelled) as kept:
+        return fit_ensemble(kept, cfg, label) if training_check(kept, cfg, label).first().enough_rows else None
+
+
 def score_ensemble(model: Ensemble, features: DataFrame) -> DataFrame:
     """Rolling features with `cluster`, `distance`, `decision`, `vote` and `attack_probability`.
 

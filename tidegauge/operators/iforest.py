@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.operators.ml import persisted
@@ -83,6 +83,34 @@ def mean_paths(points: np.ndarray, forest: dict[str, np.ndarray], steps: int) ->
     return total / len(forest["roots"])
 
 
+def score_by_nodes(features: DataFrame, columns: list[str], nodes: pd.DataFrame, sample: int) -> DataFrame:
+    """Add `score` as IsolationForest.score does, without Python workers.
+
+    The nodes become a constant, an array of trees, which the forest's settings bound; each row walks down all
+    trees in expressions.
+    """
+    ordered = nodes.sort_values(["tree", "node"])
+    names = ["feature", "threshold", "left", "right", "path"]
+    trees = [[dict(zip(names, n, strict=True)) for n in part[names].astype(object).itertuples(index=False)] for _, part in ordered.groupby("tree")]
+    schema = "array<array<struct<feature: int, threshold: double, left: int, right: int, path: double>>>"
+    forest = F.from_json(F.lit(json.dumps(trees)), schema)  # folded into a constant when the query is planned
+    steps = F.sequence(F.lit(1), F.lit(int(np.ceil(np.log2(max(sample, 2))))))
+    point = F.array(*[F.col(c).cast("double") for c in columns])
+
+    def walk(point: Column) -> Column:
+        def below(tree: Column, at: Column) -> Column:
+            here = tree[at]
+            return F.when(here["feature"] < 0, at).when(point[here["feature"]] <= here["threshold"], here["left"]).otherwise(here["right"])
+
+        def path(tree: Column) -> Column:
+            return tree[F.aggregate(steps, F.lit(0), lambda at, _: below(tree, at))]["path"]
+
+        return F.aggregate(forest, F.lit(0.0), lambda total, tree: total + path(tree))
+
+    mean = F.transform(F.array(point), walk)[0] / len(trees)
+    return features.withColumn("score", F.pow(F.lit(2.0), -mean / F.lit(float(average_path(sample)))))
+
+
 @dataclass
 class IsolationForest:
     """A grown forest; `nodes` is bounded by the forest's settings, not by the data."""

@@ -52,33 +52,21 @@ def _bin(column: str, size: str) -> Column:
     return F.window(column, size)["start"]
 
 
-def rate_series(logs: DataFrame, size: str = "5 seconds", longest_gap_days: int = 31) -> DataFrame:
-    """Requests per bin from the first to the last one, empty bins as 0.
+def rate_series(logs: DataFrame, size: str = "5 seconds") -> DataFrame:
+    """Requests per bin from the first to the last one, empty bins as 0, however long a silence.
 
-    Days are listed first and each day's bins made from it, so no array is longer than a day's bins or
-    `longest_gap_days`. Longer gaps, as stray times make them, are not filled. `size` must divide a day.
+    The days between the two ends are listed and dealt out, and each day's bins are made where it lies. Stray times
+    stretch the series: leave them out first (sources.logs.timed_between). `size` must divide a day.
     """
     counts = logs.filter(F.col("event_timestamp").isNotNull()).groupBy(
         _bin("event_timestamp", size).alias("bin_start")
     ).agg(F.count(F.lit(1)).alias("requests"))
-    days = counts.groupBy(F.to_date("bin_start").alias("day")).agg(
-        F.min("bin_start").alias("lo"), F.max("bin_start").alias("hi")
-    )
-    # A row per day with requests.
-    following = Window.orderBy("day")
-    gap = F.datediff(F.lead("day").over(following), "day")
-    joined_next = F.coalesce(gap <= longest_gap_days, F.lit(False))
-    joined_last = F.coalesce(F.datediff("day", F.lag("day").over(following)) <= longest_gap_days, F.lit(False))
+    ends = counts.agg(F.min("bin_start").alias("lo"), F.max("bin_start").alias("hi"))
+    days = ends.select("lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day")).repartition("day")
     step = F.expr(f"INTERVAL {size}")
-    filled = days.select(
-        "day", "lo", "hi", joined_next.alias("on"), joined_last.alias("since"), F.when(joined_next, gap).otherwise(1).alias("gap")
-    ).select("*", F.explode(F.sequence(F.lit(0), F.col("gap") - 1)).alias("ahead"))
-    midnight = F.date_add("day", F.col("ahead")).cast("timestamp")
-    first = F.when((F.col("ahead") == 0) & ~F.col("since"), F.col("lo")).otherwise(midnight)
-    last = F.when(F.col("on"), F.date_add("day", F.col("ahead") + 1).cast("timestamp") - step).otherwise(F.col("hi"))
-    bins = filled.select(first.alias("first"), last.alias("last")).filter("first <= last").select(
-        F.explode(F.sequence("first", "last", step)).alias("bin_start")
-    )
+    first = F.greatest("lo", F.col("day").cast("timestamp"))
+    last = F.least("hi", F.date_add("day", 1).cast("timestamp") - step)
+    bins = days.select(F.explode(F.sequence(first, last, step)).alias("bin_start"))
     return bins.join(counts, "bin_start", "left").select(
         "bin_start", F.coalesce("requests", F.lit(0)).alias("requests")
     )

@@ -64,7 +64,7 @@ def inspect_alerts(
     if action == "recent":
         return {"recent": store.recent_alerts(stored, limit)}
     if action == "trends":
-        return {by: store.alert_trends(stored, by) for by in ("severity", "method", "hour")}
+        return {by: store.alert_trends(stored, by, 24 if by == "hour" else None) for by in ("severity", "method", "hour")}
     if action == "offenders":
         return {"offenders": store.top_offenders(stats, limit)}
     if action == "ip-history":

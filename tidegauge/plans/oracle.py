@@ -5,6 +5,9 @@ Doubles are compared in single precision (CAST to REAL and back), as `queries.si
 
 from __future__ import annotations
 
+from tidegauge.operators.iforest import average_path
+from tidegauge.schema import ML_FEATURES
+
 # The log view over `events`.
 LOGS = """
 base AS (
@@ -406,3 +409,74 @@ a AS (
          CASE WHEN d > 3.5 THEN least(100, d * 20) ELSE 0 END + CASE WHEN s < 0 THEN least(100, abs(s) * 50) ELSE 0 END + CASE WHEN b THEN pct ELSE 0 END AS total
   FROM v)""", """SELECT event_id, items AS alert_types, CAST(CAST(total / n AS REAL) AS DOUBLE) AS confidence, n AS models_used FROM a WHERE n > 0""")
 ORACLE["model_round_trip"] = _with(TUMBLED, "SELECT count(*) AS windows, CAST(0 AS BIGINT) AS moved FROM v1")
+
+ORACLE["trends_24_hours"] = ORACLE["trends_hour"] + " ORDER BY 1 DESC LIMIT 24"
+ORACLE["lookup_by_ip"] = ORACLE["alerts_by_ip"]
+ORACLE["lookup_recent"] = ORACLE["recent_alerts"]
+ORACLE["lookup_history"] = ORACLE["ip_history"]
+
+SPOILED = LOGS + """,
+spoiled AS (
+  SELECT event_id, event_timestamp, CASE WHEN event_id % 97 = 5 THEN 'unreadable' WHEN event_id % 89 = 7 THEN 'stray' END AS reason FROM logs)"""
+ORACLE["quarantine_rows"] = _with(SPOILED, """SELECT event_id, CASE reason WHEN 'unreadable' THEN 'yesterday' ELSE '1999-01-01T00:00:00' END AS "timestamp", reason
+FROM spoiled WHERE reason IS NOT NULL""")
+ORACLE["stream_late_rows"] = _with(SPOILED + """,
+ends AS (SELECT event_id % 4 AS part, max(event_timestamp) AS latest FROM spoiled WHERE reason IS NULL GROUP BY 1),
+marks AS (SELECT p.part, (SELECT max(latest) FROM ends e WHERE e.part < p.part) - INTERVAL 10 MINUTE AS watermark FROM (SELECT unnest(range(4)) AS part) p)""",
+    """SELECT event_id, CASE WHEN reason IS NOT NULL THEN 'quarantine' WHEN event_timestamp <= watermark THEN 'late' ELSE 'ontime' END AS part, reason,
+  CASE WHEN reason IS NULL AND event_timestamp <= watermark THEN watermark END AS watermark
+FROM spoiled JOIN marks m ON m.part = event_id % 4""")
+ORACLE["archive_read"] = _with(LOGS, """SELECT strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
+  strftime(event_timestamp, '%d') AS day, strftime(event_timestamp, '%H') AS hour, count(*) AS rows, CAST(sum(bytes_sent) AS BIGINT) AS total_bytes,
+  count(DISTINCT source_ip) AS sources
+FROM logs WHERE event_timestamp >= TIMESTAMP '2024-01-01 00:10:00' AND event_timestamp < TIMESTAMP '2024-01-01 01:05:00' GROUP BY 1, 2, 3, 4""")
+ORACLE["storage_listing"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows, true AS with_size FROM {name}"
+    for name in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+)
+
+# Scaled windows, centres of four groups, the nearest centre and its distance.
+ASSIGNED = TUMBLED + """,
+v2 AS (SELECT *, request_rate AS requests_per_minute, status_4xx_count + status_5xx_count AS error_count FROM v1),
+z AS (
+  SELECT source_ip, window_start, CAST(request_count > 5 AS INTEGER) + 2 * CAST(error_rate > 0.3 AS INTEGER) AS grp, [""" + ", ".join(
+    f"(v2.{c} - avg(v2.{c}) OVER ()) / stddev_samp(v2.{c}) OVER ()" for c in Z_COLUMNS
+) + """] AS x FROM v2),
+centres AS (SELECT grp AS cluster, [""" + ", ".join(f"avg(x[{i + 1}])" for i in range(len(Z_COLUMNS))) + """] AS c FROM z GROUP BY grp),
+near AS (
+  SELECT source_ip, window_start, any_value(x) AS x, arg_min(cluster, (list_distance(x, c), cluster)) AS cluster, min(list_distance(x, c)) AS distance
+  FROM z, centres GROUP BY source_ip, window_start)"""
+ORACLE["cluster_assignment"] = _with(ASSIGNED, "SELECT source_ip, window_start, cluster, CAST(CAST(distance AS REAL) AS DOUBLE) AS distance FROM near")
+ORACLE["outlier_distance"] = _with(ASSIGNED, """SELECT source_ip, window_start, cluster, CAST(CAST(distance AS REAL) AS DOUBLE) AS distance,
+  CAST(CAST(least(100, distance * 20) AS REAL) AS DOUBLE) AS confidence FROM near WHERE distance > 4""")
+ORACLE["silhouette_by_cluster"] = _with(ASSIGNED + """,
+m AS (
+  SELECT cluster, count(*) AS n, sum(list_dot_product(x, x)) AS q, [""" + ", ".join(f"sum(x[{i + 1}])" for i in range(len(Z_COLUMNS))) + """] AS s FROM near GROUP BY cluster),
+d AS (
+  SELECT source_ip, window_start, near.cluster AS own, m.cluster AS other, m.n, list_dot_product(x, x) + q / n - 2 * list_dot_product(x, s) / n AS d FROM near, m),
+ab AS (
+  SELECT source_ip, window_start, own, max(n) FILTER (own = other) AS n, max(d) FILTER (own = other) AS a, min(d) FILTER (own != other) AS b FROM d GROUP BY ALL)""",
+    """SELECT own AS cluster, count(*) AS points, CAST(CAST(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a * n / (n - 1)) / greatest(b, a * n / (n - 1)) END) AS REAL) AS DOUBLE) AS silhouette
+FROM ab GROUP BY own""")
+
+# A forest of complete trees whose splits follow from the numbers of tree and node, walked from the roots.
+ORACLE["forest_scores"] = _with(LOGS + ROLLING + """,
+featured AS (
+  SELECT *, log2(url_diversity) AS url_entropy, hour(event_timestamp) AS hour_of_day,
+         CAST(hour(event_timestamp) BETWEEN 9 AND 17 AS INTEGER) AS is_business_hours, CAST(isodow(event_timestamp) >= 6 AS INTEGER) AS is_weekend
+  FROM rolled),
+x AS (SELECT event_id, [""" + ", ".join(f"CAST({c} AS DOUBLE)" for c in ML_FEATURES) + """] AS v FROM featured),
+ends AS (SELECT i AS feature, min(v[i + 1]) AS lo, max(v[i + 1]) AS hi FROM x, (SELECT unnest(range(19)) AS i) GROUP BY i),
+nodes AS (
+  SELECT tree, node, feature, lo + (hi - lo) * (((tree * 13 + node * 29) % 97 + 1) / 98) AS threshold
+  FROM (SELECT unnest(range(10)) AS tree), (SELECT unnest(range(15)) AS node), ends WHERE feature = (tree * 7 + node * 5) % 19),
+walk AS (
+  SELECT event_id, tree, 0::BIGINT AS node, 0 AS step FROM x, (SELECT unnest(range(10)) AS tree)
+  UNION ALL
+  SELECT w.event_id, w.tree, 2 * w.node + CASE WHEN x.v[n.feature + 1] <= n.threshold THEN 1 ELSE 2 END, w.step + 1
+  FROM walk w JOIN x ON x.event_id = w.event_id JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE w.step < 4),
+paths AS (SELECT event_id, avg(4 + (tree % 3) * 0.5 + (node % 5) * 0.25) AS mean FROM walk WHERE step = 4 GROUP BY event_id)""",
+    f"SELECT event_id, CAST(CAST(pow(2.0::DOUBLE, -mean / {float(average_path(16))!r}) AS REAL) AS DOUBLE) AS score FROM paths", recursive=True)
+ORACLE["training_check"] = _with(LOGS + ROLLING + """,
+l AS (SELECT (request_rate > 3 AND error_rate > 0.4) OR burst_rate > 2 AS attack FROM rolled)""", """SELECT count(*) AS rows, count(*) FILTER (attack) AS attacks,
+  count(*) FILTER (NOT attack) AS others, count(*) >= 100 AS enough_rows, count(*) FILTER (attack) > 10 AND count(*) FILTER (NOT attack) > 0 AS enough_attacks FROM l""")

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators import (
+    clusters,
     cooldown,
     ensemble,
     iforest,
     live,
+    lookup,
     ml,
     profiles,
     report,
@@ -26,8 +30,9 @@ from tidegauge.operators import (
 from tidegauge.schema import ML_FEATURES, PARTITION_KEYS, WINDOW_V2_FEATURES, DetectionConfig
 from tidegauge.session import cut_lineage, scratch_path, use_rocksdb
 from tidegauge.sources import sinks
+from tidegauge.sources import logs as log_source
 from tidegauge.sources.events import event_log_stream, event_logs, raw_text_logs
-from tidegauge.streaming import stateful
+from tidegauge.streaming import late, stateful
 from tidegauge.streaming import store as stream_store
 from tidegauge.streaming import windows as stream_windows
 from tidegauge.streaming.drain import drain
@@ -210,6 +215,7 @@ query("recent_alerts")(lambda logs: store.recent_alerts(alert_store(logs)))
 query("trends_severity")(lambda logs: store.alert_trends(alert_store(logs), "severity"))
 query("trends_method")(lambda logs: store.alert_trends(alert_store(logs), "method"))
 query("trends_hour")(lambda logs: store.alert_trends(alert_store(logs), "hour"))
+query("trends_24_hours")(lambda logs: store.alert_trends(alert_store(logs), "hour", hours=24))
 query("top_offenders")(lambda logs: store.top_offenders(store.ip_statistics(alert_store(logs))))
 
 
@@ -240,6 +246,69 @@ def threat_report(logs: DataFrame) -> DataFrame:
     return report.threat_report(stored, store.ip_statistics(stored))
 
 
+def looked_up(logs: DataFrame) -> tuple[DataFrame, str]:
+    """The alert store, and the folder of its look-up layout."""
+    stored, path = stored_once(logs), scratch_path(logs.sparkSession, "lookup")
+    lookup.write_lookup(stored, path)
+    return stored, path
+
+
+query("lookup_by_ip")(lambda logs: lookup.newest_of_source(logs.sparkSession, looked_up(logs)[1], WATCHED_IP))
+query("lookup_recent")(lambda logs: lookup.newest_alerts(logs.sparkSession, looked_up(logs)[1], columns=lookup.SHOWN[1:]))
+
+
+@query("lookup_history")
+def lookup_history(logs: DataFrame) -> DataFrame:
+    stored, path = looked_up(logs)
+    return lookup.history_of_source(logs.sparkSession, path, store.ip_statistics(stored), WATCHED_IP)
+
+
+# Files, archive, unusable rows -----------------------------------------------------------
+
+FIRST_TIME = datetime(2020, 1, 1)
+
+
+def spoiled(logs: DataFrame) -> DataFrame:
+    """Raw rows, some of which have a text that is no time, or a time long before the others."""
+    raw = raw_text_logs(logs.withColumn("user_agent", F.col("event_id").cast("string")))
+    event = F.col("user_agent").cast("bigint")
+    stamp = F.when(event % 97 == 5, "yesterday").when(event % 89 == 7, "1999-01-01T00:00:00").otherwise(F.col("timestamp"))
+    return raw.withColumn("timestamp", stamp)
+
+
+@query("quarantine_rows")
+def quarantine_rows(logs: DataFrame) -> DataFrame:
+    bad = log_source.quarantine(spoiled(logs), FIRST_TIME)
+    return bad.select(F.col("user_agent").cast("bigint").alias("event_id"), "timestamp", "reason")
+
+
+@query("archive_read")
+def archive_read(logs: DataFrame) -> DataFrame:
+    """Logs written to the archive's hour folders, and those of a stretch of time read back from them."""
+    spark, path = logs.sparkSession, scratch_path(logs.sparkSession, "archive")
+    sinks.archive(raw_text_logs(logs), path)
+    some = log_source.logs_between(spark, path, datetime(2024, 1, 1, 0, 10), datetime(2024, 1, 1, 1, 5), "parquet")
+    return some.groupBy(*PARTITION_KEYS).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("bytes_sent").alias("total_bytes"), F.countDistinct("source_ip").alias("sources")
+    )
+
+
+TABLES = tuple("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split())
+
+
+def _storage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table by the listing of its files."""
+    tables = None
+    for name in TABLES:
+        files = log_source.storage_listing(spark, f"{sf_dir}/{name}.parquet")
+        rows = files.agg(F.lit(name).alias("table_name"), F.sum("rows").alias("rows"), (F.min("size_mb") > 0).alias("with_size"))
+        tables = rows if tables is None else tables.unionByName(rows)
+    return tables
+
+
+QUERIES["storage_listing"] = _storage_listing
+
+
 # Monitoring ------------------------------------------------------------------------------
 
 query("timeline")(
@@ -362,6 +431,53 @@ def model_round_trip(logs: DataFrame) -> DataFrame:
     return both.agg(F.count("*").alias("windows"), F.count_if(F.col("cluster") != F.col("loaded")).alias("moved"))
 
 
+# Centres of groups that a rule makes: what a table of stored centres would hold.
+Z_NAMES = tuple(f"z_{c}" for c in WINDOW_V2_FEATURES)
+
+
+def assigned_windows(logs: DataFrame) -> DataFrame:
+    """Scaled windows, each with the nearest of the centres of four groups and the distance to it."""
+    features = cut_lineage(windows.window_features_v2(logs))
+    group = (F.col("request_count") > 5).cast("int") + 2 * (F.col("error_rate") > 0.3).cast("int")
+    points = cut_lineage(ml.z_scores(features).join(features.select("source_ip", "window_start", group.alias("group")), ["source_ip", "window_start"]))
+    return clusters.assign(points, clusters.centres_of_groups(points, Z_NAMES, F.col("group")), Z_NAMES)
+
+
+query("cluster_assignment")(lambda logs: assigned_windows(logs).select("source_ip", "window_start", "cluster", "distance"))
+query("outlier_distance")(
+    lambda logs: clusters.outliers(assigned_windows(logs), 4.0).select("source_ip", "window_start", "cluster", "distance", "confidence")
+)
+query("silhouette_by_cluster")(lambda logs: clusters.silhouette_by_cluster(cut_lineage(assigned_windows(logs)), Z_NAMES))
+
+RULE_TREES, RULE_DEPTH = 10, 4
+
+
+def rule_forest(features: DataFrame) -> pd.DataFrame:
+    """Nodes of complete trees whose splits follow from tree and node numbers and the features' ranges."""
+    ends = features.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in ML_FEATURES], *[F.max(c).cast("double").alias(f"hi_{c}") for c in ML_FEATURES]).first()
+    rows = []
+    for tree in range(RULE_TREES):
+        for node in range(2 ** (RULE_DEPTH + 1) - 1):
+            if node < 2**RULE_DEPTH - 1:
+                feature = (tree * 7 + node * 5) % len(ML_FEATURES)
+                lo, hi = ends[f"lo_{ML_FEATURES[feature]}"], ends[f"hi_{ML_FEATURES[feature]}"]
+                rows.append((tree, node, feature, lo + (hi - lo) * (((tree * 13 + node * 29) % 97 + 1) / 98), 2 * node + 1, 2 * node + 2, 0.0))
+            else:
+                rows.append((tree, node, -1, 0.0, -1, -1, RULE_DEPTH + (tree % 3) * 0.5 + (node % 5) * 0.25))
+    return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "path"])
+
+
+@query("forest_scores")
+def forest_scores(logs: DataFrame) -> DataFrame:
+    """A stored forest applied to all requests."""
+    features = cut_lineage(rolling.rolling_ml(logs))
+    scored = iforest.score_by_nodes(features, list(ML_FEATURES), rule_forest(features), 2**RULE_DEPTH)
+    return scored.select("event_id", "score")
+
+
+query("training_check")(lambda logs: ensemble.training_check(labelled_requests(logs)))
+
+
 def labelled_requests(logs: DataFrame) -> DataFrame:
     return rolling.pseudo_labels(rolling.rolling_ml(logs), 3, 0.4, 2)
 
@@ -502,3 +618,27 @@ def stream_cooldown(logs: DataFrame, path: str) -> DataFrame:
         return stateful.cooldown_stateful(alerts, COOLDOWN_SECONDS)
 
     return drained(build, logs, path)
+
+
+@stream_query("stream_late_rows")
+def stream_late_rows(logs: DataFrame, path: str) -> DataFrame:
+    """Four deliveries, each over the whole time, so that much of the later ones is late; all rows and where they went."""
+    spark = logs.sparkSession
+    event = F.col("user_agent").cast("bigint")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spoiled(logs).schema)
+    for part in range(4):
+
+        def deliver(batch: DataFrame, batch_id: int, part: int = part) -> None:
+            batch.write.mode("append" if batch_id else "overwrite").parquet(f"{path}/in/{part}")
+
+        rows = spoiled(logs).filter(event % 4 == part)
+        rows.writeStream.foreachBatch(deliver).option("checkpointLocation", f"{path}/cp{part}").trigger(**ONCE).start().awaitTermination()
+        raw = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/in")
+        late.start_split(raw, f"{path}/out", f"{path}/cp", timedelta(minutes=10), earliest=FIRST_TIME, trigger=ONCE).awaitTermination()
+    parts = []
+    for name in ("ontime", "late", "quarantine"):
+        rows = late.read_part(spark, f"{path}/out", name)
+        reason = F.col("reason") if name == "quarantine" else F.lit(None).cast("string")
+        watermark = F.col("watermark") if name == "late" else F.lit(None).cast("timestamp")
+        parts.append(rows.select(event.alias("event_id"), F.lit(name).alias("part"), reason.alias("reason"), watermark.alias("watermark")))
+    return parts[0].union(parts[1]).union(parts[2])

@@ -138,5 +138,8 @@ class ModelConfig:
     outlier_distance: float = 2.5
     contamination: float = 0.1
     retrain_every: int = 500
-    # Newest labelled rows that the classifier is fitted on; the unlabelled detectors take all rows.
+    # Newest rows that a refit takes.
     retrain_over: int = 1000
+    # Rows without which nothing is fitted, and attacks over which the classifier is.
+    min_rows: int = 100
+    min_positives: int = 10

@@ -44,11 +44,12 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_logs(logs_from_events(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
-def event_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same logs as an unbounded source."""
+def event_log_stream(spark: SparkSession, sf_dir: str, max_bytes: int = 8 << 30) -> DataFrame:
+    """The same logs as an unbounded source, read in micro-batches of files of `max_bytes` together."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxBytesPerTrigger", str(max_bytes))
+    events = stream.parquet(sf_dir)
     return normalize_logs(logs_from_events(events))
 
 

@@ -35,9 +35,24 @@ def normalize_logs(raw: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(raw: DataFrame) -> DataFrame:
-    """Raw rows whose time cannot be read."""
-    return raw.filter(F.try_to_timestamp("timestamp").isNull())
+def quarantine(raw: DataFrame, earliest: datetime | None = None, latest: datetime | None = None) -> DataFrame:
+    """Raw rows whose time cannot be read or lies outside [earliest, latest), with the `reason`: unreadable or stray."""
+    stamp = F.try_to_timestamp("timestamp")
+    reason = F.when(stamp.isNull(), "unreadable").when(~within(stamp, earliest, latest), "stray")
+    return raw.withColumn("reason", reason).filter("reason is not null")
+
+
+def timed_between(logs: DataFrame, earliest: datetime | None = None, latest: datetime | None = None) -> DataFrame:
+    """Normalised rows with a time in [earliest, latest); the others are those that `quarantine` lists."""
+    return logs.filter(F.col("event_timestamp").isNotNull() & within(F.col("event_timestamp"), earliest, latest))
+
+
+def within(stamp: Column, earliest: datetime | None, latest: datetime | None) -> Column:
+    """Whether a time lies in [earliest, latest); an end that is not given bounds nothing."""
+    inside = F.lit(True)
+    if earliest is not None:
+        inside = inside & (stamp >= F.lit(earliest))
+    return inside if latest is None else inside & (stamp < F.lit(latest))
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -107,18 +122,16 @@ def read_log_stream(
     return reader.options(**options).load(source)
 
 
-def storage_listing(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
-    """Files below `path`: location, size in MB, modification time; the first n by location.
+def storage_listing(spark: SparkSession, path: str, fmt: str = "parquet", n: int | None = None) -> DataFrame:
+    """Files below `path`: location, size in MB, modification time and rows; the first n by location, or all.
 
-    Without the content column the files are listed, not read.
+    The location and size come with each row as hidden columns; no column of the files is read. Records of JSON files
+    are their lines.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return (
-        files.select(
-            F.col("path").alias("file_path"),
-            (F.col("length") / (1024 * 1024)).alias("size_mb"),
-            F.col("modificationTime").alias("modified"),
-        )
-        .orderBy("file_path")
-        .limit(n)
+    meta = F.col("_metadata")
+    files = spark.read.format("text" if fmt == "json" else fmt).option("recursiveFileLookup", "true").load(path).select(
+        meta["file_path"].alias("file_path"), meta["file_size"].alias("bytes"), meta["file_modification_time"].alias("modified")
     )
+    listed = files.groupBy("file_path", "bytes", "modified").agg(F.count(F.lit(1)).alias("rows"))
+    listed = listed.select("file_path", (F.col("bytes") / (1024 * 1024)).alias("size_mb"), "modified", "rows")
+    return listed if n is None else listed.orderBy("file_path").limit(n)

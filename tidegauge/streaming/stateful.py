@@ -1,19 +1,22 @@
 """Rolling features and alert cooldown over unbounded streams, one keyed state per source.
 
 Rows are held until the watermark has passed them and then worked on in the order of their times, so rows
-that come late within the delay get the same results as in a batch. A source's held rows are those of the
-delay. Needs the RocksDB state store (see `build_session`).
+that come late within the delay get the same results as in a batch. They are held by slots of event time and leave
+slot by slot, so a source with very many rows needs no more memory than one. Needs the RocksDB state store (see `build_session`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tidegauge.operators.cooldown import spaced
 from tidegauge.schema import ML_FEATURES, DetectionConfig
@@ -33,18 +36,48 @@ def trailing_mean(values: np.ndarray, rows: int) -> np.ndarray:
     return total / np.minimum(np.arange(1, len(values) + 1), rows)
 
 
+#: Length of a slot of event time, in which a source's rows are held together, and the parts into which a full one is cut.
+SLOT_US = 600_000_000
+PARTS = 600
+#: Rows over which a slot is full: further ones are held by part, here by second.
+FULL_ROWS = 50_000
+#: Rows handed on in one frame at most.
+FRAME_ROWS = 20_000
+
+
+def _arrow(schema: str) -> pa.Schema:
+    """Of a schema string; made on the driver, where such strings can be read."""
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def _packed(rows: pd.DataFrame, schema: pa.Schema) -> bytes:
+    """Rows as one Arrow message; the schema is known to whoever reads it."""
+    return pa.RecordBatch.from_pandas(rows[schema.names], schema, preserve_index=False).serialize().to_pybytes()
+
+
+def _unpacked(data: bytes, schema: pa.Schema) -> pd.DataFrame:
+    return pa.ipc.read_record_batch(pa.py_buffer(bytes(data)), schema).to_pandas(integer_object_nulls=True)
+
+
 class InOrder(StatefulProcessor):
     """Holds the rows of a key until the watermark passes them; `emit` gets them in order, once each.
 
-    State: the held rows and the earliest time that a timer waits for.
+    State: rows by slot of event time, as the chunks that came in; for each slot its rows, chunks and first time; and
+    the time that a timer waits for. What is due leaves slot by slot, a full slot part by part, in frames
+    of FRAME_ROWS; what is not due is left as it is, but for the slot that the watermark stands in. So memory is
+    bounded by FULL_ROWS and the rows of one part, a second of one source, however long its history.
     """
 
-    columns: list[str]
     held_schema: str
 
+    def __init__(self) -> None:
+        self.arrow = _arrow(self.held_schema)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", self.held_schema)
+        self.held = handle.getMapState("held", "slot bigint, part int, chunk int", "data binary")
+        self.slots = handle.getMapState("slots", "slot bigint", "rows bigint, chunks int, first bigint, split int")
+        self.parts = handle.getMapState("parts", "slot bigint, part int", "chunks int")
         self.next = handle.getValueState("next", "ms bigint")
 
     def _wait(self, us: int) -> None:
@@ -54,47 +87,112 @@ class InOrder(StatefulProcessor):
             self.handle.registerTimer(ms)
             self.next.update((ms,))
 
+    def _hold(self, slot: int, rows: pd.DataFrame) -> None:
+        n, chunks, first, split = self.slots.getValue((slot,)) or (0, 0, int(rows["us"].iloc[0]), 0)
+        first = min(first, int(rows["us"].min()))
+        if n <= FULL_ROWS:
+            self.held.updateValue((slot, -1, chunks), (_packed(rows, self.arrow),))
+            chunks += 1
+        else:
+            split = 1
+            for part, some in rows.groupby((rows["us"] - slot * SLOT_US) * PARTS // SLOT_US):
+                before = (self.parts.getValue((slot, int(part))) or (0,))[0]
+                self.held.updateValue((slot, int(part), before), (_packed(some, self.arrow),))
+                self.parts.updateValue((slot, int(part)), (before + 1,))
+        self.slots.updateValue((slot,), (n + len(rows), chunks, first, split))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for chunk in rows:
-            self.held.appendList(list(chunk[self.columns].astype(object).where(chunk[self.columns].notna(), None).itertuples(index=False, name=None)))
+            slots = chunk["us"] // SLOT_US
+            for slot, some in chunk.groupby(slots) if slots.nunique() > 1 else [(slots.iloc[0], chunk)]:
+                self._hold(int(slot), some)
             least = int(chunk["us"].min())
             first = least if first is None else min(first, least)
         if first is not None:
             self._wait(first)
         return iter([])
 
+    def _taken(self, slot: int, part: int, chunks: int) -> list[pd.DataFrame]:
+        """The chunks of a slot or part, which the state gives up."""
+        out = []
+        for chunk in range(chunks):
+            out.append(_unpacked(self.held.getValue((slot, part, chunk))[0], self.arrow))
+            self.held.removeKey((slot, part, chunk))
+        return out
+
+    def _slot_rows(self, slot: int, chunks: int, split: int) -> Iterator[pd.DataFrame]:
+        """The rows of a slot, which leaves the state, in pieces whose times follow one another."""
+        whole = self._taken(slot, -1, chunks)
+        self.slots.removeKey((slot,))
+        if not split:
+            yield from whole if len(whole) == 1 else [pd.concat(whole, ignore_index=True)]
+            return
+        early = pd.concat(whole, ignore_index=True)
+        place = ((early["us"] - slot * SLOT_US) * PARTS // SLOT_US).to_numpy()
+        order = np.argsort(place, kind="stable")
+        early, edges = early.iloc[order], np.searchsorted(place[order], np.arange(PARTS + 1))
+        for part in range(PARTS):
+            count = self.parts.getValue((slot, part))
+            pieces = [early.iloc[edges[part] : edges[part + 1]]]
+            if count:
+                pieces += self._taken(slot, part, count[0])
+                self.parts.removeKey((slot, part))
+            rows = pd.concat(pieces, ignore_index=True)
+            if len(rows):
+                yield rows
+
+    def _due(self, passed: int) -> Iterator[pd.DataFrame]:
+        """All rows up to the time `passed`, in order; what is later in a slot is held anew."""
+        for slot, (_, chunks, first, split) in sorted((k[0], tuple(v)) for k, v in self.slots.iterator()):
+            if first > passed:
+                continue
+            later = []
+            for rows in self._slot_rows(slot, chunks, split):
+                due = (rows["us"] <= passed).to_numpy()
+                if not due.all():
+                    later.append(rows[~due])
+                    rows = rows[due]
+                if len(rows):
+                    yield rows.sort_values(["us", "event_id"], ignore_index=True)
+            for rows in later:
+                self._hold(slot, rows)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = pd.DataFrame(list(self.held.get()), columns=self.columns)
-        due = rows["us"] <= passed
-        rest = rows[~due]
         self.next.clear()
-        if len(rest):
-            self.held.put(list(rest.astype(object).where(rest.notna(), None).itertuples(index=False, name=None)))
-            self._wait(int(rest["us"].min()))
-        else:
-            self.held.clear()
-        if due.any():
-            yield self.emit(key, rows[due].sort_values(["us", "event_id"], ignore_index=True))
+        ready, size = [], 0
+        for rows in self._due(timerValues.getCurrentWatermarkInMs() * 1000):
+            for start in range(0, len(rows), FRAME_ROWS):
+                some = rows.iloc[start : start + FRAME_ROWS]
+                if size + len(some) > FRAME_ROWS:
+                    yield self.emit(key, pd.concat(ready, ignore_index=True))
+                    ready, size = [], 0
+                ready.append(some)
+                size += len(some)
+        if ready:
+            yield self.emit(key, pd.concat(ready, ignore_index=True) if len(ready) > 1 else ready[0].reset_index(drop=True))
+        waiting = [v[2] for _, v in self.slots.iterator()]
+        if waiting:
+            self._wait(min(waiting))
 
     def close(self) -> None:
         pass
 
 
 class _Rolling(InOrder):
-    """State besides: the requests that later ones look back on, the URLs seen and how many they are."""
+    """State besides: the last requests, the times of the last minute's, the URLs seen and how many they are."""
 
     lookback: int
     recent_schema: str
-    recent_columns: list[str]
 
     def __init__(self, url_ttl_ms: int | None):
+        super().__init__()
+        self.recent_arrow = _arrow(self.recent_schema)
         self.url_ttl_us = None if url_ttl_ms is None else url_ttl_ms * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.recent = handle.getListState("recent", self.recent_schema)
+        self.recent = handle.getValueState("recent", "rows binary, times binary")
         self.urls = handle.getMapState("urls", "url string", "us bigint")
         self.count = handle.getValueState("count", "n bigint, swept bigint")
 
@@ -119,39 +217,45 @@ class _Rolling(InOrder):
         self.count.update((int(before + first.sum()), int(swept)))
         return before + np.cumsum(first)
 
-    def _with_recent(self, batch: pd.DataFrame) -> tuple[pd.DataFrame, slice]:
-        """The remembered requests followed by the new ones, and the place of these; remembers anew."""
-        kept = pd.DataFrame(list(self.recent.get()), columns=self.recent_columns)
-        rows = pd.concat([kept, batch[self.recent_columns]], ignore_index=True) if len(kept) else batch[self.recent_columns]
-        us = rows["us"].to_numpy(np.int64)
-        # The last few, and all that are younger than a minute.
-        start = min(max(len(us) - self.lookback, 0), int(np.searchsorted(us, us[-1] - 60_000_000, side="right")))
-        self.recent.put(list(rows.iloc[start:].astype(object).itertuples(index=False, name=None)))
-        return rows, slice(len(kept), None)
+    def _with_recent(self, batch: pd.DataFrame) -> tuple[pd.DataFrame, slice, Callable[[int], np.ndarray]]:
+        """The last requests followed by the new ones; the place of these; and how many are younger than a time ago.
+
+        The last value is a function of seconds. Remembers anew: the last few requests, and the times of a minute.
+        """
+        names = self.recent_arrow.names
+        rows, us = batch[names], batch["us"].to_numpy(np.int64)
+        kept, before = 0, np.zeros(0, np.int64)
+        if self.recent.exists():
+            data, times = self.recent.get()
+            old = _unpacked(data, self.recent_arrow)
+            kept, before = len(old), np.frombuffer(bytes(times), np.int64)
+            rows = pd.concat([old, rows], ignore_index=True)
+        times = np.concatenate([before, us])
+        start = int(np.searchsorted(times, us[-1] - 60_000_000, side="right"))
+        self.recent.update((_packed(rows.iloc[-self.lookback :], self.recent_arrow), times[start:].tobytes()))
 
+        def younger(seconds: int) -> np.ndarray:
+            gone = np.searchsorted(times, us - seconds * 1_000_000, side="right")
+            return np.arange(len(before) + 1, len(times) + 1) - gone
 
-def _younger(us: np.ndarray, seconds: int) -> np.ndarray:
-    return np.arange(1, len(us) + 1) - np.searchsorted(us, us - seconds * 1_000_000, side="right")
+        return rows, slice(kept, None), younger
 
 
 class RollingFeatures(_Rolling):
     """The six features of the rules."""
 
-    columns = ["event_id", "us", "url", "error", "rt", "hour_of_day", "day_of_week"]
     held_schema = "event_id bigint, us bigint, url string, error int, rt double, hour_of_day int, day_of_week int"
     lookback = 10
-    recent_columns = ["us", "error", "rt"]
-    recent_schema = "us bigint, error int, rt double"
+    recent_schema = "error int, rt double"
 
     def emit(self, key, batch: pd.DataFrame) -> pd.DataFrame:
-        rows, new = self._with_recent(batch)
-        us = rows["us"].to_numpy(np.int64)
+        rows, new, younger = self._with_recent(batch)
         return pd.DataFrame(
             {
                 "event_id": batch["event_id"],
                 "source_ip": key[0],
                 "event_timestamp": pd.to_datetime(batch["us"], unit="us"),
-                "request_rate": _younger(us, 60)[new],
+                "request_rate": younger(60),
                 "error_rate": trailing_mean(rows["error"].to_numpy(float), 10)[new],
                 "avg_response_time": trailing_mean(rows["rt"].to_numpy(float), 10)[new],
                 "url_diversity": self._urls_so_far(batch),
@@ -174,28 +278,26 @@ def _distinct(values: pd.Series, rows: int) -> np.ndarray:
 class RollingModelFeatures(_Rolling):
     """The 19 features of the models."""
 
-    columns = ["event_id", "us", "url", "status", "rt", "size", "method", "agent", "hour_of_day", "day_of_week"]
     held_schema = (
         "event_id bigint, us bigint, url string, status int, rt double, size bigint, method string, agent string, "
         "hour_of_day int, day_of_week int"
     )
-    recent_columns = ["us", "status", "rt", "size", "method", "agent"]
-    recent_schema = "us bigint, status int, rt double, size bigint, method string, agent string"
+    recent_schema = "status int, rt double, size bigint, method string, agent string"
 
     def __init__(self, rows: int, url_ttl_ms: int | None):
         super().__init__(url_ttl_ms)
         self.lookback = rows
 
     def emit(self, key, batch: pd.DataFrame) -> pd.DataFrame:
-        rows, new = self._with_recent(batch)
-        n, us = self.lookback, rows["us"].to_numpy(np.int64)
+        rows, new, younger = self._with_recent(batch)
+        n = self.lookback
         status = rows["status"].to_numpy(float)
         share = lambda flags: np.nanmean(_windows(np.asarray(flags), n), axis=1)[new]
         rt, size = _windows(rows["rt"].to_numpy(float), n), _windows(rows["size"].to_numpy(float), n)
         urls, hour = self._urls_so_far(batch), batch["hour_of_day"]
         found = {
-            "request_rate": _younger(us, 60)[new],
-            "burst_rate": _younger(us, 10)[new],
+            "request_rate": younger(60),
+            "burst_rate": younger(10),
             "error_rate": share(status >= 400),
             "error_4xx_rate": share((status >= 400) & (status < 500)),
             "error_5xx_rate": share(status >= 500),
@@ -283,8 +385,9 @@ def rolling_ml_stateful(
 class Cooldown(InOrder):
     """State besides: the time of the last kept alert."""
 
-    def __init__(self, gap: int, schema: str, columns: list[str]):
-        self.gap, self.held_schema, self.columns = gap, schema, columns
+    def __init__(self, gap: int, held_schema: str):
+        self.gap, self.held_schema = gap, held_schema
+        super().__init__()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
@@ -314,7 +417,7 @@ def cooldown_stateful(
     held = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "us bigint"])
     timed = alerts.withColumn("us", F.unix_micros("event_timestamp"))
     return timed.groupBy("source_ip").transformWithStateInPandas(
-        Cooldown(int(seconds * 1_000_000), held, [*(f.name for f in fields), "us"]),
+        Cooldown(int(seconds * 1_000_000), held),
         schema,
         "Append",
         "EventTime",

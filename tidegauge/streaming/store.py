@@ -16,6 +16,10 @@ STATISTICS = (
 BUCKETS = 64
 #: Versions of a part that are kept.
 KEPT_VERSIONS = 3
+#: Words of 64 bits of the Bloom filter of ten minutes' keys, and bits set for each: one in a hundred new keys
+#: is looked up at 800,000 keys, more beyond; results stay exact.
+FILTER_WORDS = 1 << 17
+PROBES = 6
 
 
 def parse_alerts(messages: DataFrame) -> DataFrame:
@@ -49,33 +53,85 @@ def _newest(versions: DataFrame) -> DataFrame:
     return versions.join(F.broadcast(newest), ["bucket", "version"])
 
 
+def _slot() -> Column:
+    """The ten minutes that an alert's time lies in, as yyyyMMddHHm; `none` without a time."""
+    return F.coalesce(F.substring(F.date_format("alert_ts", "yyyyMMddHHmm"), 1, 11), F.lit("none")).alias("slot")
+
+
+def _filter_words(rows: DataFrame) -> DataFrame:
+    """(slot, rowkey, word, bit) of each key: where its PROBES bits stand in the Bloom filter of its slot."""
+    bits = F.lit(FILTER_WORDS * 64)
+    first, step = F.pmod(F.xxhash64("rowkey"), bits), F.pmod(F.xxhash64(F.lit(17), "rowkey"), bits)
+    places = F.transform(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda i: F.pmod(first + i * step, bits))
+    placed = rows.select("slot", "rowkey", F.explode(places).alias("place"))
+    word, bit = F.shiftright("place", 6).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    return placed.select("slot", "rowkey", word.alias("word"), bit.alias("bit"))
+
+
+def _folder(spark: SparkSession, path: str, name: str, slots: list[str], schema: str) -> DataFrame | None:
+    """The parts of an index folder that belong to these slots; other folders are not even listed."""
+    found = [f"{path}/{name}/slot={s}" for s in slots if _exists(spark, f"{path}/{name}/slot={s}")]
+    return spark.read.schema(schema).option("basePath", f"{path}/{name}").parquet(*found) if found else None
+
+
+def _fresh(rows: DataFrame, batch_id: int, path: str) -> DataFrame:
+    """Those (slot, rowkey) of a batch that no earlier batch has stored; brings the index up to date.
+
+    For each slot of alert time a Bloom filter of fixed size tells what is surely new. Only keys that it may hold are looked
+    up in the stored keys of their slots. Filters are versioned by batch, so a replay starts from what the batch
+    first found. What is read depends on the slots touched, not on what the store or the day holds.
+    """
+    spark = rows.sparkSession
+    keys = rows.select(_slot(), "rowkey").persist()
+    try:
+        slots = [r.slot for r in keys.select("slot").distinct().collect()]  # the times of one batch
+        words = _filter_words(keys)
+        added = words.groupBy("slot", "word").agg(F.bit_or("bit").alias("bits"))
+        known = keys.limit(0)
+        filters = _folder(spark, path, "filters", slots, "word int, bits bigint, slot string, version bigint")
+        if filters is not None:
+            earlier = filters.filter(F.col("version") < batch_id)
+            newest = earlier.groupBy("slot").agg(F.max("version").alias("version"))
+            before = earlier.join(F.broadcast(newest), ["slot", "version"]).select("slot", "word", "bits")
+            hit = F.count_if(F.coalesce("bits", F.lit(0).cast("long")).bitwiseAND(F.col("bit")) != 0)
+            maybe = words.join(before, ["slot", "word"], "left").groupBy("slot", "rowkey").agg(hit.alias("hits")).filter(F.col("hits") == PROBES)
+            maybe = maybe.select("slot", "rowkey").persist()
+            suspects = [r.slot for r in maybe.select("slot").distinct().collect()]
+            stored = _folder(spark, path, "keys", suspects, "rowkey string, slot string, batch_id bigint") if suspects else None
+            if stored is not None:
+                known = maybe.join(stored.filter(F.col("batch_id") < batch_id).select("slot", "rowkey").distinct(), ["slot", "rowkey"])
+            added = added.union(before).groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))
+        # One file a slot: a filter has FILTER_WORDS rows at most.
+        _overwrite(added.repartition("slot").withColumn("version", F.lit(batch_id).cast("long")), f"{path}/filters", "slot", "version")
+        _overwrite(keys.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{path}/keys", "slot", "batch_id")
+        for slot in slots:
+            _expire(spark, f"{path}/filters/slot={slot}")
+        return keys.join(known, ["slot", "rowkey"], "left_anti").select("rowkey")
+    finally:
+        keys.unpersist()
+
+
+def _overwrite(rows: DataFrame, path: str, *parts: str) -> None:
+    rows.write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def store_batch(alerts: DataFrame, batch_id: int, path: str) -> None:
     """Write one micro-batch of canonical alerts; doing it again leaves the same result.
 
     Store rows go to alert_date=/batch_id= partitions that a replay overwrites. An alert that an earlier
-    batch of the same day has stored is not counted again. Statistics are kept in buckets of sources; those of
+    batch has stored is not counted again (see _fresh). Statistics are kept in buckets of sources; those of
     this batch's sources are written as a new version made from the newest earlier one, which a replay
     finds unchanged, and old versions are deleted.
     """
     spark = alerts.sparkSession
     rows = to_alert_store(alerts).persist()
     try:
-        (
-            rows.withColumn("batch_id", F.lit(batch_id))
-            .write.partitionBy("alert_date", "batch_id")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(f"{path}/alerts")
-        )
+        _overwrite(rows.withColumn("batch_id", F.lit(batch_id)), f"{path}/alerts", "alert_date", "batch_id")
         touched = [r.bucket for r in rows.select(_bucket()).distinct().collect()]  # BUCKETS at most
         if not touched:
             return
-        days = [r.alert_date for r in rows.select("alert_date").distinct().limit(366).collect()]
-        stored = spark.read.parquet(f"{path}/alerts").filter(F.col("batch_id") < batch_id)
-        if len(days) < 366 and None not in days:
-            stored = stored.filter(F.col("alert_date").isin(days))
-        known = stored.select("rowkey").distinct().withColumn("known", F.lit(True))
-        fresh = rows.join(known, "rowkey", "left").filter("known is null").groupBy("source_ip").agg(F.count("*").alias("fresh"))
+        new = _fresh(rows, batch_id, path)
+        fresh = rows.join(new, "rowkey").groupBy("source_ip").agg(F.count("*").alias("fresh"))
         delta = ip_statistics(rows).alias("d").join(fresh.alias("f"), F.col("d.source_ip").eqNullSafe(F.col("f.source_ip")), "left")
         delta = delta.select("d.*", F.coalesce("fresh", F.lit(0)).alias("fresh")).withColumn("alert_count", F.col("fresh")).drop("fresh")
         if _exists(spark, f"{path}/statistics"):
@@ -84,26 +140,20 @@ def store_batch(alerts: DataFrame, batch_id: int, path: str) -> None:
         else:
             before = spark.createDataFrame([], STATISTICS)
         merged = merge_statistics(before, delta).select("*", _bucket(), F.lit(batch_id).cast("bigint").alias("version"))
-        (
-            merged.write.partitionBy("bucket", "version")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(f"{path}/statistics")
-        )
-        _expire(spark, path, touched)
+        _overwrite(merged, f"{path}/statistics", "bucket", "version")
+        for bucket in touched:
+            _expire(spark, f"{path}/statistics/bucket={bucket}")
     finally:
         rows.unpersist()
 
 
-def _expire(spark: SparkSession, path: str, buckets: list[int]) -> None:
-    """Delete all but the newest versions of these buckets."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    for bucket in buckets:
-        folder = fs_path(f"{path}/statistics/bucket={bucket}")
-        found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-        versions = sorted(int(s.getPath().getName().partition("=")[2]) for s in found)
-        for version in versions[:-KEPT_VERSIONS]:
-            _drop(spark, f"{path}/statistics/bucket={bucket}/version={version}")
+def _expire(spark: SparkSession, path: str) -> None:
+    """Delete all but the newest versions below this folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    versions = sorted(int(s.getPath().getName().partition("=")[2]) for s in found)
+    for version in versions[:-KEPT_VERSIONS]:
+        _drop(spark, f"{path}/version={version}")
 
 
 def start_alert_store(
