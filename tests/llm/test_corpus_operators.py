@@ -335,6 +335,8 @@ def test_ngram_join(spark, near, none):
         least[root(i)].append(d)
     want = Counter((d, links[i], min((x for x in least[root(i)] if x is not None), default=None)) for i, (d, _) in enumerate(rows))
     found = ngram_join.near_duplicates(near).collect()
+    exact = ngram_join.near_duplicates(near, recall=0.99999).collect()
+    assert Counter((r.doc_id, r.n_links, r.class_id) for r in exact) == want
     missed = want - Counter((r.doc_id, r.n_links, r.class_id) for r in found)
     assert sum(missed.values()) <= 0.02 * len(near_rows)
     assert not any(r.n_links > links[i] for i, (d, _) in enumerate(rows) for r in found if r.doc_id == d and d not in (None, 9))
@@ -402,6 +404,51 @@ def test_large_group_leaves_the_recall_of_other_links(spark):
     assert found >= 0.99 * 1000
 
 
+def test_depths_differ_by_what_was_found(spark):
+    """Texts with only strong links end at the longest prefix; those without, or with weaker ones, go on to the last depth."""
+    base = words(200, 31)
+    rows = [(i, " ".join([*base[: i % 190], f"w{i}", *base[i % 190 :]])) for i in range(60)]
+    for i in range(60):
+        same = words(84, f"s{i}")
+        rows += [(1000 + 2 * i + k, " ".join(same + words(10, f"t{i}{k}"))) for k in range(2)]
+    rows += [(5000 + i, " ".join(words(50, f"lone{i}"))) for i in range(20)] + [(9000, None)]
+    found = {r.doc_id: r.depth for r in ngram_join.near_duplicates(make(spark, rows)).collect()}
+    last = ngram_join.last_depth(0.8, ngram_join.RECALL, ngram_join.TREES, ngram_join.DEPTH)
+    assert last < ngram_join.DEPTH and found.pop(9000) is None
+    assert {d for i, d in found.items() if i < 1000} == {ngram_join.DEPTH}
+    assert {d for i, d in found.items() if i >= 1000} == {last}
+
+
+def test_an_ended_search_still_answers_others(spark):
+    """A text near the threshold of one of a group of strong copies is found, though the copies' own searches have ended."""
+    rng, rows = random.Random(12), []
+    for g in range(150):
+        base = words(100, f"g{g}")
+        rows += [(10 * g + k, " ".join([*base[:-1], f"k{k}"])) for k in range(3)]
+        rows.append((10 * g + 9, " ".join(base[:-11] + words(10, f"far{g}{rng.random()}"))))
+    links = 0
+    for r in ngram_join.near_duplicates(make(spark, rows)).collect():
+        links += r.doc_id % 10 == 9 and r.n_links == 3
+    assert links >= 0.98 * 150
+
+
+def test_collisions_of_active_members(spark):
+    from tidegauge.llm.units import collisions
+
+    rows = [(c, 0, b, c % 7 == 0) for b in range(3) for c in range(100 * b, 100 * b + 60)] + [(c, 0, 9, False) for c in range(40)]
+    units = collisions(spark.createDataFrame(rows, "cid long, table int, bucket long, active boolean"), block=8).collect()
+    met = Counter()
+    by_unit = defaultdict(list)
+    for u in units:
+        by_unit[u.unit].append((u.cid, u.side))
+    for members in by_unit.values():
+        for (a, x), (b, y) in combinations(sorted(members), 2):
+            if x == 2 or x != y:
+                met[a, b] += 1
+    want = {(a, b) for s in range(3) for a, b in combinations(range(100 * s, 100 * s + 60), 2) if a % 7 == 0 or b % 7 == 0}
+    assert want <= set(met) and all(met[p] == 1 for p in want)
+
+
 def test_runs_inside_and_across_lines(spark):
     """A passage of over 50 words is found wherever it begins and ends, and however its lines are broken."""
     rng = random.Random(21)

@@ -116,24 +116,23 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-#: Bins of the similarities of the links found, from 0 to 1.
-BINS = 200
-
-
 def verified(units: DataFrame, payload: DataFrame, threshold: float, buckets_of: Callable) -> DataFrame:
-    """Verified links, counted: (cid, links, root, seen), several rows a class.
+    """Verified links, counted: (cid, links, root, low), several rows a class.
 
     `units` as from collisions(); `payload` has for each cid the copies of its text, its set of shingles
-    (bytes of 64-bit numbers) and what `buckets_of(unit)` needs for two arrays: the members' buckets by
-    table, and those in which their pairs were verified before, if any. A pair counts in the first table in
-    which it shares a bucket. `links` counts linked texts with their copies, `root` is the smallest cid linked
-    with it in the unit. `seen` has the links of the unit by similarity, on one of its rows.
+    (bytes of 64-bit numbers), whether it is `active` if pairs of others are not wanted, and what `buckets_of(unit)` needs
+    for two arrays: the members' buckets by table, and those in which their pairs were verified before, if any. A
+    pair counts in the first table in which it shares a bucket. `links` counts linked texts with their
+    copies, `root` is the smallest cid linked with it in the unit and `low` the least similarity of its links there.
     """
 
     def check(unit: Unit) -> dict[str, list]:
         sets = [np.frombuffer(s, np.uint64) for s in unit["shingles"]]
         keys, prior = buckets_of(unit)
         todo = unit.pairs()
+        if "active" in unit:
+            active = np.array(unit["active"], bool)
+            todo &= active[:, None] | active[None, :]
         for t in range(int(unit["table"][0])):
             todo &= keys[:, None, t] != keys[None, :, t]
         for t in range(prior.shape[1]):
@@ -146,11 +145,12 @@ def verified(units: DataFrame, payload: DataFrame, threshold: float, buckets_of:
         a, b = np.nonzero(todo & (alike >= threshold))
         out = linked_rows(unit, a, b)
         if out:
-            seen = np.bincount((alike[a, b] * BINS).astype(int), minlength=BINS + 1)
-            out["seen"] = [seen.tolist()] + [None] * (len(out["cid"]) - 1)
+            low = np.full(len(size), 2.0)
+            np.minimum.at(low, np.concatenate([a, b]), np.concatenate([alike[a, b]] * 2))
+            out["low"] = low[low < 2].tolist()
         return out
 
-    return per_unit(units.join(payload, "cid"), check, f"{LINKS}, seen array<long>")
+    return per_unit(units.join(payload, "cid"), check, f"{LINKS}, low double")
 
 
 def bucket_rows(cid: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:

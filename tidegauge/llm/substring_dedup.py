@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tidegauge.llm.components import connected_components
-from tidegauge.llm.frames import column, fresh, written
+from tidegauge.llm.frames import column, forget, fresh, mapped, written
 from tidegauge.llm.minhash import (
     BUCKETS,
     SHINGLE,
@@ -45,7 +45,8 @@ PERMS = 64
 #: Runs of so many words that two texts share are found wherever they begin and end.
 RUN_WORDS = 50
 #: Words of a window, and successive starts of which the one with the least hash is taken: a run of RUN_WORDS holds a window.
-WINDOW = 26
+#: Shorter windows are fewer, as more starts are chosen from; what they find is short of RUN_WORDS more often, and dropped.
+WINDOW = 15
 CHOICES = RUN_WORDS - WINDOW + 1
 
 
@@ -111,8 +112,8 @@ def _paragraphs(rows: DataFrame, least_words: int, bands: int, width: int) -> Da
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(
-        gather, f"id {kind}, text_key long, para int, start long, length long, words int, digest binary, keys binary"
+    return mapped(
+        rows, gather, f"id {kind}, text_key long, para int, start long, length long, words int, digest binary, keys binary"
     )
 
 
@@ -129,7 +130,7 @@ def _sets(rows: DataFrame, least_words: int) -> DataFrame:
             data = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.record_batch([pa.array([digests[i] for i in hit], pa.binary()), pa.array(data, pa.binary())], names=["digest", "shingles"])
 
-    return rows.select("text", "wanted").mapInArrow(gather, "digest binary, shingles binary")
+    return mapped(rows.select("text", "wanted"), gather, "digest binary, shingles binary")
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -138,7 +139,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
             if len(batch):
                 yield bucket_rows(batch.column(0).to_numpy(), np.stack([np.frombuffer(k, np.int64) for k in batch.column(1).to_pylist()]))
 
-    return classes.select("cid", "keys").mapInArrow(spread, BUCKETS)
+    return mapped(classes.select("cid", "keys"), spread, BUCKETS)
 
 
 def _keys_of(unit: Unit) -> tuple[np.ndarray, np.ndarray]:
@@ -146,46 +147,43 @@ def _keys_of(unit: Unit) -> tuple[np.ndarray, np.ndarray]:
     return keys, keys[:, :0]
 
 
-def _cuts(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, first word, two hashes) of the windows of texts with these shingles."""
+def _cuts(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, first word, hash) of the windows of texts with these shingles."""
     of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     at = np.zeros(0, np.int64)
     if len(hashes) >= CHOICES:
         least = np.lib.stride_tricks.sliding_window_view(hashes, CHOICES).argmin(axis=1) + np.arange(len(hashes) - CHOICES + 1)
         at = np.unique(least[of[: len(least)] == of[CHOICES - 1 :]])
     at = at[at + WINDOW - SHINGLE < offsets[1:][of[at]]]
-    names = []
+    name = np.zeros(len(at), np.uint64)
     with np.errstate(over="ignore"):
-        for factor in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):
-            name = np.zeros(len(at), np.uint64)
-            for k in [*range(0, WINDOW - SHINGLE, SHINGLE), WINDOW - SHINGLE]:  # together all words of the window
-                name = mixed(name * factor + hashes[at + k])
-            names.append(name.view(np.int64))
-    return of[at], at - offsets[of[at]], *names
+        for k in [*range(0, WINDOW - SHINGLE, SHINGLE), WINDOW - SHINGLE]:  # together all words of the window
+            name = mixed(name * np.uint64(0x9E3779B97F4A7C15) + hashes[at + k])
+    return of[at], at - offsets[of[at]], name.view(np.int64)
 
 
 def _windows(rows: DataFrame) -> DataFrame:
-    """id, text_key, at (first word), the two hashes and prior (first word of the last equal window before it in the text, or
-    null) of each window of (id, text_key, text)."""
+    """id, text_key, at (first word), hash and prior (first word of the last equal window before it in the text, or null) of each
+    window of (id, text_key, text)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices_of(batches, "text"):
-            of, at, a, b = _cuts(*shingles(texts))
-            order = np.lexsort((at, b, a, of))
-            of, at, a, b = of[order], at[order], a[order], b[order]
-            again = np.concatenate([[False], (of[1:] == of[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1])])[: len(of)]
-            of, prior = pa.array(of), pa.array(np.roll(at, 1), pa.int64(), mask=~again)
+            of, at, name = _cuts(*shingles(texts))
+            order = np.lexsort((at, name, of))
+            of, at, name = of[order], at[order], name[order]
+            again = np.concatenate([[False], (of[1:] == of[:-1]) & (name[1:] == name[:-1])])[: len(of)]
+            of, prior = pa.array(of), pa.array(np.roll(at, 1), pa.int32(), mask=~again)
             yield pa.record_batch(
-                [part.column(0).take(of), part.column(1).take(of), pa.array(at, pa.int64()), pa.array(a), pa.array(b), prior],
-                names=["id", "text_key", "at", "a", "b", "prior"],
+                [part.column(0).take(of), part.column(1).take(of), pa.array(at, pa.int32()), pa.array(name), prior],
+                names=["id", "text_key", "at", "name", "prior"],
             )
 
-    return rows.mapInArrow(gather, f"id {rows.schema['id'].dataType.simpleString()}, text_key long, at long, a long, b long, prior long")
+    return mapped(rows, gather, f"id {rows.schema['id'].dataType.simpleString()}, text_key long, at int, name long, prior int")
 
 
 def _surroundings(rows: DataFrame) -> DataFrame:
-    """For each of the `wanted` spans (first word, word after the last) of (id, text_key, text, wanted): the words before and
-    after it, nearest first, in lower case; and the places in characters where it starts, or would with more of them, and ends."""
+    """For each of the `wanted` spans (first word, word after the last) of (id, text_key, text, wanted): a digest of its words, the
+    words before and after it, nearest first, all in lower case; and the places in characters where it starts, or would with more of them, and ends."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices_of(batches, "text"):
@@ -201,17 +199,18 @@ def _surroundings(rows: DataFrame) -> DataFrame:
                     s, e = span["s"], span["e"]
                     low, high = max(0, s - CHOICES), min(len(words), e + CHOICES)
                     starts, ends = place[low : s + 1][::-1], [place[k] + len(words[k]) for k in range(e - 1, high)]
-                    found.append((i, s, e, lower[low:s][::-1], lower[e:high], starts, ends))
-            of, s, e, before, after, starts, ends = zip(*found, strict=True) if found else [()] * 7
+                    core = hashlib.blake2b(" ".join(lower[s:e]).encode(), digest_size=16).digest()
+                    found.append((i, s, e, core, lower[low:s][::-1], lower[e:high], starts, ends))
+            of, s, e, core, before, after, starts, ends = zip(*found, strict=True) if found else [()] * 8
             of = pa.array(of, pa.int64())
-            columns = [part.column(0).take(of), part.column(1).take(of), pa.array(s, pa.int64()), pa.array(e, pa.int64())]
+            columns = [part.column(0).take(of), part.column(1).take(of), pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(core, pa.binary())]
             columns += [pa.array(x, pa.list_(pa.string())) for x in (before, after)]
             columns += [pa.array(x, pa.list_(pa.int32())) for x in (starts, ends)]
-            yield pa.record_batch(columns, names=["id", "text_key", "s", "e", "before", "after", "starts", "ends"])
+            yield pa.record_batch(columns, names=["id", "text_key", "s", "e", "core", "before", "after", "starts", "ends"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text_key", "text", "wanted").mapInArrow(
-        gather, f"id {kind}, text_key long, s long, e long, before array<string>, after array<string>, starts array<int>, ends array<int>"
+    return mapped(
+        rows.select("id", "text_key", "text", "wanted"), gather, f"id {kind}, text_key long, s long, e long, core binary, before array<string>, after array<string>, starts array<int>, ends array<int>"
     )
 
 
@@ -231,10 +230,12 @@ def _runs(rows: DataFrame) -> DataFrame:
     with different earlier places overlap, they count together for RUN_WORDS.
     """
     windows = written(_windows(rows), "windows")
-    first = F.min(F.struct("id", "text_key", "at")).alias("first")
     once = windows.where("prior is null").drop("prior")
-    repeats = once.groupBy("a", "b").agg(F.count("*").alias("n"), first).where("n > 1").drop("n")
-    hits = once.join(repeats, ["a", "b"]).where(~F.struct("id", "text_key", "at").eqNullSafe(F.col("first")))
+    # First which windows repeat at all, by their names alone: most do not, and go no further.
+    repeated = once.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    again = written(once.join(repeated, "name"), "again")
+    first = F.min(F.struct("id", "text_key", "at")).alias("first")
+    hits = again.join(again.groupBy("name").agg(first), "name").where(~F.struct("id", "text_key", "at").eqNullSafe(F.col("first")))
     where = ["id", "text_key", "keep_id", "keep_key", "shift"]
     hits = hits.select("id", "text_key", F.col("first.id").alias("keep_id"), F.col("first.text_key").alias("keep_key"), (F.col("at") - F.col("first.at")).alias("shift"), "at")
     inside = windows.where("prior is not null")
@@ -243,37 +244,46 @@ def _runs(rows: DataFrame) -> DataFrame:
     along = Window.partitionBy(*where).orderBy("at")
     parted = F.coalesce(F.col("at") > F.lag("at").over(along) + WINDOW, F.lit(True)).cast("int")
     spans = hits.withColumn("parted", parted).withColumn("part", F.sum("parted").over(along)).groupBy(*where, "part")
-    spans = written(spans.agg(F.min("at").alias("s"), (F.max("at") + WINDOW).alias("e")).drop("part"), "spans")
+    spans = spans.agg(F.min("at").cast("long").alias("s"), (F.max("at") + WINDOW).cast("long").alias("e")).drop("part")
+    spans = written(spans.withColumn("shift", F.col("shift").cast("long")), "spans")
+    forget(windows, again)
     theirs = spans.select(F.col("keep_id").alias("id"), F.col("keep_key").alias("text_key"), (F.col("s") - F.col("shift")).alias("s"), (F.col("e") - F.col("shift")).alias("e"))
     wanted = spans.select("id", "text_key", "s", "e").union(theirs).groupBy("id", "text_key").agg(F.collect_set(F.struct("s", "e")).alias("wanted"))
     wanted = wanted.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "wanted")
     around = _surroundings(rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))))
-    names = ("before", "after", "starts", "ends")
+    names = ("core", "before", "after", "starts", "ends")
     around = around.groupBy("id", "text_key", "s", "e").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in names])
     around = written(around, "surroundings")
     mine, other = (around.select(*[F.col(c).alias(f"{side}_{c}") for c in around.columns]) for side in ("m", "k"))
     at_mine = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_text_key")) & (F.col("s") == F.col("m_s")) & (F.col("e") == F.col("m_e"))
     at_kept = F.col("keep_id").eqNullSafe(F.col("k_id")) & (F.col("keep_key") == F.col("k_text_key"))
     at_kept = at_kept & (F.col("s") - F.col("shift") == F.col("k_s")) & (F.col("e") - F.col("shift") == F.col("k_e"))
-    both = spans.join(mine, at_mine).join(other, at_kept)
+    both = spans.join(mine, at_mine).join(other, at_kept).where("m_core = k_core")
     both = both.withColumn("left", _alike(F.col("m_before"), F.col("k_before"))).withColumn("right", _alike(F.col("m_after"), F.col("k_after")))
 
     def place(side: str) -> list[Column]:
         start = F.get(f"{side}_starts", F.col("left").cast("int"))
         return [start.cast("long"), (F.get(f"{side}_ends", F.col("right").cast("int")) - start).cast("long")]
 
-    grown = both.select(
-        "id",
-        "text_key",
+    parts = both.select(
+        *where,
         *[x.alias(n) for x, n in zip(place("m"), ("start", "length"), strict=True)],
         (F.col("s") - F.col("left")).alias("s"),
         (F.col("e") + F.col("right")).alias("e"),
         F.col("m_copies").alias("copies"),
-        "keep_id",
-        "keep_key",
         *[x.alias(n) for x, n in zip(place("k"), ("keep_start", "keep_length"), strict=True)],
         F.col("k_copies").alias("keep_copies"),
-    ).distinct()
+    )
+    # Windows of one run may lie apart; extended, they meet.
+    run = Window.partitionBy(*where).orderBy("s", "e")
+    till = F.max("e").over(run.rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("apart", F.coalesce(F.col("s") > till, F.lit(True)).cast("int"))
+    parts = parts.withColumn("part", F.sum("apart").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = [(F.max(F.col(f"{k}start") + F.col(f"{k}length")) - F.min(f"{k}start")).alias(f"{k}length") for k in ("", "keep_")]
+    grown = parts.groupBy(*where, "part").agg(
+        F.min("start").alias("start"), ends[0], F.min("s").alias("s"), F.max("e").alias("e"), F.max("copies").alias("copies"),
+        F.min("keep_start").alias("keep_start"), ends[1], F.max("keep_copies").alias("keep_copies"),
+    ).drop("part", "shift")
     text = Window.partitionBy("id", "text_key").orderBy("s", "e")
     till = F.max("e").over(text.rowsBetween(Window.unboundedPreceding, -1))
     grown = grown.withColumn("parted", F.coalesce(F.col("s") > till - SHINGLE, F.lit(True)).cast("int"))
@@ -373,6 +383,7 @@ def repeated_passages(
         .select("digest", F.coalesce("component", "cid").alias("passage_id"))
     )
     found = written(paragraphs.drop("keys").join(named, "digest").drop("digest"), "repeats")
+    forget(paragraphs, classes, units, links)
     first = F.min(F.struct("id", "text_key", "para"))
     best = found.groupBy("passage_id").agg(F.count("*").alias("passage_rows"), first.alias("first"))
     mine = F.struct("id", "text_key", "para")

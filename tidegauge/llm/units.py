@@ -27,18 +27,29 @@ def collisions(members: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Of buckets with exactly the same members only the first is kept, by table and then by name. A bucket of
     more than `block` members is cut into blocks by a hash, and each pair of blocks is a unit; `side` tells the
-    blocks apart.
+    blocks apart. If `members` has a boolean `active`, only pairs with an active member are laid out: active
+    members have blocks of their own, and units without any are not made.
     """
+    if "active" not in members.columns:
+        members = members.withColumn("active", F.lit(True))
     member = written(members, "buckets")
     h = F.xxhash64("cid")
     sums = member.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("table").alias("table"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")
+        F.count("*").alias("n"),
+        F.count_if("active").alias("awake"),
+        F.min("table").alias("table"),
+        F.bit_xor(h).alias("x"),
+        F.bit_xor(F.xxhash64(h)).alias("y"),
     )
-    sums = sums.where("n > 1")
-    first = sums.groupBy("n", "x", "y").agg(F.min(F.struct("table", "bucket")).alias("b")).select("n", "b.bucket")
-    held = member.join(first, "bucket").withColumn("blocks", F.ceil(F.col("n") / block))
-    mine = F.pmod(F.xxhash64("cid", F.lit(1)), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    sums = sums.where("n > 1 and awake > 0")
+    first = sums.groupBy("n", "x", "y").agg(F.min(F.struct("table", "bucket", "awake")).alias("b")).select("n", "b.bucket", "b.awake")
+    awake = F.ceil(F.col("awake") / block)
+    held = member.join(first, "bucket").withColumn("awake", awake).withColumn("blocks", awake + F.ceil((F.col("n") - F.col("awake")) / block))
+    draw = F.xxhash64("cid", F.lit(1))
+    mine = F.when(F.col("active"), F.pmod(draw, F.col("awake"))).otherwise(F.col("awake") + F.pmod(draw, F.col("blocks") - F.col("awake")))
+    # An active block meets all blocks, another one those that are active.
+    others = F.when(F.col("active"), F.col("blocks")).otherwise(F.col("awake"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), others - 1))
     pairs = held.select("bucket", "table", "cid", mine.alias("mine"), other.alias("other"))
     return pairs.select(
         F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"),
@@ -78,7 +89,7 @@ def linked_rows(unit: Unit, a: np.ndarray, b: np.ndarray) -> dict[str, list]:
         return {}
     cid, copies = unit["cid"], unit["copies"]
     links = np.bincount(a, copies[b], len(cid)) + np.bincount(b, copies[a], len(cid))
-    root, hit = cid[roots(len(cid), a, b)], np.flatnonzero(links)
+    root, hit = cid[roots(len(cid), a, b)], np.flatnonzero(np.bincount(a, minlength=len(cid)) + np.bincount(b, minlength=len(cid)))
     return {"cid": cid[hit].tolist(), "links": links[hit].astype(np.int64).tolist(), "root": root[hit].tolist()}
 
 
