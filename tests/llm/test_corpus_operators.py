@@ -517,6 +517,49 @@ def test_vectors(spark):
     assert embedding_dedup.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vectors_of_a_hundred_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in range(1, 101):
+        x = rng.normal(size=n)
+        rows += [x.tolist(), (2 * x).tolist(), (x + 0.01 * rng.normal(size=n)).tolist(), (-x).tolist()]
+    found = embedding_dedup.near_duplicate_vectors(spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")).collect()
+    unit = [np.array(r) / np.linalg.norm(r) for r in rows]
+    want = {i: sum(float(unit[i] @ unit[j]) >= 0.95 for j in range(4 * (i // 4), 4 * (i // 4) + 4) if j != i) for i in range(400)}
+    assert {r.vec_id: r.n_links for r in found} == want
+
+
+@pytest.mark.parametrize("pivots", [64, 4096, 16384])
+def test_descriptions_reach_their_recall(pivots):
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    p, tried, fresh = (unit(rng.normal(size=(n, 64))) for n in (pivots, 400, 1000))
+    nearest, shared = embedding_dedup.choose_description({64: (1000, p, tried)}, 0.95)
+    assert embedding_dedup.measured_recall(fresh, p, 0.95, ((nearest, shared),))[0] >= 0.99
+
+
+def test_no_vector_pair_is_wrong_and_few_are_lost(spark):
+    """Pairs around the threshold, in blocks of two: precision 1, recall 0.99."""
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for i in range(1500):
+        x = rng.normal(size=48)
+        x /= np.linalg.norm(x)
+        side = rng.normal(size=48)
+        side -= (side @ x) * x
+        side /= np.linalg.norm(side)
+        cos = rng.uniform(0.93, 0.97)
+        rows += [(2 * i, x.tolist()), (2 * i + 1, (cos * x + math.sqrt(1 - cos * cos) * side).tolist())]
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    for i in range(1500):
+        want[i] = float(unit[2 * i] @ unit[2 * i + 1]) >= 0.95
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicate_vectors(docs).collect()}
+    linked = {i for i in range(1500) if found[2 * i].component_id == found[2 * i + 1].component_id}
+    assert all(want[i] for i in linked) and len(linked) >= 0.99 * sum(want.values())
+
+
 def test_mixing(spark, odd, none):
     rng = random.Random(12)
     kinds = {"a": ["alpha", "apple", "axis"], "b": ["beta", "bread", "bone"], "c": ["gamma", "grape", "gate"]}

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,16 +24,22 @@ from tidegauge.llm.frames import column, mapped, written
 from tidegauge.llm.units import LINKS, Unit, collisions, linked_rows, per_unit
 
 THRESHOLD = 0.95
-#: Nearest pivots of a description, and how many of them two vectors must share to be compared.
-NEAREST = 8
-SHARED = 3
-#: Pivots: four times the root of the number of distinct vectors, within these bounds. All vectors are indexed.
+#: Share of the pairs right at the threshold that are to meet, as measured on sampled vectors of the table.
+RECALL = 0.995
+#: How many nearest pivots describe a vector, and how many of them two vectors must share: tried in this order.
+DESCRIPTIONS = ((6, 2), (7, 2), (8, 2), (10, 2), (12, 2), (16, 2))
+#: The same for tables so large that lists of pairs of pivots would hold more than LIST_ROWS vectors on average.
+FINE_DESCRIPTIONS = ((8, 3), (10, 3), (12, 3), (14, 3))
+LIST_ROWS = 64
+#: Pivots of a length: four times the root of the number of its distinct vectors, within these bounds. All vectors are indexed.
 LEAST_PIVOTS = 64
 MOST_PIVOTS = 16_384
+#: Bytes of the pivots of all lengths together, which are broadcast; beyond, each length gets fewer.
+PIVOT_BYTES = 64 << 20
 #: Pivots are to have a cosine of at most this with each other.
 APART = 0.8
-#: Different lengths of vectors in one table.
-MOST_LENGTHS = 64
+#: Vectors of a length on which the recall is measured.
+MEASURED = 400
 
 _BITS = 21  # of a pivot's number; three of them name a list
 
@@ -76,19 +83,62 @@ def _spread(vectors: np.ndarray, pivots: int) -> np.ndarray:
     return np.concatenate([kept[:n], vectors[rest[: max(0, min(pivots, LEAST_PIVOTS) - n)]]])
 
 
-def choose_pivots(classes: DataFrame, pivots: int) -> dict[int, np.ndarray]:
-    """For each length of vectors up to `pivots` of the distinct vectors, from twice as many of smallest hash."""
-    size = F.octet_length("unit_vector")
-    lengths = [r[0] for r in classes.select(size.alias("size")).distinct().limit(MOST_LENGTHS + 1).collect()]
-    if len(lengths) > MOST_LENGTHS:
-        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+def choose_pivots(classes: DataFrame, pivots: int | None = None) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
+    """For each length of vectors: how many distinct ones there are, its pivots, and a few vectors to measure by.
+
+    Candidates are the vectors of smallest hash, by a bound on the hash, some three for each pivot; they are brought
+    together and thinned in a task for each length. The driver gets the pivots.
+    """
+    sizes = classes.groupBy(F.octet_length("unit_vector").alias("bytes")).agg(F.count("*").alias("n")).collect()  # a row a length
+    wanted = {r["bytes"]: pivots or min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(4 * math.sqrt(r["n"])))) for r in sizes}
+    fewer = min(1.0, PIVOT_BYTES / max(1, sum(size * min(many, n) for (size, many), n in zip(wanted.items(), [r["n"] for r in sizes], strict=True))))
+    plan = [(r["bytes"], max(1, int(wanted[r["bytes"]] * fewer)), min(1.0, 3 * max(MEASURED, wanted[r["bytes"]]) / r["n"])) for r in sizes]
+    if not plan:
+        return {}
+    spark = classes.sparkSession
+    grain = 1 << 40
+    shares = spark.createDataFrame([(size, many, int(share * grain)) for size, many, share in plan], "bytes int, many int, bound long")
+    draw = F.pmod(F.xxhash64("digest"), F.lit(grain))
+    sized = classes.select("digest", "unit_vector", F.octet_length("unit_vector").alias("bytes"), draw.alias("draw"))
+    some = sized.join(F.broadcast(shares), "bytes").where("draw < bound").select("bytes", "many", "digest", "unit_vector")
+
+    def thin(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("digest")  # the same pivots whenever the task is run
+        vectors = np.stack([np.frombuffer(v, np.float64) for v in rows["unit_vector"]])
+        kept = [x.tobytes() for x in _spread(vectors, int(rows["many"].iloc[0]))]
+        tried = [x.tobytes() for x in vectors[-MEASURED:]]
+        return pd.DataFrame({"bytes": rows["bytes"].iloc[0], "pivot": [True] * len(kept) + [False] * len(tried), "vector": kept + tried})
+
+    found = some.groupBy("bytes").applyInPandas(thin, "bytes int, pivot boolean, vector binary").collect()
     out = {}
-    for n in lengths:
-        sample = classes.where(size == n).orderBy(F.xxhash64("digest"), "digest").limit(2 * pivots).select("unit_vector")
-        out[n // 8] = _spread(np.stack([np.frombuffer(r[0], np.float64) for r in sample.collect()]), pivots)
+    for size, n in ((r["bytes"], r["n"]) for r in sizes):
+        mine = [[np.frombuffer(r["vector"], np.float64) for r in found if r["bytes"] == size and r["pivot"] == kind] for kind in (True, False)]
+        if mine[0]:
+            out[size // 8] = (n, np.stack(mine[0]), np.stack(mine[1]))
     return out
 
 
+def measured_recall(tried: np.ndarray, pivots: np.ndarray, threshold: float, choices: tuple[tuple[int, int], ...]) -> list[float]:
+    """Share of pairs at the threshold that would meet by each description: each vector with one turned away from it at random."""
+    rng = np.random.default_rng(5)
+    if tried.shape[1] < 2:
+        return [1.0] * len(choices)
+    side = rng.normal(size=tried.shape)
+    side -= (side * tried).sum(axis=1, keepdims=True) * tried
+    side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-300)
+    most = max(n for n, _ in choices)
+    a, b = (describe(x, pivots, most) for x in (tried, threshold * tried + math.sqrt(1 - threshold**2) * side))
+    return [float(np.mean([len(set(x[:n]) & set(y[:n])) >= min(s, len(pivots)) for x, y in zip(a.tolist(), b.tolist(), strict=True)])) for n, s in choices]
+
+
+def choose_description(pivots: dict[int, tuple[int, np.ndarray, np.ndarray]], threshold: float, recall: float = RECALL) -> tuple[int, int]:
+    """(nearest, shared): the first of the descriptions that meets pairs at the threshold with this recall in every length, or the last."""
+    rows = max((n * 45 / max(1, math.comb(len(p), 2)) for n, p, _ in pivots.values()), default=0)
+    choices = DESCRIPTIONS if rows <= LIST_ROWS else FINE_DESCRIPTIONS
+    found = [measured_recall(tried, p, threshold, choices) for _, p, tried in pivots.values()]
+    return next((c for i, c in enumerate(choices) if all(r[i] >= recall for r in found)), choices[-1])
+
+
 def describe(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
     """Numbers of the nearest pivots of each vector, the nearest first; of equally near ones the lower number."""
     return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :nearest]
@@ -96,7 +146,7 @@ def describe(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarra
 
 def _indexed(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int, shared: int) -> DataFrame:
     """cid, nearest pivots in ascending order (bytes) and keys, the sets of `shared` of them that name its lists."""
-    sent = classes.sparkSession.sparkContext.broadcast(pivots)  # at most `pivots` vectors a length
+    sent = classes.sparkSession.sparkContext.broadcast(pivots)  # PIVOT_BYTES at most
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,8 +191,8 @@ def near_duplicate_vectors(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = THRESHOLD,
-    nearest: int = NEAREST,
-    shared: int = SHARED,
+    nearest: int | None = None,
+    shared: int | None = None,
     pivots: int | None = None,
 ) -> DataFrame:
     """One row per row: vec_id, n_links, component_id, kept.
@@ -151,11 +201,11 @@ def near_duplicate_vectors(
     rows linked directly, equal vectors included; `component_id` is the smallest id reachable by links and
     `kept` tells whether the row has that id. Vectors that are null, empty, zero or hold null or non-finite
     components link with nothing, and are their own component. Null ids take part in links and are kept only
-    where they reach no other id. Repeated rows are copies of each other. Vectors may be of any length (up to
-    64 lengths in a table). Further columns are ignored. An empty table gives no rows.
+    where they reach no other id. Repeated rows are copies of each other. Vectors may be of any lengths.
+    Further columns are ignored. An empty table gives no rows.
 
     Every row is indexed; the pivots alone are a bounded sample. Pairs are missed where fewer than `shared` of
-    the `nearest` pivots agree: about 1 in 75 at the threshold itself, fewer above it.
+    the `nearest` pivots agree; unless given, these are chosen so that RECALL of the pairs right at the threshold meet.
     """
     rows = vectors.select(column(vectors, id_col).alias("id"), column(vectors, vector_col).alias("vector"))
     scaled = written(_unit_vectors(rows), "vectors")
@@ -163,11 +213,12 @@ def near_duplicate_vectors(
         F.min("id").alias("id"), F.count("*").alias("copies"), F.first("unit_vector").alias("unit_vector")
     )
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    chosen = choose_pivots(classes, pivots)
+    if nearest is None or shared is None:
+        nearest, shared = choose_description(chosen, threshold)
     if not 1 <= shared <= min(3, nearest):
         raise ValueError("shared must be 1 to 3, and no more than nearest")
-    if pivots is None:
-        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(4 * math.sqrt(classes.count()))))
-    index = written(_indexed(classes, choose_pivots(classes, pivots), nearest, shared), "index")
+    index = written(_indexed(classes, {n: p for n, (_, p, _) in chosen.items()}, nearest, shared), "index")
     units = collisions(index.select("cid", F.lit(0).alias("table"), F.explode("keys").alias("bucket")))
     payload = classes.select("cid", "copies", "unit_vector").join(index.select("cid", "near"), "cid")
 
