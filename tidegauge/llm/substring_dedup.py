@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -147,43 +148,54 @@ def _keys_of(unit: Unit) -> tuple[np.ndarray, np.ndarray]:
     return keys, keys[:, :0]
 
 
-def _cuts(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, first word, hash) of the windows of texts with these shingles."""
+def _cuts(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the windows of texts with these shingles: text number, first word, hash, first word of the text's next window (-1 if
+    there is none) and a hash of all words up to there (0 without)."""
     of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     at = np.zeros(0, np.int64)
     if len(hashes) >= CHOICES:
         least = np.lib.stride_tricks.sliding_window_view(hashes, CHOICES).argmin(axis=1) + np.arange(len(hashes) - CHOICES + 1)
         at = np.unique(least[of[: len(least)] == of[CHOICES - 1 :]])
     at = at[at + WINDOW - SHINGLE < offsets[1:][of[at]]]
-    name = np.zeros(len(at), np.uint64)
+    last = np.concatenate([of[at][1:] != of[at][:-1], [True]])[: len(at)]
+    until = np.where(last, at, np.concatenate([at[1:], [0]])[: len(at)])
+    name, way = np.zeros(len(at), np.uint64), (until - at).astype(np.uint64)
     with np.errstate(over="ignore"):
         for k in [*range(0, WINDOW - SHINGLE, SHINGLE), WINDOW - SHINGLE]:  # together all words of the window
             name = mixed(name * np.uint64(0x9E3779B97F4A7C15) + hashes[at + k])
-    return of[at], at - offsets[of[at]], name.view(np.int64)
+        for k in range(0, CHOICES + SHINGLE, SHINGLE):
+            way = mixed(way * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[np.minimum(at + k, until)])
+    base = offsets[of[at]]
+    return of[at], at - base, name.view(np.int64), np.where(last, -1, until - base), np.where(last, 0, way.view(np.int64))
 
 
 def _windows(rows: DataFrame) -> DataFrame:
-    """id, text_key, at (first word), hash and prior (first word of the last equal window before it in the text, or null) of each
-    window of (id, text_key, text)."""
+    """id, text_key, at (first word), hash, the text's next window, the hash of the way there, prior (first word of the last equal
+    window before it in the text, or null) and alike (whether the way from there is the same) of each window of (id, text_key, text)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices_of(batches, "text"):
-            of, at, name = _cuts(*shingles(texts))
-            order = np.lexsort((at, name, of))
-            of, at, name = of[order], at[order], name[order]
+            found = _cuts(*shingles(texts))
+            order = np.lexsort((found[1], found[2], found[0]))
+            of, at, name, after, way = (x[order] for x in found)
             again = np.concatenate([[False], (of[1:] == of[:-1]) & (name[1:] == name[:-1])])[: len(of)]
+            alike = (after >= 0) & (way == np.roll(way, 1))
             of, prior = pa.array(of), pa.array(np.roll(at, 1), pa.int32(), mask=~again)
-            yield pa.record_batch(
-                [part.column(0).take(of), part.column(1).take(of), pa.array(at, pa.int32()), pa.array(name), prior],
-                names=["id", "text_key", "at", "name", "prior"],
-            )
+            places = [pa.array(at, pa.int32()), pa.array(name), pa.array(after, pa.int32()), pa.array(way), prior, pa.array(alike)]
+            names = ["id", "text_key", "at", "name", "after", "way", "prior", "alike"]
+            yield pa.record_batch([part.column(0).take(of), part.column(1).take(of), *places], names=names)
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return mapped(rows, gather, f"id {kind}, text_key long, at int, name long, after int, way long, prior int, alike boolean")
+
 
-    return mapped(rows, gather, f"id {rows.schema['id'].dataType.simpleString()}, text_key long, at int, name long, prior int")
+def _names(words: list[str]) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in words]
 
 
 def _surroundings(rows: DataFrame) -> DataFrame:
     """For each of the `wanted` spans (first word, word after the last) of (id, text_key, text, wanted): a digest of its words, the
-    words before and after it, nearest first, all in lower case; and the places in characters where it starts, or would with more of them, and ends."""
+    hashes of the words before and after it, nearest first, all in lower case; and the places in characters where it starts, or would with more of them, and ends."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices_of(batches, "text"):
@@ -200,17 +212,17 @@ def _surroundings(rows: DataFrame) -> DataFrame:
                     low, high = max(0, s - CHOICES), min(len(words), e + CHOICES)
                     starts, ends = place[low : s + 1][::-1], [place[k] + len(words[k]) for k in range(e - 1, high)]
                     core = hashlib.blake2b(" ".join(lower[s:e]).encode(), digest_size=16).digest()
-                    found.append((i, s, e, core, lower[low:s][::-1], lower[e:high], starts, ends))
+                    found.append((i, s, e, core, _names(lower[low:s][::-1]), _names(lower[e:high]), starts, ends))
             of, s, e, core, before, after, starts, ends = zip(*found, strict=True) if found else [()] * 8
             of = pa.array(of, pa.int64())
             columns = [part.column(0).take(of), part.column(1).take(of), pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(core, pa.binary())]
-            columns += [pa.array(x, pa.list_(pa.string())) for x in (before, after)]
+            columns += [pa.array(x, pa.list_(pa.int64())) for x in (before, after)]
             columns += [pa.array(x, pa.list_(pa.int32())) for x in (starts, ends)]
             yield pa.record_batch(columns, names=["id", "text_key", "s", "e", "core", "before", "after", "starts", "ends"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return mapped(
-        rows.select("id", "text_key", "text", "wanted"), gather, f"id {kind}, text_key long, s long, e long, core binary, before array<string>, after array<string>, starts array<int>, ends array<int>"
+        rows.select("id", "text_key", "text", "wanted"), gather, f"id {kind}, text_key long, s long, e long, core binary, before array<long>, after array<long>, starts array<int>, ends array<int>"
     )
 
 
@@ -230,19 +242,23 @@ def _runs(rows: DataFrame) -> DataFrame:
     with different earlier places overlap, they count together for RUN_WORDS.
     """
     windows = written(_windows(rows), "windows")
-    once = windows.where("prior is null").drop("prior")
+    once = windows.where("prior is null").drop("prior", "alike")
     # First which windows repeat at all, by their names alone: most do not, and go no further.
     repeated = once.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     again = written(once.join(repeated, "name"), "again")
-    first = F.min(F.struct("id", "text_key", "at")).alias("first")
-    hits = again.join(again.groupBy("name").agg(first), "name").where(~F.struct("id", "text_key", "at").eqNullSafe(F.col("first")))
+    first = F.min(F.struct("id", "text_key", "at", "way")).alias("first")
+    spot = ["id", "text_key", "at"]
+    same_place = F.struct(*spot).eqNullSafe(F.struct(*[F.col(f"first.{c}").alias(c) for c in spot]))
+    hits = again.join(again.groupBy("name").agg(first), "name").where(~same_place)
     where = ["id", "text_key", "keep_id", "keep_key", "shift"]
-    hits = hits.select("id", "text_key", F.col("first.id").alias("keep_id"), F.col("first.text_key").alias("keep_key"), (F.col("at") - F.col("first.at")).alias("shift"), "at")
+    hits = hits.select("id", "text_key", F.col("first.id").alias("keep_id"), F.col("first.text_key").alias("keep_key"), (F.col("at") - F.col("first.at")).alias("shift"), "at", "after", ((F.col("after") >= 0) & (F.col("way") == F.col("first.way"))).alias("alike"))
     inside = windows.where("prior is not null")
-    inside = inside.select("id", "text_key", F.col("id").alias("keep_id"), F.col("text_key").alias("keep_key"), (F.col("at") - F.col("prior")).alias("shift"), "at")
+    inside = inside.select("id", "text_key", F.col("id").alias("keep_id"), F.col("text_key").alias("keep_key"), (F.col("at") - F.col("prior")).alias("shift"), "at", "after", "alike")
     hits = hits.union(inside)
     along = Window.partitionBy(*where).orderBy("at")
-    parted = F.coalesce(F.col("at") > F.lag("at").over(along) + WINDOW, F.lit(True)).cast("int")
+    # A window goes on with the one before if it begins in it, or if all words from there to here are the same.
+    joined = F.lag(F.when(F.col("alike"), F.col("after"))).over(along).eqNullSafe(F.col("at"))
+    parted = (F.coalesce(F.col("at") > F.lag("at").over(along) + WINDOW, F.lit(True)) & ~joined).cast("int")
     spans = hits.withColumn("parted", parted).withColumn("part", F.sum("parted").over(along)).groupBy(*where, "part")
     spans = spans.agg(F.min("at").cast("long").alias("s"), (F.max("at") + WINDOW).cast("long").alias("e")).drop("part")
     spans = written(spans.withColumn("shift", F.col("shift").cast("long")), "spans")
