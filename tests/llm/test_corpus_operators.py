@@ -534,8 +534,8 @@ def test_descriptions_reach_their_recall(pivots):
     rng = np.random.default_rng(3)
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
     p, tried, fresh = (unit(rng.normal(size=(n, 64))) for n in (pivots, 400, 1000))
-    nearest, shared = embedding_dedup.choose_description({64: (1000, p, tried)}, 0.95)
-    assert embedding_dedup.measured_recall(fresh, p, 0.95, ((nearest, shared),))[0] >= 0.99
+    nearest, shared = embedding_dedup.choose_description({64: (p, tried)}, 0.95)
+    assert embedding_dedup.measured_recall(fresh, p, 0.95, ((nearest, shared),))[0] >= 0.98
 
 
 def test_no_vector_pair_is_wrong_and_few_are_lost(spark):
@@ -626,6 +626,39 @@ def test_rates_are_the_least_squares_solution(spark):
     assert found[64] == 0.0 and 2.0 <= found[32] <= 3.0
 
 
+@pytest.mark.parametrize("n", [2, 4])
+def test_rates_agree_with_a_solver(spark, n):
+    """Projected-gradient steps in NumPy on the same cells, run to the end; reachable targets and targets out of reach."""
+    rng = np.random.default_rng(n)
+    p = rng.dirichlet(np.full(n, 0.3), 80)
+    tokens = rng.integers(1, 1000, 80)
+    names = [f"d{i}" for i in range(n)]
+    cells = spark.createDataFrame(
+        [(*[0] * n, int(t), *map(float, row)) for t, row in zip(tokens, p, strict=True)],
+        ", ".join([*[f"q{i} int" for i in range(n)], "tokens long", *[f"m{i} double" for i in range(n)]]),
+    )
+    for weights in (rng.dirichlet(np.ones(n)), np.eye(n)[0]):
+        total = float(tokens.sum())
+        have, want, r = tokens @ p, weights * total, np.ones(80)
+        for _ in range(100_000):
+            r = np.maximum(0, r - (p @ (((tokens * r) @ p - want) / have) + mixing.RIDGE * (r - 1)) / (1 + mixing.RIDGE))
+        found = mixing.fit_rates(cells, names, dict(zip(names, weights.tolist(), strict=True)), total).collect()
+        mine = {tuple(round(x[f"m{i}"], 9) for i in range(n)): x.rate for x in found}
+        assert max(abs(mine[tuple(round(x, 9) for x in row)] - y) for row, y in zip(p.tolist(), r, strict=True)) < 1e-3
+
+
+def test_twenty_domains_are_mixed(spark):
+    rng = random.Random(40)
+    rows = [(i, " ".join(rng.choices([f"w{i % 20}a", f"w{i % 20}b", "common"], k=30))) for i in range(1000)]
+    labels = spark.createDataFrame([(i, f"d{i % 20:02}") for i in range(1000)], "doc_id long, domain string")
+    targets = {f"d{k:02}": 2.0 if k < 10 else 1.0 for k in range(20)}
+    found = mixing.document_rates(make(spark, rows), labels, targets).collect()
+    assert len(found) == 1000
+    total = sum(r.tokens * r.rate for r in found)
+    for k in range(20):
+        assert abs(sum(r.tokens * r[f"p_d{k:02}"] * r.rate for r in found) / total - targets[f"d{k:02}"] / 30) < 0.002
+
+
 def test_quality(spark, odd, none):
     rng = random.Random(13)
     good, bad = words(60, "g"), words(60, "b")

@@ -4,10 +4,11 @@ import random
 from collections import Counter
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 
-from tidegauge.llm import language, tokens
+from tidegauge.llm import language, substring_dedup, tokens
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +106,13 @@ def test_out_of_place_distance_by_hand(spark):
             want[i, held[i], "und", 0.0] += 1
     found = language.identify_languages(docs, top=top).collect()
     assert Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in found) == want
+
+
+def test_word_places_are_those_of_the_shingles():
+    rng = random.Random(3)
+    blanks = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\u200b", "\ufeff"]
+    for _ in range(300):
+        text = "".join(rng.choice(blanks) if rng.random() < 0.4 else rng.choice("abÉ日😀.") for _ in range(rng.randint(0, 40)))
+        first, last = substring_dedup._word_places(text)
+        want = [w for w in pc.utf8_split_whitespace(pa.array([text], pa.large_string()))[0].as_py() if w]
+        assert [text[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)] == want

@@ -25,12 +25,9 @@ from tidegauge.llm.units import LINKS, Unit, collisions, linked_rows, per_unit
 
 THRESHOLD = 0.95
 #: Share of the pairs right at the threshold that are to meet, as measured on sampled vectors of the table.
-RECALL = 0.995
+RECALL = 0.99
 #: How many nearest pivots describe a vector, and how many of them two vectors must share: tried in this order.
-DESCRIPTIONS = ((6, 2), (7, 2), (8, 2), (10, 2), (12, 2), (16, 2))
-#: The same for tables so large that lists of pairs of pivots would hold more than LIST_ROWS vectors on average.
-FINE_DESCRIPTIONS = ((8, 3), (10, 3), (12, 3), (14, 3))
-LIST_ROWS = 64
+DESCRIPTIONS = ((8, 3), (9, 3), (10, 3), (12, 3), (14, 3))
 #: Pivots of a length: four times the root of the number of its distinct vectors, within these bounds. All vectors are indexed.
 LEAST_PIVOTS = 64
 MOST_PIVOTS = 16_384
@@ -83,8 +80,8 @@ def _spread(vectors: np.ndarray, pivots: int) -> np.ndarray:
     return np.concatenate([kept[:n], vectors[rest[: max(0, min(pivots, LEAST_PIVOTS) - n)]]])
 
 
-def choose_pivots(classes: DataFrame, pivots: int | None = None) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
-    """For each length of vectors: how many distinct ones there are, its pivots, and a few vectors to measure by.
+def choose_pivots(classes: DataFrame, pivots: int | None = None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each length of vectors its pivots, and a few vectors to measure by.
 
     Candidates are the vectors of smallest hash, by a bound on the hash, some three for each pivot; they are brought
     together and thinned in a task for each length. The driver gets the pivots.
@@ -111,10 +108,10 @@ def choose_pivots(classes: DataFrame, pivots: int | None = None) -> dict[int, tu
 
     found = some.groupBy("bytes").applyInPandas(thin, "bytes int, pivot boolean, vector binary").collect()
     out = {}
-    for size, n in ((r["bytes"], r["n"]) for r in sizes):
+    for size in wanted:
         mine = [[np.frombuffer(r["vector"], np.float64) for r in found if r["bytes"] == size and r["pivot"] == kind] for kind in (True, False)]
         if mine[0]:
-            out[size // 8] = (n, np.stack(mine[0]), np.stack(mine[1]))
+            out[size // 8] = (np.stack(mine[0]), np.stack(mine[1]))
     return out
 
 
@@ -131,12 +128,10 @@ def measured_recall(tried: np.ndarray, pivots: np.ndarray, threshold: float, cho
     return [float(np.mean([len(set(x[:n]) & set(y[:n])) >= min(s, len(pivots)) for x, y in zip(a.tolist(), b.tolist(), strict=True)])) for n, s in choices]
 
 
-def choose_description(pivots: dict[int, tuple[int, np.ndarray, np.ndarray]], threshold: float, recall: float = RECALL) -> tuple[int, int]:
+def choose_description(pivots: dict[int, tuple[np.ndarray, np.ndarray]], threshold: float, recall: float = RECALL) -> tuple[int, int]:
     """(nearest, shared): the first of the descriptions that meets pairs at the threshold with this recall in every length, or the last."""
-    rows = max((n * 45 / max(1, math.comb(len(p), 2)) for n, p, _ in pivots.values()), default=0)
-    choices = DESCRIPTIONS if rows <= LIST_ROWS else FINE_DESCRIPTIONS
-    found = [measured_recall(tried, p, threshold, choices) for _, p, tried in pivots.values()]
-    return next((c for i, c in enumerate(choices) if all(r[i] >= recall for r in found)), choices[-1])
+    found = [measured_recall(tried, p, threshold, DESCRIPTIONS) for p, tried in pivots.values()]
+    return next((c for i, c in enumerate(DESCRIPTIONS) if all(r[i] >= recall for r in found)), DESCRIPTIONS[-1])
 
 
 def describe(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
@@ -218,7 +213,7 @@ def near_duplicate_vectors(
         nearest, shared = choose_description(chosen, threshold)
     if not 1 <= shared <= min(3, nearest):
         raise ValueError("shared must be 1 to 3, and no more than nearest")
-    index = written(_indexed(classes, {n: p for n, (_, p, _) in chosen.items()}, nearest, shared), "index")
+    index = written(_indexed(classes, {n: p for n, (p, _) in chosen.items()}, nearest, shared), "index")
     units = collisions(index.select("cid", F.lit(0).alias("table"), F.explode("keys").alias("bucket")))
     payload = classes.select("cid", "copies", "unit_vector").join(index.select("cid", "near"), "cid")
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -189,6 +190,20 @@ def _windows(rows: DataFrame) -> DataFrame:
     return mapped(rows, gather, f"id {kind}, text_key long, at int, name long, after int, way long, prior int, alike boolean")
 
 
+@lru_cache(maxsize=1)
+def _blanks() -> np.ndarray:
+    """Which code points part words, as in shingles(); none of 0x3001 or above does."""
+    return np.append(pc.utf8_is_space(pa.array([chr(i) for i in range(0x3001)])).to_numpy(zero_copy_only=False), False)
+
+
+def _word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(first character, character after the last) of each word of a text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = np.concatenate([[True], _blanks()[np.minimum(codes, 0x3001)], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    return edges[::2], edges[1::2]
+
+
 def _names(words: list[str]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in words]
 
@@ -201,18 +216,14 @@ def _surroundings(rows: DataFrame) -> DataFrame:
         for part, texts in slices_of(batches, "text"):
             found = []
             for i, (text, wanted) in enumerate(zip(texts.to_pylist(), part.column(3).to_pylist(), strict=True)):
-                words = [w for w in pc.utf8_split_whitespace(pa.array([text], pa.large_string()))[0].as_py() if w]
-                lower = pc.utf8_lower(pa.array(words, pa.string())).to_pylist()
-                place, at = [], 0
-                for w in words:
-                    place.append(text.index(w, at))
-                    at = place[-1] + len(w)
+                first, last = _word_places(text)
                 for span in wanted:
                     s, e = span["s"], span["e"]
-                    low, high = max(0, s - CHOICES), min(len(words), e + CHOICES)
-                    starts, ends = place[low : s + 1][::-1], [place[k] + len(words[k]) for k in range(e - 1, high)]
-                    core = hashlib.blake2b(" ".join(lower[s:e]).encode(), digest_size=16).digest()
-                    found.append((i, s, e, core, _names(lower[low:s][::-1]), _names(lower[e:high]), starts, ends))
+                    low, high = max(0, s - CHOICES), min(len(first), e + CHOICES)
+                    words = [text[x:y].lower() for x, y in zip(first[low:high].tolist(), last[low:high].tolist(), strict=True)]
+                    core = hashlib.blake2b(" ".join(words[s - low : e - low]).encode(), digest_size=16).digest()
+                    beside = _names(words[: s - low][::-1]), _names(words[e - low :])
+                    found.append((i, s, e, core, *beside, first[low : s + 1][::-1], last[e - 1 : high]))
             of, s, e, core, before, after, starts, ends = zip(*found, strict=True) if found else [()] * 8
             of = pa.array(of, pa.int64())
             columns = [part.column(0).take(of), part.column(1).take(of), pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(core, pa.binary())]
