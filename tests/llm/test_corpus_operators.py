@@ -180,6 +180,48 @@ def test_urls(spark):
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
 
 
+def test_hosts_of_many_labels(spark):
+    deep = "https://" + "a." * 100_000 + "example.com/en/x"
+    pages = spark.createDataFrame([(1, deep, None), (2, "http://www.example.com/en/", None), (3, "x://a..net/es/", None), (4, "x://com/", None)], "page_id long, url string, html string")
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, url_filter.parse_rules(spark, RULES)).collect()}
+    assert found == {1: ("example.com/en/", "block"), 2: ("www.example.com/en/", "allow"), 3: ("net/es/", "block"), 4: ("com/", "allow")}
+
+
+def test_chains_of_canonical_links(spark):
+    """Random chains and trees of links over many pages, against a plain walk."""
+    rng = random.Random(17)
+    hosts = ["a.org", "b.org", "www.example.com", "c.example.com", "d.net"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['en', 'es', 'x'])}/{i}" for i in range(300)]
+    target = {i: rng.randrange(i) for i in range(1, 300) if rng.random() < 0.6}
+    rows = [(i, u, f'<link rel="canonical" href="{urls[target[i]]}">' if i in target else "<p>") for i, u in enumerate(urls)]
+    parent = list(range(300))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in target.items():
+        parent[root(i)] = root(j)
+    alias = defaultdict(list)
+    for i in range(300):
+        alias[root(i)].append(i)
+
+    def rule(url):
+        host, _, path = url[7:].partition("/")
+        fits = [(len(t), t, v) for v, t in RULES if (host == t.partition("/")[0] or host.endswith("." + t.partition("/")[0])) and ("/" + path).startswith("/" + t.partition("/")[2])]
+        return max(fits)[1:] if fits else (None, None)
+
+    want = {}
+    for i, u in enumerate(urls):
+        name, verdict = rule(u)
+        tainted = any(rule(urls[j])[1] == "block" for j in alias[root(i)])
+        want[i] = (name, verdict or ("block" if tainted else "allow"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = url_filter.judge_urls(pages, url_filter.parse_rules(spark, RULES)).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in found} == want
+
+
 def test_given_pages_have_no_links(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert url_filter.link_edges(pages).count() == 0

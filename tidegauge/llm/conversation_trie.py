@@ -45,7 +45,8 @@ def ordered_turns(conversations: DataFrame, id_col: str = "conv_id", turn_col: s
         F.unhex(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text), 256)).alias("digest"),
         F.regexp_count(text, F.lit(_WORD)).cast("long").alias("words"),
     )
-    placed = ordered_positions(slim.where("conv_id is not null"), "conv_id", ["turn", "digest"])
+    # Written first: ranges are sampled from it, and each text is to be hashed once.
+    placed = ordered_positions(written(slim.where("conv_id is not null"), "digests"), "conv_id", ["turn", "digest"])
     return written(placed.select("conv_id", F.col("position").cast("long").alias("depth"), "digest", "words"), "turns")
 
 

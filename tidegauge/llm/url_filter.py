@@ -95,10 +95,13 @@ def fitting_rule(addresses: DataFrame, rules: DataFrame, key: str, bound: int =
     """(key, rule, rule_verdict): the longest rule that fits a (key, host, path) row, for keys that have one.
 
     A rule fits its host and all subdomains where the path starts with the rule's. Of rules of equal
-    text, block wins. A row meets only the rules of its own host's suffixes.
+    text, block wins. A row meets only the rules of its own host's suffixes, of no more labels than a rule's host has.
     """
+    most = rules.agg(F.max(F.size(F.split("rule_host", r"\.")))).first()[0] or 1
     labels = F.split("host", r"\.")
-    suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    first = F.greatest(F.size(labels) - (most - 1), F.lit(1))
+    tail = F.slice(labels, first, F.lit(most))
+    suffix = F.transform(F.array(tail), lambda t: F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.array_join(F.slice(t, i, F.size(t)), ".")))[0]
     many = addresses.where("host != ''").select(F.col(key).alias("_key"), "path", F.explode(suffix).alias("rule_host"))
     small = rules.limit(bound + 1).count() <= bound
     found = many.join(F.broadcast(rules) if small else rules, "rule_host").where(F.col("path").startswith(F.col("rule_path")))
