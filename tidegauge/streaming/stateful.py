@@ -55,8 +55,8 @@ def _packed(rows: pd.DataFrame, schema: pa.Schema) -> bytes:
     return pa.RecordBatch.from_pandas(rows[schema.names], schema, preserve_index=False).serialize().to_pybytes()
 
 
-def _unpacked(data: bytes, schema: pa.Schema) -> pd.DataFrame:
-    return pa.ipc.read_record_batch(pa.py_buffer(bytes(data)), schema).to_pandas(integer_object_nulls=True)
+def _unpacked(data: bytes, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.ipc.read_record_batch(pa.py_buffer(bytes(data)), schema)
 
 
 class InOrder(StatefulProcessor):
@@ -87,33 +87,35 @@ class InOrder(StatefulProcessor):
             self.handle.registerTimer(ms)
             self.next.update((ms,))
 
-    def _hold(self, slot: int, rows: pd.DataFrame) -> None:
-        n, chunks, first, split = self.slots.getValue((slot,)) or (0, 0, int(rows["us"].iloc[0]), 0)
-        first = min(first, int(rows["us"].min()))
+    def _hold(self, slot: int, rows: pa.RecordBatch) -> None:
+        us = rows.column("us").to_numpy()
+        n, chunks, first, split = self.slots.getValue((slot,)) or (0, 0, int(us[0]), 0)
         if n <= FULL_ROWS:
-            self.held.updateValue((slot, -1, chunks), (_packed(rows, self.arrow),))
+            self.held.updateValue((slot, -1, chunks), (rows.serialize().to_pybytes(),))
             chunks += 1
         else:
-            split = 1
-            for part, some in rows.groupby((rows["us"] - slot * SLOT_US) * PARTS // SLOT_US):
-                before = (self.parts.getValue((slot, int(part))) or (0,))[0]
-                self.held.updateValue((slot, int(part), before), (_packed(some, self.arrow),))
-                self.parts.updateValue((slot, int(part)), (before + 1,))
-        self.slots.updateValue((slot,), (n + len(rows), chunks, first, split))
+            split, parts = 1, (us - slot * SLOT_US) * PARTS // SLOT_US
+            for part in np.unique(parts).tolist():
+                before = (self.parts.getValue((slot, part)) or (0,))[0]
+                self.held.updateValue((slot, part, before), (rows.filter(pa.array(parts == part)).serialize().to_pybytes(),))
+                self.parts.updateValue((slot, part), (before + 1,))
+        self.slots.updateValue((slot,), (n + len(rows), chunks, min(first, int(us.min())), split))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for chunk in rows:
-            slots = chunk["us"] // SLOT_US
-            for slot, some in chunk.groupby(slots) if slots.nunique() > 1 else [(slots.iloc[0], chunk)]:
-                self._hold(int(slot), some)
-            least = int(chunk["us"].min())
-            first = least if first is None else min(first, least)
+            batch = pa.RecordBatch.from_pandas(chunk[self.arrow.names], self.arrow, preserve_index=False)
+            us = batch.column("us").to_numpy()
+            slots = us // SLOT_US
+            found = np.unique(slots).tolist()
+            for slot in found:
+                self._hold(slot, batch.filter(pa.array(slots == slot)) if len(found) > 1 else batch)
+            first = int(us.min()) if first is None else min(first, int(us.min()))
         if first is not None:
             self._wait(first)
         return iter([])
 
-    def _taken(self, slot: int, part: int, chunks: int) -> list[pd.DataFrame]:
+    def _taken(self, slot: int, part: int, chunks: int) -> list[pa.RecordBatch]:
         """The chunks of a slot or part, which the state gives up."""
         out = []
         for chunk in range(chunks):
@@ -121,56 +123,58 @@ class InOrder(StatefulProcessor):
             self.held.removeKey((slot, part, chunk))
         return out
 
-    def _slot_rows(self, slot: int, chunks: int, split: int) -> Iterator[pd.DataFrame]:
+    def _slot_rows(self, slot: int, chunks: int, split: int) -> Iterator[pa.Table]:
         """The rows of a slot, which leaves the state, in pieces whose times follow one another."""
-        whole = self._taken(slot, -1, chunks)
+        whole = pa.Table.from_batches(self._taken(slot, -1, chunks), self.arrow)
         self.slots.removeKey((slot,))
         if not split:
-            yield from whole if len(whole) == 1 else [pd.concat(whole, ignore_index=True)]
+            yield whole
             return
-        early = pd.concat(whole, ignore_index=True)
-        place = ((early["us"] - slot * SLOT_US) * PARTS // SLOT_US).to_numpy()
+        place = (whole["us"].to_numpy() - slot * SLOT_US) * PARTS // SLOT_US
         order = np.argsort(place, kind="stable")
-        early, edges = early.iloc[order], np.searchsorted(place[order], np.arange(PARTS + 1))
+        edges = np.searchsorted(place[order], np.arange(PARTS + 1))
         for part in range(PARTS):
             count = self.parts.getValue((slot, part))
-            pieces = [early.iloc[edges[part] : edges[part + 1]]]
+            early = whole.take(pa.array(order[edges[part] : edges[part + 1]]))
             if count:
-                pieces += self._taken(slot, part, count[0])
+                late = pa.Table.from_batches(self._taken(slot, part, count[0]), self.arrow)
                 self.parts.removeKey((slot, part))
-            rows = pd.concat(pieces, ignore_index=True)
-            if len(rows):
-                yield rows
+                early = pa.concat_tables([early, late])
+            if len(early):
+                yield early
 
-    def _due(self, passed: int) -> Iterator[pd.DataFrame]:
-        """All rows up to the time `passed`, in order; what is later in a slot is held anew."""
+    def _due(self, passed: int) -> Iterator[pa.Table]:
+        """All rows up to the time `passed`, in pieces whose times follow one another; what is later in a slot is held anew."""
         for slot, (_, chunks, first, split) in sorted((k[0], tuple(v)) for k, v in self.slots.iterator()):
             if first > passed:
                 continue
             later = []
             for rows in self._slot_rows(slot, chunks, split):
-                due = (rows["us"] <= passed).to_numpy()
+                due = rows["us"].to_numpy() <= passed
                 if not due.all():
-                    later.append(rows[~due])
-                    rows = rows[due]
+                    later.append(rows.filter(pa.array(~due)))
+                    rows = rows.filter(pa.array(due))
                 if len(rows):
-                    yield rows.sort_values(["us", "event_id"], ignore_index=True)
+                    yield rows
             for rows in later:
-                self._hold(slot, rows)
+                self._hold(slot, rows.combine_chunks().to_batches()[0])
+
+    def _frames(self, key, pieces: list[pa.Table]) -> Iterator[pd.DataFrame]:
+        rows = pa.concat_tables(pieces).to_pandas(integer_object_nulls=True).sort_values(["us", "event_id"], ignore_index=True)
+        for start in range(0, len(rows), FRAME_ROWS):
+            yield self.emit(key, rows.iloc[start : start + FRAME_ROWS].reset_index(drop=True) if len(rows) > FRAME_ROWS else rows)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.next.clear()
         ready, size = [], 0
         for rows in self._due(timerValues.getCurrentWatermarkInMs() * 1000):
-            for start in range(0, len(rows), FRAME_ROWS):
-                some = rows.iloc[start : start + FRAME_ROWS]
-                if size + len(some) > FRAME_ROWS:
-                    yield self.emit(key, pd.concat(ready, ignore_index=True))
-                    ready, size = [], 0
-                ready.append(some)
-                size += len(some)
+            if ready and size + len(rows) > FRAME_ROWS:
+                yield from self._frames(key, ready)
+                ready, size = [], 0
+            ready.append(rows)
+            size += len(rows)
         if ready:
-            yield self.emit(key, pd.concat(ready, ignore_index=True) if len(ready) > 1 else ready[0].reset_index(drop=True))
+            yield from self._frames(key, ready)
         waiting = [v[2] for _, v in self.slots.iterator()]
         if waiting:
             self._wait(min(waiting))
@@ -227,7 +231,7 @@ class _Rolling(InOrder):
         kept, before = 0, np.zeros(0, np.int64)
         if self.recent.exists():
             data, times = self.recent.get()
-            old = _unpacked(data, self.recent_arrow)
+            old = _unpacked(data, self.recent_arrow).to_pandas()
             kept, before = len(old), np.frombuffer(bytes(times), np.int64)
             rows = pd.concat([old, rows], ignore_index=True)
         times = np.concatenate([before, us])
