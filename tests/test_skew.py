@@ -224,3 +224,21 @@ def test_exact_quantiles_scan_the_source_twice(spark, tmp_path):
     df = spark.read.parquet(f"{tmp_path}/t").mapInArrow(count, "v double")
     assert quantiles.exact_quantiles(df, "v", [0.5, 0.99]).count() == 2
     assert counter.value == 2 * 20_000
+
+
+@pytest.mark.parametrize("rows", [65, 200])
+@pytest.mark.parametrize("hot_rows", [10_000, 100])  # one task a source, or blocks
+def test_distinct_values_of_long_frames(spark, rows, hot_rows):
+    from tidegauge.sources.logs import normalize_logs
+
+    rng = random.Random(rows)
+    agents = [f"agent{min(int(rng.expovariate(0.2)), 40)}" for _ in range(900)]
+    data = [(i, datetime(2024, 1, 1) + timedelta(seconds=i // 3), f"ip{i % 2}", rng.choice(["GET", "PUT", None]), "/", 200, 1, 1.0, a) for i, a in enumerate(agents)]
+    schema = "event_id bigint, event_timestamp timestamp, source_ip string, method string, url string, status_code int, bytes_sent int, response_time double, user_agent string"
+    logs = normalize_logs(spark.createDataFrame(data, schema).withColumn("timestamp", F.lit(None).cast("string")))
+    found = {r.event_id: (r.method_diversity, r.agent_diversity) for r in rolling_ml(logs, rows, hot_rows, 250).collect()}
+    for ip in range(2):
+        mine = [d for d in data if d[2] == f"ip{ip}"]
+        for k, d in enumerate(mine):
+            frame = mine[max(0, k - rows + 1) : k + 1]
+            assert found[d[0]] == (len({x[3] or "GET" for x in frame}), len({x[8] for x in frame}))

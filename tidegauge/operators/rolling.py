@@ -13,6 +13,8 @@ from tidegauge.schema import ML_FEATURES
 
 SECOND = 1_000_000
 BLOCK_ROWS = 1_000_000
+#: Frames of more rows count their distinct values by when each comes again, shorter ones by collecting them.
+COLLECTED = 64
 
 
 class Frames:
@@ -26,6 +28,19 @@ class Frames:
     def last(self, expr: Column, rows: int) -> Column:
         return expr.over(self.ordered.rowsBetween(1 - rows, 0))
 
+    def distinct(self, column: str, rows: int) -> Column:
+        """Distinct values among the last rows.
+
+        By with_turnover, the work per row does not depend on the frame: of the rows so far, those do not count whose value
+        came again within the frame, and those that the frame has left without its coming again before.
+        """
+        if rows <= COLLECTED:
+            return F.size(self.last(F.collect_set(column), rows))
+        so_far = self.ordered.rowsBetween(Window.unboundedPreceding, 0)
+        left = self.ordered.rowsBetween(Window.unboundedPreceding, -rows)
+        gone = F.sum(f"{column}_again").over(so_far) + F.coalesce(F.sum(f"{column}_ends").over(left), F.lit(0))
+        return (F.row_number().over(self.ordered) - gone).cast("int")
+
     def recent(self, seconds: int) -> Column:
         """Requests so far that are younger than `seconds`.
 
@@ -40,6 +55,21 @@ class Frames:
         return F.row_number().over(self.ordered) - expired
 
 
+def with_turnover(logs: DataFrame, part: list[str], columns: tuple[str, ...], rows: int) -> DataFrame:
+    """For long frames, whether each row's value came within `rows` rows before (_again), and does not come within `rows` after (_ends)."""
+    if rows <= COLLECTED:
+        return logs
+    place = F.row_number().over(Window.partitionBy(*part).orderBy("_us", "event_id"))
+    marked = logs.withColumn("_place", place)
+    for column in columns:
+        same = Window.partitionBy(*part, column).orderBy("_place")
+        before, after = F.lag("_place").over(same), F.lead("_place").over(same)
+        again = F.coalesce(F.col("_place") - before <= rows, F.lit(False))
+        ends = F.coalesce(after - F.col("_place") > rows, F.lit(True))
+        marked = marked.withColumns({f"{column}_again": again.cast("int"), f"{column}_ends": ends.cast("int")})
+    return marked.drop("_place")
+
+
 def with_recent(rows: DataFrame, seconds: int) -> DataFrame:
     """Add `_recent_<seconds>`, the requests so far that are younger, for sources of any size.
 
@@ -90,21 +120,21 @@ def _ml(rows: int) -> Callable[[Frames], dict[str, Column]]:
             "std_response_time": last(F.stddev_pop("_rt")),
             "avg_bytes": last(F.avg("_bytes")),
             "total_bytes": last(F.sum("_bytes")),
-            "method_diversity": F.size(last(F.collect_set("_method"))),
+            "method_diversity": frames.distinct("_method", rows),
             "get_ratio": last(_share(F.col("_method") == "GET")),
-            "agent_diversity": F.size(last(F.collect_set("_agent"))),
+            "agent_diversity": frames.distinct("_agent", rows),
             "is_bot": last(F.max(agent_matches(("bot",), "_agent").cast("int"))),
         }
 
     return features
 
 
-def _one_task_per_source(logs: DataFrame, features) -> DataFrame:
+def _one_task_per_source(logs: DataFrame, features, uniques: tuple[str, ...], lookback: int) -> DataFrame:
     """One shuffle on source_ip serves the (source, URL) window and the frames."""
     frames = Frames(["source_ip"])
     per_url = Window.partitionBy("source_ip", "url").orderBy("_us", "event_id")
     return (
-        logs.repartition("source_ip")
+        with_turnover(logs.repartition("source_ip"), ["source_ip"], uniques, lookback)
         .withColumn("_new_url", (F.row_number().over(per_url) == 1).cast("int"))
         .withColumns(
             {
@@ -118,7 +148,7 @@ def _one_task_per_source(logs: DataFrame, features) -> DataFrame:
     )
 
 
-def _blocks_per_source(logs: DataFrame, features, halo: int, block_rows: int) -> DataFrame:
+def _blocks_per_source(logs: DataFrame, features, halo: int, block_rows: int, uniques: tuple[str, ...]) -> DataFrame:
     """Exact features for sources too large for one task.
 
     Each source is cut into blocks of consecutive requests; the last `halo` rows of a block are
@@ -167,15 +197,16 @@ def _blocks_per_source(logs: DataFrame, features, halo: int, block_rows: int) ->
         .repartition("source_ip", "_block")
         .withColumn("url_diversity", F.sum("_mark").over(seen.rowsBetween(Window.unboundedPreceding, 0)))
     )
+    part = ["source_ip", "_block", "_is_mark"]
     return (
-        both.withColumns(features(Frames(["source_ip", "_block", "_is_mark"], rates=False)))
+        with_turnover(both, part, uniques, halo + 1).withColumns(features(Frames(part, rates=False)))
         .filter(~F.col("_is_mark") & (F.col("_block") == F.col("_own")))
         .drop("position", "_own", "_block", "_mark", "_is_mark", "_recent_60", "_recent_10")
     )
 
 
 def _rolling(
-    logs: DataFrame, inputs: list, features, lookback: int, hot_rows: int, block_rows: int
+    logs: DataFrame, inputs: list, features, lookback: int, hot_rows: int, block_rows: int, uniques: tuple[str, ...] = ()
 ) -> DataFrame:
     """Key columns, `inputs` and the features; requests without a time have no place in the order."""
     if block_rows < lookback:
@@ -191,9 +222,9 @@ def _rolling(
         *inputs,
     )
     ordinary, hot = split_hot(needed, "source_ip", hot_rows)
-    result = _one_task_per_source(ordinary, features)
+    result = _one_task_per_source(ordinary, features, uniques, lookback)
     if hot is not None:
-        result = result.unionByName(_blocks_per_source(hot, features, lookback - 1, block_rows))
+        result = result.unionByName(_blocks_per_source(hot, features, lookback - 1, block_rows, uniques))
     return result
 
 
@@ -235,7 +266,7 @@ def rolling_ml(
         F.coalesce("method", F.lit("GET")).alias("_method"),
         F.coalesce("user_agent", F.lit("")).alias("_agent"),
     ]
-    frames = _rolling(logs, inputs, _ml(rows), rows, hot_rows, block_rows)
+    frames = _rolling(logs, inputs, _ml(rows), rows, hot_rows, block_rows, ("_method", "_agent"))
     hour = F.hour("event_timestamp")
     return frames.withColumns(
         {
