@@ -239,3 +239,16 @@ def test_thresholds_come_from_the_configuration(make_logs):
     logs = in_window(make_logs, 10)
     assert windows.windowed_alerts(logs, DetectionConfig(request_rate=1.9)).count() == 5
     assert windows.windowed_alerts(logs, DetectionConfig(request_rate=2.0)).count() == 0
+
+
+def test_mean_at_the_threshold_is_summed_in_the_order_of_requests(make_logs):
+    """A mean of three values that add up to 15, or to a last digit more, as they come."""
+    values = next(
+        v for v in ((a / 100, b / 100, (1500 - a - b) / 100) for a in range(300, 500) for b in range(500, 600))
+        if (v[0] + v[1]) + v[2] > 15 and v[0] + (v[1] + v[2]) <= 15 and (v[0] + v[2]) + v[1] <= 15
+    )
+    for order, slow in (((0, 1, 2), True), ((1, 2, 0), False), ((0, 2, 1), False)):
+        logs = make_logs([(i, "10.0.0.1", f"/{'xyx'[i]}", 200, values[place]) for i, place in enumerate(order)])
+        for parts in (1, 3, 5):
+            found = windows.windowed_alerts(logs.repartition(parts), DetectionConfig(request_rate=1.0, scan_rate=100))
+            assert found.count() == (5 if slow else 0), (order, parts)
