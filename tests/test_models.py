@@ -228,3 +228,10 @@ def test_training_guards(requests):
     assert check.rows == 210 and check.attacks == 10 and check.enough_rows and not check.enough_attacks
     more = ensemble.training_check(requests, SMALL).first()
     assert more.enough_attacks and more.attacks + more.others == more.rows
+
+
+def test_ensemble_reads_labelled_requests_from_a_written_table(spark):
+    from tidegauge.plans.queries import QUERIES
+
+    plan = QUERIES["ensemble_alerts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan

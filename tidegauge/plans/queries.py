@@ -482,6 +482,11 @@ def labelled_requests(logs: DataFrame) -> DataFrame:
     return rolling.pseudo_labels(rolling.rolling_ml(logs), 3, 0.4, 2)
 
 
+def labelled_once(logs: DataFrame) -> DataFrame:
+    """Labelled requests as a written table: the fits and the scores read them, their windows are computed once."""
+    return cut_lineage(labelled_requests(logs))
+
+
 @query("kmeans_outliers")
 def kmeans_outliers(logs: DataFrame) -> DataFrame:
     features = rolling.rolling_ml(logs)
@@ -499,7 +504,7 @@ def isolation_scores(logs: DataFrame) -> DataFrame:
 
 @query("ensemble_alerts")
 def ensemble_alerts(logs: DataFrame) -> DataFrame:
-    labelled = labelled_requests(logs)
+    labelled = labelled_once(logs)
     scored = ensemble.score_ensemble(ensemble.fit_ensemble(labelled), labelled)
     return ensemble.ensemble_alerts(scored, threshold=6.0).select(
         "event_id", "source_ip", joined_types_of_items().alias("alert_types"), "confidence", "models_used"
@@ -509,7 +514,7 @@ def ensemble_alerts(logs: DataFrame) -> DataFrame:
 @query("ml_alert_store")
 def ml_alert_store(logs: DataFrame) -> DataFrame:
     """Alerts of all three detectors in one store."""
-    labelled = labelled_requests(logs)
+    labelled = labelled_once(logs)
     scored = ensemble.score_ensemble(ensemble.fit_ensemble(labelled), labelled)
     stored = store.to_alert_store(
         store.canonical_rule_alerts(rule_alert_rows(logs)),
