@@ -413,3 +413,94 @@ def test_a_hot_source_leaves_in_bounded_frames(spark, monkeypatch, full):
     assert found["request_rate"].tolist() == (np.arange(1, n + 1) - np.searchsorted(us, us - 60_000_000, side="right")).tolist()
     assert found["url_diversity"].tolist() == np.cumsum(~ordered["url"].duplicated()).tolist()
     assert np.allclose(found["error_rate"], ordered["error"].rolling(10, min_periods=1).mean())
+
+
+def many_sources(n=6_000, sources=40):
+    """Requests of several sources, one of them without a name, and the time they begin at."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    start = int(START.timestamp() * 1e6)
+    names = np.array([None, *(f"ip{i}" for i in range(1, sources))], dtype=object)
+    rows = pd.DataFrame({
+        "event_id": np.arange(n), "source_ip": names[rng.integers(0, sources, n)], "us": start + rng.integers(0, 1_800_000_000, n),
+        "url": [f"/{u}" for u in rng.integers(0, 60, n)], "error": rng.integers(0, 2, n), "status": rng.choice([200, 404, 500], n), "rt": rng.random(n),
+        "size": rng.integers(0, 900, n), "method": rng.choice(["GET", "POST", "PUT"], n), "agent": rng.choice(["bot/1", "curl", "x"], n),
+        "hour_of_day": 1, "day_of_week": 2})
+    return rows, start
+
+
+def handed_on(operator, state, rows, start):
+    """All rows of one key, in three deliveries, as they leave the state at three times."""
+    import pandas as pd
+
+    operator.init(state)
+    for k in range(3):
+        list(operator.handleInputRows((7,), iter([rows.iloc[k::3]]), None))
+    out = []
+    for seconds in (600, 601, 5_000):
+        out += list(operator.handleExpiredTimer((7,), Clock(start // 1000 + seconds * 1000), None))
+    return pd.concat(out).set_index("event_id").sort_index()
+
+
+@pytest.mark.parametrize("packed", [5, 1_000])  # URLs kept one by one, or together
+def test_a_key_holds_many_sources(spark, monkeypatch, packed):
+    """Each source of a key has the features of its own requests alone."""
+    import numpy as np
+
+    monkeypatch.setattr(stateful, "PACKED_URLS", packed)
+    rows, start = many_sources()
+    basic, state = stateful.RollingFeatures(None), Memory()
+    found = handed_on(basic, state, rows, start)
+    model = handed_on(stateful.RollingModelFeatures(20, None), Memory(), rows, start)
+    assert len(found) == len(model) == len(rows) and bool(state.urls) == (packed == 5) and len(state.sources) == 40
+    for source, own in rows.sort_values(["us", "event_id"]).groupby("source_ip", dropna=False):
+        here, there, us = found.loc[own["event_id"]], model.loc[own["event_id"]], own["us"].to_numpy()
+        assert here["source_ip"].isna().all() if source != source else (here["source_ip"] == source).all()
+        for seconds, column in ((60, here["request_rate"]), (60, there["request_rate"]), (10, there["burst_rate"])):
+            assert column.tolist() == (np.arange(1, len(us) + 1) - np.searchsorted(us, us - seconds * 1_000_000, side="right")).tolist()
+        assert here["url_diversity"].tolist() == there["url_diversity"].tolist() == np.cumsum(~own["url"].duplicated()).tolist()
+        assert np.allclose(here["error_rate"], own["error"].rolling(10, min_periods=1).mean())
+        assert np.allclose(there["std_response_time"], own["rt"].rolling(20, min_periods=1).std(ddof=0))
+        assert there["total_bytes"].tolist() == own["size"].rolling(20, min_periods=1).sum().tolist()
+        methods = own["method"].tolist()
+        assert there["method_diversity"].tolist() == [len(set(methods[max(0, i - 19) : i + 1])) for i in range(len(methods))]
+
+
+@pytest.mark.parametrize("packed", [5, 1_000])
+def test_urls_of_many_sources_are_forgotten(spark, monkeypatch, packed):
+    import pandas as pd
+
+    monkeypatch.setattr(stateful, "PACKED_URLS", packed)
+    start, hour = int(START.timestamp() * 1e6), 3_600_000_000
+    operator, state = stateful.RollingFeatures(hour // 1000), Memory()
+    operator.init(state)
+    counts = []
+    for turn, at in enumerate((0, hour // 2, 2 * hour)):  # ten URLs; one of them again; after an hour and a half a new one
+        urls = ([f"/{i}" for i in range(10)], ["/3"], ["/new"])[turn]
+        rows = pd.DataFrame([(100 * turn + i, ip, start + at, url, 0, 1.0, 1, 2) for i, url in enumerate(urls) for ip in ("a", "b")],
+                            columns=["event_id", "source_ip", "us", "url", "error", "rt", "hour_of_day", "day_of_week"])
+        counts.append(operator.emit((7,), rows)["url_diversity"].tolist())
+    assert counts == [[i // 2 + 1 for i in range(20)], [10, 10], [1, 1]] and len(state.urls) in (0, 2)
+
+
+def test_cooldown_of_many_sources(spark):
+    rows, start = many_sources()
+    alerts = rows[["event_id", "source_ip", "us"]]
+    kept = handed_on(stateful.Cooldown(60_000_000, "event_id bigint, source_ip string, us bigint"), Memory(), alerts, start)
+    expected = set()
+    for _, own in alerts.sort_values(["us", "event_id"]).groupby("source_ip", dropna=False):
+        last = None
+        for event, us in zip(own["event_id"], own["us"]):
+            if last is None or us - last >= 60_000_000:
+                last = us
+                expected.add(event)
+    assert set(kept.index) == expected
+
+
+def test_keys_do_not_grow_with_the_sources(spark):
+    """What a key costs is paid a bounded number of times, however many sources there are."""
+    sources = spark.range(50_000).select(F.concat(F.lit("ip"), "id").alias("source_ip"), F.lit(START).alias("event_timestamp"), F.col("id").alias("event_id"))
+    sizes = [r["count"] for r in sources.groupBy(stateful.source_group()).count().collect()]
+    assert len(sizes) <= stateful.GROUPS and max(sizes) < 3 * 50_000 / stateful.GROUPS
