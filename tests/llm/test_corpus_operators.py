@@ -716,6 +716,20 @@ def test_quality(spark, odd, none):
     assert quality.score_quality(none, labels, rounds=1).count() == 0
 
 
+def test_quality_learns_from_all_labels_and_all_confident_documents(spark, monkeypatch):
+    """More labels than were once sampled: each fit sees all that are not kept apart, later ones all confident documents too."""
+    n, labelled = 30_000, 27_600
+    text = F.concat(F.when(F.col("id") % 3 == 0, "bad worse !!!").otherwise("good better best"), F.lit(" w"), F.col("id") % 5)
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    labels = spark.range(labelled).select(F.col("id").alias("doc_id"), (F.col("id") % 3 != 0).cast("int").alias("label"))
+    seen, fit = [], quality._View.fit
+    monkeypatch.setattr(quality._View, "fit", lambda view, train: (seen.append(train.count()), fit(view, train)) and None)
+    found = quality.score_quality(docs, labels, rounds=1)
+    taught = labels.where("crc32(cast(cast(doc_id as string) as binary)) % 4 != 2").count()
+    assert taught > 20_000 and seen == [taught, taught, taught + n - labelled, taught + n - labelled]
+    assert found.where("keep != (doc_id % 3 != 0)").count() == 0
+
+
 def test_quality_drops_most_recognisable_insults(spark):
     """Of labelled toxic documents with an insult word at least 70 % go, of the good ones at most 5 %."""
     folder = "/root/testdata/sf0.1"

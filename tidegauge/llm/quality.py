@@ -1,9 +1,9 @@
 """Quality scores by co-training of a text view and a page-metadata view.
 
 One logistic regression sees the words of a document, the other its metadata: source, language, length and
-layout. Each is fitted on labelled documents; over some rounds each scores all documents that have no label, and those of
-which it is confident teach the other. In the end both are calibrated on labelled documents kept apart, and
-their evidence is added up.
+layout. Each is fitted on all labelled documents but those kept apart; over some rounds each scores all documents that have no
+label, and all of which it is confident teach the other. In the end both are calibrated on all labelled documents kept
+apart, and their evidence is added up. Nothing is sampled: features are written once, labels are a column beside them.
 """
 
 from __future__ import annotations
@@ -16,11 +16,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import column, share_of, written
+from tidegauge.functions.quantiles import exact_quantiles
+from tidegauge.llm.frames import column, forget, written
 from tidegauge.llm.mixing import document_features
 
-#: Labelled documents that are fitted on, and pseudo-labelled ones that each round adds to a view, about.
-FIT_ROWS = 20_000
 ROUNDS = 2
 #: A view is confident where its probability is this far from 0 or 1 at most.
 CONFIDENT = 0.05
@@ -29,8 +28,6 @@ WORD_BUCKETS, META_BUCKETS = 1 << 16, 1 << 10
 TELLING, LEAST_DOCS = 1024, 8
 #: Share of the good documents kept apart that are to be kept, and the least score to keep where there are none.
 GOOD_SHARE, KEEP = 0.97, 0.3
-#: Tasks of a fit: the rows are bounded, and with so few their gradients are summed without a shuffle.
-FIT_TASKS = 4
 
 _SIGNS = {"bang": "!", "bar": "|", "amp": "&", "percent": "%", "hash": "#", "star": "*", "dollar": "$"}
 _SHAPE = ("log_chars", "log_words", "log_lines", "word_length", "line_words", "distinct", "wide", *_SIGNS)
@@ -85,12 +82,14 @@ class _View:
         return self.vectors.transform(rows)
 
     def fit(self, train: DataFrame) -> None:
-        """`train` has the columns of view_features and y."""
+        """`train` has the columns of view_features and y. Vectors are written, as a fit reads them several times."""
         if self.kind == "text":
             self._choose(train)
         # Words share a penalty as they are; the measures of the metadata differ in scale.
         learner = LogisticRegression(featuresCol="x", labelCol="y", maxIter=40, regParam=0.001, standardization=self.kind == "meta")
-        self.model = learner.fit(self._vectors(train).select("x", "y").coalesce(FIT_TASKS))
+        rows = written(self._vectors(train).select("x", "y"), "vectors")
+        self.model = learner.fit(rows)
+        forget(rows)
 
     def scored(self, rows: DataFrame, name: str) -> DataFrame:
         model = self.model.setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("")
@@ -105,7 +104,7 @@ def _logit(p: Column) -> Column:
 def _calibration(scored: DataFrame, name: str) -> tuple[float, float]:
     """(slope, intercept) of the logit of a view's probability that fit the labels best; the slope is not negative."""
     rows = VectorAssembler(inputCols=["l"], outputCol="x").transform(scored.select(_logit(F.col(name)).alias("l"), "y"))
-    model = LogisticRegression(featuresCol="x", labelCol="y", maxIter=50, regParam=1e-4).fit(rows.select("x", "y").coalesce(FIT_TASKS))
+    model = LogisticRegression(featuresCol="x", labelCol="y", maxIter=50, regParam=1e-4).fit(rows.select("x", "y"))
     return max(float(model.coefficients[0]), 0.0), float(model.intercept)
 
 
@@ -118,33 +117,30 @@ def score_quality(
     label_col: str = "label",
     category_cols: tuple[str, ...] = ("source", "lang"),
     rounds: int = ROUNDS,
-    fit_rows: int = FIT_ROWS,
     keep: float | None = None,
     good_share: float = GOOD_SHARE,
 ) -> DataFrame:
     """One row per row: doc_id, p_text, p_meta, score, keep.
 
     `labels` has 1 for good and 0 for poor documents by id; null ids and labels are left out, and of several
-    labels of one id the smallest counts. A quarter of them, by a hash of the id, calibrates; the others are fitted on,
-    a hash sample of about `fit_rows` of them if there are more. Each round adds about as many confident
-    documents to each view, half of each class. `score` is the probability of good from both calibrated
-    views, `keep` whether it is at least `keep`, by default the highest score that `good_share` of the good documents kept apart reach. Null, empty and very long texts are scored like others; equal
-    rows alike. Null categories count as missing. Without labels of both classes all get the share of good labels (0.5
+    labels of one id the smallest counts. A quarter of them, by a hash of the id, calibrates; all others are fitted on.
+    Each round adds to each view all documents without a label of which the other is confident. `score` is the probability
+    of good from both calibrated views, `keep` whether it is at least `keep`, by default the highest score that `good_share` of
+    the good documents kept apart reach. Null, empty and very long texts are scored like others; equal rows alike. Null
+    categories count as missing. Without labels of both classes all get the share of good labels (0.5
     without any). Further columns are ignored. An empty table gives no rows.
     """
     known = labels.select(column(labels, label_id_col).alias("id"), column(labels, label_col).cast("double").alias("y"))
-    known = written(known.where("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y")), "known")
-    rows = view_features(docs, id_col, text_col, category_cols)
+    known = known.where("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
+    rows = written(view_features(docs, id_col, text_col, category_cols).join(known, "id", "left"), "features")
     held = F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2
-    fit_ids, held_ids = share_of(known.where(~held), fit_rows, "id"), share_of(known.where(held), fit_rows, "id")
-    # Both id lists are bounded by fit_rows.
-    train = written(rows.join(F.broadcast(fit_ids), "id"), "train")
+    train, apart = rows.where(F.col("y").isNotNull() & ~held), rows.where(F.col("y").isNotNull() & held)
     classes = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
     if len(classes) < 2:
         share = F.lit(float(next(iter(classes), 0.5)))
         out = rows.select(F.col("id").alias("doc_id"), share.alias("p_text"), share.alias("p_meta"), share.alias("score"))
         return out.withColumn("keep", F.col("score") >= (KEEP if keep is None else keep))
-    meta = [c for c in rows.columns if c not in ("id", "text_key", "features")]
+    meta = [c for c in rows.columns if c not in ("id", "text_key", "features", "y")]
     views = {"text": _View("text", meta), "meta": _View("meta", meta)}
     taught = {"text": train, "meta": train}
     for turn in range(rounds + 1):
@@ -152,19 +148,12 @@ def score_quality(
             view.fit(taught[kind])
         if turn == rounds:
             break
-        scored = views["text"].scored(views["meta"].scored(rows, "p_meta"), "p_text")
-        scored = written(scored.select("id", "text_key", "p_text", "p_meta").join(known, "id", "left_anti"), "scores")
+        # A row's pseudo-label is read off its own score of the other view, whose model is that of this turn.
         for kind, other in (("text", "meta"), ("meta", "text")):
-            p = F.col(f"p_{other}")
-            sure = [
-                share_of(scored.where(w).select("id", "text_key", F.lit(y).alias("y")), fit_rows // 2, "id", "text_key")
-                for w, y in ((p >= 1 - CONFIDENT, 1.0), (p <= CONFIDENT, 0.0))
-            ]
-            # At most fit_rows rows or so.
-            chosen = sure[0].union(sure[1]).dropDuplicates(["id", "text_key"])
-            pseudo = rows.join(F.broadcast(chosen), ["id", "text_key"])
-            taught[kind] = train.unionByName(written(pseudo.select(*train.columns), "pseudo"))
-    apart = rows.join(F.broadcast(held_ids), "id")
+            p = F.col("p_other")
+            scored = views[other].scored(rows.where("y is null"), "p_other").where((p >= 1 - CONFIDENT) | (p <= CONFIDENT))
+            pseudo = scored.withColumn("y", F.when(p >= 1 - CONFIDENT, 1.0).otherwise(0.0)).select(*rows.columns)
+            taught[kind] = train.unionByName(pseudo)
     prior = classes.get(1.0, 0) / sum(classes.values())
     base = math.log(prior / (1 - prior))
     logits = []
@@ -179,8 +168,8 @@ def score_quality(
     good = {kind: 1 / (1 + F.exp(-x)) for kind, x in logits}
     if keep is None:
         kept_apart = views["text"].scored(views["meta"].scored(apart.where("y = 1"), "raw_meta"), "raw_text")
-        keep = kept_apart.agg(F.percentile(1 / (1 + F.exp(-total)), F.lit(1 - good_share))).first()[0]
-        keep = KEEP if keep is None else keep
+        least = exact_quantiles(kept_apart.select((1 / (1 + F.exp(-total))).alias("score")), "score", [1 - good_share]).first()
+        keep = KEEP if least is None else least["value"]
     out = scored.select(
         F.col("id").alias("doc_id"),
         good["text"].alias("p_text"),
