@@ -730,6 +730,27 @@ def test_quality_learns_from_all_labels_and_all_confident_documents(spark, monke
     assert found.where("keep != (doc_id % 3 != 0)").count() == 0
 
 
+def test_quality_vectors_are_as_long_as_the_words_chosen(spark):
+    """What a fit sends to the driver has a place for each word in use, not for each bucket of the hash."""
+    word = F.when(F.col("id") % 2 == 0, F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.lit(2), F.lit(70_000)))
+    for n, places in ((200, 4), (6, 1)):  # words of too few documents count for nothing
+        view = quality._View("text", [])
+        rows = spark.range(n).select((F.col("id") % 2).cast("double").alias("y"), word.alias("features"))
+        view.fit(rows)
+        assert view.model.numFeatures == places
+        right = view.scored(rows, "p").where((F.col("p") > 0.5) == (F.col("y") == 1)).count()
+        assert right == n or n == 6
+
+
+def test_quality_writes_features_once(spark, monkeypatch):
+    names = []
+    for module in (quality, mixing):
+        monkeypatch.setattr(module, "written", lambda df, name, real=module.written: (names.append(name), real(df, name))[1])
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, label int")
+    quality.score_quality(make(spark, [(i, f"word {i}") for i in range(30)]), labels)
+    assert names.count("features") == 1
+
+
 def test_quality_drops_most_recognisable_insults(spark):
     """Of labelled toxic documents with an insult word at least 70 % go, of the good ones at most 5 %."""
     folder = "/root/testdata/sf0.1"

@@ -47,7 +47,7 @@ def _feature(word: Column) -> Column:
 
 
 def document_features(docs: DataFrame, id_col: str, text_col: str, more: dict[str, Column] | None = None) -> DataFrame:
-    """id, text_key, tokens (words of the whole text), features (buckets of its distinct words) and `more`; written."""
+    """id, text_key, tokens (words of the whole text), features (buckets of its distinct words) and `more`."""
     text = column(docs, text_col)
     cut = docs.select(
         column(docs, id_col).alias("id"),
@@ -56,7 +56,7 @@ def document_features(docs: DataFrame, id_col: str, text_col: str, more: dict[st
         *[c.alias(name) for name, c in (more or {}).items()],
     )
     blank = (F.size("words") == 1) & (F.col("words")[0] == "")
-    slim = cut.select(
+    return cut.select(
         "id",
         "text_key",
         F.when(blank, 0).otherwise(F.size("words")).cast("long").alias("tokens"),
@@ -65,7 +65,6 @@ def document_features(docs: DataFrame, id_col: str, text_col: str, more: dict[st
         .alias("features"),
         *(more or {}),
     )
-    return written(slim, "features")
 
 
 class Classifier:
@@ -206,7 +205,7 @@ def document_rates(
     blank texts have no tokens and get the posteriors that the priors give. Null ids and repeated rows are
     mixed like others, equal rows alike. Texts are read whole. Further columns are ignored. An empty table gives no rows.
     """
-    features = document_features(docs, id_col, text_col)
+    features = written(document_features(docs, id_col, text_col), "features")
     model = fit_classifier(features, labelled, label_id_col, domain_col)
     names = model.names
     scored = model.evidence(features)

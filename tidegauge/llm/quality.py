@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import FeatureHasher, HashingTF, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from tidegauge.llm.mixing import document_features
 ROUNDS = 2
 #: A view is confident where its probability is this far from 0 or 1 at most.
 CONFIDENT = 0.05
-WORD_BUCKETS, META_BUCKETS = 1 << 16, 1 << 10
+META_BUCKETS = 1 << 10
 #: The text view keeps so many words, those that tell the classes apart best (chi-square), each in some documents at least.
 TELLING, LEAST_DOCS = 1024, 8
 #: Share of the good documents kept apart that are to be kept, and the least score to keep where there are none.
@@ -43,7 +44,7 @@ def _metadata(docs: DataFrame, text: Column, category_cols: tuple[str, ...]) ->
 
 
 def view_features(docs: DataFrame, id_col: str, text_col: str, category_cols: tuple[str, ...]) -> DataFrame:
-    """id, text_key, features (of the text view) and the columns of the metadata view, read from whole texts once."""
+    """id, text_key, features (of the text view) and the columns of the metadata view, from whole texts."""
     more = _metadata(docs, column(docs, text_col), category_cols)
     raw = document_features(docs, id_col, text_col, more)
     words, lines = F.col("tokens"), F.col("lines")
@@ -62,24 +63,28 @@ class _View:
     """A logistic regression over one view of the documents."""
 
     def __init__(self, kind: str, columns: list[str]):
-        self.kind = kind
-        if kind == "text":
-            self.vectors = HashingTF(inputCol="features", outputCol="x", numFeatures=WORD_BUCKETS, binary=True)
-        else:
-            self.vectors = FeatureHasher(inputCols=columns, outputCol="x", numFeatures=META_BUCKETS)
-        self.model, self.telling = None, F.array().cast("array<int>")
+        self.kind, self.model = kind, None
+        # The text view's words are known once it has chosen them.
+        self.vectors = FeatureHasher(inputCols=columns, outputCol="x", numFeatures=META_BUCKETS) if kind == "meta" else None
+        self.telling = np.array([], np.int32)
 
     def _choose(self, train: DataFrame) -> None:
-        each = train.select("y", F.explode("features").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("good"))
-        share = train.agg(F.avg("y")).first()[0]
+        """Take the words that tell the classes apart best; a vector has a place for each of these, not for each bucket."""
+        # The bucket -1 counts all rows, so that one pass is enough.
+        each = train.select("y", F.explode(F.array_append("features", F.lit(-1))).alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("good"))
+        each = written(each, "words")
+        n, good = each.where("w = -1").select("n", "good").first()
+        share = good / n
         apart = (F.col("good") - F.col("n") * share) * (F.col("good") - F.col("n") * share) / (F.col("n") * (share * (1 - share)))
-        best = each.where(F.col("n") >= LEAST_DOCS).orderBy(apart.desc(), "w").limit(TELLING).select("w").collect()
-        self.telling = F.array(*[F.lit(r[0]) for r in best]).cast("array<int>")
+        best = each.where((F.col("w") >= 0) & (F.col("n") >= LEAST_DOCS)).orderBy(apart.desc(), "w").limit(TELLING).select("w").collect()
+        forget(each)
+        self.telling = np.array([r.w for r in best], np.int32)
+        self.vectors = CountVectorizerModel.from_vocabulary([str(r.w) for r in best] or ["none"], inputCol="words", outputCol="x", binary=True)
 
     def _vectors(self, rows: DataFrame) -> DataFrame:
         if self.kind == "text":
-            rows = rows.withColumn("features", F.array_intersect("features", self.telling))
-        return self.vectors.transform(rows)
+            rows = rows.withColumn("words", F.array_intersect("features", F.lit(self.telling)).cast("array<string>"))
+        return self.vectors.transform(rows).drop("words")
 
     def fit(self, train: DataFrame) -> None:
         """`train` has the columns of view_features and y. Vectors are written, as a fit reads them several times."""
@@ -132,7 +137,8 @@ def score_quality(
     """
     known = labels.select(column(labels, label_id_col).alias("id"), column(labels, label_col).cast("double").alias("y"))
     known = known.where("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
-    rows = written(view_features(docs, id_col, text_col, category_cols).join(known, "id", "left"), "features")
+    # Labels grow with the documents: a broadcast would do for small tables only.
+    rows = written(view_features(docs, id_col, text_col, category_cols).join(known.hint("merge"), "id", "left"), "features")
     held = F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2
     train, apart = rows.where(F.col("y").isNotNull() & ~held), rows.where(F.col("y").isNotNull() & held)
     classes = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
@@ -161,6 +167,7 @@ def score_quality(
         sample = written(view.scored(apart, "p").select("p", "y"), "calibration")
         two = sample.select("y").distinct().count() == 2
         slope, intercept = _calibration(sample, "p") if two else (1.0, 0.0)
+        forget(sample)
         logits.append((kind, _logit(F.col(f"raw_{kind}")) * slope + intercept))
     scored = views["text"].scored(views["meta"].scored(rows, "raw_meta"), "raw_text")
     # The views count as independent given the class: their evidence adds up beyond the prior.
