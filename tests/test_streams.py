@@ -14,6 +14,7 @@ from tidegauge.sources.logs import normalize_logs, read_log_stream
 from tidegauge.streaming import jobs, stateful
 from tidegauge.streaming import store as stream_store
 from tidegauge.streaming import windows as stream_windows
+from tidegauge.streaming.drain import drain
 
 ONCE = {"availableNow": True}
 START = datetime(2024, 1, 1)
@@ -187,6 +188,29 @@ def test_alert_topics_meet_in_one_store(spark, tmp_path):
     assert {r.severity for r in stream_store.read_store(spark, f"{tmp_path}/s").collect()} == {"LOW", "HIGH"}
 
 
+def test_stored_windows_at_the_threshold_are_decided_in_the_order_of_requests(spark, make_logs, tmp_path):
+    """0.1 + 0.2 + 0.3 is more than 0.6 in this order, and 0.6 if summed by URL as the stream does."""
+    cfg = DetectionConfig(window="5 minutes", slide="5 minutes", request_rate=100, error_rate=1, response_time=0.2, scan_rate=100)
+    rows = [(0, "10.0.0.1", "/x", 200, 0.1), (1, "10.0.0.1", "/y", 200, 0.2), (2, "10.0.0.1", "/y", 200, 0.3), (3, "10.0.0.2", "/x", 200, 0.1)]
+    make_logs(rows).write.parquet(f"{tmp_path}/in")
+    logs = spark.read.parquet(f"{tmp_path}/in")
+
+    def start(stream):
+        found = stream_windows.closed_window_candidates(stream, cfg)
+        alerts = lambda batch: store.canonical_window_alerts(windows.alerts_of(batch, lambda session: logs, cfg))
+        return stream_store.start_alert_store(found, f"{tmp_path}/s", f"{tmp_path}/cp", trigger=ONCE, prepare=alerts)
+
+    drain(spark.readStream.schema(logs.schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/end", start)
+    stored = stream_store.read_statistics(spark, f"{tmp_path}/s").collect()
+    assert [(r.source_ip, r.alert_count) for r in stored] == [("10.0.0.1", 1)]
+    assert windows.windowed_alerts(logs, cfg).count() == 1
+    # A table that lacks requests of the window does not decide it, nor does it take the window away.
+    streamed = windows.windowed_stats(logs, cfg.window, cfg.slide).withColumn("avg_response_time", F.lit(0.6 / 3))
+    assert windows.alerts_of(streamed, lambda session: logs, cfg).count() == 1
+    assert windows.alerts_of(streamed, lambda session: logs.filter("event_id != 1"), cfg).count() == 0
+    assert windows.alerts_of(streamed.withColumn("avg_response_time", F.lit(0.2 + 1e-12)), lambda session: logs.limit(0), cfg).count() == 2
+
+
 def test_archive_restart_repeats_nothing(spark, feed, tmp_path):
     for name, minute in (("1", 0), ("2", 61)):
         path = feed(name, (minute, "a", "/", 200))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import count_where, is_client_error, is_error, is_server_error, ratio
@@ -99,18 +100,32 @@ def _near(cfg: DetectionConfig) -> Column:
 
 
 def mean_in_order(logs: DataFrame, found: DataFrame, cfg: DetectionConfig) -> DataFrame:
-    """The windows `found` with their mean response time summed in the order of requests, whatever their number."""
+    """The windows `found` with their mean response time summed in the order of requests, whatever their number.
+
+    A window of which `logs` has not as many requests as it counted keeps the mean that it has.
+    """
     order = "event_id" if "event_id" in logs.columns else "event_timestamp"
     own = F.window("event_timestamp", cfg.window, cfg.slide)["start"]
     keys = found.select("window_start", F.col("source_ip").alias("_ip"))
     rows = logs.select(own.alias("_start"), "source_ip", F.col(order).alias("_order"), F.col("response_time").alias("_rt"))
-    rows = rows.filter("_rt IS NOT NULL").join(keys, F.col("_start").eqNullSafe(F.col("window_start")) & F.col("source_ip").eqNullSafe(F.col("_ip")))
+    rows = rows.join(keys, F.col("_start").eqNullSafe(F.col("window_start")) & F.col("source_ip").eqNullSafe(F.col("_ip")))
     # A running sum adds row by row; it spills where a source has very many.
     part = Window.partitionBy("_start", "_ip").orderBy("_order", "_rt").rowsBetween(Window.unboundedPreceding, 0)
     running = rows.select("_start", "_ip", F.sum("_rt").over(part).alias("s"), F.count("_rt").over(part).alias("n"))
-    means = running.groupBy("_start", "_ip").agg((F.max_by("s", "n") / F.max("n")).alias("_mean"))
+    means = running.groupBy("_start", "_ip").agg(ratio(F.max_by("s", "n"), F.max("n")).alias("_mean"), F.count(F.lit(1)).alias("_rows"))
     same = F.col("window_start").eqNullSafe(F.col("_start")) & F.col("source_ip").eqNullSafe(F.col("_ip"))
-    return found.join(means, same).withColumn("avg_response_time", F.col("_mean")).select(*found.columns)
+    whole = F.coalesce(F.col("_rows") == F.col("request_count"), F.lit(False))
+    mean = F.when(whole, F.col("_mean")).otherwise(F.col("avg_response_time"))
+    return found.join(means, same, "left").withColumn("avg_response_time", mean).select(*found.columns)
+
+
+def _single_url(cfg: DetectionConfig) -> Column:
+    return F.col("url_diversity") == cfg.scan_urls
+
+
+def candidates(stats: DataFrame, cfg: DetectionConfig) -> DataFrame:
+    """The windows that break a rule, or may do so if their response times are added in another order."""
+    return stats.filter(reduce(Column.__or__, _rules(cfg, _single_url(cfg)).values(), _near(cfg)))
 
 
 def windowed_alerts(logs: DataFrame, cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
@@ -119,11 +134,26 @@ def windowed_alerts(logs: DataFrame, cfg: DetectionConfig = DetectionConfig()) -
     Sums of doubles depend on their order by a last digit, which decides the rule where a mean equals the threshold:
     the few such windows are summed anew in the order of their requests, so that every run finds the same.
     """
-    stats = windowed_stats(logs, cfg.window, cfg.slide)
-    near, single_url = _near(cfg), F.col("url_diversity") == cfg.scan_urls
     # Windows are summed once and those in question kept, as both branches read them.
-    found = cut_lineage(stats.filter(reduce(Column.__or__, _rules(cfg, single_url).values(), near)))
+    found = cut_lineage(candidates(windowed_stats(logs, cfg.window, cfg.slide), cfg))
+    near = _near(cfg)
     exact = mean_in_order(logs, found.filter(near), cfg)
+    return flag_windows(found.filter(~near).unionByName(exact), cfg, _single_url(cfg))
+
+
+def alerts_of(found: DataFrame, logs: Callable[[SparkSession], DataFrame], cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
+    """The alerts of `candidates` that a stream has closed, decided as in `windowed_alerts`; `found` is read three times.
+
+    `logs` gives the requests as a table, for example those that the stream reads, or its archive. It is asked only if the order of
+    a sum decides a window, and then for the time of such windows.
+    """
+    near, single_url = _near(cfg), _single_url(cfg)
+    span = found.filter(near).agg(F.min("window_start").alias("first"), F.max("window_end").alias("last")).first()
+    if span["first"] is None:
+        return flag_windows(found, cfg, single_url)
+    time = F.col("event_timestamp")
+    rows = logs(found.sparkSession).filter((time >= F.lit(span["first"])) & (time < F.lit(span["last"])))
+    exact = mean_in_order(rows, found.filter(near), cfg)
     return flag_windows(found.filter(~near).unionByName(exact), cfg, single_url)
 
 

@@ -589,14 +589,23 @@ def stream_alert_topic(logs: DataFrame, path: str) -> DataFrame:
     )
 
 
-@stream_query("stream_alert_store")
-def stream_alert_store(logs: DataFrame, path: str) -> DataFrame:
+def stream_alert_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows whose mean equals the threshold are decided by the stream's files, read again in order."""
+    use_rocksdb(spark)
+    path = scratch_path(spark, "stream_alert_store")
+
+    def alerts(found: DataFrame) -> DataFrame:
+        return store.canonical_window_alerts(windows.alerts_of(found, lambda session: event_logs(session, sf_dir), WINDOW_CFG))
+
     def start(stream: DataFrame):
-        alerts = store.canonical_window_alerts(stream_windows.closed_window_alerts(stream, WINDOW_CFG))
-        return stream_store.start_alert_store(alerts, f"{path}/store", f"{path}/checkpoint", trigger=ONCE)
+        found = stream_windows.closed_window_candidates(stream, WINDOW_CFG)
+        return stream_store.start_alert_store(found, f"{path}/store", f"{path}/checkpoint", trigger=ONCE, prepare=alerts)
 
-    drain(logs, f"{path}/end", start)
-    return stream_store.read_statistics(logs.sparkSession, f"{path}/store").drop("latest_alert")
+    drain(event_log_stream(spark, sf_dir), f"{path}/end", start)
+    return single(stream_store.read_statistics(spark, f"{path}/store").drop("latest_alert"))
+
+
+QUERIES["stream_alert_store"] = stream_alert_store
 
 
 @stream_query("stream_archive")

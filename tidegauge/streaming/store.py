@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -157,13 +159,31 @@ def _expire(spark: SparkSession, path: str) -> None:
 
 
 def start_alert_store(
-    alerts: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None
+    alerts: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = "append",
+    trigger: dict | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Store a stream of canonical alerts. One checkpoint belongs to one store folder."""
+    """Store a stream of canonical alerts, or of what `prepare` makes them from in each micro-batch.
+
+    One checkpoint belongs to one store folder.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if prepare is None:
+            return store_batch(batch, batch_id, path)
+        kept = batch.persist()
+        try:
+            store_batch(prepare(kept), batch_id, path)
+        finally:
+            kept.unpersist()
+
     writer = (
         alerts.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: store_batch(batch, batch_id, path))
+        .foreachBatch(run)
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import count_where, is_error, ratio
-from tidegauge.operators.windows import flag_windows, with_rates
+from tidegauge.operators.windows import candidates, flag_windows, with_rates
 from tidegauge.schema import DetectionConfig
 
 CFG = DetectionConfig()
@@ -69,10 +69,15 @@ def _flat(stats: DataFrame, cfg: DetectionConfig) -> DataFrame:
 
 
 def closed_window_alerts(logs: DataFrame, cfg: DetectionConfig = CFG) -> DataFrame:
-    """Alerts of closed windows, append mode."""
+    """Alerts of closed windows, append mode. Response times are added as they come: a mean equal to the threshold may fall to either side."""
     return flag_windows(closed_window_stats(logs, cfg), cfg, F.col("url_diversity") == cfg.scan_urls)
 
 
+def closed_window_candidates(logs: DataFrame, cfg: DetectionConfig = CFG) -> DataFrame:
+    """Closed windows that break a rule, or may do so as sums are added in another order; see `windows.alerts_of`."""
+    return candidates(closed_window_stats(logs, cfg), cfg)
+
+
 def running_window_alerts(logs: DataFrame, cfg: DetectionConfig = CFG) -> DataFrame:
     """Alerts of windows as they fill, update mode."""
     if cfg.scan_urls != 1:
