@@ -3,12 +3,13 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 
-from tidegauge.llm import language, substring_dedup, tokens
+from tidegauge.llm import language, minhash, substring_dedup, tokens
 
 
 @pytest.fixture(scope="module")
@@ -116,3 +117,24 @@ def test_word_places_are_those_of_the_shingles():
         first, last = substring_dedup._word_places(text)
         want = [w for w in pc.utf8_split_whitespace(pa.array([text], pa.large_string()))[0].as_py() if w]
         assert [text[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)] == want
+
+
+@pytest.mark.parametrize("behind", [b"\x00", b"\xff", b"\x80", b"\t"])
+def test_shingles_do_not_depend_on_what_lies_behind_the_texts(behind, monkeypatch):
+    lower = minhash.pc.utf8_lower
+
+    def lowered(texts):
+        found = lower(texts)
+        _, offsets, data = found.buffers()
+        own = data.to_pybytes()[: pc.sum(pc.binary_length(found)).as_py()]
+        return pa.LargeStringArray.from_buffers(len(found), offsets, pa.py_buffer(own + behind * 8))
+
+    monkeypatch.setattr(minhash.pc, "utf8_lower", lowered)
+    for text in ["a b c d E f\n", "a\t", "日 \n\t", "\n", " ", "a" * 63 + "\t", "a b\u3000", "a"]:
+        for texts in [[text], ["a b c d e\t", text], [text, None, ""], [text, "É"]]:
+            hashes, offsets = minhash.shingles(pa.array(["x y", *texts]).slice(1))
+            want = [minhash.shingles(pa.array([" ".join((t or "").lower().split())]))[0].tolist() for t in texts]
+            assert [hashes[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == want
+    for texts in [pa.array([], pa.string()), pa.array([None], pa.string())]:
+        hashes, offsets = minhash.shingles(texts)
+        assert len(hashes) == 0 and np.array_equal(offsets, [0] * (len(texts) + 1))

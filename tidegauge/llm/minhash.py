@@ -34,8 +34,9 @@ def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     Words are what white space parts, in lower case. A text of fewer words than `size` has one shingle of all
     of them; a text without words, or null, has none.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "").filter(pa.array(np.ones(len(texts), bool)))
-    split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+    # Arrow's split looks at the byte after white space that ends a text, and at memory that is not its own after the last: one text more ends the column.
+    texts = pa.concat_arrays([pc.fill_null(texts.cast(pa.large_string()), ""), pa.array(["."], pa.large_string())])
+    split = pc.utf8_split_whitespace(pc.utf8_lower(texts))[:-1]
     words, ends = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
     real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)  # white space at a text's ends leaves empty words
     ends = np.concatenate([[0], np.cumsum(real)])[ends]
