@@ -491,6 +491,55 @@ def test_collisions_of_active_members(spark):
     assert want <= set(met) and all(met[p] == 1 for p in want)
 
 
+def test_collisions_of_many_active_members_and_few_others(spark):
+    """Members that are not active have a block, however few they are beside the active ones."""
+    from tidegauge.llm.units import collisions
+
+    sizes = [(a, r) for a in (1, 7, 8, 9, 16, 17, 25, 40, 65, 73) for r in (0, 1, 2, 3, 9)]
+    rows = [(1000 * b + c, 0, b, c < a) for b, (a, r) in enumerate(sizes) for c in range(a + r)]
+    met, blocks = Counter(), Counter()
+    by_unit = defaultdict(list)
+    for u in collisions(spark.createDataFrame(rows, "cid long, table int, bucket long, active boolean"), block=8).collect():
+        by_unit[u.unit].append((u.cid, u.side))
+        blocks[u.cid] += 1
+    for members in by_unit.values():
+        for (a, x), (b, y) in combinations(sorted(members), 2):
+            if x == 2 or x != y:
+                met[a, b] += 1
+    for b, (a, r) in enumerate(sizes):
+        want = {(1000 * b + c, 1000 * b + d) for c, d in combinations(range(a + r), 2) if c < a}
+        assert all(met[p] == 1 for p in want)
+        if a + r > 1:
+            active, rest = -(-a // 8), -(-r // 8)
+            assert {blocks[1000 * b + c] for c in range(a)} == {active + rest}
+            assert {blocks[1000 * b + c] for c in range(a, a + r)} <= {active}
+
+
+def test_ngram_join_of_large_groups_with_few_done(spark, monkeypatch):
+    """Blocks of few texts do what large blocks do in larger groups: texts that are done lie beside many that go on."""
+    from tidegauge.llm.units import collisions
+
+    rng, rows = random.Random(12), []
+    for g in range(12):
+        base = words(300, f"large{g}")
+        for i in range(rng.randint(8, 30)):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 5])):
+                copy[rng.randrange(300)] = f"w{g}x{i}"
+            rows.append((len(rows), " ".join(copy)))
+        rows.append((len(rows), " ".join(base[:-32] + words(32, f"far{g}"))))
+    sets = [shingle_set(t) for _, t in rows]
+    links = Counter()
+    for a, b in combinations(range(len(rows)), 2):
+        if jaccard(sets[a], sets[b]) >= 0.8:
+            links.update((a, b))
+    monkeypatch.setattr(ngram_join, "collisions", lambda members: collisions(members, block=4))
+    found = ngram_join.near_duplicates(make(spark, rows)).collect()
+    assert {r.depth for r in found} == {6, 7}
+    assert len(found) == len(rows) and all(r.n_links <= links[r.doc_id] for r in found)
+    assert sum(r.n_links for r in found) >= 0.99 * sum(links.values())
+
+
 def test_runs_inside_and_across_lines(spark):
     """A passage of over 50 words is found wherever it begins and ends, and however its lines are broken."""
     rng = random.Random(21)

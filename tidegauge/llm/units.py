@@ -44,7 +44,8 @@ def collisions(members: DataFrame, block: int = BLOCK) -> DataFrame:
     sums = sums.where("n > 1 and awake > 0")
     first = sums.groupBy("n", "x", "y").agg(F.min(F.struct("table", "bucket", "awake")).alias("b")).select("n", "b.bucket", "b.awake")
     awake = F.ceil(F.col("awake") / block)
-    held = member.join(first, "bucket").withColumn("awake", awake).withColumn("blocks", awake + F.ceil((F.col("n") - F.col("awake")) / block))
+    # Both are counted in members here and in blocks from then on, so they change in one step.
+    held = member.join(first, "bucket").withColumns({"awake": awake, "blocks": awake + F.ceil((F.col("n") - F.col("awake")) / block)})
     draw = F.xxhash64("cid", F.lit(1))
     mine = F.when(F.col("active"), F.pmod(draw, F.col("awake"))).otherwise(F.col("awake") + F.pmod(draw, F.col("blocks") - F.col("awake")))
     # An active block meets all blocks, another one those that are active.
