@@ -517,7 +517,7 @@ def test_collisions_of_many_active_members_and_few_others(spark):
 
 def test_ngram_join_of_large_groups_with_few_done(spark, monkeypatch):
     """Blocks of few texts do what large blocks do in larger groups: texts that are done lie beside many that go on."""
-    from tidegauge.llm.units import collisions
+    from tidegauge.llm.units import gathered
 
     rng, rows = random.Random(12), []
     for g in range(12):
@@ -533,13 +533,48 @@ def test_ngram_join_of_large_groups_with_few_done(spark, monkeypatch):
     for a, b in combinations(range(len(rows)), 2):
         if jaccard(sets[a], sets[b]) >= 0.8:
             links.update((a, b))
-    monkeypatch.setattr(ngram_join, "collisions", lambda members: collisions(members, block=4))
+    monkeypatch.setattr(ngram_join, "gathered", lambda members: gathered(members, block=4))
     found = ngram_join.near_duplicates(make(spark, rows)).collect()
     assert {r.depth for r in found} == {6, 7}
     assert len(found) == len(rows) and all(r.n_links <= links[r.doc_id] for r in found)
     assert sum(r.n_links for r in found) >= 0.99 * sum(links.values())
 
 
+def test_gathered_members_meet_once(spark):
+    """The pairs that share a bucket, with an active member, are each met once, and members of the same buckets are laid out once."""
+    from tidegauge.llm.units import collisions, gathered
+
+    rng = random.Random(30)
+    rows = []
+    for g in range(40):
+        size, apart = rng.randint(2, 30), rng.random() * 0.5
+        for t in range(6):
+            rows += [(100 * g + c, t, 1000 * g + 10 * t, c % 5 != 1 or g % 3 == 0) for c in range(size) if rng.random() > apart]
+    rows += [(100 * g + rng.randrange(20), 6, 90_000 + g % 4, True) for g in range(40)] + [(5000 + c, 0, 99_000, False) for c in range(9)]
+    rows = sorted(set(rows))
+    active = {c: a for c, _, _, a in rows}
+    rows = [(c, t, b, active[c]) for c, t, b, _ in rows]
+    held = defaultdict(set)
+    for c, _, b, _ in rows:
+        held[b].add(c)
+    want = {p for m in held.values() for p in combinations(sorted(m), 2) if active[p[0]] or active[p[1]]}
+    members = spark.createDataFrame(rows, "cid long, table int, bucket long, active boolean")
+    for block in (4, 256):
+        by_unit, met = defaultdict(list), Counter()
+        units = gathered(members, block=block).collect()
+        for u in units:
+            by_unit[u.unit].append((u.cid, u.side, u.leader, u.table, u.bucket))
+        for unit in by_unit.values():
+            assert len({x[3:] for x in unit}) == 1
+            for (a, x, k, t, _), (b, y, m, _, _) in combinations(sorted(unit), 2):
+                # What minhash.verified asks of a pair.
+                if (x == 2 or x != y) and (a, b) in want and (t < 0 or k != m and t == min(s for c, s, q, _ in rows if c == a and b in held[q])):
+                    met[a, b] += 1
+        assert met == Counter(want)
+        if block == 256:
+            assert len(units) < collisions(members).count() and {u.table < 0 for u in units} == {True, False}
+
+
 def test_runs_inside_and_across_lines(spark):
     """A passage of over 50 words is found wherever it begins and ends, and however its lines are broken."""
     rng = random.Random(21)

@@ -117,13 +117,21 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _sharing(keys: np.ndarray) -> np.ndarray:
+    """Which members (row and column) share a bucket in some table."""
+    out = np.zeros((len(keys), len(keys)), bool)
+    for t in range(keys.shape[1]):
+        out |= keys[:, None, t] == keys[None, :, t]
+    return out
+
+
 def verified(units: DataFrame, payload: DataFrame, threshold: float, buckets_of: Callable) -> DataFrame:
     """Verified links, counted: (cid, links, root, low), several rows a class.
 
-    `units` as from collisions(); `payload` has for each cid the copies of its text, its set of shingles
+    `units` as from collisions() or gathered(); `payload` has for each cid the copies of its text, its set of shingles
     (bytes of 64-bit numbers), whether it is `active` if pairs of others are not wanted, and what `buckets_of(unit)` needs
     for two arrays: the members' buckets by table, and those in which their pairs were verified before, if any. A
-    pair counts in the first table in which it shares a bucket. `links` counts linked texts with their
+    pair counts in the first table in which it shares a bucket, or in the unit of its leader. `links` counts linked texts with their
     copies, `root` is the smallest cid linked with it in the unit and `low` the least similarity of its links there.
     """
 
@@ -134,7 +142,12 @@ def verified(units: DataFrame, payload: DataFrame, threshold: float, buckets_of:
         if "active" in unit:
             active = np.array(unit["active"], bool)
             todo &= active[:, None] | active[None, :]
-        for t in range(int(unit["table"][0])):
+        table = int(unit["table"][0])
+        if table < 0:
+            todo &= _sharing(keys)
+        elif "leader" in unit:
+            todo &= unit["leader"][:, None] != unit["leader"][None, :]
+        for t in range(table):
             todo &= keys[:, None, t] != keys[None, :, t]
         for t in range(prior.shape[1]):
             todo &= prior[:, None, t] != prior[None, :, t]

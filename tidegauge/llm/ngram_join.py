@@ -30,7 +30,7 @@ from tidegauge.llm.minhash import (
     slices_of,
     verified,
 )
-from tidegauge.llm.units import Unit, collisions
+from tidegauge.llm.units import Unit, gathered
 
 TREES = 18
 DEPTH = 7
@@ -119,7 +119,7 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: float, recall: float,
     able = payload.select("cid", "copies", "signature").withColumn("active", F.lit(True))
     links, done = [], []
     for now in range(depth, last - 1, -1):
-        units = written(collisions(_buckets(able, trees, depth, now)), "units")
+        units = written(gathered(_buckets(able, trees, depth, now)), "units")
 
         def buckets_of(unit: Unit, now: int = now) -> tuple[np.ndarray, np.ndarray]:
             keys = _prefixes(unit["signature"], trees, depth, now)

@@ -33,6 +33,38 @@ def collisions(members: DataFrame, block: int = BLOCK) -> DataFrame:
     if "active" not in members.columns:
         members = members.withColumn("active", F.lit(True))
     member = written(members, "buckets")
+    live = member.join(_distinct_buckets(member), "bucket")
+    return _laid_out(live, block).select("unit", "table", "bucket", "cid", "side")
+
+
+def gathered(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(unit, table, bucket, cid, side, leader): as collisions(), but members of many buckets in common are brought together once.
+
+    A member's leader is the smallest one that it reaches by two buckets. Members with one leader make up a unit of their own,
+    of `table` -1, in which each of them is once, and whose pairs are those that share any bucket. Units of buckets are made
+    where members have different leaders, and their pairs are those of different leaders. A leader's members are left to their buckets,
+    each as its own leader (a negative number), if the units of the buckets hold fewer rows.
+    """
+    member = written(members, "buckets")
+    live = written(member.join(_distinct_buckets(member), "bucket"), "live")
+    leaders = live.select("cid", "active", F.col("cid").alias("leader")).distinct()
+    for _ in range(2):
+        least = live.join(leaders.select("cid", "leader"), "cid").groupBy("bucket").agg(F.min("leader").alias("leader"))
+        leaders = live.join(least, "bucket").groupBy("cid").agg(F.max("active").alias("active"), F.min("leader").alias("leader"))
+        leaders = written(leaders, "leaders")
+    named = live.join(leaders.select("cid", "leader"), "cid")
+    apart = named.groupBy("leader").agg(F.sum(F.ceil(F.col("n") / block)).alias("apart"))
+    groups = leaders.groupBy("leader").agg(F.count("*").alias("n"), F.count_if("active").alias("awake")).where("n > 1 and awake > 0")
+    groups = written(groups.join(apart, "leader").where(F.col("n") * F.ceil(F.col("n") / block) <= F.col("apart")).drop("apart"), "groups")
+    together = leaders.join(groups, "leader").select("cid", "active", F.lit(-1).alias("table"), F.col("leader").alias("bucket"), "n", "awake", "leader")
+    own = named.join(groups.select("leader", F.lit(True).alias("grouped")), "leader", "left")
+    own = own.select("cid", "active", "table", "bucket", "n", "awake", F.when(F.col("grouped"), F.col("leader")).otherwise(-1 - F.col("cid")).alias("leader"))
+    mixed = own.groupBy("bucket").agg(F.min("leader").alias("low"), F.max("leader").alias("high")).where("low < high").select("bucket")
+    return _laid_out(together.unionByName(own.join(mixed, "bucket")), block).select("unit", "table", "bucket", "cid", "side", "leader")
+
+
+def _distinct_buckets(member: DataFrame) -> DataFrame:
+    """(bucket, n, awake) of the buckets with an active member beside others, the first of those with the same members."""
     h = F.xxhash64("cid")
     sums = member.groupBy("bucket").agg(
         F.count("*").alias("n"),
@@ -42,22 +74,22 @@ def collisions(members: DataFrame, block: int = BLOCK) -> DataFrame:
         F.bit_xor(F.xxhash64(h)).alias("y"),
     )
     sums = sums.where("n > 1 and awake > 0")
-    first = sums.groupBy("n", "x", "y").agg(F.min(F.struct("table", "bucket", "awake")).alias("b")).select("n", "b.bucket", "b.awake")
+    return sums.groupBy("n", "x", "y").agg(F.min(F.struct("table", "bucket", "awake")).alias("b")).select("n", "b.bucket", "b.awake")
+
+
+def _laid_out(live: DataFrame, block: int) -> DataFrame:
+    """The rows of `live`, with n and awake of their bucket, once for each unit that they are in, and the unit and side."""
     awake = F.ceil(F.col("awake") / block)
     # Both are counted in members here and in blocks from then on, so they change in one step.
-    held = member.join(first, "bucket").withColumns({"awake": awake, "blocks": awake + F.ceil((F.col("n") - F.col("awake")) / block)})
+    held = live.withColumns({"awake": awake, "blocks": awake + F.ceil((F.col("n") - F.col("awake")) / block)})
     draw = F.xxhash64("cid", F.lit(1))
     mine = F.when(F.col("active"), F.pmod(draw, F.col("awake"))).otherwise(F.col("awake") + F.pmod(draw, F.col("blocks") - F.col("awake")))
     # An active block meets all blocks, another one those that are active.
     others = F.when(F.col("active"), F.col("blocks")).otherwise(F.col("awake"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), others - 1))
-    pairs = held.select("bucket", "table", "cid", mine.alias("mine"), other.alias("other"))
-    return pairs.select(
-        F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"),
-        "table",
-        "bucket",
-        "cid",
-        F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
+    side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
+    return held.select(*live.columns, mine.alias("mine"), other.alias("other")).withColumns(
+        {"unit": F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")), "side": side}
     )
 
 
